@@ -184,3 +184,24 @@ def islands(
         assigned.groupBy(*keys, F.col("_running").alias(start))
         .agg(F.max(end).alias(end))
     )
+
+
+def lag_value(
+    rows: DataFrame, keys: Sequence[str], position: str, value: str, width: int
+) -> DataFrame:
+    """Add ``_previous``: the value of the row before, in the order of a unique position.
+
+    Like ``lag``, but the window runs per bin of ``width`` positions; the first row of a bin takes
+    the last value of the bin before it from a scan of one row per bin.
+    """
+    keys = list(keys)
+    binned = rows.withColumn("_bin", F.floor(F.col(position) / width))
+    per_bin = binned.groupBy(*keys, "_bin").agg(F.max_by(value, position).alias("_last"))
+    by_bin = Window.partitionBy(*keys).orderBy("_bin")
+    carry = per_bin.select(*keys, "_bin", F.lag("_last").over(by_bin).alias("_carry"))
+    inside = Window.partitionBy(*keys, "_bin").orderBy(position)
+    return (
+        binned.join(carry, [*keys, "_bin"], "left")
+        .withColumn("_previous", F.coalesce(F.lag(value).over(inside), F.col("_carry")))
+        .drop("_bin", "_carry")
+    )

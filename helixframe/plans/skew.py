@@ -48,11 +48,12 @@ def skew_join(
 
     hot = hot_keys(big, keys)
     hashed = F.xxhash64(*(salt_by or big.columns))
+    # Rows with a null key match nothing, and are spread over all salts
+    no_key = F.greatest(*(F.col(key).isNull() for key in keys), F.lit(False))
+    salts = F.when(no_key, F.lit(HOT_SHARE)).otherwise(F.coalesce("_salts", F.lit(1)))
     salted_big = (
         big.join(F.broadcast(hot), keys, "left")
-        .withColumn(
-            "_salt", F.coalesce(F.pmod(hashed, F.col("_salts").cast("long")), F.lit(0)).cast("int")
-        )
+        .withColumn("_salt", F.pmod(hashed, salts.cast("long")).cast("int"))
         .drop("_salts")
     )
     salted_small = (
