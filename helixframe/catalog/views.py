@@ -12,8 +12,21 @@ from pyspark.sql import functions as F
 REPEAT = "ACGTTGCANC"
 
 
+#: Tables that grow with the scale factor
+LARGE = ("lineitem", "orders", "documents", "pages", "events", "conversations")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A test table.
+
+    The test tables are single files of one row group, which only one task can scan. Large ones
+    with fewer files than cores are spread over the cores; a table of many files is left alone.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in LARGE and len(df.inputFiles()) < min(cores, 8):
+        return df.repartition(min(cores, 8))
+    return df
 
 
 # Columns of the read views; {div} is the integer division of the dialect

@@ -118,40 +118,43 @@ def aligned_blocks(pos: Column, cigar: Column) -> Column:
     return F.aggregate(cigar, start, step, lambda acc: acc["blocks"])
 
 
-def bases_within(pos: Column, cigar: Column, start: Column, end: Column) -> Column:
-    """Struct ``(m, i, d)``: aligned, inserted and deleted bases inside ``[start, end)``.
+def pieces(pos: Column, cigar: Column) -> Column:
+    """Array of ``(kind, piece_start, piece_end)`` on the reference.
 
-    Insertions lie between two reference positions; they are counted with the bases that would
-    follow their anchor, clamped to the region in the same way as the other operations.
+    Kinds are ``hit``, the whole aligned span, and ``m``, ``i`` and ``d`` for the aligned,
+    inserted and deleted bases. Inserted bases take the place of the bases that follow them.
     """
+    item = "struct<kind:string,piece_start:bigint,piece_end:bigint>"
     init = F.struct(
-        pos.cast("long").alias("r"),
-        F.lit(0).cast("long").alias("m"),
-        F.lit(0).cast("long").alias("i"),
-        F.lit(0).cast("long").alias("d"),
+        pos.cast("long").alias("r"), F.array().cast(f"array<{item}>").alias("pieces")
     )
 
-    def clamp(value: Column) -> Column:
-        return F.least(F.greatest(value, start), end)
-
     def step(acc: Column, it: Column) -> Column:
-        inside = clamp(acc["r"] + it["len"]) - clamp(acc["r"])
-        op = it["op"]
+        op, num = it["op"], it["len"]
+        kind = F.when(op.isin(*ALIGNED), "m").when(op == 1, "i").when(op == 2, "d")
+        piece = F.struct(
+            kind.alias("kind"),
+            acc["r"].alias("piece_start"),
+            (acc["r"] + num).alias("piece_end"),
+        )
         return F.struct(
-            (acc["r"] + F.when(op.isin(*CONSUMES_REFERENCE), it["len"]).otherwise(0))
+            (acc["r"] + F.when(op.isin(*CONSUMES_REFERENCE), num).otherwise(0))
             .cast("long")
             .alias("r"),
-            (acc["m"] + F.when(op.isin(*ALIGNED), inside).otherwise(0)).cast("long").alias("m"),
-            (acc["i"] + F.when(op.isin(*INSERTION), inside).otherwise(0)).cast("long").alias("i"),
-            (acc["d"] + F.when(op.isin(*DELETION), inside).otherwise(0)).cast("long").alias("d"),
+            F.when(kind.isNotNull(), F.concat(acc["pieces"], F.array(piece)))
+            .otherwise(acc["pieces"])
+            .alias("pieces"),
         )
 
-    return F.aggregate(
-        cigar,
-        init,
-        step,
-        lambda acc: F.struct(acc["m"].alias("m"), acc["i"].alias("i"), acc["d"].alias("d")),
-    )
+    def finish(acc: Column) -> Column:
+        whole = F.struct(
+            F.lit("hit").alias("kind"),
+            pos.cast("long").alias("piece_start"),
+            acc["r"].alias("piece_end"),
+        )
+        return F.concat(F.array(whole), acc["pieces"])
+
+    return F.aggregate(cigar, init, step, finish)
 
 
 def unclipped_start(pos: Column, cigar: Column) -> Column:

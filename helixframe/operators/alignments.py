@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from helixframe.functions import cigar as C
 from helixframe.functions import flags as fl
 from helixframe.functions import hashing
-from helixframe.plans.intervals import lag_value
+from helixframe.plans.intervals import lag_value, overlap_join, power_of_two
 from helixframe.plans.skew import skew_join
 
 #: Sample and library of records without a (known) read-group.
@@ -254,8 +254,6 @@ def reservoir_sample(
     if not isinstance(size, int) or isinstance(size, bool) or size < 0:
         raise ValueError("sample size must be a non-negative integer")
 
-    from pyspark.sql import Window
-
     hashed = rows.withColumn("_hash", hashing.digest(seed, F.col(row_id))).withColumn(
         "_bucket", hashing.leading_bits(F.col("_hash"), digits)
     )
@@ -302,10 +300,6 @@ def weighted_sample(
     laid out in hashed buckets, so that the cumulative weights need one window per bucket and a
     scan of one row per bucket. The draws find their item by an interval join on the line.
     """
-    from pyspark.sql import Window
-
-    from helixframe.plans.intervals import overlap_join
-
     checked = items.select(
         item_id,
         F.when(F.col(weight) > 0, F.col(weight).cast("long"))
@@ -337,7 +331,7 @@ def weighted_sample(
         "_point",
         F.floor(hashing.uniform(seed, F.col(draw_id)) * total).cast("long"),
     ).withColumn("_point_end", F.col("_point") + 1)
-    width = max(1, length // (buckets * 64))
+    width = power_of_two(length / (buckets * 64))
     return overlap_join(
         line, points, ("_from", "_to"), ("_point", "_point_end"), contig="_line", width=width
     ).drop("_line", "_from", "_to", "_point", "_point_end")

@@ -90,20 +90,25 @@ def coverage_counts(
         spans = regions.select(
             "contig", "name", F.col("start").alias("_start"), F.col("end").alias("_end")
         )
-        counted = (
-            overlap_join(
-                with_ends(reads).select(
-                    "contig", "rg", read_class().alias("_class"), "pos", "ref_end", "cigar"
-                ),
-                spans,
-                ("pos", "ref_end"),
-                ("_start", "_end"),
-            )
-            .withColumn(
-                "_bases",
-                C.bases_within(F.col("pos"), F.col("cigar"), F.col("_start"), F.col("_end")),
-            )
-            .select(F.col("name").alias("contig"), "rg", "_class", "_bases.*")
+        # Pieces of the reads keep the pairs of the join free of nested values
+        pieces = with_ends(reads).select(
+            "contig",
+            "rg",
+            read_class().alias("_class"),
+            F.col("ref_end").alias("_read_end"),
+            F.inline(C.pieces(F.col("pos"), F.col("cigar"))),
+        )
+        pairs = overlap_join(pieces, spans, ("piece_start", "piece_end"), ("_start", "_end"))
+        inside = F.least("piece_end", "_end") - F.greatest("piece_start", "_start")
+
+        def bases(kind: str) -> Column:
+            return F.when(F.col("kind") == kind, inside).otherwise(0)
+
+        counted = pairs.where(F.col("_start") < F.col("_read_end")).select(
+            F.col("name").alias("contig"),
+            "rg",
+            F.when(F.col("kind") == "hit", F.col("_class")).alias("_class"),
+            *(bases(kind).alias(kind) for kind in COUNTERS[4:]),
         )
     counts = counted.groupBy("contig", "rg").agg(
         *(F.count_if(F.col("_class") == name).alias(name) for name in COUNTERS[:4]),

@@ -6,6 +6,7 @@ partitioned by (contig, bin), and rows at one position are aggregated before any
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -13,15 +14,31 @@ from pyspark.sql import functions as F
 
 from helixframe.plans.skew import skew_join
 
-#: Width of the bins in bases.
+#: Width of the bins of a scan along positions.
 BIN_WIDTH = 1 << 14
+#: Smallest bin width of an interval join.
+MIN_WIDTH = 1 << 7
+
+
+def _bin_of(position: Column | str, width: int) -> Column:
+    """Bin of a position; widths are powers of two, so that this is a shift."""
+    return F.shiftright(position, width.bit_length() - 1).cast("long")
 
 
 def _bins(start: Column, end: Column, width: int) -> Column:
     """Bins touched by the half-open interval."""
-    first = F.floor(start / width)
-    last = F.floor((F.greatest(end, start + 1) - 1) / width)
-    return F.sequence(first, last)
+    return F.sequence(_bin_of(start, width), _bin_of(F.greatest(end, start + 1) - 1, width))
+
+
+def power_of_two(value: float) -> int:
+    """Smallest power of two that is not less than ``value``."""
+    return 1 << max(0, math.ceil(value) - 1).bit_length()
+
+
+def fitting_width(intervals: DataFrame, start: str, end: str) -> int:
+    """Bin width of the order of the mean interval: exploding adds about one row per interval."""
+    mean = intervals.agg(F.avg(F.col(end) - F.col(start))).first()[0]
+    return power_of_two(max(MIN_WIDTH, 2 * (mean or 1)))
 
 
 def overlap_join(
@@ -30,16 +47,19 @@ def overlap_join(
     left_span: tuple[str, str],
     right_span: tuple[str, str],
     contig: str = "contig",
-    width: int = BIN_WIDTH,
+    width: int | None = None,
 ) -> DataFrame:
     """All pairs of overlapping half-open intervals of the same contig.
 
     Both sides are exploded into the bins they touch and joined on (contig, bin); a pair is
     emitted only in the bin of its first shared base, hence once. ``right`` should be the side
-    with fewer rows: it is broadcast if small, otherwise hot bins of ``left`` are salted.
-    The column names of both sides must differ, except for ``contig``.
+    with fewer rows: it is broadcast if small, otherwise hot bins of ``left`` are salted. The
+    bins are fitted to ``right``, unless their width is given. The column names of both sides
+    must differ, except for ``contig``.
     """
     (l_start, l_end), (r_start, r_end) = left_span, right_span
+    if width is None:
+        width = fitting_width(right, r_start, r_end)
     left = left.where(F.col(l_start) < F.col(l_end)).withColumn(
         "_bin", F.explode(_bins(F.col(l_start), F.col(l_end), width))
     )
@@ -49,7 +69,7 @@ def overlap_join(
     condition = (
         (F.col(l_start) < F.col(r_end))
         & (F.col(r_start) < F.col(l_end))
-        & (F.floor(F.greatest(l_start, r_start) / width) == F.col("_bin"))
+        & (_bin_of(F.greatest(l_start, r_start), width) == F.col("_bin"))
     )
     return skew_join(left, right, [contig, "_bin"], "inner", condition).drop("_bin")
 
@@ -140,7 +160,7 @@ def running_before(
     over that bin; what lies before the bin comes from a scan of one row per bin.
     """
     keys = list(keys)
-    binned = rows.withColumn("_bin", F.floor(F.col(position) / width))
+    binned = rows.withColumn("_bin", _bin_of(position, width))
     per_bin = binned.groupBy(*keys, "_bin").agg(F.max(value).alias("_top"))
     earlier = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     carry = per_bin.select(*keys, "_bin", F.max("_top").over(earlier).alias("_carry"))
@@ -195,7 +215,7 @@ def lag_value(
     the last value of the bin before it from a scan of one row per bin.
     """
     keys = list(keys)
-    binned = rows.withColumn("_bin", F.floor(F.col(position) / width))
+    binned = rows.withColumn("_bin", _bin_of(position, width))
     per_bin = binned.groupBy(*keys, "_bin").agg(F.max_by(value, position).alias("_last"))
     by_bin = Window.partitionBy(*keys).orderBy("_bin")
     carry = per_bin.select(*keys, "_bin", F.lag("_last").over(by_bin).alias("_carry"))

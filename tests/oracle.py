@@ -45,8 +45,11 @@ def sorted_rows(columns: list[str], rows: list[tuple]) -> list[tuple]:
 
 def compare(spark, con, name: str, func, sql: str, sf_dir: str) -> str | None:
     """None if both sides agree, otherwise what differs."""
+    start = time.time()
     df = func(spark, sf_dir)
-    actual = sorted_rows(df.columns, [tuple(row) for row in df.collect()])
+    rows = [tuple(row) for row in df.collect()]
+    print(f"[{time.time() - start:6.2f}s]", end=" ")
+    actual = sorted_rows(df.columns, rows)
     result = con.execute(sql)
     columns = [it[0] for it in result.description]
     expected = sorted_rows(columns, result.fetchall())
@@ -79,7 +82,7 @@ def main(argv: list[str]) -> int:
             else:
                 error = None if QUERIES[name](spark, sf_dir).count() else "no rows"
         except Exception as exc:  # noqa: BLE001
-            error = f"{kind(exc)}: {str(exc)[:1500]}"
+            error = f"{kind(exc)}: {str(exc)[:500]}"
         failures += error is not None
         label = "ok" if error is None else "FAIL"
         if name not in ORACLES:
