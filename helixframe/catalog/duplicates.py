@@ -327,7 +327,7 @@ _OUTCOME = "CASE WHEN passes THEN 'passed' ELSE 'failed' END"
             ),
             "per_group": """SELECT "group", outcome, metric, key,
                 CASE WHEN metric = 'insert_sizes' THEN count(*) // 2 ELSE count(*) END AS n
-                FROM entries WHERE key IS NOT NULL GROUP BY ALL""",
+                FROM entries WHERE key IS NOT NULL GROUP BY "group", outcome, metric, key""",
         },
     ),
 )

@@ -85,13 +85,13 @@ def split_positions(sequence: Column, split_by: str = "123") -> dict[str, Column
         raise ValueError("no positions to split by")
 
     letters = F.split(sequence, "")
-    period = len(split_by)
-    result: dict[str, Column] = {}
-    for key in dict.fromkeys(split_by):
+
+    def letters_of(key: str) -> Column:
         wanted = [idx for idx, value in enumerate(split_by) if value == key]
-        kept = F.filter(letters, lambda _, idx, wanted=wanted: (idx % period).isin(*wanted))
-        result[key] = F.array_join(kept, "")
-    return result
+        kept = F.filter(letters, lambda _, idx: (idx % len(split_by)).isin(*wanted))
+        return F.array_join(kept, "")
+
+    return {key: letters_of(key) for key in dict.fromkeys(split_by)}
 
 
 def complexity(sequence: Column) -> Column:
