@@ -16,7 +16,7 @@ REPEAT = "ACGTTGCANC"
 LARGE = ("lineitem", "orders", "documents", "pages", "events", "conversations")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
     """A test table.
 
     The test tables are single files of one row group, which only one task can scan. Large ones
@@ -24,7 +24,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     cores = spark.sparkContext.defaultParallelism
-    if name in LARGE and len(df.inputFiles()) < min(cores, 8):
+    if spread and name in LARGE and len(df.inputFiles()) < min(cores, 8):
         return df.repartition(min(cores, 8))
     return df
 
@@ -211,7 +211,7 @@ def contigs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def readgroups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Six read-groups: two samples with three libraries each."""
     return (
-        table(spark, sf_dir, "lineitem")
+        table(spark, sf_dir, "lineitem", spread=False)
         .select("l_linestatus", (F.col("l_linenumber") % 3).alias("lib"))
         .distinct()
         .select(

@@ -118,11 +118,12 @@ def aligned_blocks(pos: Column, cigar: Column) -> Column:
     return F.aggregate(cigar, start, step, lambda acc: acc["blocks"])
 
 
-def pieces(pos: Column, cigar: Column) -> Column:
+def pieces(pos: Column, cigar: Column, whole: Column) -> Column:
     """Array of ``(kind, piece_start, piece_end)`` on the reference.
 
-    Kinds are ``hit``, the whole aligned span, and ``m``, ``i`` and ``d`` for the aligned,
-    inserted and deleted bases. Inserted bases take the place of the bases that follow them.
+    The first piece is the aligned span, whose kind is ``whole``; the others are insertions
+    (``i``), deletions (``d``) and skipped stretches (``n``). Inserted bases take the place of
+    the bases that follow them.
     """
     item = "struct<kind:string,piece_start:bigint,piece_end:bigint>"
     init = F.struct(
@@ -131,7 +132,7 @@ def pieces(pos: Column, cigar: Column) -> Column:
 
     def step(acc: Column, it: Column) -> Column:
         op, num = it["op"], it["len"]
-        kind = F.when(op.isin(*ALIGNED), "m").when(op == 1, "i").when(op == 2, "d")
+        kind = F.when(op == 1, "i").when(op == 2, "d").when(op == 3, "n")
         piece = F.struct(
             kind.alias("kind"),
             acc["r"].alias("piece_start"),
@@ -147,12 +148,12 @@ def pieces(pos: Column, cigar: Column) -> Column:
         )
 
     def finish(acc: Column) -> Column:
-        whole = F.struct(
-            F.lit("hit").alias("kind"),
+        span = F.struct(
+            whole.alias("kind"),
             pos.cast("long").alias("piece_start"),
             acc["r"].alias("piece_end"),
         )
-        return F.concat(F.array(whole), acc["pieces"])
+        return F.concat(F.array(span), acc["pieces"])
 
     return F.aggregate(cigar, init, step, finish)
 

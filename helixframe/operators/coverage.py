@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from helixframe.functions import cigar as C
@@ -78,42 +78,23 @@ def coverage_counts(
     """
     reads = exclude_default_flags(alignments).where(F.col("contig").isNotNull())
     if regions is None:
-        counted = reads.select(
-            "contig",
-            "rg",
-            read_class().alias("_class"),
-            C.mapped_bases(F.col("cigar")).alias("m"),
-            C.total_length(F.col("cigar"), C.INSERTION).alias("i"),
-            C.total_length(F.col("cigar"), C.DELETION).alias("d"),
+        counts = (
+            reads.select(
+                "contig",
+                "rg",
+                read_class().alias("_class"),
+                C.mapped_bases(F.col("cigar")).alias("m"),
+                C.total_length(F.col("cigar"), C.INSERTION).alias("i"),
+                C.total_length(F.col("cigar"), C.DELETION).alias("d"),
+            )
+            .groupBy("contig", "rg")
+            .agg(
+                *(F.count_if(F.col("_class") == name).alias(name) for name in COUNTERS[:4]),
+                *(F.sum(name).cast("long").alias(name) for name in COUNTERS[4:]),
+            )
         )
     else:
-        spans = regions.select(
-            "contig", "name", F.col("start").alias("_start"), F.col("end").alias("_end")
-        )
-        # Pieces of the reads keep the pairs of the join free of nested values
-        pieces = with_ends(reads).select(
-            "contig",
-            "rg",
-            read_class().alias("_class"),
-            F.col("ref_end").alias("_read_end"),
-            F.inline(C.pieces(F.col("pos"), F.col("cigar"))),
-        )
-        pairs = overlap_join(pieces, spans, ("piece_start", "piece_end"), ("_start", "_end"))
-        inside = F.least("piece_end", "_end") - F.greatest("piece_start", "_start")
-
-        def bases(kind: str) -> Column:
-            return F.when(F.col("kind") == kind, inside).otherwise(0)
-
-        counted = pairs.where(F.col("_start") < F.col("_read_end")).select(
-            F.col("name").alias("contig"),
-            "rg",
-            F.when(F.col("kind") == "hit", F.col("_class")).alias("_class"),
-            *(bases(kind).alias(kind) for kind in COUNTERS[4:]),
-        )
-    counts = counted.groupBy("contig", "rg").agg(
-        *(F.count_if(F.col("_class") == name).alias(name) for name in COUNTERS[:4]),
-        *(F.sum(name).cast("long").alias(name) for name in COUNTERS[4:]),
-    )
+        counts = _region_counts(reads, regions)
     if regions is None and contigs is not None:
         labels = collapse_contigs(contigs, max_contigs).select("contig", "label")
         counts = (
@@ -124,6 +105,41 @@ def coverage_counts(
     return counts
 
 
+def _region_counts(reads: DataFrame, regions: DataFrame) -> DataFrame:
+    """Counts per (region name, rg).
+
+    Reads are cut into the pieces that matter: the aligned span, of which there is one per read,
+    and the rare insertions, deletions and skipped stretches. Pairs of piece and region are
+    reduced to a count and a length per kind, and aligned bases are what is left of the span.
+    """
+    spans = regions.select(
+        "contig", "name", F.col("start").alias("_start"), F.col("end").alias("_end")
+    )
+    pieces = with_ends(reads).select(
+        "contig",
+        "rg",
+        F.col("ref_end").alias("_read_end"),
+        F.inline(C.pieces(F.col("pos"), F.col("cigar"), read_class())),
+    )
+    inside = F.least("piece_end", "_end") - F.greatest("piece_start", "_start")
+    sums = (
+        overlap_join(pieces, spans, ("piece_start", "piece_end"), ("_start", "_end"))
+        .where(F.col("_start") < F.col("_read_end"))
+        .groupBy(F.col("name").alias("contig"), "rg", "kind")
+        .agg(F.count("*").alias("_n"), F.sum(inside).alias("_bases"))
+    )
+
+    def total(column: str, *kinds: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("kind").isin(*kinds), F.col(column))), F.lit(0))
+
+    return sums.groupBy("contig", "rg").agg(
+        *(total("_n", kind).alias(kind) for kind in COUNTERS[:4]),
+        (total("_bases", *COUNTERS[:4]) - total("_bases", "d", "n")).alias("m"),
+        total("_bases", "i").alias("i"),
+        total("_bases", "d").alias("d"),
+    )
+
+
 def coverage_table(
     alignments: DataFrame,
     contigs: DataFrame,
@@ -150,14 +166,6 @@ def coverage_table(
         .join(grouped, ["sample", "library", "contig"], "left")
         .fillna(0, list(COUNTERS))
     )
-    if not ignore_readgroups:
-        seen = (
-            grouped.where(F.col("sample") == NO_GROUP)
-            .agg(F.sum(sum((F.col(it) for it in COUNTERS), F.lit(0))))
-            .scalar()
-        )
-        dense = dense.where((F.col("sample") != NO_GROUP) | (F.coalesce(seen, F.lit(0)) > 0))
-
     total_size = references.agg(F.sum("size")).scalar()
     keys = ["sample", "library", "contig"]
     totals = dense.groupingSets(
@@ -167,10 +175,24 @@ def coverage_table(
         *(F.sum(it).alias(it) for it in COUNTERS),
         *(F.grouping(key).alias(f"_g_{key}") for key in keys),
     )
-    return totals.select(
+    table = totals.select(
         F.lit(name).alias("name"),
         *(F.when(F.col(f"_g_{key}") == 1, "*").otherwise(F.col(key)).alias(key) for key in keys),
         F.when(F.col("_g_contig") == 1, total_size).otherwise(F.col("_size")).alias("size"),
         (F.col("se") + F.col("pe_1") + F.col("pe_2") + F.col("collapsed")).alias("hits"),
         *COUNTERS,
     ).withColumn("coverage", F.col("m") / F.col("size"))
+    return table if ignore_readgroups else drop_empty_na_group(table)
+
+
+def drop_empty_na_group(table: DataFrame) -> DataFrame:
+    """Drop the rows of reads without read-group, if nothing was counted in any of them."""
+    counted = sum((F.col(it) for it in COUNTERS), F.lit(0))
+    is_none = F.col("sample") == NO_GROUP
+    # Only the rows in question share a partition of the window
+    together = F.when(is_none, NO_GROUP).otherwise(F.concat_ws("\t", "sample", "library", "contig"))
+    return (
+        table.withColumn("_seen", F.max(counted).over(Window.partitionBy(together)))
+        .where(~is_none | (F.col("_seen") > 0))
+        .drop("_seen")
+    )

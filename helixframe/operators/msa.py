@@ -63,16 +63,21 @@ def msa_reduce(sequences: DataFrame) -> DataFrame:
         .agg(F.bit_or(called_mask(F.col("bases"))).alias("_mask"))
         .where(F.col("_mask") != 0)
     )
-    bits = F.lpad(F.bin("_mask"), BIT_COLUMNS, "0")
     kept = F.filter(
         F.split("bases", ""),
-        lambda base, idx: (base != "")
-        & (F.substring("_bits", idx + 1, F.lit(1)) == "1"),
+        lambda base, idx: (base != "") & (F.substring("_bits", idx + 1, F.lit(1)) == "1"),
     )
+    # Most sequences lack bases only where all do, and need no look at single columns
+    common = F.col("_mask") == called_mask(F.col("bases"))
     reduced = (
         pieces.join(masks, ["msa", "chunk"])
-        .withColumn("_bits", bits)
-        .withColumn("bases", F.array_join(kept, ""))
+        .withColumn("_bits", F.when(~common, F.lpad(F.bin("_mask"), BIT_COLUMNS, "0")))
+        .withColumn(
+            "bases",
+            F.when(F.col("_bits").isNull(), F.translate("bases", "Nn-", "")).otherwise(
+                F.array_join(kept, "")
+            ),
+        )
     )
     return _assemble(reduced, ["msa", "name"], ["meta"]).select("msa", "name", "meta", "sequence")
 

@@ -172,32 +172,31 @@ def biallelic_sites(samples: DataFrame, reference: DataFrame, n_samples: int) ->
             "start", F.col("chunk_start") + F.col("chunk") * SET_COLUMNS
         )
 
-    cut = pieces(samples.withColumn("sequence", F.upper("sequence")))
     known = MASK_CODES.replace("N", "")
-    absent = F.regexp_replace(
-        F.regexp_replace("bases", f"[{known}]", "0"), "[^0]", "F"
-    )
+    normal = F.regexp_replace(F.upper("sequence"), f"[^{known}]", "N")
+    cut = pieces(samples.withColumn("sequence", normal))
+    absent = F.translate("bases", known + "N", "0" * len(known) + "F")
     packed_absent = F.conv(F.rpad(absent, SET_COLUMNS, "F"), 16, 10).cast("long")
-    only_known = F.regexp_replace("bases", f"[^{known}]", "N")
+    one_base = "".join(digit for digit in "0123456789ABCDEF" if digit not in TWO_BASES)
     sets = (
         cut.groupBy("contig", "start")
         .agg(
-            F.bit_or(allele_mask(only_known)).alias("_alleles"),
+            F.bit_or(allele_mask(F.col("bases"))).alias("_alleles"),
             F.bit_or(packed_absent).alias("_absent"),
             F.count("*").alias("_n"),
         )
         .where(F.col("_n") == n_samples)
+        .withColumn(
+            "_digits",
+            F.lpad(
+                F.hex(F.col("_alleles").bitwiseAND(F.bitwise_not("_absent"))), SET_COLUMNS, "0"
+            ),
+        )
+        .where(F.translate("_digits", one_base, "") != "")
     )
-
-    def digits(name: str):
-        return F.split(F.lpad(F.hex(name), SET_COLUMNS, "0"), "")
-
     offsets = F.filter(
         F.transform(
-            F.arrays_zip(digits("_alleles").alias("a"), digits("_absent").alias("b")),
-            lambda it, idx: F.when(
-                it["a"].isin(*TWO_BASES) & (it["b"] == "0"), idx
-            ),
+            F.split("_digits", ""), lambda it, idx: F.when(it.isin(*TWO_BASES), idx)
         ),
         lambda idx: idx.isNotNull(),
     )

@@ -122,8 +122,10 @@ def depth_runs(
         .select(*keys, contig, "_bin", "_event.pos", "_event.delta")
     )
     grouping = [contig, "_bin", "pos"]
+    # Levels are built from sums per position, of which there are far fewer than reads
+    finest = edges.groupBy(*keys, *grouping).agg(F.sum("delta").alias("delta"))
     events = (
-        edges.groupingSets(
+        finest.groupingSets(
             [[*level, *grouping] for level in levels], *keys, *grouping
         )
         .agg(F.sum("delta").alias("delta"), *(F.grouping(key).alias(f"_g_{key}") for key in keys))
