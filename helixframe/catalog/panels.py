@@ -38,7 +38,8 @@ _BIT = "CASE base WHEN 'A' THEN 1 WHEN 'C' THEN 2 WHEN 'G' THEN 4 ELSE 8 END"
 
 
 def _bases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pn.reads_at_sites(v.alignments(spark, sf_dir), v.panel_sites(spark, sf_dir))
+    sites = pn.with_alleles(v.panel_sites(spark, sf_dir))
+    return pn.reads_at_sites(v.alignments(spark, sf_dir), sites)
 
 
 @query(
@@ -68,7 +69,6 @@ def observed_allele_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
         WHERE alleles NOT IN (5, 10)""",
 )
 def exclude_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The first three samples, since five of them rarely agree
     return pn.exclude_transitions(v.panel_sites(spark, sf_dir)).select("contig", "pos", "genotypes")
 
 
@@ -90,11 +90,7 @@ def sample_panel_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def site_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     bases = _bases(spark, sf_dir)
-    covered = (
-        pn.observed_allele_filter(bases)
-        .groupBy("contig", "pos")
-        .agg(F.min("genotypes").alias("genotypes"))
-    )
+    covered = pn.observed_allele_filter(bases).select("contig", "pos").distinct()
     return pn.site_statistics(
         v.alignments(spark, sf_dir), v.panel_sites(spark, sf_dir), bases, covered
     )

@@ -66,11 +66,13 @@ def asof_simulations(tests: DataFrame, simulations: DataFrame) -> DataFrame:
         "percentile",
         F.col("value").alias("sim_value"),
     )
-    matched = skew_join(blocks, sided, keys)
-    return (
-        sided.select("test", "side", "n_reads", "value")
-        .join(matched.select("test", "side", "percentile", "sim_value"), ["test", "side"], "left")
+    columns = ["test", "side", "n_reads", "value", "percentile", "sim_value"]
+    matched = skew_join(blocks, sided, keys).select(*columns)
+    found = matched.select("test", "side").distinct()
+    unmatched = sided.join(found, ["test", "side"], "left_anti").withColumns(
+        {name: F.lit(None).cast("double") for name in columns[4:]}
     )
+    return matched.unionByName(unmatched.select(*columns))
 
 
 def percentile_bounds(selected: DataFrame) -> DataFrame:

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from helixframe.functions.sequences import IUPAC, MASK_CODES, MASK_DIGITS, split_positions
+from helixframe.plans.session import cut_lineage
+from helixframe.plans.skew import skew_join
 
 #: Columns per chunk with one bit per column, and with one hexadecimal digit per column.
 BIT_COLUMNS = 60
@@ -58,7 +60,8 @@ def msa_reduce(sequences: DataFrame) -> DataFrame:
     Alignments without any other column vanish.
     """
     pieces = chunks(sequences, BIT_COLUMNS)
-    masks = (
+    # One number per chunk of an alignment; their number decides how they are joined
+    masks = cut_lineage(
         pieces.groupBy("msa", "chunk")
         .agg(F.bit_or(called_mask(F.col("bases"))).alias("_mask"))
         .where(F.col("_mask") != 0)
@@ -70,7 +73,7 @@ def msa_reduce(sequences: DataFrame) -> DataFrame:
     # Most sequences lack bases only where all do, and need no look at single columns
     common = F.col("_mask") == called_mask(F.col("bases"))
     reduced = (
-        pieces.join(masks, ["msa", "chunk"])
+        skew_join(pieces, masks, ["msa", "chunk"])
         .withColumn("_bits", F.when(~common, F.lpad(F.bin("_mask"), BIT_COLUMNS, "0")))
         .withColumn(
             "bases",
@@ -94,7 +97,7 @@ def msa_filter_singletons(
     pieces = chunks(sequences, SET_COLUMNS).withColumns(
         {"_target": is_target, "_reference": is_reference}
     )
-    allowed = (
+    allowed = cut_lineage(
         pieces.where("_reference")
         .groupBy("msa", "chunk")
         .agg(F.bit_or(allele_mask(F.col("bases"))).alias("_allowed"))
@@ -110,8 +113,7 @@ def msa_filter_singletons(
         return F.when(skipped | (F.upper(base) == code), base).otherwise(F.lower(code))
 
     changed = (
-        pieces.where("_target")
-        .join(allowed, ["msa", "chunk"])
+        skew_join(pieces.where("_target"), allowed, ["msa", "chunk"])
         .withColumn("_codes", codes)
         .withColumn("bases", F.array_join(F.transform(F.split("bases", ""), restrict), ""))
     )

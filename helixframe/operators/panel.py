@@ -56,9 +56,18 @@ def reads_at_sites(alignments: DataFrame, sites: DataFrame) -> DataFrame:
     )
 
 
+def with_alleles(sites: DataFrame) -> DataFrame:
+    """Replace the genotypes of a panel by ``alleles``, the distinct bases as a text.
+
+    Reads are joined to this rather than to a code per sample.
+    """
+    alleles = F.array_join(F.array_sort(F.array_distinct(panel_alleles(F.col("genotypes")))), "")
+    return sites.withColumn("alleles", alleles).drop("genotypes")
+
+
 def observed_allele_filter(bases: DataFrame) -> DataFrame:
-    """Keep bases that occur among the genotypes of the panel."""
-    return bases.where(F.array_contains(panel_alleles(F.col("genotypes")), F.col("base")))
+    """Keep bases that occur among the ``alleles`` of the panel."""
+    return bases.where(F.col("alleles").contains(F.col("base")))
 
 
 def exclude_transitions(sites: DataFrame) -> DataFrame:
@@ -67,7 +76,9 @@ def exclude_transitions(sites: DataFrame) -> DataFrame:
 
 
 def sample_panel_sites(bases: DataFrame, seed: int = 0) -> DataFrame:
-    """Choose one random base per site: ``(contig, pos, genotypes, read_id, base)``.
+    """Choose one random base per site: ``(contig, pos, read_id, base)``.
+
+    ``bases`` holds (contig, pos, read_id, base, alleles).
 
     Sites are visited by position, each choosing among its reads those that were not used before;
     the site is kept, and its read used up, only if the panel has the base. The random choice is
@@ -80,7 +91,7 @@ def sample_panel_sites(bases: DataFrame, seed: int = 0) -> DataFrame:
     all other sites. The first open site of a contig is settled in every round, and commonly all
     that share no reads with open ones. Rounds shrink quickly and are cut by checkpoints.
     """
-    allowed = F.array_contains(panel_alleles(F.col("genotypes")), F.col("base"))
+    allowed = F.col("alleles").contains(F.col("base"))
     site = ["contig", "pos"]
     open_reads = cut_lineage(
         bases.select(
@@ -124,16 +135,17 @@ def sample_panel_sites(bases: DataFrame, seed: int = 0) -> DataFrame:
             .join(used, "read_id", "left_anti")
         )
     if not settled:
-        return bases.select(*site, "genotypes", "read_id", "base")
-    chosen = reduce(DataFrame.unionByName, settled).select(*site, "choice.read_id", "choice.base")
-    genotypes = bases.groupBy(*site).agg(F.min("genotypes").alias("genotypes"))
-    return chosen.join(genotypes, site).select(*site, "genotypes", "read_id", "base")
+        return bases.select(*site, "read_id", "base")
+    return reduce(DataFrame.unionByName, settled).select(*site, "choice.read_id", "choice.base")
 
 
 def site_statistics(
     alignments: DataFrame, sites: DataFrame, bases: DataFrame, sampled: DataFrame
 ) -> DataFrame:
-    """Reads on the contigs of the panel, reads at its sites, and sampled sites."""
+    """Reads on the contigs of the panel, reads at its sites, and sampled sites.
+
+    ``sites`` holds (contig, pos, genotypes), ``sampled`` (contig, pos).
+    """
     contigs = sites.select("contig").distinct()
     n_reads = (
         skew_join(exclude_default_flags(alignments), contigs, ["contig"], "left_semi")
@@ -141,13 +153,18 @@ def site_statistics(
     )
     n_used = bases.select("read_id").distinct().agg(F.count("*")).scalar()
     transition = is_transition(panel_alleles(F.col("genotypes")))
-    n_sites = sampled.agg(F.count("*")).scalar()
-    n_excl = sampled.agg(F.count_if(~transition)).scalar()
-    return n_reads.select(
+    n_sites = (
+        sampled.join(sites, ["contig", "pos"])
+        .agg(
+            F.struct(F.count("*").alias("incl_ts"), F.count_if(~transition).alias("excl_ts"))
+        )
+        .scalar()
+    )
+    return n_reads.withColumn("_sites", n_sites).select(
         "n_reads",
         n_used.alias("n_reads_used"),
-        n_sites.alias("n_sites_incl_ts"),
-        n_excl.alias("n_sites_excl_ts"),
+        F.col("_sites.incl_ts").alias("n_sites_incl_ts"),
+        F.col("_sites.excl_ts").alias("n_sites_excl_ts"),
     )
 
 

@@ -26,37 +26,41 @@ def parse_fasta(
     ``record`` is the number of the header line. Sequences of more than ``chunk_lines`` lines
     have several rows, so that a chromosome is neither one row nor one task.
     """
-    text = lines.withColumn("_header", F.when(F.col("value").startswith(">"), F.col("line")))
-    placed = running_before(
-        text, ["file"], "line", "_header", width, inclusive=True
-    ).withColumnRenamed("_running", "record")
-    ordered = F.array_sort(F.collect_list(F.struct("line", F.trim("value").alias("value"))))
-    bases = (
-        placed.where(F.col("_header").isNull() & (F.trim("value") != ""))
-        .withColumn(
-            "record", F.coalesce("record", _fail("sequence without header").cast("long"))
-        )
+    is_header = F.col("value").startswith(">")
+    text = lines.withColumn("_header", F.when(is_header, F.struct("line", "value")))
+    # The header of a line comes from a scan and not from a join, in which long records would
+    # be hot keys; the aggregation combines it on the map side
+    placed = running_before(text, ["file"], "line", "_header", width, inclusive=True)
+    record = F.col("_running.line")
+    checked = F.when(record.isNull(), _fail("sequence without header").cast("long")).otherwise(record)
+    body = F.when(~is_header, F.struct("line", F.trim("value").alias("value")))
+    parts = F.array_sort(F.collect_list(body))
+    title = r"^>\s*(\S*)\s*(.*)$"
+    records = (
+        placed.where(F.trim("value") != "")
+        .withColumn("record", checked)
         .groupBy(
             "file",
             "record",
-            F.floor((F.col("line") - F.col("record") - 1) / chunk_lines).cast("int").alias("chunk"),
+            F.floor(F.greatest(F.col("line") - record - 1, F.lit(0)) / chunk_lines)
+            .cast("int")
+            .alias("chunk"),
+        )
+        .agg(
+            F.first("_running.value").alias("_title"),
+            F.array_join(F.transform(parts, lambda it: it["value"]), "").alias("_sequence"),
         )
-        .agg(F.array_join(F.transform(ordered, lambda it: it["value"]), "").alias("sequence"))
-    )
-    title = F.regexp_extract("value", r"^>\s*(\S*)\s*(.*)$", 1)
-    headers = placed.where(F.col("_header").isNotNull()).select(
-        "file",
-        F.col("line").alias("record"),
-        F.when(title == "", _fail("unnamed sequence")).otherwise(title).alias("name"),
-        F.regexp_extract("value", r"^>\s*(\S*)\s*(.*)$", 2).alias("meta"),
     )
-    return headers.join(bases, ["file", "record"], "left").select(
+    name = F.regexp_extract("_title", title, 1)
+    return records.select(
         "file",
         "record",
-        "name",
-        "meta",
+        F.when(name == "", _fail("unnamed sequence")).otherwise(name).alias("name"),
+        F.regexp_extract("_title", title, 2).alias("meta"),
         "chunk",
-        F.coalesce("sequence", _fail("empty sequence")).alias("sequence"),
+        F.when(F.col("_sequence") == "", _fail("empty sequence"))
+        .otherwise(F.col("_sequence"))
+        .alias("sequence"),
     )
 
 

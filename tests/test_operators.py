@@ -215,8 +215,8 @@ def test_sampling_equals_sequential_walk(spark, monkeypatch, depth, broadcast):
         start = 100 if read_id % 3 == 0 else rng.randrange(300)
         bases += [("c1", p, read_id, rng.choice("AC")) for _, p in sites if start <= p < start + 45]
     df = spark.createDataFrame(
-        [(*row, {"A": "A", "C": "C", "AC": "M"}[sites[row[0], row[1]]]) for row in bases],
-        "contig string, pos long, read_id long, base string, genotypes string",
+        [(*row, sites[row[0], row[1]]) for row in bases],
+        "contig string, pos long, read_id long, base string, alleles string",
     )
     sampled = pn.sample_panel_sites(df, seed=4).select("contig", "pos", "read_id", "base").collect()
     assert {tuple(row) for row in sampled} == brute_force_sampling(bases, sites, 4)
