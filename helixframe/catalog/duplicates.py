@@ -185,6 +185,16 @@ def duplicate_read_groups_any_name(spark: SparkSession, sf_dir: str) -> DataFram
     )
 
 
+@query(
+    "min_complexity_filter",
+    v.with_views("dup_reads", extra={"checked": _CHECKED})
+    + """SELECT read_id, seq FROM (SELECT read_id, seq, string_split(seq, '') AS b FROM checked WHERE len(seq) > 0)
+        WHERE 1 + len([i FOR i IN range(2, len(b) + 1) IF b[i] <> b[i - 1]]) >= 4""",
+)
+def min_complexity_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return du.min_complexity_filter(_checked(spark, sf_dir), 4).select("read_id", "seq")
+
+
 @query(
     "limit_report",
     v.with_views("dup_reads", extra={"checked": _CHECKED, "found": _groups_sql("qname,")})

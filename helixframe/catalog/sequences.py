@@ -13,6 +13,7 @@ from helixframe.operators import intervals as iv
 from helixframe.operators import msa as m
 from helixframe.operators import validate as va
 from helixframe.operators.alignments import tag_value
+from helixframe.plans import intervals as plan
 from helixframe.sources import bed, fasta, sam
 
 # Intervals ----------------------------------------------------------------------------------
@@ -78,6 +79,48 @@ def name_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return iv.name_regions(v.regions(spark, sf_dir, named=False)).select("region_id", "name")
 
 
+@query(
+    "bed_order",
+    v.with_views("regions")
+    + """SELECT contig, "start", "end", name, CAST(region_id % 50 AS INT) AS score,
+        CASE WHEN region_id % 2 = 0 THEN '+' ELSE '-' END AS strand FROM regions
+        ORDER BY contig, "start", "end", name, score, strand""",
+)
+def bed_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("region_id")
+    rows = v.regions(spark, sf_dir).select(
+        "contig",
+        "start",
+        "end",
+        "name",
+        (key % 50).cast("int").alias("score"),
+        F.when(key % 2 == 0, "+").otherwise("-").alias("strand"),
+    )
+    return iv.bed_order(rows)
+
+
+@query(
+    "split_before",
+    """SELECT conv_id, turn, max(turn) FILTER (role = 'user') OVER (PARTITION BY conv_id ORDER BY turn
+        ROWS UNBOUNDED PRECEDING) AS "group" FROM conversations""",
+)
+def split_before(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = v.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
+    grouped = plan.split_before(turns, ["conv_id"], "turn", F.col("role") == "user", width=2)
+    return grouped.select("conv_id", "turn", "group")
+
+
+@query(
+    "chunk_rows",
+    """SELECT doc_id, CAST(k AS INT) AS chunk, rpad(substr(text, k * 1000 + 1, 1000), 1000, '*') AS piece
+        FROM (SELECT doc_id, text, unnest(range(0, (len(text) + 999) // 1000)) AS k FROM documents)""",
+)
+def chunk_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _documents(spark, sf_dir).select(
+        "doc_id", F.posexplode(sq.fragments(F.col("text"), 1000, "*")).alias("chunk", "piece")
+    )
+
+
 _BED_LINES = """SELECT region_id, CASE region_id % 9
         WHEN 0 THEN '# comment' WHEN 1 THEN ''
         WHEN 2 THEN concat_ws('\t', contig, "end", "start")

@@ -153,3 +153,9 @@ def sex_code(sex: Column) -> Column:
 def group_label(names: Column) -> Column:
     """Sorted names joined by `` / ``."""
     return F.array_join(F.array_sort(names), " / ")
+
+
+def fragments(text: Column, size: int, fill: str | None = None) -> Column:
+    """Array of pieces of ``size`` characters; the last one is filled up if ``fill`` is given."""
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
+    return pieces if fill is None else F.transform(pieces, lambda it: F.rpad(it, size, fill))

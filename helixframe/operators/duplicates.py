@@ -243,6 +243,11 @@ def duplicate_read_groups(
     )
 
 
+def min_complexity_filter(alignments: DataFrame, min_complexity: float) -> DataFrame:
+    """Keep records with enough homopolymer runs."""
+    return alignments.where(complexity(F.col("seq")) >= min_complexity)
+
+
 def duplicate_totals(groups: DataFrame) -> DataFrame:
     """Number of groups, and of groups left after the complexity filter."""
     return groups.agg(

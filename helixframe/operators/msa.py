@@ -13,7 +13,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.functions.sequences import IUPAC, MASK_CODES, MASK_DIGITS, split_positions
+from helixframe.functions.sequences import (
+    IUPAC,
+    MASK_CODES,
+    MASK_DIGITS,
+    fragments,
+    split_positions,
+)
 from helixframe.plans.session import cut_lineage
 from helixframe.plans.skew import skew_join
 
@@ -24,7 +30,7 @@ SET_COLUMNS = 15
 
 def chunks(sequences: DataFrame, width: int, column: str = "sequence") -> DataFrame:
     """Replace the sequence by rows ``(chunk, bases)`` of ``width`` characters."""
-    pieces = F.regexp_extract_all(F.col(column), F.lit(f"(?s).{{1,{width}}}"), F.lit(0))
+    pieces = fragments(F.col(column), width)
     others = [name for name in sequences.columns if name != column]
     return sequences.select(*others, F.posexplode(pieces).alias("chunk", "bases"))
 

@@ -11,7 +11,6 @@ from helixframe.functions import cigar as C
 from helixframe.functions import hashing
 from helixframe.functions.sequences import (
     MASK_CODES,
-    MASK_DIGITS,
     autosome_or_sex_name,
     is_autosome,
     is_transition,

@@ -227,3 +227,19 @@ def lag_value(
         .withColumn("_previous", F.coalesce(F.lag(value).over(inside), F.col("_carry")))
         .drop("_bin", "_carry")
     )
+
+
+def split_before(
+    rows: DataFrame, keys: Sequence[str], position: str, predicate: Column, width: int
+) -> DataFrame:
+    """Add ``group``: the position of the last row at or before this one that starts a group.
+
+    A row starts a group if it satisfies the predicate; rows before the first such row belong to
+    the group null. Positions are unique.
+    """
+    marked = rows.withColumn("_start", F.when(predicate, F.col(position)))
+    return (
+        running_before(marked, keys, position, "_start", width, inclusive=True)
+        .withColumnRenamed("_running", "group")
+        .drop("_start")
+    )

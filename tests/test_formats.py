@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from helixframe.operators import alignments as al
 from helixframe.operators import validate as va
-from helixframe.sources import bed, fasta, lines, sam, tables
+from helixframe.sources import bed, fasta, lines, reports, sam, tables
 
 
 @pytest.fixture
@@ -178,3 +178,42 @@ def test_validate_fasta(spark, tmp_path, text, error):
     (tmp_path / "in.fasta").write_bytes(text.encode())
     found = va.validate_fasta(lines.numbered_lines(spark, str(tmp_path)), width=2).collect()
     assert (not found) if error is None else (error in found[0]["error"])
+
+
+def test_trees_and_split_outputs(spark, tmp_path):
+    (tmp_path / "t.txt").write_text("(A,B);\n\n(A,(B,C));\n")
+    rows = tables.read_trees(spark, str(tmp_path / "t.txt")).orderBy("tree_id").collect()
+    assert [row["newick"] for row in rows] == ["(A,B);", "(A,(B,C));"]
+    df = spark.createDataFrame([(1, "passed"), (2, "failed"), (3, "passed")], "id int, outcome string")
+    reports.write_split(df, str(tmp_path / "out"))
+    passed = spark.read.parquet(str(tmp_path / "out" / "outcome=passed"))
+    assert sorted(row["id"] for row in passed.collect()) == [1, 3]
+
+
+def test_table_lines_have_separators(spark):
+    rows = [("x", "S", lib, c, 10, 1, 1, 0, 0, 0, 5, 0, 0, 0.5) for lib in ("*", "L") for c in ("*", "c1")]
+    table = spark.createDataFrame(rows, list(reports.COVERAGE_COLUMNS))
+    text = [row["value"].split("\t")[:4] for row in reports.coverage_lines(table).collect()]
+    assert text == [
+        ["Name", "Sample", "Library", "Contig"],
+        ["x", "S", "*", "*"], ["x", "S", "*", "c1"], ["#"],
+        ["x", "S", "L", "*"], ["x", "S", "L", "c1"], ["#"], ["#"],
+    ]
+
+
+def test_panel_tables(spark):
+    samples = spark.createDataFrame(
+        [("a", "G1", "-", "X", "male", "i", "p"), ("b", "G2", "-", "X", "?", "i", "p")],
+        ["ID", "Group(2)", "Group(3)", "Species", "Sex", "SampleID", "Publication"],
+    )
+    groups = tables.parse_panel_groups(samples)
+    assert sorted(map(tuple, groups.collect())) == [("a", 2, "G1"), ("b", 2, "G2")]
+    assert tables.wrong_group_counts(groups).count() == 0
+    parsed = {row["id"]: row["error"] for row in tables.parse_panel_samples(samples).collect()}
+    assert parsed == {"a": None, "b": "unknown sex"}
+    with pytest.raises(PySparkException):
+        tables.valid_or_fail(tables.parse_panel_samples(samples), "id").collect()
+    with pytest.raises(ValueError, match="missing columns"):
+        tables.parse_panel_contigs(samples)
+    with pytest.raises(ValueError, match="Group"):
+        tables.parse_panel_groups(samples.withColumnRenamed("Group(2)", "Group(9)"))
