@@ -12,8 +12,15 @@ from pyspark.sql import functions as F
 REPEAT = "ACGTTGCANC"
 
 
-#: Tables that grow with the scale factor
-LARGE = ("lineitem", "orders", "documents", "pages", "events", "conversations")
+#: Tables that grow with the scale factor, and a column of many values
+LARGE = {
+    "lineitem": "l_orderkey",
+    "orders": "o_orderkey",
+    "documents": "doc_id",
+    "pages": "page_id",
+    "events": "event_id",
+    "conversations": "conv_id",
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
@@ -25,7 +32,7 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> D
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     cores = spark.sparkContext.defaultParallelism
     if spread and name in LARGE and len(df.inputFiles()) < min(cores, 8):
-        return df.repartition(min(cores, 8))
+        return df.repartition(min(cores, 8), LARGE[name])
     return df
 
 

@@ -29,17 +29,14 @@ def base_counts(
         "contig", "seq", "quals", F.inline(C.aligned_blocks(F.col("pos"), F.col("cigar")))
     )
     length = (F.col("ref_end") - F.col("ref_start")).cast("int")
-    bases = F.filter(
-        F.split(F.substring(F.col("seq"), F.col("query_start") + 1, length), ""),
-        lambda base: base != "",
-    )
+    bases = F.split(F.substring(F.col("seq"), F.col("query_start") + 1, length), "")
     columns = ["contig", "ref_start"]
     if min_base_quality:
         quals = F.slice("quals", F.col("query_start") + 1, length)
         good = F.transform(quals, lambda it: it >= min_base_quality)
         blocks = blocks.withColumn("_good", F.coalesce(good, F.array().cast("array<boolean>")))
         columns.append("_good")
-    sites = blocks.select(*columns, F.posexplode(bases).alias("_i", "base"))
+    sites = blocks.select(*columns, F.posexplode(bases).alias("_i", "base")).where("base != ''")
     if min_base_quality:
         sites = sites.where(
             F.coalesce(F.try_element_at("_good", F.col("_i") + 1), F.lit(True))

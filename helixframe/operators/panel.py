@@ -216,10 +216,11 @@ def biallelic_sites(samples: DataFrame, reference: DataFrame, n_samples: int) ->
         ),
         lambda idx: idx.isNotNull(),
     )
-    sites = sets.select("contig", "start", F.explode(offsets).alias("_offset"))
+    # Few columns vary, and how many decides how they are looked up
+    sites = cut_lineage(sets.select("contig", "start", F.explode(offsets).alias("_offset")))
 
     def base_at(rows: DataFrame, *columns: str) -> DataFrame:
-        return sites.join(rows, ["contig", "start"]).select(
+        return skew_join(rows, sites, ["contig", "start"]).select(
             "contig",
             (F.col("start") + F.col("_offset") + 1).alias("pos"),
             *columns,

@@ -36,9 +36,9 @@ def power_of_two(value: float) -> int:
 
 
 def fitting_width(intervals: DataFrame, start: str, end: str) -> int:
-    """Bin width of the order of the mean interval: exploding adds about one row per interval."""
+    """Bin width of the order of the mean interval: exploding adds one or two rows per interval."""
     mean = intervals.agg(F.avg(F.col(end) - F.col(start))).first()[0]
-    return power_of_two(max(MIN_WIDTH, 2 * (mean or 1)))
+    return power_of_two(max(MIN_WIDTH, mean or 1))
 
 
 def overlap_join(
