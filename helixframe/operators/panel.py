@@ -216,11 +216,11 @@ def biallelic_sites(samples: DataFrame, reference: DataFrame, n_samples: int) ->
         ),
         lambda idx: idx.isNotNull(),
     )
-    # Few columns vary, and how many decides how they are looked up
+    # Few columns vary; they are looked up twice. Keys have one row per sample, and no skew
     sites = cut_lineage(sets.select("contig", "start", F.explode(offsets).alias("_offset")))
 
     def base_at(rows: DataFrame, *columns: str) -> DataFrame:
-        return skew_join(rows, sites, ["contig", "start"]).select(
+        return rows.join(sites, ["contig", "start"]).select(
             "contig",
             (F.col("start") + F.col("_offset") + 1).alias("pos"),
             *columns,
