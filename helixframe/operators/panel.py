@@ -23,11 +23,14 @@ from helixframe.plans.session import cut_lineage
 from helixframe.plans.skew import skew_join
 
 
-def reads_at_sites(alignments: DataFrame, sites: DataFrame) -> DataFrame:
+def reads_at_sites(
+    alignments: DataFrame, sites: DataFrame, width: int | None = None
+) -> DataFrame:
     """Bases of the reads at the sites of a panel: ``(contig, pos, read_id, base, ...)``.
 
     ``sites`` holds (contig, pos), 1-based, and further columns, which are kept. Only aligned
-    bases other than ``N`` count, of records that pass the default flag filter.
+    bases other than ``N`` count, of records that pass the default flag filter. ``width`` is the
+    bin width of the join, a power of two; long reads want one of the order of their length.
     """
     reads = exclude_default_flags(alignments).where(F.col("cigar").isNotNull())
     blocks = reads.select(
@@ -48,7 +51,7 @@ def reads_at_sites(alignments: DataFrame, sites: DataFrame) -> DataFrame:
         F.col("_bases"), (F.col("_from") - F.col("ref_start") + 1).cast("int"), F.lit(1)
     )
     return (
-        overlap_join(blocks, points, ("ref_start", "ref_end"), ("_from", "_to"))
+        overlap_join(blocks, points, ("ref_start", "ref_end"), ("_from", "_to"), width=width)
         .withColumn("base", base)
         .where(F.col("base") != "N")
         .drop("_bases", "_from", "_to", "ref_start", "ref_end")
