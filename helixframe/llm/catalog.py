@@ -2,10 +2,14 @@
 
 from helixframe.llm import (  # noqa: F401
     exact_dedup,
+    html_text,
     language,
     mixing,
+    ngram_join,
     packing,
     quality,
+    substring_dedup,
+    suffix_dedup,
     url_filters,
 )
 from helixframe.llm.queries import ORACLES, QUERIES

@@ -30,6 +30,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder of the cluster; where it names none, as in tests, a local one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        checkpointed(spark.range(0))
+        folder = spark.sparkContext.getCheckpointDir()
+    return folder
+
+
 def bounded_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Ask for a broadcast of a materialised table if it has at most so many narrow rows."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -34,7 +34,7 @@ BUCKETS = 1 << 14
 DIMENSIONS = 16
 N_GRAMS = (2, 3, 4)
 SAMPLE_ROWS = 3000
-EPOCHS, BATCH, LEARNING_RATE = 12, 32, 20.0
+STEPS, BATCH, LEARNING_RATE = 1200, 32, 20.0
 ACCEPTED_ERRORS = 0.01
 SEED = 5
 
@@ -158,23 +158,21 @@ def train(sample: list) -> LanguageModel:
     output = np.zeros((DIMENSIONS, len(languages)), np.float32)
     bias = np.zeros(len(languages), np.float32)
     learned = np.flatnonzero(~check)
-    steps = EPOCHS * max(1, -(-len(learned) // BATCH))
-    step = 0
-    for _ in range(EPOCHS):
-        order = random.permutation(learned)
-        for start in range(0, len(order), BATCH):
-            rows = order[start : start + BATCH]
-            rate = np.float32(LEARNING_RATE * (1 - step / steps))
-            step += 1
-            inputs = dense(rows)
-            hidden = inputs @ embeddings
-            wrong = softmax(hidden @ output + bias).astype(np.float32)
-            wrong[np.arange(len(rows)), target[rows]] -= 1
-            wrong /= len(rows)
-            back = wrong @ output.T
-            output -= rate / DIMENSIONS * (hidden.T @ wrong)
-            bias -= rate / 100 * wrong.sum(axis=0)
-            embeddings -= rate * DIMENSIONS * (inputs.T @ back)
+    order = np.zeros(0, np.int64)
+    for step in range(STEPS):
+        if len(order) < BATCH:
+            order = np.concatenate((order, random.permutation(learned)))
+        rows, order = order[:BATCH], order[BATCH:]
+        rate = np.float32(LEARNING_RATE * (1 - step / STEPS))
+        inputs = dense(rows)
+        hidden = inputs @ embeddings
+        wrong = softmax(hidden @ output + bias).astype(np.float32)
+        wrong[np.arange(len(rows)), target[rows]] -= 1
+        wrong /= len(rows)
+        back = wrong @ output.T
+        output -= rate / DIMENSIONS * (hidden.T @ wrong)
+        bias -= rate / 100 * wrong.sum(axis=0)
+        embeddings -= rate * DIMENSIONS * (inputs.T @ back)
     weights = embeddings @ output
 
     rows = np.flatnonzero(check) if check.any() else learned

@@ -224,11 +224,38 @@ def complete_bins(
     return bins
 
 
+def best_fit_decreasing(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
+    """Best fit in order of decreasing length, with sequences of the same lengths taken together."""
+    by_room: dict[int, list[tuple[tuple[int, ...], int]]] = {}
+    for size in sorted((size for size, count in counts.items() if count), reverse=True):
+        left = counts[size]
+        while left:
+            room = min((room for room in by_room if room >= size), default=None)
+            if room is None:
+                each = min(left, capacity // size)
+                often = left // each
+                by_room.setdefault(capacity - each * size, []).append(((size,) * each, often))
+                left -= each * often
+                continue
+            lengths, often = by_room[room].pop()
+            used = min(often, left)
+            if used < often:
+                by_room[room].append((lengths, often - used))
+            if not by_room[room]:
+                del by_room[room]
+            by_room.setdefault(room - size, []).append(((*lengths, size), used))
+            left -= used
+    return [it for group in by_room.values() for it in group]
+
+
 def plan_sequences(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
     """The best packing found of so many pieces per length."""
     best = complete_bins(counts, capacity)
     bound = lower_bound(counts, capacity)
     number = sum(often for _, often in best)
+    other = best_fit_decreasing(counts, capacity)
+    if sum(often for _, often in other) < number:
+        best, number = other, sum(often for _, often in other)
     tokens = sum(size * count for size, count in counts.items())
     for place in range(min(DISCREPANCIES, len(best))):
         if number <= bound:
