@@ -84,10 +84,11 @@ def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
 def mixed(values: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit values; a bijection."""
     values = values ^ (values >> np.uint64(31))
-    values = values * np.uint64(0x7FB5D329728EA185)
-    values = values ^ (values >> np.uint64(27))
-    values = values * np.uint64(0x81DADEF4BC2DD44D)
-    return values ^ (values >> np.uint64(33))
+    values *= np.uint64(0x7FB5D329728EA185)
+    values ^= values >> np.uint64(27)
+    values *= np.uint64(0x81DADEF4BC2DD44D)
+    values ^= values >> np.uint64(33)
+    return values
 
 
 def byte_array(text: str) -> np.ndarray:

@@ -12,8 +12,11 @@ repeat. For the others, the region which can hold a repeat around an anchor is l
   be extended to the left lies at the border of two runs, so the ends of runs are all samples that
   are needed: streaming from one border to the next, the lengths of their matches give the matching
   statistics of all positions in between, and those of ``LENGTH`` or more are marked.
-* An anchor with more than ``CROWD`` different regions is too much for a block. Its regions are
-  compared by the hashes of all their strings of ``LENGTH`` bytes, counted by Spark.
+* An anchor with more than ``CROWD`` different regions, such as a common line, is too much for a
+  block. A repeated string has three quarters of its bytes in common at one of three places around
+  the anchor: two quarters after it, two before it, or one on either side. Regions that meet in none
+  of these cores are dropped, the others go into blocks by their core. Where even a core has more
+  than ``CROWD`` regions, the hashes of all their strings of ``LENGTH`` bytes are counted by Spark.
 
 Texts are UTF-8 bytes, null being empty, and matches never cross documents. A row equal to another
 one in id and text counts as a document of its own, and both are removed. Texts below ``LENGTH``
@@ -42,27 +45,29 @@ from helixframe.llm.queries import query
 from helixframe.llm.spans import cut_documents, merge_spans
 
 LENGTH = 400
-BLOCK_BYTES = 1 << 20
-CROWD = 1000
+BLOCK_BYTES = 1 << 19
+CROWD = 4000
+
+
+#: Bits of a place in a text of at most 256 MB; the upper bits of a hash go before them.
+PLACE_BITS = np.uint64(28)
 
 
 def anchors(hashes: np.ndarray, width: int) -> np.ndarray:
     """Places of the leftmost smallest hash of every window of so many hashes."""
-    places = np.arange(len(hashes))
-    least, at = hashes.copy(), places.copy()
+    places = np.arange(len(hashes), dtype=np.uint64)
+    least = (hashes >> PLACE_BITS << PLACE_BITS) | places
     reach = 1
     while reach < width:
         step = min(reach, width - reach)
-        other, other_at = least[step:], at[step:]
-        least, at = least[: len(other)], at[: len(other)]
-        lower = other < least
-        least, at = np.where(lower, other, least), np.where(lower, other_at, at)
+        least = np.minimum(least[:-step], least[step:])
         reach += step
-    return np.unique(at)
+    at = (least & ((np.uint64(1) << PLACE_BITS) - np.uint64(1))).astype(np.int64)
+    return at[np.concatenate(([True], at[1:] != at[:-1]))]
 
 
-def _anchor_rows(data: np.ndarray, length: int) -> pd.DataFrame:
-    """Anchors of one text: hash, region, and digest of the region with the anchor's place in it."""
+def _anchor_columns(data: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """Anchors of one text: hash, digest of the region with the anchor's place in it, region, place."""
     sums = prefix_hashes(data)
     gram = length // 4
     starts = np.arange(len(data) - gram + 1)
@@ -71,33 +76,27 @@ def _anchor_rows(data: np.ndarray, length: int) -> pd.DataFrame:
     low = np.maximum(at - (length - gram), 0)
     high = np.minimum(at + length, len(data))
     digest = span_hashes(sums, low, high) + ((at - low) << 20).astype(np.uint64)
-    return pd.DataFrame(
-        {
-            "anchor": hashes[at].astype(np.int64),
-            "digest": digest.astype(np.int64),
-            "low": low,
-            "high": high,
-        }
-    )
+    return hashes[at].view(np.int64), digest.view(np.int64), low, high, at
 
 
 def anchor_table(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """All anchors: (row key, anchor, digest, low, high)."""
+    """All anchors: (row key, anchor, digest, low, high, place)."""
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = []
-            for row_a, row_b, text in batch[[*ROW_KEY, "text"]].itertuples(index=False):
-                data = byte_array(text)
-                if len(data) >= length:
-                    rows = _anchor_rows(data, length)
-                    rows["row_a"], rows["row_b"] = row_a, row_b
-                    found.append(rows)
-            if found:
-                yield pd.concat(found)[[*ROW_KEY, "anchor", "digest", "low", "high"]]
+            texts = map(byte_array, batch["text"])
+            found = [(k, _anchor_columns(it, length)) for k, it in enumerate(texts) if len(it) >= length]
+            if not found:
+                continue
+            times = [len(columns[0]) for _, columns in found]
+            own = np.repeat([k for k, _ in found], times)
+            columns = [np.concatenate(it) for it in zip(*(columns for _, columns in found), strict=True)]
+            rows = {name: batch[name].to_numpy()[own] for name in ROW_KEY}
+            names = ("anchor", "digest", "low", "high", "place")
+            yield pd.DataFrame(rows | dict(zip(names, columns, strict=True)))
 
     return with_row_key(docs, "text").mapInPandas(
-        find, "row_a long, row_b long, anchor long, digest long, low long, high long"
+        find, "row_a long, row_b long, anchor long, digest long, low long, high long, place long"
     )
 
 
@@ -114,7 +113,7 @@ def suffix_array(codes: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray]:
         here = padded[step : step + size]
         inside &= here > 0
         key = key * 512 + np.where(inside, here, 0)
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     change = np.concatenate(([True], np.diff(key[order]) != 0))
     # Texts that end here are different from all others
     ended = ~inside[order]
@@ -124,12 +123,14 @@ def suffix_array(codes: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray]:
     rank = np.empty(size, np.int64)
     rank[order] = np.maximum.accumulate(np.where(change, index, 0))
     kept, depth = rank, 6
+    open_ = np.arange(size)
     while True:
-        open_ = np.flatnonzero(np.bincount(rank, minlength=size)[rank] > 1)
+        # Only suffixes that share their rank are still to be ordered
+        open_ = open_[np.bincount(rank[open_], minlength=size)[rank[open_]] > 1]
         if not len(open_):
             break
         key = rank[open_] * size + rank[open_ + depth]
-        inner = np.argsort(key, kind="stable")
+        inner = np.argsort(key)
         key, at = key[inner], open_[inner]
         group = key // size
         index = np.arange(len(at))
@@ -179,17 +180,44 @@ def long_matches(texts: list[bytes], length: int = LENGTH) -> list[tuple[np.ndar
     ]
 
 
+def joined_parts(lows: np.ndarray, parts: list[bytes]) -> list[tuple[int, bytes]]:
+    """Parts of one text joined where they overlap or touch, as (place, bytes)."""
+    out: list[tuple[int, bytearray]] = []
+    for place in np.argsort(lows, kind="stable"):
+        low, part = int(lows[place]), parts[place]
+        if out and low <= out[-1][0] + len(out[-1][1]):
+            out[-1][1].extend(part[max(0, out[-1][0] + len(out[-1][1]) - low) :])
+        else:
+            out.append((low, bytearray(part)))
+    return [(low, bytes(part)) for low, part in out]
+
+
 def index_block(block: pd.DataFrame, length: int) -> pd.DataFrame:
     """Spans of long matches within the texts of a block."""
-    found = long_matches(list(block["part"]), length)
-    columns: dict[str, list] = {"row_a": [], "row_b": [], "start": [], "end": []}
-    rows = block[[*ROW_KEY, "low"]].itertuples(index=False)
-    for (row_a, row_b, low), (starts, ends) in zip(rows, found, strict=True):
-        columns["row_a"] += [row_a] * len(starts)
-        columns["row_b"] += [row_b] * len(starts)
-        columns["start"] += (starts + low).tolist()
-        columns["end"] += (ends + low).tolist()
-    return pd.DataFrame(columns)
+    keys, lows, parts = [], [], []
+    for key, own in block.groupby(ROW_KEY, sort=False):
+        for low, part in joined_parts(own["low"].to_numpy(), list(own["part"])):
+            keys.append(key)
+            lows.append(low)
+            parts.append(part)
+    found = long_matches(parts, length)
+    times = [len(starts) for starts, _ in found]
+    row_a, row_b = np.repeat(np.array(keys, np.int64).reshape(-1, 2), times, axis=0).T
+    shift = np.repeat(np.array(lows, np.int64), times)
+    starts, ends = (np.concatenate(it) + shift for it in zip(*found, strict=True))
+    return pd.DataFrame({"row_a": row_a, "row_b": row_b, "start": starts, "end": ends})
+
+
+def _cores(data: np.ndarray, place: int, length: int) -> list[int]:
+    """Hashes of the three cores around an anchor, as far as the text has them."""
+    quarter, found = length // 4, []
+    for before in range(3):
+        start = place - before * quarter
+        if start >= 0 and start + 3 * quarter <= len(data):
+            sums = prefix_hashes(data[start : start + 3 * quarter])
+            value = span_hashes(sums, np.array([0]), np.array([3 * quarter]))[0]
+            found.append(int((value + np.uint64(before)).view(np.int64)))
+    return found
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -204,7 +232,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     hits = checkpointed(table.join(repeated, "anchor"))
     regions = checkpointed(
         hits.groupBy("anchor", "digest", "differs").agg(
-            F.count("*").alias("n"), F.min(F.struct(*ROW_KEY, "low", "high")).alias("one")
+            F.count("*").alias("n"), F.min(F.struct(*ROW_KEY, "low", "high", "place")).alias("one")
         )
     )
     equal = regions.where("n > 1").select("anchor", "digest")
@@ -213,25 +241,15 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     different = regions.where("differs").select("anchor", "one.*")
     crowds = different.groupBy("anchor").agg(F.count("*").alias("regions"))
-    different = checkpointed(
-        different.join(crowds, "anchor").withColumn("crowded", F.col("regions") > CROWD)
-    )
+    different = checkpointed(different.join(crowds, "anchor"))
     total = different.agg(F.sum(F.col("high") - F.col("low")).alias("bytes")).first()["bytes"] or 0
     blocks = max(1, -(-total // BLOCK_BYTES))
-    listed = (
-        different.groupBy(*ROW_KEY)
-        .agg(
-            F.collect_list(
-                F.struct(
-                    F.when(~F.col("crowded"), F.pmod(F.xxhash64("anchor"), F.lit(blocks))).alias("block"),
-                    "low",
-                    "high",
-                )
-            ).alias("regions")
-        )
+    block = F.when(F.col("regions") <= CROWD, F.pmod(F.xxhash64("anchor"), F.lit(blocks)))
+    listed = different.groupBy(*ROW_KEY).agg(
+        F.collect_list(F.struct(block.alias("block"), "low", "high", "place")).alias("regions")
     )
     # Rows equal in id and text have equal regions, of which one was chosen
-    texts = with_row_key(docs, "text").join(listed, ROW_KEY)
+    texts = with_row_key(docs, "text").join(listed, ROW_KEY).dropDuplicates(ROW_KEY)
 
     def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -240,22 +258,45 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 data = text.encode("utf-8", "replace")
                 by_block: dict[int, list] = {}
                 for region in regions:
-                    block = -1 if region["block"] is None else region["block"]
-                    by_block.setdefault(block, []).append((region["low"], region["high"]))
-                for block, spans in by_block.items():
+                    low, high = region["low"], region["high"]
+                    if region["block"] is None:
+                        cores = _cores(np.frombuffer(data, np.uint8), region["place"], length)
+                        rows.append((row_a, row_b, None, low, data[low:high], cores))
+                    else:
+                        by_block.setdefault(region["block"], []).append((low, high))
+                for number, spans in by_block.items():
                     low, high = np.array(spans, np.int64).T
                     for start, end in zip(*merge_spans(low, high), strict=True):
-                        rows.append((row_a, row_b, block, int(start), data[start:end]))
-            yield pd.DataFrame(rows, columns=[*ROW_KEY, "block", "low", "part"])
+                        rows.append((row_a, row_b, number, int(start), data[start:end], []))
+            out = pd.DataFrame(rows, columns=[*ROW_KEY, "block", "low", "part", "cores"])
+            yield out.astype({"block": "Int64"})
 
     pieces = checkpointed(
-        texts.mapInPandas(parts, "row_a long, row_b long, block long, low long, part binary")
-        .dropDuplicates([*ROW_KEY, "block", "low"])
+        texts.mapInPandas(
+            parts, "row_a long, row_b long, block long, low long, part binary, cores array<long>"
+        )
+    )
+
+    def indexed(rows: DataFrame) -> DataFrame:
+        return (
+            rows.select("block", *ROW_KEY, "low", "part")
+            .groupBy("block")
+            .applyInPandas(
+                lambda block: index_block(block, length),
+                "row_a long, row_b long, start long, end long",
+            )
+        )
+
+    crowded = pieces.where("block IS NULL").withColumn("core", F.explode("cores"))
+    cores = crowded.groupBy("core").agg(
+        F.count("*").alias("n"), F.sum(F.octet_length("part")).alias("bytes")
     )
-    indexed = (
-        pieces.where("block >= 0")
-        .groupBy("block")
-        .applyInPandas(lambda block: index_block(block, length), "row_a long, row_b long, start long, end long")
+    cores = checkpointed(cores.where("n > 1"))
+    total = cores.where(F.col("n") <= CROWD).agg(F.sum("bytes").alias("bytes")).first()["bytes"] or 0
+    blocks = max(1, -(-total // BLOCK_BYTES))
+    met = crowded.drop("block", "cores").join(cores.select("core", "n"), "core")
+    by_core = met.where(F.col("n") <= CROWD).withColumn(
+        "block", F.pmod(F.xxhash64("core"), F.lit(blocks))
     )
 
     def strings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -266,17 +307,19 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 if len(starts):
                     hashes = span_hashes(prefix_hashes(data), starts, starts + length)
                     yield pd.DataFrame(
-                        {"row_a": row_a, "row_b": row_b, "start": starts + low, "string": hashes.astype(np.int64)}
+                        {"row_a": row_a, "row_b": row_b, "start": starts + low, "string": hashes.view(np.int64)}
                     )
 
-    crowded = pieces.where("block < 0").mapInPandas(
+    many = met.where(F.col("n") > CROWD).mapInPandas(
         strings, "row_a long, row_b long, start long, string long"
     )
-    again = crowded.groupBy("string").agg(F.count("*").alias("n")).where("n > 1")
-    counted = crowded.join(again, "string").select(
+    many = many.distinct()
+    again = many.groupBy("string").agg(F.count("*").alias("n")).where("n > 1")
+    counted = many.join(again, "string").select(
         *ROW_KEY, "start", (F.col("start") + length).alias("end")
     )
-    return whole.unionByName(indexed).unionByName(counted)
+    both = indexed(pieces.where("block IS NOT NULL")).unionByName(indexed(by_core))
+    return whole.unionByName(both).unionByName(counted)
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:

@@ -214,7 +214,7 @@ def test_suffix_dedup(spark, texts):
     check_suffix(found, list(texts.items()), 400)
 
 
-@pytest.mark.parametrize("crowd", [1, 1000])
+@pytest.mark.parametrize("crowd", [1, 4, 1000])
 def test_suffix_dedup_of_repetitive_texts(spark, odd_docs, no_docs, monkeypatch, crowd):
     monkeypatch.setattr(suffix_dedup, "CROWD", crowd)
     random.seed(7)
