@@ -103,7 +103,8 @@ def mark_copies(docs: DataFrame) -> DataFrame:
     groups = possible.groupBy("digest").agg(
         F.max(F.struct("doc_id", "row")).alias("last"), F.count("*").alias("group_size")
     )
-    copies = possible.join(groups, "digest").select(
+    # Materialised, so that Spark can split a hot digest in the join
+    copies = possible.join(checkpointed(groups), "digest").select(
         "doc_id",
         F.col("last.doc_id").alias("keep_id"),
         "group_size",

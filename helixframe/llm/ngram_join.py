@@ -129,7 +129,8 @@ def candidate_components(nodes: DataFrame) -> DataFrame:
         .agg(F.min("node").alias("a"), F.max("node").alias("most"))
         .where("a <> most")
     )
-    edges = shared.join(buckets, "label").select("a", F.col("node").alias("b"))
+    # Materialised, so that Spark can split a hot label in the join
+    edges = shared.join(checkpointed(buckets), "label").select("a", F.col("node").alias("b"))
     return components(edges.where("a <> b"))
 
 
@@ -232,6 +233,7 @@ def join_near(docs: DataFrame) -> DataFrame:
     joined = checkpointed(rows.join(nodes, "node").drop("node"))
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *ROW_KEY)
     first = joined.groupBy("root").agg(F.min(order).alias("first"), F.count("*").alias("class_size"))
+    first = checkpointed(first)
     kept = (F.col("row_a") == F.col("first.row_a")) & (F.col("row_b") == F.col("first.row_b"))
     return joined.join(first, "root").select(
         "doc_id",

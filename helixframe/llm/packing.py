@@ -20,6 +20,7 @@ empty table gives an empty result.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -51,14 +52,20 @@ class WordTokenizer:
     """Ids of texts by a public tokenizer that treats words and marks one by one.
 
     The ids of a text are those of its pieces in a row, and white space ends every piece. The ids
-    of pieces are remembered, so the tokenizer itself sees few of them twice. Texts with other than
-    plain characters are cut at white space only, and the tokenizer does the rest.
+    of pieces are remembered, so the tokenizer's model sees few of them twice. Texts with other than
+    plain characters are cut at white space only, and the whole tokenizer does the rest.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        # The model sees bytes as characters of their own
+        by_byte = ByteLevel(add_prefix_space=False, use_regex=False)
+        letters = map(chr, range(ord("À"), ord("ÿ") + 1))
+        self.alphabet = {ord(it): by_byte.pre_tokenize_str(it)[0][0] for it in letters}
         self.pieces: dict[str, bytes] = {}
         self.chunks: dict[bytes, bytes] = {}
 
@@ -77,25 +84,16 @@ class WordTokenizer:
             else:
                 split.append(text.encode("utf-8", "replace").split())
                 new_chunks.update(split[-1])
-        self._learn_pieces(list(new_pieces.difference(self.pieces)))
+        for piece in new_pieces.difference(self.pieces):
+            known = piece if piece.isascii() else piece.translate(self.alphabet)
+            ids = [token.id for token in self.model.tokenize(known)]
+            self.pieces[piece] = struct.pack(f"<{len(ids)}I", *ids)
         for chunk in new_chunks.difference(self.chunks):
             ids = self.tokenizer.encode(chunk.decode(), add_special_tokens=False).ids
             self.chunks[chunk] = np.array(ids, "<u4").tobytes()
         piece, chunk = self.pieces.__getitem__, self.chunks.__getitem__
         return [b"".join(map(piece if parts and isinstance(parts[0], str) else chunk, parts)) for parts in split]
 
-    def _learn_pieces(self, new: list[str]) -> None:
-        for start in range(0, len(new), 4096):
-            part = new[start : start + 4096]
-            encoded = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            ids = np.array(encoded.ids, "<u4").tobytes()
-            # Ids of a piece are those of its word number
-            cuts = 4 * np.searchsorted(encoded.word_ids, np.arange(len(part) + 1))
-            ends = cuts.tolist()
-            self.pieces.update(
-                {piece: ids[ends[k] : ends[k + 1]] for k, piece in enumerate(part)}
-            )
-
 
 _tokenizers: dict[str, WordTokenizer] = {}
 

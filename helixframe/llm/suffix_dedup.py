@@ -229,6 +229,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         .where("n > 1")
         .select("anchor", (F.col("a") != F.col("b")).alias("differs"))
     )
+    # Materialised, so that Spark can split a hot anchor in the join
+    repeated = checkpointed(repeated)
     hits = checkpointed(table.join(repeated, "anchor"))
     regions = checkpointed(
         hits.groupBy("anchor", "digest", "differs").agg(
@@ -314,7 +316,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         strings, "row_a long, row_b long, start long, string long"
     )
     many = many.distinct()
-    again = many.groupBy("string").agg(F.count("*").alias("n")).where("n > 1")
+    again = checkpointed(many.groupBy("string").agg(F.count("*").alias("n")).where("n > 1"))
     counted = many.join(again, "string").select(
         *ROW_KEY, "start", (F.col("start") + length).alias("end")
     )
