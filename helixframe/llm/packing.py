@@ -35,8 +35,8 @@ from helixframe.llm.queries import query
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
 #: Branches looked at for one filling, and fillings replaced by their second best.
-FILLING_NODES = 2000
-DISCREPANCIES = 12
+FILLING_NODES = 500
+DISCREPANCIES = 3
 #: Words whose ids a Python worker remembers.
 REMEMBERED = 500_000
 

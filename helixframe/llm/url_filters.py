@@ -92,34 +92,43 @@ def spread(links: DataFrame, seeds: DataFrame) -> DataFrame:
     would start again at the seeds, which changes all ranks by the same factor.
     """
     total = links.groupBy("kind", "source").agg(F.sum("links").alias("total"))
-    edges = checkpointed(
-        links.join(total, ["kind", "source"]).select(
-            "kind", "source", "target", (F.col("links") / F.col("total") * DAMPING).alias("share")
-        )
+    edges = links.join(total, ["kind", "source"]).select(
+        "kind",
+        "source",
+        "target",
+        (F.col("links") / F.col("total") * DAMPING).alias("share"),
+        F.lit(0.0).alias("keeps"),
     )
+    hosts = edges.select("kind", F.explode(F.array("source", "target")).alias("source"))
+    hosts = hosts.unionByName(seeds.select("kind", F.col("host").alias("source"))).distinct()
+    # By an edge to itself a host keeps the rank that it has
+    own = hosts.select("kind", "source", F.col("source").alias("target"), F.lit(0.0), F.lit(1.0))
+    edges = checkpointed(edges.union(own))
+    edges = bounded_broadcast(edges.withColumnRenamed("source", "host"))
     sums = seeds.groupBy("kind").agg(F.sum("pages").alias("all"))
-    moving = checkpointed(
-        seeds.join(F.broadcast(sums), "kind").select(
-            "kind", "host", (F.col("pages") / F.col("all")).alias("mass")
-        )
+    mass = F.col("pages") / F.col("all")
+    state = seeds.join(F.broadcast(sums), "kind").select(
+        "kind", "host", mass.alias("mass"), mass.alias("rank")
     )
-    rank = moving
     while True:
         for _ in range(STEPS):
-            moving = (
-                moving.join(edges, (moving["kind"] == edges["kind"]) & (moving["host"] == edges["source"]))
-                .select(moving["kind"], F.col("target").alias("host"), (F.col("mass") * F.col("share")).alias("mass"))
-                .groupBy("kind", "host")
-                .agg(F.sum("mass").alias("mass"))
+            received = (
+                state.join(edges, ["kind", "host"])
+                .groupBy("kind", "target")
+                .agg(
+                    F.sum(F.col("mass") * F.col("share")).alias("mass"),
+                    F.sum(F.col("rank") * F.col("keeps")).alias("rank"),
+                )
+            )
+            state = received.select(
+                "kind", F.col("target").alias("host"), "mass", (F.col("rank") + F.col("mass")).alias("rank")
             )
-            rank = rank.unionByName(moving)
-        moving = checkpointed(moving)
-        rank = checkpointed(rank.groupBy("kind", "host").agg(F.sum("mass").alias("mass")))
-        if (moving.agg(F.sum("mass").alias("mass")).first()["mass"] or 0.0) < TOLERANCE:
+        state = checkpointed(state)
+        if (state.agg(F.sum("mass").alias("mass")).first()["mass"] or 0.0) < TOLERANCE:
             break
-    sums = rank.groupBy("kind").agg(F.sum("mass").alias("all"))
-    return rank.join(F.broadcast(sums), "kind").select(
-        "kind", "host", (F.col("mass") / F.col("all")).alias("rank")
+    sums = state.groupBy("kind").agg(F.sum("rank").alias("all"))
+    return state.join(F.broadcast(sums), "kind").select(
+        "kind", "host", (F.col("rank") / F.col("all")).alias("rank")
     )
 
 
