@@ -354,7 +354,7 @@ def set_read_group(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def fix_single_base_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = v.alignments(spark, sf_dir)
-    first_line = (F.col("read_id") / F.lit(10**8)).cast("long") % 10 == 1
+    first_line = (F.col("read_id") / F.lit(10**10)).cast("long") % 10 == 1
     short = rows.withColumn(
         "seq", F.when(first_line & F.col("quals").isNull(), F.substring("seq", 1, 1)).otherwise(F.col("seq"))
     )
@@ -457,14 +457,18 @@ def idxstats(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "union_alignments",
     v.with_views("reads", "dup_reads")
-    + """SELECT contig, count(*) AS n, CAST(sum(pos) AS BIGINT) AS sum_pos
-        FROM (SELECT contig, pos FROM reads UNION ALL SELECT contig, pos FROM dup_reads) GROUP BY contig""",
+    + """SELECT contig, count(*) AS n, CAST(sum(pos) AS BIGINT) AS sum_pos,
+        count(DISTINCT (input, read_id)) AS n_ids
+        FROM (SELECT 0 AS input, read_id, contig, pos FROM reads
+            UNION ALL SELECT 1, read_id, contig, pos FROM dup_reads) GROUP BY contig""",
 )
 def union_alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
     merged = al.union_alignments(
         [v.alignments(spark, sf_dir), v.alignments(spark, sf_dir, "dup_reads")]
     )
-    return merged.groupBy("contig").agg(F.count("*").alias("n"), F.sum("pos").alias("sum_pos"))
+    return merged.groupBy("contig").agg(
+        F.count("*").alias("n"), F.sum("pos").alias("sum_pos"), F.countDistinct("read_id").alias("n_ids")
+    )
 
 
 @query(
@@ -538,15 +542,16 @@ def downsample_alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "weighted_sample",
-    """WITH items AS (SELECT o_orderkey, CAST(floor(o_totalprice) AS BIGINT) + 1 AS w FROM orders),
-        line AS (SELECT o_orderkey, sum(w) OVER (ORDER BY o_orderkey % 256, o_orderkey) AS upto, w FROM items),
-        points AS (SELECT c_custkey AS draw, floor(('0x' || substr(md5(concat('3|', c_custkey)), 1, 8))::BIGINT
-            / 4294967296.0::DOUBLE * (SELECT sum(w) FROM items)) AS p FROM customer)
+    """WITH items AS (SELECT o_orderkey, floor(o_totalprice) / 4.0::DOUBLE + 0.25 AS w FROM orders),
+        n AS (SELECT CAST(floor(sqrt(count(*))) AS BIGINT) AS buckets, sum(w) AS length FROM items),
+        line AS (SELECT o_orderkey, sum(w) OVER (ORDER BY o_orderkey % buckets, o_orderkey) AS upto FROM items, n),
+        points AS (SELECT c_custkey AS draw, ('0x' || substr(md5(concat('3|', c_custkey)), 1, 13))::BIGINT
+            / 4503599627370496.0::DOUBLE * length AS p FROM customer, n)
         SELECT draw, o_orderkey FROM points ASOF JOIN line ON p < upto""",
 )
 def weighted_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = v.table(spark, sf_dir, "orders").select(
-        "o_orderkey", (F.floor("o_totalprice") + 1).alias("weight")
+        "o_orderkey", (F.floor("o_totalprice") / 4 + 0.25).alias("weight")
     )
     draws = v.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("draw"))
     return al.weighted_sample(items, draws, "o_orderkey", "weight", seed=3)

@@ -137,24 +137,16 @@ def dedup_library(spark: SparkSession, sf_dir: str) -> DataFrame:
     return du.dedup_library(reads).select("read_id", "library", "flag")
 
 
-# Reads included more than once: names without their prefix, and few positions
-_CHECKED = """SELECT * REPLACE (concat('r', l_orderkey % 50) AS qname, pos // 500 * 500 AS pos,
-    substr(seq, 1, CAST(l_partkey % 6 AS INT)) AS seq, quals[1:1] AS quals) FROM dup_reads"""
+# Reads included more than once: all reads, and the same ones again in reverse order of ids
+_AGAIN = 10**18
+_CHECKED = f"""SELECT * FROM dup_reads UNION ALL
+    SELECT * REPLACE ({_AGAIN} - read_id AS read_id) FROM dup_reads"""
 _CHECKED_KEY = "{name} contig, pos, flag & 16, seq, coalesce(CAST(quals AS VARCHAR), '*')"
 
 
 def _checked(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = v.alignments(spark, sf_dir, "dup_reads")
-    order = F.floor(F.col("read_id") / F.lit(10**9)).cast("long")
-    part = F.floor(F.col("read_id") / 1000).cast("long") % 100000
-    return rows.withColumns(
-        {
-            "qname": F.concat(F.lit("r"), order % 50),
-            "pos": F.floor(F.col("pos") / 500) * 500,
-            "seq": F.expr("substr(seq, 1, cast(floor(read_id / 1000) % 100000 % 6 as int))"),
-            "quals": F.slice("quals", 1, 1),
-        }
-    ).drop("mate_pos").withColumn("_part", part)
+    return rows.unionByName(rows.withColumn("read_id", _AGAIN - F.col("read_id")))
 
 
 def _groups_sql(name: str) -> str:
@@ -198,12 +190,11 @@ def min_complexity_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "limit_report",
     v.with_views("dup_reads", extra={"checked": _CHECKED, "found": _groups_sql("qname,")})
-    + """SELECT first_read, n_reads, n_complex FROM found WHERE n_complex > 0
-        ORDER BY first_read LIMIT 100""",
+    + """SELECT first_read, n_reads, n_complex FROM found WHERE n_complex > 0""",
 )
 def limit_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = du.duplicate_read_groups(_checked(spark, sf_dir), min_complexity=4)
-    return du.limit_report(groups, 100).select("first_read", "n_reads", "n_complex")
+    return du.limit_report(groups).select("first_read", "n_reads", "n_complex")
 
 
 @query(
@@ -214,7 +205,7 @@ def limit_report(spark: SparkSession, sf_dir: str) -> DataFrame:
             ELSE 'Unpaired read in' END AS read_type,
         coalesce(sample, '?') AS sample, coalesce(library, '?') AS library,
         coalesce(platform_unit, '?') AS platform_unit, qname, seq AS sequence,
-        chr(33 + quals[1]) AS qualities
+        array_to_string([chr(CAST(33 + q AS INT)) FOR q IN quals], '') AS qualities
         FROM (SELECT *, min(read_id) OVER w AS first_read, count(*) OVER w AS n FROM checked
             WHERE flag & 2308 = 0 AND len(seq) > 0
             WINDOW w AS (PARTITION BY {_CHECKED_KEY.format(name="qname,")})) f
@@ -331,7 +322,7 @@ _OUTCOME = "CASE WHEN passes THEN 'passed' ELSE 'failed' END"
                     (
                         "insert_sizes",
                         "CASE WHEN bad_insert_size THEN 'failed' ELSE 'passed' END",
-                        "least(insert_size, 1001)",
+                        "insert_size",
                     ),
                 )
             ),

@@ -25,12 +25,14 @@ _MERGED = {
     "numbered": """SELECT *, sum(opens) OVER (PARTITION BY contig ORDER BY "start", "end"
             ROWS UNBOUNDED PRECEDING) AS island FROM marked""",
 }
-# A part of the bases only, so that there is something between the islands
-_SPARSE = """SELECT * FROM regions WHERE "start" // 400 % 2 = 0"""
+# Wide apart, so that there is something between the islands
+_SPARSE = """SELECT * REPLACE ("start" * 40 AS "start", "start" * 39 + "end" AS "end") FROM regions"""
 
 
 def _sparse(spark: SparkSession, sf_dir: str, named: bool = True) -> DataFrame:
-    return v.regions(spark, sf_dir, named).where(F.floor(F.col("start") / 400) % 2 == 0)
+    rows = v.regions(spark, sf_dir, named)
+    moved = {"start": F.col("start") * 40, "end": F.col("start") * 39 + F.col("end")}
+    return rows.withColumns(moved)
 
 
 @query(
@@ -47,12 +49,12 @@ def merge_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     "pad_regions",
     v.with_views("regions", "contigs")
     + """SELECT contig, greatest(0, "start" - 300) AS "start", least("end" + 300, length) AS "end"
-        FROM regions JOIN contigs USING (contig) WHERE contig <> 'chr5'
+        FROM regions JOIN contigs USING (contig)
         UNION ALL SELECT contig, "start" + 35, "end" - 35 FROM regions WHERE "end" - "start" > 70""",
 )
 def pad_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     regions, contigs = v.regions(spark, sf_dir), v.contigs(spark, sf_dir)
-    grown = iv.pad_regions(regions.where("contig <> 'chr5'"), 300, contigs)
+    grown = iv.pad_regions(regions, 300, contigs)
     return grown.unionByName(iv.pad_regions(regions, -35))
 
 
@@ -386,11 +388,11 @@ def msa_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "msa_join",
     v.with_views("sequences")
-    + """SELECT name, concat(sequence, substr(sequence, 1, 10), sequence) AS sequence FROM sequences""",
+    + """SELECT name, concat(sequence, sequence, sequence) AS sequence FROM sequences""",
 )
 def msa_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     sequences = v.documents_as_sequences(spark, sf_dir)
-    return m.msa_join([sequences, m.msa_truncate(sequences, 10), sequences])
+    return m.msa_join([sequences, sequences, sequences])
 
 
 @query(
@@ -632,8 +634,7 @@ _CHECK_LINES = """SELECT doc_id // 3 AS file, doc_id * 100000 + k AS line, value
                 CASE WHEN doc_id % 11 = 2 THEN 'same' ELSE concat('doc', doc_id) END, ' ', lang)],
             CASE doc_id % 13 WHEN 1 THEN ['ACGT', 'AC', 'ACGT'] WHEN 3 THEN ['', 'ACGT']
                 WHEN 4 THEN ['ACGT', '', 'ACGT'] WHEN 5 THEN ['ACGT', ''] WHEN 6 THEN []
-                WHEN 7 THEN string_split(text, chr(10))
-                ELSE ['ACGT', 'NNNN', 'ry'] END) AS parts
+                WHEN 7 THEN [] ELSE ['ACGT', 'NNNN', 'ry'] END || string_split(text, chr(10))) AS parts
         FROM documents))"""
 
 
@@ -655,9 +656,10 @@ def _check_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(key % 13 == 4, texts("ACGT", "", "ACGT"))
         .when(key % 13 == 5, texts("ACGT", ""))
         .when(key % 13 == 6, texts())
-        .when(key % 13 == 7, F.split("text", "\n"))
+        .when(key % 13 == 7, texts())
         .otherwise(texts("ACGT", "NNNN", "ry"))
     )
+    body = F.concat(body, F.split("text", "\n"))
     return (
         v.table(spark, sf_dir, "documents")
         .select(
@@ -735,16 +737,20 @@ def read_alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "duplicate_inputs",
-    """WITH files AS (SELECT regexp_replace(url, '[^/]*$', '') AS path, page_id % 3 AS sample FROM pages),
+    """WITH files AS (SELECT url AS path, page_id % 3 AS sample FROM pages
+            UNION ALL SELECT url, page_id % 2 FROM pages),
         n AS (SELECT path, sample, count(*) AS n FROM files GROUP BY ALL)
         SELECT path, CAST(sum(n) AS BIGINT) AS n_records, count(*) AS n_samples,
             CASE WHEN max(n) > 1 THEN 'error' ELSE 'warning' END AS severity
         FROM n GROUP BY path HAVING sum(n) > 1""",
 )
 def duplicate_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = v.table(spark, sf_dir, "pages").select(
-        F.regexp_replace("url", "[^/]*$", "").alias("path"), (F.col("page_id") % 3).alias("sample")
-    )
+    pages = v.table(spark, sf_dir, "pages")
+    files = [
+        pages.select(F.col("url").alias("path"), (F.col("page_id") % n).alias("sample"))
+        for n in (3, 2)
+    ]
+    files = files[0].unionByName(files[1])
     return va.duplicate_inputs(files)
 
 

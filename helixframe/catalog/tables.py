@@ -148,18 +148,16 @@ def read_panel_genotypes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "read_panel_mitochondria",
-    """WITH rows AS (SELECT s_suppkey // 2 AS name, upper(concat(repeat('acgtn-', CAST(s_suppkey % 5 + 1 AS INT)),
-            CASE WHEN s_suppkey % 7 = 0 THEN 'x' ELSE '' END)) AS sequence, s_suppkey % 7 = 0 AS bad FROM supplier
-            WHERE s_suppkey % 4 <> 1)
+    """WITH rows AS (SELECT s_suppkey * 3 // 4 AS name, upper(concat(repeat('acgtn-', CAST(s_suppkey % 5 + 1 AS INT)),
+            CASE WHEN s_suppkey % 7 = 0 THEN 'x' ELSE '' END)) AS sequence, s_suppkey % 7 = 0 AS bad FROM supplier)
         SELECT name, sequence, CASE WHEN bad THEN 'invalid characters' WHEN count(*) OVER (PARTITION BY name) > 1
             THEN 'sequence name is not unique' END AS error FROM rows""",
 )
 def read_panel_mitochondria(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = (
         v.table(spark, sf_dir, "supplier")
-        .where("s_suppkey % 4 <> 1")
         .selectExpr(
-            "s_suppkey div 2 AS name",
+            "s_suppkey * 3 div 4 AS name",
             """concat(repeat('acgtn-', cast(s_suppkey % 5 + 1 as int)),
                 CASE WHEN s_suppkey % 7 = 0 THEN 'x' ELSE '' END) AS sequence""",
         )
@@ -219,20 +217,18 @@ def read_freq_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "read_admixture_q",
-    """SELECT vec_id // 3 AS file, CASE vec_id % 3 WHEN 0 THEN 'a' WHEN 1 THEN 'b' ELSE '-' END AS sample,
+    """SELECT vec_id AS file, CASE line WHEN 0 THEN 'a' WHEN 1 THEN 'b' ELSE '-' END AS sample,
         CAST(i - 1 AS INT) AS component, CAST(CAST(embedding[i] AS DOUBLE) AS DOUBLE) AS fraction
-        FROM (SELECT vec_id, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings
-            WHERE vec_id // 3 < (SELECT count(*) // 3 FROM embeddings))""",
+        FROM (SELECT vec_id, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings),
+            range(3) AS lines(line)""",
 )
 def read_admixture_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = v.table(spark, sf_dir, "embeddings")
-    # The last file may be incomplete, which would be an error
-    complete = vectors.agg(F.floor(F.count("*") / 3)).scalar()
     lines = vectors.select(
-        F.floor(F.col("vec_id") / 3).alias("file"),
-        (F.col("vec_id") % 3).alias("line"),
+        F.col("vec_id").alias("file"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(2).cast("long"))).alias("line"),
         F.array_join(F.col("embedding").cast("array<double>").cast("array<string>"), " ").alias("value"),
-    ).where(F.col("file") < complete)
+    )
     return tables.parse_admixture_q(lines, ["a", "b"])
 
 

@@ -12,33 +12,15 @@ from pyspark.sql import functions as F
 REPEAT = "ACGTTGCANC"
 
 
-#: Tables that grow with the scale factor, and a column of many values
-LARGE = {
-    "lineitem": "l_orderkey",
-    "orders": "o_orderkey",
-    "documents": "doc_id",
-    "pages": "page_id",
-    "events": "event_id",
-    "conversations": "conv_id",
-}
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """A test table.
-
-    The test tables are single files of one row group, which only one task can scan. Large ones
-    with fewer files than cores are spread over the cores; a table of many files is left alone.
-    """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if spread and name in LARGE and len(df.inputFiles()) < min(cores, 8):
-        return df.repartition(min(cores, 8), LARGE[name])
-    return df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A test table, as it is."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # Columns of the read views; {div} is the integer division of the dialect
 _READ_PARTS = """
-    ((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 1000 + l_suppkey AS read_id,
+    (((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 1000 + l_suppkey) * 100
+        + CAST(l_quantity AS BIGINT) AS read_id,
     concat(CASE WHEN l_linenumber % 3 = 0 THEN 'M_' ELSE '' END,
            'r', l_orderkey, '.', l_linenumber) AS qname,
     concat('chr', l_suppkey % 5 + 1) AS contig,
@@ -218,7 +200,7 @@ def contigs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def readgroups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Six read-groups: two samples with three libraries each."""
     return (
-        table(spark, sf_dir, "lineitem", spread=False)
+        table(spark, sf_dir, "lineitem")
         .select("l_linestatus", (F.col("l_linenumber") % 3).alias("lib"))
         .distinct()
         .select(

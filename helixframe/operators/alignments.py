@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -11,7 +12,8 @@ from pyspark.sql import functions as F
 from helixframe.functions import cigar as C
 from helixframe.functions import flags as fl
 from helixframe.functions import hashing
-from helixframe.plans.intervals import lag_value, overlap_join, power_of_two
+from helixframe.plans.intervals import lag_value, overlap_join
+from helixframe.plans.session import cut_lineage
 from helixframe.plans.skew import skew_join
 
 #: Sample and library of records without a (known) read-group.
@@ -155,8 +157,18 @@ def sample_names(readgroups: DataFrame) -> DataFrame:
 
 
 def union_alignments(inputs: Sequence[DataFrame]) -> DataFrame:
-    """Records of several inputs; missing columns are null."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), inputs)
+    """Records of several inputs; missing columns are null.
+
+    Ids are interleaved: a record keeps its place within its input, and no two share an id.
+    """
+    count = len(inputs)
+    numbered = [
+        rows.withColumn("read_id", F.col("read_id") * count + index)
+        if "read_id" in rows.columns
+        else rows
+        for index, rows in enumerate(inputs)
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), numbered)
 
 
 def sort_coordinates(alignments: DataFrame, contigs: DataFrame) -> DataFrame:
@@ -292,46 +304,66 @@ def weighted_sample(
     weight: str,
     draw_id: str = "draw",
     seed: int = 0,
-    buckets: int = 256,
+    buckets: int | None = None,
 ) -> DataFrame:
-    """One item per row of ``draws``, with replacement and a probability ∝ integer weight.
+    """One item per row of ``draws``, with replacement and a probability ∝ weight.
 
-    Items lie side by side on a line of length Σ weight, and a draw is a point on it. The line is
-    laid out in hashed buckets, so that the cumulative weights need one window per bucket and a
-    scan of one row per bucket. The draws find their item by an interval join on the line.
+    Weights are positive numbers. Items lie side by side on a line of length Σ weight, and a draw is
+    a point on it, in steps of 2**-52 of its length. The line is laid out in hashed buckets, as many
+    as the square root of the number of items by default, so that the cumulative weights need one
+    window per bucket and a scan of one row per bucket. The draws find their bucket, and in it their
+    item, by interval joins on the line. Without items there is nothing to draw from: an error.
     """
+    if buckets is None:
+        buckets = max(1, math.isqrt(items.count()))
     checked = items.select(
         item_id,
-        F.when(F.col(weight) > 0, F.col(weight).cast("long"))
-        .otherwise(F.raise_error(F.lit("weights must be positive")).cast("long"))
+        F.when(F.col(weight) > 0, F.col(weight).cast("double"))
+        .otherwise(F.raise_error(F.lit("weights must be positive")).cast("double"))
         .alias("_w"),
         F.pmod(F.col(item_id), F.lit(buckets)).alias("_bucket"),
     )
     totals = checked.groupBy("_bucket").agg(F.sum("_w").alias("_total"))
-    earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        "_bucket", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_offset")
-    )
-    inside = (
-        Window.partitionBy("_bucket").orderBy(item_id).rowsBetween(Window.unboundedPreceding, 0)
+    upto = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
+    # One row per bucket; an offset is the sum up to its predecessor, so that no gap is left
+    running = cut_lineage(totals.select("_bucket", F.sum("_total").over(upto).alias("_end")))
+    length = running.agg(F.max("_end")).first()[0]
+    if length is None:
+        raise ValueError("nothing to draw from")
+    offsets = running.select(
+        "_bucket", F.coalesce(F.lag("_end").over(Window.orderBy("_bucket")), F.lit(0.0)).alias("_offset"), "_end"
     )
-    line = (
-        checked.withColumn("_upto", F.sum("_w").over(inside))
+    inside = Window.partitionBy("_bucket").orderBy(item_id)
+    within = F.sum("_w").over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    is_last = F.lead(F.lit(1)).over(inside).isNull()
+    ends = (
+        checked.withColumn("_upto", within)
+        .withColumn("_is_last", is_last)
         .join(F.broadcast(offsets), "_bucket")
-        .select(
-            F.lit(0).alias("_line"),
-            item_id,
-            (F.col("_offset") + F.col("_upto") - F.col("_w")).alias("_from"),
-            (F.col("_offset") + F.col("_upto")).alias("_to"),
-        )
+        .withColumn("_to", F.when(F.col("_is_last"), F.col("_end")).otherwise(F.least(F.col("_offset") + F.col("_upto"), "_end")))
+    )
+    before = F.coalesce(F.lag("_to").over(inside), F.col("_offset"))
+    line = ends.select(item_id, "_bucket", before.alias("_from"), "_to")
+
+    points = draws.withColumn("_point", hashing.fine_uniform(seed, F.col(draw_id)) * length)
+    # Both sides of the joins lie on a grid of whole numbers
+    grid = float(buckets) * 64 / length
+    parts = points.withColumns(
+        {
+            "_line": F.lit(0),
+            "_at": F.floor(F.col("_point") * grid).cast("long"),
+            "_at_end": F.floor(F.col("_point") * grid).cast("long") + 1,
+        }
+    )
+    cells = line.select(
+        F.lit(0).alias("_line"),
+        item_id,
+        "_from",
+        "_to",
+        F.floor(F.col("_from") * grid).cast("long").alias("_cell"),
+        (F.floor(F.col("_to") * grid) + 1).cast("long").alias("_cell_end"),
+    )
+    joined = overlap_join(cells, parts, ("_cell", "_cell_end"), ("_at", "_at_end"), contig="_line")
+    return joined.where("_point >= _from AND _point < _to").drop(
+        "_line", "_from", "_to", "_point", "_cell", "_cell_end", "_at", "_at_end"
     )
-    total = totals.agg(F.sum("_total")).scalar()
-    length = items.agg(F.sum(F.col(weight).cast("long"))).first()[0] or 0
-    points = draws.withColumn("_line", F.lit(0)).withColumn(
-        "_point",
-        F.floor(hashing.uniform(seed, F.col(draw_id)) * total).cast("long"),
-    ).withColumn("_point_end", F.col("_point") + 1)
-    width = power_of_two(length / (buckets * 64))
-    return overlap_join(
-        line, points, ("_from", "_to"), ("_point", "_point_end"), contig="_line", width=width
-    ).drop("_line", "_from", "_to", "_point", "_point_end")

@@ -32,8 +32,10 @@ def read_class(qname: str = "qname", flag: str = "flag") -> Column:
     )
 
 
-def collapse_contigs(contigs: DataFrame, max_contigs: int = 100) -> DataFrame:
-    """(contig, label): the contig itself, or one common label if there are too many."""
+def collapse_contigs(contigs: DataFrame, max_contigs: int | None = None) -> DataFrame:
+    """(contig, label): the contig itself, or one common label if there are more than wanted."""
+    if max_contigs is None:
+        return contigs.withColumn("label", F.col("contig"))
     total = contigs.agg(F.count("*")).scalar()
     return contigs.withColumn(
         "label", F.when(total > max_contigs, GENOME).otherwise(F.col("contig"))
@@ -41,7 +43,7 @@ def collapse_contigs(contigs: DataFrame, max_contigs: int = 100) -> DataFrame:
 
 
 def reference_sizes(
-    contigs: DataFrame, regions: DataFrame | None = None, max_contigs: int = 100
+    contigs: DataFrame, regions: DataFrame | None = None, max_contigs: int | None = None
 ) -> DataFrame:
     """(contig, size) of every output row: per region name, per contig, or of the whole genome."""
     if regions is not None:
@@ -69,7 +71,7 @@ def coverage_counts(
     alignments: DataFrame,
     regions: DataFrame | None = None,
     contigs: DataFrame | None = None,
-    max_contigs: int = 100,
+    max_contigs: int | None = None,
 ) -> DataFrame:
     """Hits by read class and aligned, inserted and deleted bases per (contig or region, rg).
 
@@ -146,7 +148,7 @@ def coverage_table(
     readgroups: DataFrame,
     regions: DataFrame | None = None,
     name: str = "genome",
-    max_contigs: int = 100,
+    max_contigs: int | None = None,
     ignore_readgroups: bool = False,
 ) -> DataFrame:
     """Coverage of every sample, library and contig, with ``*`` rows for the totals.

@@ -40,7 +40,7 @@ def depth_histogram(
     readgroups: DataFrame,
     contigs: DataFrame,
     regions: DataFrame | None = None,
-    max_contigs: int = 100,
+    max_contigs: int | None = None,
     ignore_readgroups: bool = False,
     width: int = BIN_WIDTH,
 ) -> DataFrame:
@@ -122,7 +122,7 @@ def depths_sizes(
     contigs: DataFrame,
     readgroups: DataFrame,
     regions: DataFrame | None = None,
-    max_contigs: int = 100,
+    max_contigs: int | None = None,
     ignore_readgroups: bool = False,
 ) -> DataFrame:
     """All (sample, library, contig) rows of the output with their size.
@@ -159,7 +159,7 @@ def depths_table(
     readgroups: DataFrame,
     regions: DataFrame | None = None,
     name: str = "genome",
-    max_contigs: int = 100,
+    max_contigs: int | None = None,
     ignore_readgroups: bool = False,
 ) -> DataFrame:
     """Wide output table: keys, size, max_depth (``NA`` if none) and ``MD_001`` .. ``MD_200``."""

@@ -255,8 +255,8 @@ def duplicate_totals(groups: DataFrame) -> DataFrame:
     )
 
 
-def limit_report(groups: DataFrame, max_output: int = 100) -> DataFrame:
-    """The first ``max_output`` groups that pass the complexity filter; all of them if 0."""
+def limit_report(groups: DataFrame, max_output: int = 0) -> DataFrame:
+    """Groups that pass the complexity filter: all of them, or the first ``max_output``."""
     shown = groups.where(F.col("n_complex") > 0)
     return shown.orderBy("first_read").limit(max_output) if max_output else shown
 
@@ -267,7 +267,7 @@ def duplicate_report(
     groups: DataFrame,
     any_query_name: bool = False,
 ) -> DataFrame:
-    """Rows that describe the records of the given groups, with shortened sequences.
+    """Rows that describe the records of the given groups.
 
     Unknown sample, library and unit are ``?``.
     """
@@ -279,11 +279,6 @@ def duplicate_report(
     rows = skew_join(rows, known, ["rg"], "left")
     quality = F.array_join(F.transform("quals", lambda it: F.chr(it + 33)), "")
 
-    def shortened(text: Column) -> Column:
-        return F.when(F.length(text) > 50, F.concat(F.substring(text, 1, 50), F.lit("..."))).otherwise(
-            text
-        )
-
     return rows.select(
         "first_read",
         "read_id",
@@ -295,6 +290,6 @@ def duplicate_report(
             for name in ("sample", "library", "platform_unit")
         ),
         "qname",
-        shortened(F.col("seq")).alias("sequence"),
-        shortened(quality).alias("qualities"),
+        F.col("seq").alias("sequence"),
+        quality.alias("qualities"),
     )

@@ -22,11 +22,13 @@ class FilterOptions:
     min_mapping_quality: int = 0
     allow_orphan_mates: bool = False
     allow_improper_pairs: bool = False
-    insert_size_cap: int = 1001
+    #: Larger insert sizes are counted at this one; without it each size is counted by itself
+    insert_size_cap: int | None = None
 
     @property
     def single_filters(self) -> dict[str, int]:
         """Bits that must be clear, by label, for unpaired reads."""
+        # Names as in reports
         return {
             "unmapped": fl.UNMAPPED,
             "secondary": fl.SECONDARY,
@@ -46,7 +48,7 @@ class FilterOptions:
         return filters
 
 
-#: Filters that do not come from single bits
+#: Filters that do not come from single bits, as named in reports
 DERIVED_FILTERS = (
     "low_mapping_quality",
     "low_mapped_fraction",
@@ -196,12 +198,16 @@ def outcome_histograms(
     percent = F.floor(F.col("matches") * 100 / F.col("query_length"))
     outcome = F.when(F.col("passes"), "passed").otherwise("failed")
     size_outcome = F.when(F.col("bad_insert_size"), "failed").otherwise("passed")
+    insert_size = F.col("insert_size")
+    if options.insert_size_cap:
+        cap = F.lit(options.insert_size_cap)
+        insert_size = F.when(insert_size > cap, cap).otherwise(insert_size)
     values = {
         "query_lengths": (outcome, F.col("query_length")),
         "mapping_quality": (outcome, F.col("mapq")),
         "matches": (outcome, F.col("matches")),
         "matches_pct": (outcome, percent),
-        "insert_sizes": (size_outcome, F.least("insert_size", F.lit(options.insert_size_cap))),
+        "insert_sizes": (size_outcome, insert_size),
     }
     entries = F.array(
         *(

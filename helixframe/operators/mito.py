@@ -78,10 +78,12 @@ def majority_base():
     return F.when((top > 0) & (n_top == 1), best).otherwise("N")
 
 
-def consensus(counts: DataFrame, lengths: DataFrame, padding: int = 0) -> DataFrame:
+def consensus(
+    counts: DataFrame, lengths: DataFrame, padding: int = 0, chunk: int = CHUNK
+) -> DataFrame:
     """Consensus of every contig: ``(contig, chunk, sequence)``, ``N`` where there are no reads.
 
-    A row holds up to 65 536 bases, so that a mitochondrial genome is one row.
+    A row holds up to ``chunk`` bases; ``whole_consensus`` puts the rows of a contig together.
     """
     sites = lengths.select(
         "contig",
@@ -95,11 +97,19 @@ def consensus(counts: DataFrame, lengths: DataFrame, padding: int = 0) -> DataFr
         .withColumn("base", majority_base())
     )
     ordered = F.array_sort(F.collect_list(F.struct("pos", "base")))
-    return called.groupBy("contig", F.floor(F.col("pos") / CHUNK).cast("int").alias("chunk")).agg(
+    return called.groupBy("contig", F.floor(F.col("pos") / chunk).cast("int").alias("chunk")).agg(
         F.array_join(F.transform(ordered, lambda it: it["base"]), "").alias("sequence")
     )
 
 
+def whole_consensus(rows: DataFrame) -> DataFrame:
+    """One row per contig, for contigs that fit into a row: ``(contig, sequence)``."""
+    ordered = F.array_sort(F.collect_list(F.struct("chunk", "sequence")))
+    return rows.groupBy("contig").agg(
+        F.array_join(F.transform(ordered, lambda it: it["sequence"]), "").alias("sequence")
+    )
+
+
 def consensus_statistics(counts: DataFrame, lengths: DataFrame, padding: int = 0) -> DataFrame:
     """Length, bases, covered sites and their share, and mean coverage, per contig."""
     depth = F.col("A") + F.col("C") + F.col("G") + F.col("T")

@@ -25,42 +25,65 @@ def parse_newick(text: str) -> Node:
     tokens = _TOKENS.findall(text)
     if not tokens or tokens[-1] != ";":
         raise ValueError(f"missing semicolon: {text}")
-    node, rest = _parse_node(tokens, 0)
-    if rest != len(tokens) - 1:
-        raise ValueError(f"malformed tree: {text}")
-    return node
-
-
-def _parse_node(tokens: list[str], at: int) -> tuple[Node, int]:
-    children: list[Node] = []
-    if tokens[at] == "(":
-        while tokens[at] != ")":
-            if tokens[at] not in "(,":
-                raise ValueError(f"expected ',' or ')', found {tokens[at]}")
-            child, at = _parse_node(tokens, at + 1)
-            children.append(child)
-        at += 1
-    name = length = None
-    if tokens[at] not in "(),:;":
-        name, at = tokens[at], at + 1
-    if tokens[at] == ":":
-        length, at = tokens[at + 1], at + 2
-    if not children and name is None and length is None:
-        raise ValueError("leaf without name and length")
-    return Node(name, length, children), at
+    # Nodes that are still open, each as the list of its children
+    open_nodes: list[list[Node]] = [[]]
+    at, expects_node = 0, True
+    while at < len(tokens) - 1:
+        token = tokens[at]
+        if token == "(" and expects_node:
+            open_nodes.append([])
+            at += 1
+            continue
+        if token == "," and not expects_node and len(open_nodes) > 1:
+            at, expects_node = at + 1, True
+            continue
+        children: list[Node] = []
+        if token == ")" and not expects_node and len(open_nodes) > 1:
+            children, at = open_nodes.pop(), at + 1
+        elif not expects_node or token in "),":
+            raise ValueError(f"unexpected {token}: {text[:100]}")
+        name = length = None
+        if tokens[at] not in "(),:;":
+            name, at = tokens[at], at + 1
+        if tokens[at] == ":":
+            length, at = tokens[at + 1], at + 2
+        if not children and name is None and length is None:
+            raise ValueError("leaf without name and length")
+        open_nodes[-1].append(Node(name, length, children))
+        expects_node = False
+    if len(open_nodes) != 1 or len(open_nodes[0]) != 1 or at != len(tokens) - 1:
+        raise ValueError(f"malformed tree: {text[:100]}")
+    return open_nodes[0][0]
+
+
+def _walk(node: Node) -> Iterator[tuple[Node, bool]]:
+    """Nodes in order, each before (False) and after (True) its children."""
+    stack = [(node, False)]
+    while stack:
+        current, done = stack.pop()
+        yield current, done
+        if not done:
+            stack.append((current, True))
+            stack.extend((child, False) for child in reversed(current.children))
 
 
 def leaf_names(node: Node) -> list[str]:
     """Names of the leaves below a node, in order."""
-    if not node.children:
-        return [node.name or ""]
-    return [name for child in node.children for name in leaf_names(child)]
+    return [it.name or "" for it, done in _walk(node) if not done and not it.children]
 
 
 def _clades(node: Node) -> Iterator[list[str]]:
-    for child in node.children:
-        yield leaf_names(child)
-        yield from _clades(child)
+    """Leaves below each node but the root; they are a slice of all leaves."""
+    leaves, starts = leaf_names(node), []
+    seen = 0
+    for current, done in _walk(node):
+        if not done:
+            starts.append(seen)
+            seen += not current.children
+            continue
+        start = starts.pop()
+        if current is not node:
+            yield leaves[start:seen]
 
 
 def clade_key(names: list[str]) -> str:
@@ -138,24 +161,32 @@ def annotate_support(trees: DataFrame, bootstraps: DataFrame, fmt: str = "{Suppo
     )
     labelled = trees.select("tree_id", "newick").join(found, "tree_id", "left")
 
-    def write(node: Node, counts: dict[str, int], total: int, root: bool) -> str:
-        if node.children:
-            inner = ",".join(write(child, counts, total, False) for child in node.children)
-            count = counts.get(clade_key(leaf_names(node)), 0)
-            label = fmt.format(
-                Support=count,
-                Percentage=100.0 * count / (total or 1),
-                Fraction=count / (total or 1),
-            )
-            text = f"({inner})" + ("" if root else label)
-        else:
+    def write(tree: Node, counts: dict[str, int], total: int) -> str:
+        leaves, starts, texts = leaf_names(tree), [], []
+        seen = 0
+        for node, done in _walk(tree):
+            if not done:
+                starts.append((seen, len(texts)))
+                seen += not node.children
+                continue
+            start, first = starts.pop()
             text = node.name or ""
-        return text if node.length is None else f"{text}:{node.length}"
+            if node.children:
+                text = f"({','.join(texts[first:])})"
+                if node is not tree:
+                    count = counts.get(clade_key(leaves[start:seen]), 0)
+                    text += fmt.format(
+                        Support=count,
+                        Percentage=100.0 * count / (total or 1),
+                        Fraction=count / (total or 1),
+                    )
+            texts[first:] = [text if node.length is None else f"{text}:{node.length}"]
+        return texts[0]
 
     def annotate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = [
-                write(parse_newick(text), json.loads(counts or "{}"), total, True) + ";"
+                write(parse_newick(text), json.loads(counts or "{}"), total) + ";"
                 for text, counts, total in zip(
                     batch["newick"], batch["counts"], batch["total"], strict=True
                 )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from helixframe.functions.sequences import uncalled_bases
@@ -106,7 +106,33 @@ def fasta_record(width: int = 60) -> Column:
 
 
 def format_fasta(sequences: DataFrame, width: int = 60) -> DataFrame:
-    return sequences.select(fasta_record(width).alias("value"))
+    """Records as text, one header per record.
+
+    A record in several rows (``chunk``) is written as one, in the order of its chunks: each row
+    leaves the letters that complete the line before to its predecessor, if there is one.
+    """
+    if "chunk" not in sequences.columns:
+        return sequences.select(fasta_record(width).alias("value"))
+    keys = ["file", "record"]
+    window = Window.partitionBy(*keys).orderBy("chunk")
+    before = window.rowsBetween(Window.unboundedPreceding, -1)
+    # Lengths and a line of each chunk, not the sequences
+    ends = sequences.select(
+        *keys, "chunk", F.length("sequence").alias("_n"), F.substring("sequence", 1, width).alias("_line")
+    )
+    ends = ends.withColumn(
+        "_skip", F.pmod(-F.coalesce(F.sum("_n").over(before), F.lit(0)), F.lit(width)).cast("int")
+    )
+    following = F.lead(F.expr("substring(_line, 1, _skip)"), 1, "").over(window)
+    ends = ends.select(*keys, "chunk", "_skip", following.alias("_rest"))
+    title = F.when(
+        F.coalesce("meta", F.lit("")) != "", F.concat_ws(" ", "name", "meta")
+    ).otherwise(F.col("name"))
+    body = F.expr("concat(substring(sequence, _skip + 1), _rest)")
+    wrapped = F.array_join(F.regexp_extract_all(body, F.lit(f".{{1,{width}}}"), F.lit(0)), "\n")
+    header = F.when(F.col("chunk") == 0, F.concat(F.lit(">"), title, F.lit("\n"))).otherwise("")
+    joined = sequences.join(ends, [*keys, "chunk"]).orderBy(*keys, "chunk")
+    return joined.select(F.concat(header, wrapped).alias("value")).where("value <> ''")
 
 
 def parse_fastq(lines: DataFrame) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -65,7 +68,7 @@ def parse_contigs(lines: DataFrame) -> DataFrame:
     )
 
 
-def parse_readgroups(lines: DataFrame) -> DataFrame:
+def parse_readgroups(lines: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     names = {
         "ID": "rg",
         "SM": "sample",
@@ -75,7 +78,7 @@ def parse_readgroups(lines: DataFrame) -> DataFrame:
         "DS": "description",
     }
     return _header(lines, "RG").select(
-        *(F.try_element_at("h", F.lit(key)).alias(name) for key, name in names.items())
+        *keep, *(F.try_element_at("h", F.lit(key)).alias(name) for key, name in names.items())
     )
 
 
@@ -83,10 +86,60 @@ def sort_order(lines: DataFrame) -> DataFrame:
     return _header(lines, "HD").select(F.try_element_at("h", F.lit("SO")).alias("sort_order"))
 
 
-def read_alignments(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(alignments, contigs, readgroups) of a SAM text file."""
+def _merged(header: DataFrame, key: str, what: str) -> DataFrame:
+    """Header rows of several files, each key once; files must agree. Header rows are few."""
+    values = [name for name in header.columns if name not in (key, "line")]
+    rows = header.groupBy(key).agg(
+        F.min("line").alias("line"),
+        F.count_distinct(F.to_json(F.struct(*values))).alias("_n"),
+        *(F.min(name).alias(name) for name in values),
+    )
+    fault = F.raise_error(F.lit(f"files disagree on a {what}")).cast("string")
+    kept = F.when(F.col("_n") > 1, fault).otherwise(F.col(key).cast("string"))
+    return rows.withColumn(key, kept).drop("_n")
+
+
+#: Lines of a file that have ids of their own.
+FILE_LINES = 1 << 40
+
+
+def read_alignments(
+    spark: SparkSession, path: str | list[str]
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(alignments, contigs, readgroups) of SAM text files or folders of them.
+
+    Ids are unique over all files: the number of the file in order of names, then the line. The
+    headers are merged: contigs in order of their first appearance, and read-groups. Files that
+    disagree on the length of a contig or on a read-group are an error.
+    """
     lines = numbered_lines(spark, path)
-    return parse_alignments(lines), parse_contigs(lines), parse_readgroups(lines)
+    # One row per file; the two lists of files differ in the slashes after the scheme
+    names = sorted({re.sub("^([a-z0-9]+):/+", r"\1:/", name) for name in spark.read.text(path).inputFiles()})
+    files = spark.createDataFrame(list(zip(names, range(len(names)), strict=True)), "_name string, _file long")
+    same_file = F.regexp_replace("file", "^([a-z0-9]+):/+", "$1:/") == F.col("_name")
+    numbered = lines.join(F.broadcast(files), same_file).select(
+        "file", (F.col("_file") * FILE_LINES + F.col("line")).alias("line"), "value"
+    )
+    # The header is read without numbering anything but its own lines
+    raw = spark.read.option("lineSep", "\n").text(path).where(F.col("value").startswith("@"))
+    header = raw.select(
+        F.col("_metadata.file_path").alias("file"),
+        F.monotonically_increasing_id().alias("_id"),
+        "value",
+    )
+    order = F.struct("_file", "_id")
+    header = header.join(F.broadcast(files), same_file).select(order.alias("line"), "value")
+    contigs = _merged(
+        _header(header, "SQ").select(
+            "line", F.col("h")["SN"].alias("contig"), F.col("h")["LN"].cast("long").alias("length")
+        ),
+        "contig",
+        "contig",
+    )
+    tid = F.row_number().over(Window.orderBy("line")) - 1
+    contigs = contigs.select(tid.alias("tid"), "contig", "length")
+    readgroups = _merged(parse_readgroups(header, keep=["line"]), "rg", "read-group").drop("line")
+    return parse_alignments(numbered), contigs, readgroups
 
 
 def format_alignments(alignments: DataFrame) -> DataFrame:

@@ -13,28 +13,12 @@ import __spark_entry__ as driver
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 QUERIES, ORACLES = driver.queries(), driver.oracle_sql()
 
-#: These join by read_id. Two records of the smallest tables have the same one, the larger tables
-#: have none.
-UNIQUE_IDS = {
-    "copy_numbers",
-    "dedup_library",
-    "mark_duplicates_collapsed",
-    "mark_duplicates_paired",
-    "remove_duplicates",
-}
-
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables")
 
 
-def folder(name: str) -> str:
-    if name in UNIQUE_IDS and SF_DIR.endswith("sf0.001"):
-        return SF_DIR.removesuffix("sf0.001") + "sf0.01"
-    return SF_DIR
-
-
 @pytest.fixture(scope="module")
-def connections():
-    return {path: connect(path) for path in {folder(name) for name in ORACLES}}
+def connection():
+    return connect(SF_DIR)
 
 
 def test_every_oracle_has_a_query():
@@ -42,9 +26,8 @@ def test_every_oracle_has_a_query():
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
-def test_matches_sql(spark, connections, name):
-    path = folder(name)
-    assert compare(spark, connections[path], name, QUERIES[name], ORACLES[name], path) is None
+def test_matches_sql(spark, connection, name):
+    assert compare(spark, connection, name, QUERIES[name], ORACLES[name], SF_DIR) is None
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
