@@ -14,7 +14,7 @@ from helixframe.operators import msa as m
 from helixframe.operators import validate as va
 from helixframe.operators.alignments import tag_value
 from helixframe.plans import intervals as plan
-from helixframe.sources import bed, fasta, sam
+from helixframe.sources import bed, fasta, phylip, sam
 
 # Intervals ----------------------------------------------------------------------------------
 
@@ -45,6 +45,31 @@ def merge_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return iv.merge_regions(_sparse(spark, sf_dir))
 
 
+@query(
+    "scatter_regions",
+    v.with_views(
+        "regions",
+        "contigs",
+        extra={"spans": _SPARSE}
+        | _MERGED
+        | {
+            "islands": """SELECT contig, min("start") AS "start", max("end") AS "end" FROM numbered
+                GROUP BY contig, island""",
+            "laid": """SELECT islands.*, "end" - "start" AS n, sum("end" - "start") OVER () AS total,
+                sum("end" - "start") OVER (ORDER BY tid, "start" ROWS UNBOUNDED PRECEDING)
+                - ("end" - "start") AS laid_at FROM islands JOIN contigs USING (contig)""",
+            "parts": """SELECT k, k * total // 37 AS low, (k + 1) * total // 37 AS high
+                FROM range(37) AS t(k), (SELECT max(total) AS total FROM laid)""",
+        },
+    )
+    + """SELECT k AS part, contig, CAST("start" + greatest(low - laid_at, 0) AS BIGINT) AS "start",
+        CAST("start" + least(high - laid_at, n) AS BIGINT) AS "end"
+        FROM laid JOIN parts ON low < laid_at + n AND high > laid_at""",
+)
+def scatter_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return iv.scatter_regions(_sparse(spark, sf_dir), 37, v.contigs(spark, sf_dir), 4096)
+
+
 @query(
     "pad_regions",
     v.with_views("regions", "contigs")
@@ -595,6 +620,49 @@ def write_fastq(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fasta.format_fastq(fasta.parse_fastq(_fastq_lines(spark, sf_dir)))
 
 
+@query(
+    "unmapped_records",
+    v.with_views("sequences", extra={"records": _FASTQ})
+    + """SELECT (dense_rank() OVER (ORDER BY file) - 1) * 1099511627776 + record AS read_id,
+        name AS qname, 4 AS flag, -1 AS pos, sequence AS seq, 'g1' AS rg,
+        CAST(list_sum([ascii(c) - 33 FOR c IN string_split(qualities, '')]) AS BIGINT) AS sum_quality
+        FROM records""",
+)
+def unmapped_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reads = fasta.unmapped_records(fasta.parse_fastq(_fastq_lines(spark, sf_dir)), "g1")
+    total = F.aggregate("quals", F.lit(0).cast("long"), lambda acc, it: acc + it)
+    return reads.select(
+        "read_id", "qname", "flag", F.col("pos").cast("int"), "seq", tag_value("RG").alias("rg"),
+        total.alias("sum_quality"),
+    )
+
+
+@query(
+    "write_phylip",
+    v.with_views(
+        "sequences",
+        extra={
+            "shapes": """SELECT msa, count(*) AS n, max(len(sequence)) AS bases,
+                CAST(ceil((max(len(name)) + 2) / 12.0) AS BIGINT) * 12 - 2 AS margin
+                FROM sequences GROUP BY msa""",
+            "sizes": """SELECT *, (70 - margin) // 12 * 10 AS first,
+                greatest(bases - (70 - margin) // 12 * 10 + 59, 0) // 60 AS more FROM shapes""",
+            "lines": """SELECT msa, name, sequence, first, margin,
+                unnest(range(0, more + 1)) AS section FROM sequences JOIN sizes USING (msa)""",
+        },
+    )
+    + """SELECT msa, -1 AS section, NULL AS name, concat(n, ' ', bases) AS value FROM sizes
+        UNION ALL SELECT msa, CAST(unnest(range(0, more + 1)) AS INT), NULL, '' FROM sizes
+        UNION ALL SELECT msa, CAST(section AS INT), name, CASE WHEN section = 0
+            THEN concat(rpad(name, CAST(margin + 2 AS INT), ' '),
+                rtrim(regexp_replace(substr(sequence, 1, first), '(.{10})', '\\1  ', 'g')))
+            ELSE rtrim(regexp_replace(substr(sequence, first + (section - 1) * 60 + 1, 60),
+                '(.{10})', '\\1  ', 'g')) END FROM lines""",
+)
+def write_phylip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phylip.phylip_lines(v.documents_as_sequences(spark, sf_dir))
+
+
 @query(
     "fastq_summary",
     v.with_views("sequences", extra={"records": _FASTQ})

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from helixframe.catalog import duplicates as dq
 from helixframe.catalog import views as v
 from helixframe.catalog.panels import SAMPLES
-from helixframe.catalog.registry import query
+from helixframe.catalog.registry import ORACLES, query
 from helixframe.operators import coverage as cov
 from helixframe.operators import depths as dp
 from helixframe.operators import finalize as fz
@@ -327,7 +327,19 @@ def write_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.panel_contig_lines(contigs).unionByName(reports.panel_sample_lines(samples))
 
 
-@query("write_coverage_table")
+_SEPARATORS = """
+    UNION ALL SELECT '#' FROM (SELECT DISTINCT sample, library FROM lines)
+    UNION ALL SELECT '#' FROM (SELECT DISTINCT sample FROM lines)"""
+
+
+@query(
+    "write_coverage_table",
+    f"""WITH lines AS ({ORACLES["coverage_contig"]})
+        SELECT concat_ws(chr(9), 'Name', 'Sample', 'Library', 'Contig', 'Size', 'Hits', 'SE', 'PE_1',
+            'PE_2', 'Collapsed', 'M', 'I', 'D', 'Coverage') AS value
+        UNION ALL SELECT concat_ws(chr(9), name, sample, library, contig, size, hits, se, pe_1, pe_2,
+            collapsed, m, i, d, coverage) FROM lines {_SEPARATORS}""",
+)
 def write_coverage_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = cov.coverage_table(
         v.alignments(spark, sf_dir), v.contigs(spark, sf_dir), v.readgroups(spark, sf_dir)
@@ -347,7 +359,18 @@ def write_filter_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("write_depths_table")
+@query(
+    "write_depths_table",
+    f"""WITH fractions AS ({ORACLES["depth_fractions"]}), tops AS ({ORACLES["max_depth"]}),
+        lines AS (SELECT sample, library, contig, size,
+            string_agg(printf('%.4f', fraction), chr(9) ORDER BY depth) AS cells
+            FROM fractions GROUP BY ALL)
+        SELECT concat_ws(chr(9), 'Name', 'Sample', 'Library', 'Contig', 'Size', 'MaxDepth',
+            (SELECT string_agg(printf('MD_%03d', k), chr(9) ORDER BY k) FROM range(1, 201) AS t(k))) AS value
+        UNION ALL SELECT concat_ws(chr(9), 'genome', sample, library, contig, size,
+            coalesce(CAST(max_depth AS VARCHAR), 'NA'), cells)
+            FROM lines LEFT JOIN tops USING (sample, library, contig) {_SEPARATORS}""",
+)
 def write_depths_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = dp.depths_table(
         v.alignments(spark, sf_dir), v.contigs(spark, sf_dir), v.readgroups(spark, sf_dir)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from helixframe.functions.flags import UNMAPPED
 from helixframe.functions.sequences import uncalled_bases
 from helixframe.plans.intervals import running_before
 from helixframe.plans.skew import skew_join
@@ -12,6 +13,8 @@ from helixframe.sources.lines import numbered_lines
 
 #: Lines of a record that are joined into one row.
 CHUNK_LINES = 1 << 14
+#: Bits of a read's id below the number of its file.
+FILE_SHIFT = 40
 
 
 def _fail(message: str) -> Column:
@@ -190,3 +193,34 @@ def format_fastq(records: DataFrame) -> DataFrame:
             "\n", F.concat(F.lit("@"), title), F.col("sequence"), F.lit("+"), F.col("qualities")
         ).alias("value")
     )
+
+
+def unmapped_records(records: DataFrame, rg: str, offset: int = 33) -> DataFrame:
+    """FASTQ records as alignments without a position, in the given read-group.
+
+    ``read_id`` is the number of the file, in the order of their names, and that of the record.
+    """
+    # One row per file
+    number = F.row_number().over(Window.orderBy("file")) - 1
+    files = records.select("file").distinct().select("file", number.cast("long").alias("_file"))
+    codes = F.transform(
+        F.filter(F.split("qualities", ""), lambda it: it != ""), lambda it: F.ascii(it) - offset
+    )
+    nothing, no_pos = F.lit(None), F.lit(-1).cast("long")
+    tag = F.struct(F.lit("Z").alias("type"), F.lit(rg).alias("value"))
+    return skew_join(records, files, ["file"]).select(
+        (F.shiftleft("_file", FILE_SHIFT) + F.col("record")).alias("read_id"),
+        F.col("name").alias("qname"),
+        F.lit(UNMAPPED).alias("flag"),
+        nothing.cast("string").alias("contig"),
+        no_pos.alias("pos"),
+        F.lit(0).alias("mapq"),
+        nothing.cast("array<struct<op:int,len:int>>").alias("cigar"),
+        nothing.cast("string").alias("mate_contig"),
+        no_pos.alias("mate_pos"),
+        F.lit(0).alias("tlen"),
+        F.col("sequence").alias("seq"),
+        codes.alias("quals"),
+        F.create_map(F.lit("RG"), tag).alias("tags"),
+        F.lit(rg).alias("rg"),
+    )
