@@ -284,7 +284,12 @@ _FILTER_TESTS = {
     "supplementary": "x & 2048 <> 0",
     "unmapped_mate": "flag & 1 <> 0 AND x & 8 <> 0",
     "improper_pair": "flag & 1 <> 0 AND x & 2 <> 0",
-} | {label: label for label in fz.DERIVED_FILTERS}
+    "low_mapping_quality": "low_mapping_quality",
+    "low_mapped_fraction": "low_mapped_fraction",
+    "few_mapped": "few_mapped",
+    "bad_insert_size": "bad_insert_size",
+    "orphan_reads": "orphan_reads",
+}
 
 
 @query(

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from helixframe.catalog import views as v
 from helixframe.catalog.registry import query
-from helixframe.functions import sequences as sq
 from helixframe.operators import admixture as ad
 from helixframe.operators import mito
 from helixframe.operators import msa
@@ -27,10 +26,7 @@ _AT_SITES = {
     "bases": "SELECT * FROM at_sites WHERE base <> 'N'",
     "alleles": """SELECT contig, pos, unnest(string_split(genotypes, '')) AS code FROM panel_sites""",
     "site_sets": "SELECT contig, pos, bit_or(CASE code "
-    + " ".join(
-        f"WHEN '{code}' THEN {sum(sq.BASE_BITS[base] for base in bases)}"
-        for code, bases in sq.IUPAC.items()
-    )
+    + v.sql_cases(v.CODE_SETS)
     + " END) AS alleles FROM alleles GROUP BY contig, pos",
 }
 _BIT = "CASE base WHEN 'A' THEN 1 WHEN 'C' THEN 2 WHEN 'G' THEN 4 ELSE 8 END"

@@ -227,11 +227,10 @@ def interval_list_to_bed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Scalar functions on whole texts -------------------------------------------------------------
 
-_KNOWN = sq.COMPLEMENT_FROM + sq.COMPLEMENT_FROM.lower()
-_COMPLEMENT = (
-    f"translate(regexp_replace(text, '[^{_KNOWN}]', 'N', 'g'), '{_KNOWN}', "
-    f"'{sq.COMPLEMENT_TO + sq.COMPLEMENT_TO.lower()}')"
-)
+# Fixed values for the SQL: codes with a complement, and the complements
+_KNOWN = "ABCDGHKMNRSTVWXYabcdghkmnrstvwxy"
+_OPPOSITE = "TVGHCDMKNYSABWXRtvghcdmknysabwxr"
+_COMPLEMENT = f"translate(regexp_replace(text, '[^{_KNOWN}]', 'N', 'g'), '{_KNOWN}', '{_OPPOSITE}')"
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -290,7 +289,7 @@ _PAIR_CODES = {"AC": "M", "AG": "R", "AT": "W", "CG": "S", "CT": "Y", "GT": "K"}
 @query(
     "encode_genotype",
     """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, code, CASE code """
-    + " ".join(f"WHEN '{code}' THEN '{bases}'" for code, bases in sq.IUPAC.items())
+    + v.sql_cases(v.CODE_LETTERS, "WHEN '{0}' THEN '{1}'")
     + """ END AS decoded FROM (SELECT *, CASE WHEN a = b THEN a """
     + " ".join(
         f"WHEN least(a, b) = '{bases[0]}' AND greatest(a, b) = '{bases[1]}' THEN '{code}'"
@@ -365,16 +364,12 @@ def msa_reduce(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.msa_reduce(v.documents_as_sequences(spark, sf_dir))
 
 
-_DECODE = "CASE base " + " ".join(
-    f"WHEN '{code}' THEN {sum(sq.BASE_BITS[base] for base in bases)}"
-    for code, bases in sq.IUPAC.items()
-    if code != "N"
-) + " ELSE 0 END"
-_ENCODE = "CASE both WHEN 0 THEN 'N' " + " ".join(
-    f"WHEN {sum(sq.BASE_BITS[base] for base in bases)} THEN '{code}'"
-    for code, bases in sq.IUPAC.items()
-    if code != "N"
-) + " END"
+_DECODE = "CASE base " + v.sql_cases(v.CODE_SETS, leave_out="N") + " ELSE 0 END"
+_ENCODE = (
+    "CASE both WHEN 0 THEN 'N' "
+    + v.sql_cases(v.CODE_SETS, "WHEN {1} THEN '{0}'", leave_out="N")
+    + " END"
+)
 
 
 @query(

@@ -347,7 +347,26 @@ def write_coverage_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.coverage_lines(table)
 
 
-@query("write_filter_json")
+@query(
+    "write_filter_json",
+    f"""WITH counts AS ({ORACLES["finalize_filter_counts"]}),
+        histograms AS ({ORACLES["finalize_histograms"]}),
+        totals AS ({ORACLES["finalize_totals"]}),
+        keys AS (SELECT "group", metric, outcome, string_agg(concat('"', key, '":', count), ','
+            ORDER BY CAST(key AS VARCHAR)) AS body FROM histograms GROUP BY ALL),
+        outcomes AS (SELECT "group", metric, string_agg(concat('"', outcome, '":{{', body, '}}'), ','
+            ORDER BY outcome) AS body FROM keys GROUP BY ALL),
+        metrics AS (SELECT "group", string_agg(concat('"', metric, '":{{', body, '}}'), ','
+            ORDER BY metric) AS body FROM outcomes GROUP BY ALL),
+        filters AS (SELECT "group", string_agg(concat('"', filter, '":', count), ',' ORDER BY filter) AS body
+            FROM counts GROUP BY ALL),
+        sums AS (SELECT "group", string_agg(concat('"', outcome, '":{{"reads":', reads, ',"bases":', bases,
+            ',"coverage":', coverage, '}}'), ',' ORDER BY outcome) AS body FROM totals GROUP BY ALL)
+        SELECT sums."group", concat('{{"filters":{{', filters.body, '}},"genome":{{"ncontigs":', genome.n,
+            ',"size":', genome.size, '}},"histograms":{{', metrics.body, '}},"totals":{{', sums.body, '}}}}') AS value
+        FROM sums JOIN filters USING ("group") JOIN metrics USING ("group"),
+            (SELECT count(*) AS n, count(*) * 10000 AS size FROM region) AS genome""",
+)
 def write_filter_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     evaluated = fz.evaluate_alignments(v.alignments(spark, sf_dir, "pair_reads"), dq.OPTIONS)
     groups, contigs = v.readgroups(spark, sf_dir), v.contigs(spark, sf_dir)

@@ -279,6 +279,17 @@ _DNA_SQL = (
     f"'[^{''.join(sorted(set(NUCLEOTIDES)))}]', '-', 'g')"
 )
 
+# Fixed values for the SQL: codes by the set of their bases (A 1, C 2, G 4, T 8), and as letters
+CODE_SETS = "A 1 C 2 M 3 G 4 R 5 S 6 V 7 T 8 W 9 Y 10 H 11 K 12 D 13 B 14 N 15".split()
+CODE_LETTERS = "A A C C G G T T R AG Y CT K GT M AC S CG W AT B CGT D AGT H ACT V ACG N ACGT".split()
+
+
+def sql_cases(pairs: list[str], result: str = "WHEN '{0}' THEN {1}", leave_out: str = "") -> str:
+    """``WHEN`` branches for a list of codes and values in turn."""
+    branches = zip(pairs[::2], pairs[1::2], strict=True)
+    return " ".join(result.format(*it) for it in branches if it[0] not in leave_out.split())
+
+
 _CTES: dict[str, str] = {
     "contigs": """SELECT CAST(r_regionkey AS INT) AS tid, concat('chr', r_regionkey + 1) AS contig,
         CAST(10000 AS BIGINT) AS length FROM region""",

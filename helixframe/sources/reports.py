@@ -71,26 +71,34 @@ def depths_lines(table: DataFrame) -> DataFrame:
 def filter_json(
     counts: DataFrame, histograms: DataFrame, totals: DataFrame, contigs: DataFrame
 ) -> DataFrame:
-    """Statistics of the pass/fail evaluation as JSON, one row per group: ``(group, value)``."""
+    """Statistics of the pass/fail evaluation as JSON, one row per group: ``(group, value)``.
 
-    filters = counts.groupBy("group").agg(
-        F.map_from_entries(F.collect_list(F.struct("filter", "count"))).alias("filters")
-    )
+    Entries are sorted by their keys, as texts.
+    """
+
+    def entries(*columns: str | Column) -> Column:
+        return F.map_from_entries(F.array_sort(F.collect_list(F.struct(*columns))))
+
+    def by_name(name: str, value: str) -> Column:
+        pairs = F.collect_list(F.struct(name, value))
+        return F.array_sort(
+            pairs,
+            lambda a, b: F.when(a[name] < b[name], -1).when(a[name] > b[name], 1).otherwise(0),
+        )
+
+    filters = counts.groupBy("group").agg(entries("filter", "count").alias("filters"))
     metric = histograms.groupBy("group", "metric", "outcome").agg(
-        F.map_from_entries(
-            F.array_sort(F.collect_list(F.struct(F.col("key").cast("string"), "count")))
-        ).alias("_counts")
+        entries(F.col("key").cast("string").alias("key"), "count").alias("_counts")
     )
+    # Maps have no order of their own, and texts do
     outcomes = metric.groupBy("group", "metric").agg(
-        F.map_from_entries(F.collect_list(F.struct("outcome", "_counts"))).alias("_outcomes")
+        F.map_from_entries(by_name("outcome", "_counts")).alias("_outcomes")
     )
     metrics = outcomes.groupBy("group").agg(
-        F.map_from_entries(F.collect_list(F.struct("metric", "_outcomes"))).alias("histograms")
+        F.map_from_entries(by_name("metric", "_outcomes")).alias("histograms")
     )
     summary = totals.groupBy("group").agg(
-        F.map_from_entries(
-            F.collect_list(F.struct("outcome", F.struct("reads", "bases", "coverage")))
-        ).alias("totals")
+        entries("outcome", F.struct("reads", "bases", "coverage").alias("sums")).alias("totals")
     )
     genome = contigs.agg(
         F.struct(F.count("*").alias("ncontigs"), F.sum("length").alias("size"))
