@@ -587,8 +587,8 @@ def parse_cigar(spark: SparkSession, sf_dir: str) -> DataFrame:
     "mate_number",
     v.with_views("raw_reads")
     + """SELECT read_id, CAST(CASE WHEN flag & 193 = 65 THEN 1 WHEN flag & 193 = 129 THEN 2 END AS INT) AS mate,
-        CASE WHEN flag & 65 = 65 THEN 'Mate 1 read in' WHEN flag & 129 = 129 THEN 'Mate 2 read in'
-        ELSE 'Unpaired read in' END AS read_type FROM raw_reads""",
+        CASE WHEN flag & 65 = 65 THEN 'first mate' WHEN flag & 129 = 129 THEN 'second mate'
+        ELSE 'single read' END AS read_type FROM raw_reads""",
 )
 def mate_number(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.alignments(spark, sf_dir, "raw_reads").select(

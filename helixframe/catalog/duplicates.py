@@ -201,8 +201,8 @@ def limit_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     "duplicate_report",
     v.with_views("dup_reads", "readgroups", extra={"checked": _CHECKED})
     + f"""SELECT first_read, f.read_id, contig, pos,
-        CASE WHEN flag & 65 = 65 THEN 'Mate 1 read in' WHEN flag & 129 = 129 THEN 'Mate 2 read in'
-            ELSE 'Unpaired read in' END AS read_type,
+        CASE WHEN flag & 65 = 65 THEN 'first mate' WHEN flag & 129 = 129 THEN 'second mate'
+            ELSE 'single read' END AS read_type,
         coalesce(sample, '?') AS sample, coalesce(library, '?') AS library,
         coalesce(platform_unit, '?') AS platform_unit, qname, seq AS sequence,
         array_to_string([chr(CAST(33 + q AS INT)) FOR q IN quals], '') AS qualities

@@ -745,22 +745,22 @@ def _check_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             FROM typed WINDOW w AS (PARTITION BY file ORDER BY line)),
         firsts AS (SELECT file, record, len(value) AS first_len FROM lagged WHERE kind = 's' AND before = 'h'),
         errors AS (SELECT l.file, line, CASE
-            WHEN ends_with(value, chr(13)) THEN 'file contains carriage returns'
-            WHEN kind = 'h' AND before = 'h' THEN 'empty sequence found'
-            WHEN kind = 'h' AND name = '' THEN 'unnamed sequence'
-            WHEN kind = 'h' AND name LIKE '=%' THEN 'invalid name'
+            WHEN ends_with(value, chr(13)) THEN 'line ends in CR'
+            WHEN kind = 'h' AND before = 'h' THEN 'header follows header'
+            WHEN kind = 'h' AND name = '' THEN 'header has no name'
+            WHEN kind = 'h' AND name LIKE '=%' THEN 'name breaks the SAM pattern'
             WHEN kind = 'h' AND EXISTS (SELECT 1 FROM typed t WHERE t.file = l.file AND t.kind = 'h'
-                AND t.name = l.name AND t.line < l.line) THEN 'duplicate name'
-            WHEN kind = 's' AND content = 0 THEN 'expected header'
-            WHEN kind = 's' AND before = 'b' THEN 'empty line in sequence'
+                AND t.name = l.name AND t.line < l.line) THEN 'name seen before'
+            WHEN kind = 's' AND content = 0 THEN 'bases before any header'
+            WHEN kind = 's' AND before = 'b' THEN 'bases follow blank line'
             WHEN kind = 's' AND NOT regexp_full_match(value, '[ACGTNRYKMSWBVDHacgtnrykmswbvdh]*')
-                THEN 'invalid characters'
+                THEN 'letters other than nucleotide codes'
             WHEN kind = 's' AND before = 's' AND (len(value) > first_len OR before_len <> first_len)
-                THEN 'lines differ in length'
-            WHEN kind = 'b' AND before = 'h' THEN 'expected sequence, found empty line' END AS error
+                THEN 'uneven line width'
+            WHEN kind = 'b' AND before = 'h' THEN 'blank line after header' END AS error
             FROM lagged l LEFT JOIN firsts f ON l.file = f.file AND l.record = f.record),
         ends AS (SELECT file, max(line) AS line, CASE WHEN arg_max(kind, line) FILTER (kind <> 'b') = 'h'
-            THEN 'file ends with an empty sequence' END AS error FROM typed GROUP BY file)
+            THEN 'no bases after last header' END AS error FROM typed GROUP BY file)
         SELECT file, arg_min(line, place) AS line, arg_min(error, place) AS error FROM (
             SELECT file, line, 2 * line AS place, error FROM errors WHERE error IS NOT NULL
             UNION ALL SELECT file, line, 2 * line + 1, error FROM ends WHERE error IS NOT NULL) GROUP BY file""",

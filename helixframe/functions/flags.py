@@ -57,7 +57,7 @@ def mate_number(flag: Column | str = "flag") -> Column:
 def read_type(flag: Column | str = "flag") -> Column:
     """Label used in the duplicate report."""
     return (
-        F.when(has_any(flag, PAIRED) & has_any(flag, MATE_1), "Mate 1 read in")
-        .when(has_any(flag, PAIRED) & has_any(flag, MATE_2), "Mate 2 read in")
-        .otherwise("Unpaired read in")
+        F.when(has_any(flag, PAIRED) & has_any(flag, MATE_1), "first mate")
+        .when(has_any(flag, PAIRED) & has_any(flag, MATE_2), "second mate")
+        .otherwise("single read")
     )

@@ -99,16 +99,16 @@ def validate_fasta(lines: DataFrame, width: int = 1 << 16) -> DataFrame:
         | (F.col("_previous.len") != F.col("_record.len"))
     )
     error = (
-        F.when(value.endswith("\r"), "file contains carriage returns")
-        .when((is_kind == "header") & (before == "header"), "empty sequence found")
-        .when((is_kind == "header") & (F.col("name") == ""), "unnamed sequence")
-        .when((is_kind == "header") & ~F.col("name").rlike(NAME_PATTERN), "invalid name")
-        .when((is_kind == "header") & F.col("_repeated").isNotNull(), "duplicate name")
-        .when((is_kind == "bases") & last.isNull(), "expected header")
-        .when((is_kind == "bases") & (before == "blank"), "empty line in sequence")
-        .when((is_kind == "bases") & ~value.rlike(allowed), "invalid characters")
-        .when((is_kind == "bases") & wrong_length, "lines differ in length")
-        .when((is_kind == "blank") & (before == "header"), "expected sequence, found empty line")
+        F.when(value.endswith("\r"), "line ends in CR")
+        .when((is_kind == "header") & (before == "header"), "header follows header")
+        .when((is_kind == "header") & (F.col("name") == ""), "header has no name")
+        .when((is_kind == "header") & ~F.col("name").rlike(NAME_PATTERN), "name breaks the SAM pattern")
+        .when((is_kind == "header") & F.col("_repeated").isNotNull(), "name seen before")
+        .when((is_kind == "bases") & last.isNull(), "bases before any header")
+        .when((is_kind == "bases") & (before == "blank"), "bases follow blank line")
+        .when((is_kind == "bases") & ~value.rlike(allowed), "letters other than nucleotide codes")
+        .when((is_kind == "bases") & wrong_length, "uneven line width")
+        .when((is_kind == "blank") & (before == "header"), "blank line after header")
     )
     per_line = (
         ordered.withColumn("name", name)
@@ -125,8 +125,8 @@ def validate_fasta(lines: DataFrame, width: int = 1 << 16) -> DataFrame:
         F.coalesce("first.line", "end").alias("line"),
         F.coalesce(
             F.col("first.error"),
-            F.when(F.col("last").isNull(), "file does not contain any sequences").when(
-                F.col("last.kind") == "header", "file ends with an empty sequence"
+            F.when(F.col("last").isNull(), "no content").when(
+                F.col("last.kind") == "header", "no bases after last header"
             ),
         ).alias("error"),
     ).where(F.col("error").isNotNull())
