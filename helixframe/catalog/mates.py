@@ -1,4 +1,4 @@
-"""Query on the mate fields of paired records."""
+"""Queries on the mate fields and mismatch tags of records."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from helixframe.catalog.registry import query
 from helixframe.functions import flags as fl
 from helixframe.operators.alignments import tag_value
 from helixframe.operators.mates import fix_mates
+from helixframe.operators.mismatches import set_mismatch_tags
 
 
 @query(
@@ -71,3 +72,49 @@ def mate_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
         tag_value("MC", "Z").alias("mc"),
         tag_value("MQ", "i").alias("mq"),
     )
+
+
+# Rows of 100 bases, each starting elsewhere in the repeat of which the reads are made as well
+_REFERENCE = """
+    SELECT contig, CAST(start AS BIGINT) AS start,
+        substr(repeat('{repeat}', 12), CAST(1 + (start / 100) % 13 AS INT), 100) AS sequence
+    FROM {starts}"""
+_COMPARED = """CASE WHEN substr(seq, CAST({query} + i + 1 AS INT), 1) = substr(bases, CAST({at} + i + 1 AS INT), 1)
+    AND substr(bases, CAST({at} + i + 1 AS INT), 1) <> 'N' THEN '=' ELSE substr(bases, CAST({at} + i + 1 AS INT), 1) END"""
+_FIRST, _SECOND = (
+    f"array_to_string([{_COMPARED.format(query=q, at=at)} for i in range(CAST({n} AS BIGINT))], '')"
+    for q, at, n in (("clip", "0", "m1"), ("clip + m1 + ins", "m1 + del", "m2"))
+)
+
+
+@query(
+    "set_mismatch_tags",
+    v.with_views(
+        "reads",
+        "contigs",
+        extra={
+            "genome": f"""SELECT contig, string_agg(sequence, '' ORDER BY start) AS whole FROM ({_REFERENCE.format(
+                repeat=v.REPEAT,
+                starts="(SELECT contig, unnest(range(0, length, 100)) AS start FROM contigs)",
+            ).replace(" / ", " // ")}) GROUP BY contig""",
+            "placed": """SELECT r.*, substr(whole, CAST(pos + 1 AS INT), m1 + del + m2) AS bases
+                FROM reads r JOIN genome USING (contig) WHERE flag & 4 = 0""",
+            "compared": f"""SELECT read_id, ins + del AS indels, {_FIRST} || CASE WHEN del > 0
+                THEN '^' || substr(bases, m1 + 1, del) || '!' ELSE '' END || {_SECOND} AS text FROM placed""",
+            "edited": r"""SELECT *, string_split_regex(text, '\^[A-Z]+!|[A-Z]') AS runs,
+                regexp_extract_all(text, '\^[A-Z]+!|[A-Z]') AS edits FROM compared""",
+            "tagged": r"""SELECT read_id,
+                CAST(indels + len(regexp_replace(text, '\^[A-Z]+!|=', '', 'g')) AS VARCHAR) AS nm,
+                array_to_string([CAST(len(runs[i]) AS VARCHAR) || coalesce(rtrim(edits[i], '!'), '')
+                    for i in range(1, len(runs) + 1)], '') AS md FROM edited""",
+        },
+    )
+    + "SELECT r.read_id, nm, md FROM reads r LEFT JOIN tagged t ON r.read_id = t.read_id",
+)
+def mismatch_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    starts = v.contigs(spark, sf_dir).selectExpr("contig", "explode(sequence(0, length - 1, 100)) AS start")
+    text = f"substr(repeat('{v.REPEAT}', 12), cast(1 + (start div 100) % 13 as int), 100)"
+    reference = starts.selectExpr("contig", "start", f"{text} AS sequence")
+    return set_mismatch_tags(v.alignments(spark, sf_dir), reference).select(
+        "read_id", tag_value("NM", "i").alias("nm"), tag_value("MD", "Z").alias("md")
+    )
