@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from helixframe.plans.intervals import running_before
+from helixframe.plans.session import cut_lineage
 from helixframe.plans.skew import skew_join
 
 #: Fraction from which a sample counts as a member of a component.
@@ -13,34 +15,42 @@ CUTOFF = 0.001
 TEST_SAMPLE = "-"
 #: Smallest false-positive rate assumed for a tranche.
 MIN_FP_RATE = 0.001
+#: Read counts per bin of the search for the nearest one.
+LEVEL_WIDTH = 1 << 16
 
 
 def _pair(first: str, second: str):
     return F.array_sort(F.array(first, second)).alias("pair")
 
 
+def _nearest_levels(tests: DataFrame, simulations: DataFrame) -> DataFrame:
+    """Per read count of the tests the nearest ones of the simulations: (n_reads, _lower, _upper)."""
+    at = F.col("n_reads").cast("long")
+    marks = simulations.select(at.alias("at"), at.alias("level")).unionByName(
+        tests.select(at.alias("at"), F.lit(None).cast("long").alias("level"))
+    )
+    marks = marks.where("at IS NOT NULL").groupBy("at").agg(F.max("level").alias("level"))
+    # Upwards the nearest level so far is the largest one; downwards likewise, with signs changed
+    turned = marks.select((-F.col("at")).alias("at"), (-F.col("level")).alias("level"))
+    lower, upper = (
+        running_before(side, [], "at", "level", LEVEL_WIDTH, inclusive=True) for side in (marks, turned)
+    )
+    lower = lower.select(F.col("at").alias("n_reads"), F.col("_running").alias("_lower"))
+    upper = upper.select((-F.col("at")).alias("n_reads"), (-F.col("_running")).alias("_upper"))
+    return lower.join(upper, "n_reads")
+
+
 def asof_simulations(tests: DataFrame, simulations: DataFrame) -> DataFrame:
     """Simulations to compare a test with: those of the nearest smaller and larger read count.
 
     ``tests`` holds (test, sample1, sample2, n_reads, k, has_ts, value), ``simulations`` (n_reads,
-    k, sample1, sample2, has_ts, percentile, value). The read counts of the simulations are the
-    few design points of the panel, and travel as one array. The order of the two samples does
-    not matter. Output: (test, side, n_reads, value, percentile, sim_value); sides without a read
+    k, sample1, sample2, has_ts, percentile, value). The order of the two samples does not matter.
+    Output: (test, side, n_reads, value, percentile, sim_value); sides without a read
     count are missing, and sides without matching simulations have one row with nulls.
     """
-    levels = simulations.agg(F.collect_set("n_reads")).scalar()
-    sided = (
-        tests.withColumn("_levels", levels)
-        .withColumns(
-            {
-                "_lower": F.array_max(
-                    F.filter("_levels", lambda it: it <= F.col("n_reads"))
-                ),
-                "_upper": F.array_min(
-                    F.filter("_levels", lambda it: it >= F.col("n_reads"))
-                ),
-            }
-        )
+    # Read by the join and by the search for sides without simulations
+    sided = cut_lineage(
+        skew_join(tests, _nearest_levels(tests, simulations), ["n_reads"], "left")
         .select(
             "test",
             _pair("sample1", "sample2"),

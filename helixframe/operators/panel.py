@@ -247,22 +247,23 @@ def autosome_filter(rows: DataFrame) -> DataFrame:
 def check_contig_sets(reference: DataFrame, samples: DataFrame) -> DataFrame:
     """Reference contigs that a sample lacks or has with another size.
 
-    ``reference`` holds (contig, size), ``samples`` (sample, contig, size). The expected rows are
-    the contigs of the reference per sample, of which the matching ones are taken away.
+    ``reference`` holds (contig, size), ``samples`` (sample, contig, size). Sizes are compared by a
+    join. Which contigs are missing is only asked of the samples that have too few of them.
     """
-    contigs = reference.agg(F.collect_set(F.struct("contig", F.col("size").alias("expected")))).scalar()
-    expected = samples.select("sample").distinct().select("sample", F.inline(contigs))
-    return (
-        expected.join(samples, ["sample", "contig"], "left")
-        .select(
-            "sample",
-            "contig",
-            F.when(F.col("size").isNull(), "missing")
-            .when(F.col("size") != F.col("expected"), "different size")
-            .alias("problem"),
-        )
-        .where(F.col("problem").isNotNull())
+    wanted = reference.select("contig", F.col("size").alias("expected"))
+    matched = samples.join(wanted, "contig", "left")
+    wrong = matched.where(F.col("size") != F.col("expected")).select(
+        "sample", "contig", F.lit("different size").alias("problem")
     )
+    # Without a size a contig counts as missing
+    sized = matched.where("expected IS NOT NULL AND size IS NOT NULL")
+    present = F.count_if(F.col("expected").isNotNull() & F.col("size").isNotNull())
+    total = wanted.agg(F.count("*")).scalar()
+    short = matched.groupBy("sample").agg(present.alias("_n")).where(F.col("_n") < total)
+    contigs = wanted.agg(F.collect_set("contig")).scalar()
+    asked = short.select("sample", F.explode(contigs).alias("contig"))
+    missing = asked.join(sized, ["sample", "contig"], "left_anti")
+    return wrong.unionByName(missing.withColumn("problem", F.lit("missing")))
 
 
 def match_contigs(panel: DataFrame, headers: DataFrame) -> DataFrame:
