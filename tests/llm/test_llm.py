@@ -504,6 +504,21 @@ def test_html_boilerplate_of_a_host(spark):
     assert html_text.main_texts(df.where("false")).count() == 0
 
 
+def test_html_coverage_of_a_large_host(spark):
+    """A page's text depends on all pages of its host, however many a task counts at once."""
+    random.seed(11)
+    shared = [" ".join(f"run{k}word{n}" for n in range(10)) for k in range(30)]
+    # Every run stands on two pages of 60
+    pages = [
+        (k, "http://a.net/x", f"<div>{shared[k % 30]}</div><p>{' '.join(f'own{k}x{n}' for n in range(9))}</p>") for k in range(60)
+    ]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    found = [
+        {row["page_id"]: row["text"] for row in rows(html_text.main_texts(df, group_pages=size))} for size in (2, 400)
+    ]
+    assert found[0] == found[1] == {k: " ".join(f"own{k}x{n}" for n in range(9)) for k in range(60)}
+
+
 def test_html_articles_of_the_pages(spark):
     found = {row["page_id"]: row["text"] for row in rows(QUERIES["op9_html_extraction"](spark, SF_DIR))}
     for page_id, _, page in table("pages"):
