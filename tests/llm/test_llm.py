@@ -519,6 +519,33 @@ def test_html_coverage_of_a_large_host(spark):
     assert found[0] == found[1] == {k: " ".join(f"own{k}x{n}" for n in range(9)) for k in range(60)}
 
 
+def test_html_main_text_on_several_pages(spark):
+    """Copies, print views and quotes in plain blocks stay; what their pages share otherwise goes."""
+
+    def words(name: str, size: int) -> str:
+        return " ".join(f"{name}{n}" for n in range(size))
+
+    menu, quote = words("menu", 12), words("quote", 10)
+    texts = {k: words(f"text{k}x", 60) for k in range(9)}
+    texts[7] += f" {quote} {words('seven', 5)}"
+    texts[8] += f" {quote} {words('eight', 5)}"
+    pages = [(k, f"http://a.net/{k}", f"<div>{menu}</div><p>{text}</p>") for k, text in texts.items()]
+    # A repeated row, a mirror, a print view with a few words more, another one below an article, and a stub
+    pages += [pages[0], (10, "http://a.net/m", pages[1][2]), (11, "http://a.net/p", f"<p>{texts[2]}</p><p>printed page</p>")]
+    pages += [(12, "http://a.net/r", f"<article>{texts[3]}</article>"), (13, "http://a.net/s", f"<div>{menu}</div>")]
+    pages += [(20, "http://b.net/x", f"<div>{quote}</div>")] * 2
+    pages += [(k, "http://c.net/x", f"<div>{texts[4]}</div><div>{words(f'c{k}x', k - 30)}</div>") for k in (31, 36)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    found = rows(html_text.main_texts(df))
+    assert len(found) == len(pages)
+    by_id = {row["page_id"]: row["text"] for row in found}
+    assert {k: by_id[k] for k in texts} == texts
+    assert by_id[10] == texts[1] and by_id[11] == f"{texts[2]} printed page" and by_id[12] == texts[3]
+    assert by_id[13] == menu and by_id[20] == quote
+    assert by_id[31].startswith(texts[4]) and by_id[36].startswith(texts[4])
+    assert all(by_id[row["page_id"]] == row["text"] for row in found)
+
+
 def test_html_articles_of_the_pages(spark):
     found = {row["page_id"]: row["text"] for row in rows(QUERIES["op9_html_extraction"](spark, SF_DIR))}
     for page_id, _, page in table("pages"):
