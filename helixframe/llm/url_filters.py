@@ -29,8 +29,8 @@ RULES = (
     ("block", "com", "/de/"),
 )
 DAMPING = 0.85
-#: Mass still on its way when spreading ends, and the steps between two looks at it.
-TOLERANCE = 0.02
+#: Mass still on its way when spreading ends, at most, and the steps between two looks at it.
+TOLERANCE = 1e-6
 STEPS = 6
 BLOCK_RATIO = 1.0
 _LINK = r"""(?i)\bhref\s*=\s*["']?\s*(?:https?:)?//([^/?#"'<>\s]+)"""
@@ -89,7 +89,8 @@ def spread(links: DataFrame, seeds: DataFrame) -> DataFrame:
 
     ``links`` have (kind, source, target, links), ``seeds`` have (kind, host, pages). Mass is moved
     step by step; what has been received adds up to the rank. Mass that reaches a host without links
-    would start again at the seeds, which changes all ranks by the same factor.
+    would start again at the seeds, which changes all ranks by the same factor. Spreading goes on for as
+    long as it reaches new hosts, however little mass arrives there.
     """
     total = links.groupBy("kind", "source").agg(F.sum("links").alias("total"))
     edges = links.join(total, ["kind", "source"]).select(
@@ -110,6 +111,7 @@ def spread(links: DataFrame, seeds: DataFrame) -> DataFrame:
     state = seeds.join(F.broadcast(sums), "kind").select(
         "kind", "host", mass.alias("mass"), mass.alias("rank")
     )
+    reached = 0
     while True:
         for _ in range(STEPS):
             received = (
@@ -124,8 +126,10 @@ def spread(links: DataFrame, seeds: DataFrame) -> DataFrame:
                 "kind", F.col("target").alias("host"), "mass", (F.col("rank") + F.col("mass")).alias("rank")
             )
         state = checkpointed(state)
-        if (state.agg(F.sum("mass").alias("mass")).first()["mass"] or 0.0) < TOLERANCE:
+        found = state.agg(F.sum("mass").alias("mass"), F.count("*").alias("hosts")).first()
+        if found["hosts"] == reached and (found["mass"] or 0.0) < TOLERANCE:
             break
+        reached = found["hosts"]
     sums = state.groupBy("kind").agg(F.sum("rank").alias("all"))
     return state.join(F.broadcast(sums), "kind").select(
         "kind", "host", (F.col("rank") / F.col("all")).alias("rank")

@@ -317,6 +317,14 @@ def test_distrust_spreads_against_links(spark):
     assert verdicts == {1: "allow", 2: "allow", 3: "block", 4: "block", 5: "allow"}
 
 
+def test_distrust_reaches_the_end_of_a_long_chain(spark):
+    pages = [(0, "http://bad.com/de/1", None), (1, "http://h1.net/", '<a href="http://bad.com/">a</a>')]
+    pages += [(k, f"http://h{k}.net/", f'<a href="http://h{k - 1}.net/">a</a>') for k in range(2, 100)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    verdicts = {row["page_id"]: row["verdict"] for row in rows(url_filters.judge_urls(df))}
+    assert verdicts == dict.fromkeys(range(100), "block")
+
+
 # Mixing
 
 
