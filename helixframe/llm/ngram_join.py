@@ -1,11 +1,12 @@
-"""N-gram Jaccard join: a MinHash LSH forest finds candidates, exact sets decide.
+"""N-gram Jaccard join: MinHash banding finds candidates, exact sets decide.
 
 Texts are sets of shingles of five lower-cased words. Texts with equal sets are one node, however
-many copies there are. A forest of ``TREES`` tries holds a signature of each node; nodes that share
-a prefix in any trie are candidates. Prefixes start at their full length ``DEPTH`` and are shortened
-until two texts at the threshold meet with the probability ``RECALL``.
+many copies there are. Each has ``TREES`` bands; nodes that share a whole band are candidates. The
+length of all bands is chosen once: the longest one up to ``DEPTH`` at which two texts at the
+threshold meet with the probability ``RECALL``. Nothing is shortened for what a node has met, as an
+LSH forest would.
 
-Candidates are gathered by connected components of the tries' shared prefixes, components are cut
+Candidates are gathered by connected components of the shared bands, components are cut
 into blocks, and every pair of blocks compares its sets exactly. What leaves a pair of blocks is one
 row per node: the number of its links, and the node it hangs together with; pairs are never written
 out. The classes are the components of the verified links.
