@@ -1,6 +1,8 @@
 """All queries of this subpackage; importing the modules registers them."""
 
 from helixframe.llm import (  # noqa: F401
+    centroids,
+    collocations,
     exact_dedup,
     html_text,
     language,
@@ -11,6 +13,7 @@ from helixframe.llm import (  # noqa: F401
     substring_dedup,
     suffix_dedup,
     url_filters,
+    warc,
 )
 from helixframe.llm.queries import ORACLES, QUERIES
 
