@@ -578,6 +578,91 @@ def genotype_pca(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_SUPPLIERS = {
+    "genotypes": """SELECT l_partkey AS snp, l_suppkey AS sample, l_linenumber % 3 AS dosage FROM lineitem""",
+    "wide": """SELECT snp, sample, max(dosage) AS d FROM genotypes GROUP BY ALL""",
+    "scaled": """SELECT snp, sample, (d - mean) / sqrt(mean / 2 * (1 - mean / 2)) AS x FROM
+        (SELECT *, avg(d) OVER (PARTITION BY snp) AS mean FROM wide) WHERE mean > 0 AND mean < 2""",
+}
+
+
+def _supplier_genotypes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every supplier is a sample, so that there are more of them with every scale."""
+    return v.table(spark, sf_dir, "lineitem").select(
+        F.col("l_partkey").alias("snp"),
+        F.col("l_suppkey").cast("string").alias("sample"),
+        (F.col("l_linenumber") % 3).alias("dosage"),
+    )
+
+
+def _eigen_sql(samples: str, components: int) -> str:
+    """A row for each component and sample, all of which solve their equation; norms are one."""
+    return f"""SELECT CAST(c AS INT) AS component, sample, true AS solves, true AS unit
+        FROM range(1, {components + 1}) AS r(c), ({samples})"""
+
+
+def _eigen_rows(genotypes: DataFrame, samples: DataFrame, components: int) -> DataFrame:
+    """Whether G v = lambda v holds for each sample, G v being summed from the genotypes alone."""
+    found = pca.genotype_pca(genotypes, samples, components)
+    z = pca.normalised_genotypes(genotypes, samples)
+    per_site = z.join(found, "sample").groupBy("snp", "component").agg(
+        F.sum(F.col("z") * F.col("coordinate")).alias("w")
+    )
+    sites = z.agg(F.count_distinct("snp")).scalar()
+    product = z.join(per_site, "snp").groupBy("component", "sample").agg(F.sum(F.col("z") * F.col("w")).alias("gv"))
+    norms = found.groupBy("component").agg(F.sum(F.col("coordinate") * F.col("coordinate")).alias("norm"))
+    gap = F.coalesce("gv", F.lit(0.0)) / sites - F.col("eigenvalue") * F.col("coordinate")
+    return (
+        found.join(product, ["component", "sample"], "left")
+        .join(norms, "component")
+        .select(
+            "component",
+            "sample",
+            (F.abs(gap) <= 1e-7 * F.col("eigenvalue")).alias("solves"),
+            (F.abs(F.col("norm") - 1) < 1e-9).alias("unit"),
+        )
+    )
+
+
+@query(
+    "genotype_pca_equations",
+    v.with_views(extra=_SUPPLIERS)
+    + _eigen_sql("SELECT DISTINCT CAST(sample AS VARCHAR) AS sample FROM genotypes", 3),
+)
+def genotype_pca_equations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The leading components of all suppliers solve G v = lambda v, sample by sample."""
+    genotypes = _supplier_genotypes(spark, sf_dir)
+    return _eigen_rows(genotypes, genotypes.select("sample").distinct(), 3)
+
+
+@query(
+    "genotype_pca_rebuilt",
+    v.with_views(extra={"genotypes": _GENOTYPES["genotypes"]} | _SCALED)
+    + """SELECT a.sample AS sample, b.sample AS other, round(sum(a.x * b.x) / count(*), 6) AS value
+        FROM scaled a JOIN scaled b USING (snp) GROUP BY a.sample, b.sample""",
+)
+def genotype_pca_rebuilt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of all components together the covariance can be built again, which SQL computes from the rows."""
+    found = pca.genotype_pca(_genotypes(spark, sf_dir), SAMPLES, len(SAMPLES))
+    other = found.select("component", F.col("sample").alias("other"), F.col("coordinate").alias("_c"))
+    value = F.sum(F.col("eigenvalue") * F.col("coordinate") * F.col("_c"))
+    both = found.join(other, "component").groupBy("sample", "other")
+    return both.agg((F.round(value, 6) + 0.0).alias("value"))
+
+
+@query(
+    "pca_outliers",
+    v.with_views(extra=_SUPPLIERS) + "SELECT DISTINCT CAST(sample AS VARCHAR) AS sample FROM genotypes",
+)
+def pca_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples left after the outlier pass: all but one, which differs from all others at many sites."""
+    genotypes = _supplier_genotypes(spark, sf_dir)
+    further = genotypes.withColumns({"snp": -F.col("snp"), "dosage": F.lit(0).cast("long")})
+    strange = further.select("snp", F.lit("strange").alias("sample"), F.lit(2).cast("long").alias("dosage")).distinct()
+    everything = genotypes.withColumn("dosage", F.col("dosage").cast("long")).unionByName(further)
+    return pca.without_outliers(everything.unionByName(strange), None, 2.9, 1)
+
+
 # Admixture -----------------------------------------------------------------------------------
 
 _FRACTIONS = {
@@ -828,7 +913,7 @@ def _newick(key: str, step: str) -> str:
     return f"concat('((', {a}, ',', {b}, '),(', {c}, ',', {d}, '):0.5,', {e}, ':1);')"
 
 
-def _tree_views() -> dict[str, str]:
+def tree_views() -> dict[str, str]:
     a, b, c, d, e = "abcde"
     sets = [[x] for x in "abcde"] + [[a, b], [c, d], [c, d, e], [a, b, e]]
     sets += [[x for x in "abcde" if x != y] for y in "abcde"]
@@ -843,25 +928,25 @@ def _tree_views() -> dict[str, str]:
     }
 
 
-def _trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+def trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.table(spark, sf_dir, "orders").selectExpr(
         "o_orderkey AS tree_id", f"{_newick('o_orderkey', 'o_custkey')} AS newick"
     )
 
 
-@query("clade_support", v.with_views(extra=_tree_views()) + "SELECT clade, support FROM support")
+@query("clade_support", v.with_views(extra=tree_views()) + "SELECT clade, support FROM support")
 def clade_support(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tr.clade_support(_trees(spark, sf_dir))
+    return tr.clade_support(trees(spark, sf_dir))
 
 
 @query(
     "tree_leaves",
-    v.with_views(extra=_tree_views())
+    v.with_views(extra=tree_views())
     + """SELECT tree_id, array_to_string(list_sort([a, b, c, d, e]), ',') AS leaves, false AS duplicated
         FROM labelled""",
 )
 def tree_leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tr.tree_leaves(_trees(spark, sf_dir))
+    return tr.tree_leaves(trees(spark, sf_dir))
 
 
 _MAIN = ", ".join(
@@ -872,7 +957,7 @@ _MAIN = ", ".join(
 @query(
     "annotate_support",
     v.with_views(
-        extra=_tree_views()
+        extra=tree_views()
         | {
             "main": f"SELECT CAST(n_nationkey AS BIGINT) AS tree_id, {_MAIN} FROM nation",
             "looked_up": """SELECT m.*, coalesce(p.support, 0) AS first, coalesce(q.support, 0) AS second FROM main m
@@ -887,4 +972,4 @@ def annotate_support(spark: SparkSession, sf_dir: str) -> DataFrame:
     main = v.table(spark, sf_dir, "nation").selectExpr(
         "cast(n_nationkey as bigint) AS tree_id", f"{_newick('n_nationkey', 'n_regionkey')} AS newick"
     )
-    return tr.annotate_support(main, _trees(spark, sf_dir))
+    return tr.annotate_support(main, trees(spark, sf_dir))

@@ -23,9 +23,40 @@ from helixframe.plans.skew import skew_join
 MIN_COUNTED_QUALITY = 15
 
 
+#: Numbers are packed into one decimal digit by digit, so that packed ones are ordered like their parts.
+ID_DIGITS = 19
+COUNT_DIGITS, OPERATION_DIGITS = 12, 6
+#: Steps of a quality, those of a seeded one.
+QUALITY_STEPS = 1 << 32
+
+
+def _packed(*parts: tuple[Column, int]) -> Column:
+    """Non-negative whole numbers as one decimal, given the digits that each part has."""
+    out = F.lit(0).cast("decimal(38,0)")
+    for value, digits in parts:
+        scale = F.lit("1" + "0" * digits).cast("decimal(38,0)")
+        out = (out * scale + value.cast("decimal(38,0)")).cast("decimal(38,0)")
+    return out
+
+
+def _falling(value: Column, digits: int) -> Column:
+    """Whole numbers in reverse order."""
+    return F.lit("9" * digits).cast("decimal(38,0)") - value.cast("decimal(38,0)")
+
+
+def _unpacked_id(packed: Column) -> Column:
+    """The id in the last digits of a packed number."""
+    return (packed % F.lit("1" + "0" * ID_DIGITS).cast("decimal(38,0)")).cast("long")
+
+
+def _unpacked_falling_id(packed: Column) -> Column:
+    rest = packed % F.lit("1" + "0" * ID_DIGITS).cast("decimal(38,0)")
+    return _falling(rest, ID_DIGITS).cast("long")
+
+
 def _apply_verdict(alignments: DataFrame, eligible: Column, keep: DataFrame) -> DataFrame:
     """Set the duplicate bit of eligible records that are not in ``keep`` (read_id, copies)."""
-    joined = alignments.join(keep, "read_id", "left")
+    joined = skew_join(alignments, keep, ["read_id"], "left", salt_by=["read_id"])
     kept = F.col("copies").isNotNull()
     marked = (
         F.when(eligible & kept, fl.clear(F.col("flag"), fl.DUPLICATE))
@@ -45,10 +76,14 @@ def copy_numbers(
     highest base quality wins, and on ties the one whose CIGAR, and then the read itself, comes
     first. ``copies`` is the size of the group plus the copy numbers already recorded in its
     ``XP`` tags, and 1 for a read without copies. Missing qualities get a seeded value in (-1, 0].
+
+    What decides is packed into decimals, which aggregate in hash tables: a CIGAR into its reads,
+    length and best quality, and among those alike in that the one seen first.
     """
     cigar, pos = F.col("cigar"), F.col("pos")
     recorded = tag_value("XP", "i").cast("long")
     guess = F.when(F.col("quals").isNull(), -hashing.uniform(seed, F.col("read_id")))
+    quality = F.coalesce(C.aligned_quality(cigar, F.col("quals")).cast("double"), guess)
     reads = alignments.where(_collapsible()).select(
         *by,
         "read_id",
@@ -58,27 +93,34 @@ def copy_numbers(
         C.unclipped_end(pos, cigar).alias("last"),
         "cigar",
         F.coalesce(recorded, F.lit(0)).alias("xp"),
-        F.coalesce(C.aligned_quality(cigar, F.col("quals")).cast("double"), guess).alias("quality"),
+        ((quality + 1) * QUALITY_STEPS).cast("long").alias("quality"),
     )
     key = [*by, "contig", "reverse", "first", "last"]
+    falling_id = _falling(F.col("read_id"), ID_DIGITS)
     per_cigar = reads.groupBy(*key, "cigar").agg(
         F.count("*").alias("n"),
         F.sum("xp").alias("xp"),
         F.min("read_id").alias("seen"),
-        F.max(F.struct("quality", (-F.col("read_id")).alias("minus_id"))).alias("best"),
+        F.max("quality").alias("quality"),
+        F.max(_packed((F.col("quality"), ID_DIGITS), (falling_id, ID_DIGITS))).alias("best"),
+    )
+    rank = _packed(
+        (F.col("n"), COUNT_DIGITS),
+        (_falling(F.size("cigar"), OPERATION_DIGITS), OPERATION_DIGITS),
+        (F.col("quality"), ID_DIGITS),
     )
-    rank = F.struct(
-        F.col("n").alias("n"),
-        (-F.size("cigar")).alias("simple"),
-        F.col("best.quality").alias("quality"),
-        (-F.col("seen")).alias("early"),
-        F.col("best.minus_id").alias("minus_id"),
+    own = _packed((F.col("seen"), ID_DIGITS), (_unpacked_falling_id(F.col("best")), ID_DIGITS))
+    # Of CIGARs alike the one seen first, then of all the highest: nothing is sorted
+    per_rank = (
+        per_cigar.select(*key, "n", "xp", rank.alias("rank"), own.alias("own"))
+        .groupBy(*key, "rank")
+        .agg(F.sum("n").alias("n"), F.sum("xp").alias("xp"), F.min("own").alias("own"))
     )
-    per_key = per_cigar.groupBy(*key).agg(
-        F.sum("n").alias("n"), F.sum("xp").alias("xp"), F.max(rank).alias("winner")
+    per_key = per_rank.groupBy(*key).agg(
+        F.sum("n").alias("n"), F.sum("xp").alias("xp"), F.max_by("own", "rank").alias("winner")
     )
     return per_key.select(
-        (-F.col("winner.minus_id")).alias("read_id"),
+        _unpacked_id(F.col("winner")).alias("read_id"),
         F.when(F.col("n") == 1, 1).otherwise(F.col("n") + F.col("xp")).cast("long").alias("copies"),
     )
 
@@ -118,7 +160,7 @@ def mark_duplicates_paired(alignments: DataFrame, by: Sequence[str] = ()) -> Dat
     Templates with exactly one first and one second mate are pairs, and compared by the unclipped
     5' ends and strands of both mates; other reads are compared by their own 5' end and strand,
     and lose against a pair with a mate there. The highest sum of base qualities wins, on ties the
-    first read.
+    first read. Contigs are compared by a 64-bit hash of their names.
     """
     excluded = fl.UNMAPPED | fl.SECONDARY | fl.SUPPLEMENTARY | fl.QC_FAIL
     eligible = fl.has_none("flag", excluded) & F.col("cigar").isNotNull()
@@ -133,55 +175,60 @@ def mark_duplicates_paired(alignments: DataFrame, by: Sequence[str] = ()) -> Dat
         "read_id",
         "qname",
         fl.mate_number().alias("mate"),
-        F.struct("contig", five_prime.alias("at"), reverse.alias("reverse")).alias("end"),
+        F.xxhash64("contig").alias("contig"),
+        (five_prime.cast("long") * 2 + reverse.cast("long")).alias("end"),
         F.coalesce(quality, F.lit(0)).alias("quality"),
     )
 
     def of_mate(mate: int, column: str) -> Column:
         return F.max(F.when(F.col("mate") == mate, F.col(column)))
 
+    def place(mate: str) -> Column:
+        return F.struct(F.col(f"{mate}_contig").alias("contig"), F.col(f"{mate}_end").alias("end"))
+
+    best = _packed(
+        (F.col("quality"), ID_DIGITS), (_falling(F.col("early"), ID_DIGITS), ID_DIGITS)
+    )
     pairs = (
         ends.where(F.col("mate").isNotNull())
         .groupBy(*by, "qname")
         .agg(
             F.count_if(F.col("mate") == 1).alias("n_first"),
             F.count_if(F.col("mate") == 2).alias("n_second"),
-            of_mate(1, "read_id").alias("first_id"),
-            of_mate(2, "read_id").alias("second_id"),
-            of_mate(1, "end").alias("first_end"),
-            of_mate(2, "end").alias("second_end"),
+            *(
+                of_mate(number, column).alias(f"{mate}_{name}")
+                for number, mate in ((1, "first"), (2, "second"))
+                for column, name in (("read_id", "id"), ("contig", "contig"), ("end", "end"))
+            ),
             F.sum("quality").alias("quality"),
         )
         .where((F.col("n_first") == 1) & (F.col("n_second") == 1))
         .withColumns(
             {
-                "low": F.least("first_end", "second_end"),
-                "high": F.greatest("first_end", "second_end"),
+                "low": F.least(place("first"), place("second")),
+                "high": F.greatest(place("first"), place("second")),
+                "early": F.least("first_id", "second_id"),
             }
         )
+        .withColumn("best", best)
     )
+    # Ids are unique, and so is what decides
     best_pairs = (
         pairs.groupBy(*by, "low", "high")
-        .agg(
-            F.max(
-                F.struct(
-                    "quality",
-                    (-F.least("first_id", "second_id")).alias("early"),
-                    "first_id",
-                    "second_id",
-                )
-            ).alias("best")
-        )
-        .select(F.explode(F.array("best.first_id", "best.second_id")).alias("read_id"))
+        .agg(*(F.max_by(name, "best").alias(name) for name in ("first_id", "second_id")))
+        .select(F.explode(F.array("first_id", "second_id")).alias("read_id"))
     )
     in_pairs = pairs.select(F.explode(F.array("first_id", "second_id")).alias("read_id"))
-    pair_ends = pairs.select(*by, F.explode(F.array("low", "high")).alias("end")).distinct()
+    place_columns = [F.col("end.contig").alias("contig"), F.col("end.end").alias("end")]
+    pair_ends = pairs.select(*by, F.explode(F.array("low", "high")).alias("end"))
+    pair_ends = pair_ends.select(*by, *place_columns).distinct()
+    single = _packed((F.col("quality"), ID_DIGITS), (_falling(F.col("read_id"), ID_DIGITS), ID_DIGITS))
     best_singles = (
         ends.join(in_pairs, "read_id", "left_anti")
-        .groupBy(*by, "end")
-        .agg(F.max(F.struct("quality", (-F.col("read_id")).alias("minus_id"))).alias("best"))
-        .join(pair_ends, [*by, "end"], "left_anti")
-        .select((-F.col("best.minus_id")).alias("read_id"))
+        .groupBy(*by, "contig", "end")
+        .agg(F.max(single).alias("best"))
+        .join(pair_ends, [*by, "contig", "end"], "left_anti")
+        .select(_unpacked_falling_id(F.col("best")).alias("read_id"))
     )
     keep = best_pairs.unionByName(best_singles).withColumn("copies", F.lit(1))
     return _apply_verdict(alignments, eligible, keep).drop("copies")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from helixframe.functions import cigar as C
@@ -41,16 +41,8 @@ def base_counts(
         sites = sites.where(
             F.coalesce(F.try_element_at("_good", F.col("_i") + 1), F.lit(True))
         )
-    return (
-        sites.groupBy("contig", (F.col("ref_start") + F.col("_i")).alias("pos"), "base")
-        .agg(F.count("*").alias("n"))
-        .groupBy("contig", "pos")
-        .agg(
-            *(
-                F.coalesce(F.sum(F.when(F.col("base") == base, F.col("n"))), F.lit(0)).alias(base)
-                for base in BASES
-            )
-        )
+    return sites.groupBy("contig", (F.col("ref_start") + F.col("_i")).alias("pos")).agg(
+        *(F.count_if(F.col("base") == base).alias(base) for base in BASES)
     )
 
 
@@ -83,22 +75,32 @@ def consensus(
 ) -> DataFrame:
     """Consensus of every contig: ``(contig, chunk, sequence)``, ``N`` where there are no reads.
 
-    A row holds up to ``chunk`` bases; ``whole_consensus`` puts the rows of a contig together.
+    A row holds up to ``chunk`` bases; ``whole_consensus`` puts the rows of a contig together. Only called
+    sites are rows: a chunk is written as its called bases, each after as many ``N`` as lie between
+    it and the one before.
     """
-    sites = lengths.select(
-        "contig",
-        F.explode(
-            F.sequence(F.lit(0).cast("long"), F.col("length").cast("long") - padding - 1)
-        ).alias("pos"),
-    )
+    size = F.col("length").cast("long") - padding
+    sizes = lengths.select("contig", size.alias("_size")).where("_size > 0")
+    numbers = F.sequence(F.lit(0), F.ceil(F.col("_size") / chunk).cast("int") - 1)
+    rows = sizes.select("contig", "_size", F.explode(numbers).alias("chunk"))
     called = (
-        sites.join(counts, ["contig", "pos"], "left")
-        .fillna(0, list(BASES))
-        .withColumn("base", majority_base())
+        counts.withColumn("base", majority_base())
+        .where("base <> 'N'")
+        .select("contig", F.col("pos").cast("long").alias("pos"), "base")
+        .join(sizes, "contig")
+        .where("pos >= 0 AND pos < _size")
+        .groupBy("contig", F.floor(F.col("pos") / chunk).cast("int").alias("chunk"))
+        .agg(F.array_sort(F.collect_list(F.struct((F.col("pos") % chunk).cast("int").alias("at"), "base"))).alias("_sites"))
     )
-    ordered = F.array_sort(F.collect_list(F.struct("pos", "base")))
-    return called.groupBy("contig", F.floor(F.col("pos") / chunk).cast("int").alias("chunk")).agg(
-        F.array_join(F.transform(ordered, lambda it: it["base"]), "").alias("sequence")
+
+    def written(site: Column, k: Column) -> Column:
+        before = F.coalesce(F.get(F.col("_sites"), k - 1)["at"], F.lit(-1))
+        return F.concat(F.repeat(F.lit("N"), site["at"] - before - 1), site["base"])
+
+    text = F.coalesce(F.array_join(F.transform("_sites", written), ""), F.lit(""))
+    width = F.least(F.lit(chunk), F.col("_size") - F.col("chunk").cast("long") * chunk).cast("int")
+    return rows.join(called, ["contig", "chunk"], "left").select(
+        "contig", "chunk", F.rpad(text, width, F.lit("N")).alias("sequence")
     )
 
 

@@ -1,8 +1,10 @@
 """Operators on multiple sequence alignments: rows ``(msa, name, meta, sequence)``.
 
-Sequences of one ``msa`` have equal lengths. Column-wise work runs on fixed-width chunks whose
-columns are packed into the bits of one number, so that a set operation over all sequences is a
-``bit_or``: nothing is exploded per base, and no alignment is collected into one task.
+Sequences of one ``msa`` have equal lengths. What all sequences of an alignment say about its columns is
+combined in planes: the set of bases of a column is one hexadecimal digit, and the digits of
+``PLANE_COLUMNS`` columns are the bytes of one bitmap, so that a set operation over all sequences is
+a ``bitmap_or_agg``. Only planes are shuffled for that, combined before they are; the text of planes returns
+to the sequences, which are rewritten as a whole: they are neither cut into rows nor put together again.
 """
 
 from __future__ import annotations
@@ -20,12 +22,21 @@ from helixframe.functions.sequences import (
     fragments,
     split_positions,
 )
-from helixframe.plans.session import cut_lineage
 from helixframe.plans.skew import skew_join
 
-#: Columns per chunk with one bit per column, and with one hexadecimal digit per column.
-BIT_COLUMNS = 60
-SET_COLUMNS = 15
+#: Columns of a plane: four bits each in a bitmap of 4096 bytes, which is what Spark combines.
+PLANE_COLUMNS = 8192
+#: Hexadecimal digits of a number that are compared at once.
+NUMBER_DIGITS = 15
+#: Codes of some but not all bases, and the digits of the sets they stand for.
+SET_CODES = MASK_CODES.replace("N", "")
+SET_DIGITS = "".join(
+    digit for code, digit in zip(MASK_CODES, MASK_DIGITS, strict=True) if code != "N"
+)
+#: Codes of more than two bases are not bi-allelic
+TWO_BASES = "".join(
+    digit for bases, digit in zip(IUPAC.values(), MASK_DIGITS, strict=True) if len(bases) == 2
+)
 
 
 def chunks(sequences: DataFrame, width: int, column: str = "sequence") -> DataFrame:
@@ -35,60 +46,92 @@ def chunks(sequences: DataFrame, width: int, column: str = "sequence") -> DataFr
     return sequences.select(*others, F.posexplode(pieces).alias("chunk", "bases"))
 
 
-def called_mask(bases: Column, width: int = BIT_COLUMNS) -> Column:
-    """One bit per column, set unless the base is ``N``, ``n`` or a gap."""
-    bits = F.regexp_replace(F.translate(bases, "Nn-", "000"), "[^0]", "1")
-    return F.conv(F.rpad(bits, width, "0"), 2, 10).cast("long")
+def called_digits(bases: Column) -> Column:
+    """A digit per column, 0 for ``N``, ``n`` and gaps and F for all else."""
+    return F.regexp_replace(F.translate(bases, "Nn-", "000"), "[^0]", "F")
 
 
-def allele_mask(bases: Column, width: int = SET_COLUMNS) -> Column:
-    """One hexadecimal digit per column: the set of bases of the code; ``N`` and gaps are empty."""
-    codes = MASK_CODES.replace("N", "")
-    digits = "".join(
-        digit for code, digit in zip(MASK_CODES, MASK_DIGITS, strict=True) if code != "N"
-    )
-    packed = F.translate(F.upper(bases), codes + "N-", digits + "00")
-    return F.conv(F.rpad(packed, width, "0"), 16, 10).cast("long")
+def set_digits(bases: Column, unknown: str = "0") -> Column:
+    """A digit per column: the set of bases of the code; ``unknown`` for ``N``, gaps and all else."""
+    codes = F.regexp_replace(F.upper(bases), f"[^{SET_CODES}]", "N")
+    return F.translate(codes, SET_CODES + "N", SET_DIGITS + unknown)
+
+
+def plane(digits: Column, fill: str = "0") -> Column:
+    """The bitmap of up to ``PLANE_COLUMNS`` digits."""
+    return F.unhex(F.rpad(digits, PLANE_COLUMNS, fill))
+
 
+def planes_text(rows: DataFrame, keys: Sequence[str], digits: Column) -> DataFrame:
+    """Per group of ``keys``, the digits of all its sequences combined: ``(.., planes, n)``.
 
-def _assemble(pieces: DataFrame, keys: Sequence[str], carried: Sequence[str]) -> DataFrame:
-    """Join the chunks of each sequence; a group holds the chunks of a single sequence."""
-    ordered = F.array_sort(F.collect_list(F.struct("chunk", "bases")))
-    joined = F.array_join(F.transform(ordered, lambda it: it["bases"]), "")
-    return pieces.groupBy(*keys).agg(
-        *(F.first(name).alias(name) for name in carried), joined.alias("sequence")
+    ``rows`` hold (chunk, bases) of ``PLANE_COLUMNS`` columns. The text is as long as a sequence.
+    """
+    combined = rows.groupBy(*keys, "chunk").agg(
+        F.bitmap_or_agg(plane(digits)).alias("_plane"), F.count("*").alias("n")
+    )
+    ordered = F.array_sort(F.collect_list(F.struct("chunk", F.hex("_plane").alias("digits"))))
+    return combined.groupBy(*keys).agg(
+        F.array_join(F.transform(ordered, lambda it: it["digits"]), "").alias("planes"),
+        F.max("n").alias("n"),
     )
 
 
+def ascii_bytes(text: Column) -> Column:
+    """Bytes of an ASCII text: any place is found at once, unlike that of a character."""
+    return F.encode(text, "US-ASCII")
+
+
+def part_of(text: str, start: Column, size: Column) -> Column:
+    """Part of the bytes in a column as text again."""
+    return F.substring(F.col(text), start, size).cast("string")
+
+
+def _run_edges(digits: str) -> Column:
+    """Where runs of non-zero digits begin and end, in turn, given the column with their bytes."""
+    size = F.length(digits)
+
+    def is_set(at: Column) -> Column:
+        inside = (at >= 0) & (at < size)
+        return inside & (F.substring(F.col(digits), at + 1, F.lit(1)) != F.lit(b"0"))
+
+    return F.filter(F.sequence(F.lit(0), size), lambda at: is_set(at) != is_set(at - 1))
+
+
 def msa_reduce(sequences: DataFrame) -> DataFrame:
     """Drop columns that are ``N``, ``n`` or a gap in all sequences of the alignment.
 
     Alignments without any other column vanish.
     """
-    pieces = chunks(sequences, BIT_COLUMNS)
-    # One number per chunk of an alignment; their number decides how they are joined
-    masks = cut_lineage(
-        pieces.groupBy("msa", "chunk")
-        .agg(F.bit_or(called_mask(F.col("bases"))).alias("_mask"))
-        .where(F.col("_mask") != 0)
+    masks = planes_text(chunks(sequences, PLANE_COLUMNS), ["msa"], called_digits(F.col("bases")))
+    # Edges are only wanted where sequences differ in the columns they lack
+    masks = (
+        masks.where(F.translate("planes", "0", "") != "")
+        .withColumn("_digits", ascii_bytes(F.col("planes")))
+        .withColumn("_edges", F.when(F.col("n") > 1, _run_edges("_digits")))
+        .drop("_digits", "n")
     )
-    kept = F.filter(
-        F.split("bases", ""),
-        lambda base, idx: (base != "") & (F.substring("_bits", idx + 1, F.lit(1)) == "1"),
+    own = called_digits(F.col("sequence"))
+    all_lack = own == F.substring("planes", 1, F.length("sequence"))
+    runs = F.transform(
+        F.sequence(F.lit(0), F.floor(F.size("_edges") / 2).cast("int") - 1),
+        lambda k: F.struct(
+            F.get(F.col("_edges"), 2 * k).alias("at"),
+            (F.get(F.col("_edges"), 2 * k + 1) - F.get(F.col("_edges"), 2 * k)).alias("size"),
+        ),
     )
-    # Most sequences lack bases only where all do, and need no look at single columns
-    common = F.col("_mask") == called_mask(F.col("bases"))
+    is_ascii = F.octet_length("sequence") == F.length("sequence")
+    by_bytes = F.transform(runs, lambda it: part_of("_bytes", it["at"] + 1, it["size"]))
+    by_characters = F.transform(runs, lambda it: F.substring(F.col("sequence"), it["at"] + 1, it["size"]))
     reduced = (
-        skew_join(pieces, masks, ["msa", "chunk"])
-        .withColumn("_bits", F.when(~common, F.lpad(F.bin("_mask"), BIT_COLUMNS, "0")))
-        .withColumn(
-            "bases",
-            F.when(F.col("_bits").isNull(), F.translate("bases", "Nn-", "")).otherwise(
-                F.array_join(kept, "")
-            ),
-        )
+        F.when(all_lack, F.translate("sequence", "Nn-", ""))
+        .when(is_ascii, F.array_join(by_bytes, ""))
+        .otherwise(F.array_join(by_characters, ""))
+    )
+    joined = skew_join(sequences.select("msa", "name", "meta", "sequence"), masks, ["msa"], salt_by=["name"])
+    return joined.withColumn("_bytes", F.when(is_ascii, ascii_bytes(F.col("sequence")))).select(
+        "msa", "name", "meta", reduced.alias("sequence")
     )
-    return _assemble(reduced, ["msa", "name"], ["meta"]).select("msa", "name", "meta", "sequence")
 
 
 def msa_filter_singletons(
@@ -100,32 +143,41 @@ def msa_filter_singletons(
     its column. Changed bases are written in lower case, ``n`` if nothing is left. Targets of
     alignments without references, and all other sequences, are unchanged.
     """
-    pieces = chunks(sequences, SET_COLUMNS).withColumns(
-        {"_target": is_target, "_reference": is_reference}
-    )
-    allowed = cut_lineage(
-        pieces.where("_reference")
-        .groupBy("msa", "chunk")
-        .agg(F.bit_or(allele_mask(F.col("bases"))).alias("_allowed"))
-    )
-    common = allele_mask(F.col("bases")).bitwiseAND(F.col("_allowed"))
-    digits = F.lpad(F.conv(common.cast("string"), 10, 16), SET_COLUMNS, "0")
-    # The digit F stands for a column without restriction, which only N would have
-    codes = F.split(F.translate(digits, MASK_DIGITS + "0", MASK_CODES + "N"), "")
+    references = chunks(sequences.where(is_reference).select("msa", "sequence"), PLANE_COLUMNS)
+    allowed = planes_text(references, ["msa"], set_digits(F.col("bases"))).drop("n")
+    rows = sequences.select("msa", "name", "meta", "sequence", is_target.alias("_target"))
+    joined = skew_join(rows, allowed, ["msa"], "left", salt_by=["name"])
+    own = F.when(F.col("_target"), ascii_bytes(set_digits(F.col("sequence"))))
+    joined = joined.withColumns({"_allowed": ascii_bytes(F.col("planes")), "_own": own})
 
-    def restrict(base: Column, idx: Column) -> Column:
-        code = F.element_at("_codes", idx + 1)
+    def number(digits: Column) -> Column:
+        return F.conv(digits, 16, 10).cast("long")
+
+    def restricted(base: Column, code: Column) -> Column:
         skipped = F.upper(base).isin("N", "-", "")
         return F.when(skipped | (F.upper(base) == code), base).otherwise(F.lower(code))
 
-    changed = (
-        skew_join(pieces.where("_target"), allowed, ["msa", "chunk"])
-        .withColumn("_codes", codes)
-        .withColumn("bases", F.array_join(F.transform(F.split("bases", ""), restrict), ""))
+    def piece(bases: Column, k: Column) -> Column:
+        at, size = k * NUMBER_DIGITS + 1, F.length(bases)
+        mine = part_of("_own", at, size)
+        common = number(mine).bitwiseAND(number(part_of("_allowed", at, size)))
+        digits = F.lpad(F.conv(common.cast("string"), 10, 16), size, F.lit("0"))
+        # The digit F stands for a column without restriction, which only N would have
+        codes = F.split(F.translate(digits, MASK_DIGITS + "0", MASK_CODES + "N"), "")
+        changed = F.array_join(F.zip_with(F.split(bases, ""), codes, restricted), "")
+        # Sets that lie within the references' need no look at single columns
+        lacks = F.regexp_replace(F.upper(bases), f"[{SET_CODES}N-]", "") != ""
+        return F.when((common == number(mine)) & ~lacks, bases).otherwise(changed)
+
+    changed = F.array_join(F.transform(fragments(F.col("sequence"), NUMBER_DIGITS), piece), "")
+    return joined.select(
+        "msa",
+        "name",
+        "meta",
+        F.when(F.col("_target") & F.col("planes").isNotNull(), changed)
+        .otherwise(F.col("sequence"))
+        .alias("sequence"),
     )
-    targets = _assemble(changed, ["msa", "name"], ["meta"])
-    unchanged = sequences.join(targets.select("msa", "name"), ["msa", "name"], "left_anti")
-    return unchanged.select("msa", "name", "meta", "sequence").unionByName(targets)
 
 
 def msa_split(sequences: DataFrame, split_by: str = "123") -> DataFrame:
@@ -230,9 +282,3 @@ def align_to_reference(reference: Column, majority: Column) -> Column:
         lambda gaps, base: F.concat(gaps, base),
     )
     return F.array_join(spread, "")
-
-
-#: Codes of more than two bases are not bi-allelic
-TWO_BASES = "".join(
-    digit for bases, digit in zip(IUPAC.values(), MASK_DIGITS, strict=True) if len(bases) == 2
-)

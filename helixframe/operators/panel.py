@@ -4,24 +4,35 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from helixframe.functions import cigar as C
 from helixframe.functions import hashing
 from helixframe.functions.sequences import (
-    MASK_CODES,
     autosome_or_sex_name,
     is_autosome,
     is_transition,
     panel_alleles,
 )
 from helixframe.operators.alignments import exclude_default_flags
-from helixframe.operators.msa import SET_COLUMNS, TWO_BASES, allele_mask, chunks
+from helixframe.operators.msa import (
+    PLANE_COLUMNS,
+    SET_CODES,
+    TWO_BASES,
+    ascii_bytes,
+    chunks,
+    part_of,
+    plane,
+    set_digits,
+)
 from helixframe.plans.intervals import overlap_join
 from helixframe.plans.session import cut_lineage
 from helixframe.plans.skew import skew_join
 
+#: Sites of a chunk whose bases travel together; that many texts of one letter per sample meet in a row.
+SITES_PER_ROW = 256
+
 
 def reads_at_sites(
     alignments: DataFrame, sites: DataFrame, width: int | None = None
@@ -182,62 +193,63 @@ def biallelic_sites(samples: DataFrame, reference: DataFrame, n_samples: int) ->
     long contigs are stored in chunks. Columns with a missing base are dropped; the others are
     kept if the bases of all samples are exactly two. ``pos`` is 1-based.
 
-    The sets of bases are combined as packed numbers; only the columns that are kept are looked
-    up base by base.
+    The sets of bases are combined as planes, and only the planes are shuffled. A missing base counts
+    as all four, which makes its column one of more than two. The places that are left come in lists of
+    ``SITES_PER_ROW``; what a genome has there is looked up in its chunk and travels as one text per list.
     """
+    key = ["contig", "chunk_start"]
 
-    def pieces(rows: DataFrame) -> DataFrame:
-        return chunks(rows, SET_COLUMNS).withColumn(
-            "start", F.col("chunk_start") + F.col("chunk") * SET_COLUMNS
-        )
+    def plain(rows: DataFrame, *columns: str) -> DataFrame:
+        codes = F.regexp_replace(F.upper("sequence"), f"[^{SET_CODES}]", "N")
+        return rows.select(*key, *columns, ascii_bytes(codes).alias("_bytes"))
 
-    known = MASK_CODES.replace("N", "")
-    normal = F.regexp_replace(F.upper("sequence"), f"[^{known}]", "N")
-    cut = pieces(samples.withColumn("sequence", normal))
-    absent = F.translate("bases", known + "N", "0" * len(known) + "F")
-    packed_absent = F.conv(F.rpad(absent, SET_COLUMNS, "F"), 16, 10).cast("long")
-    one_base = "".join(digit for digit in "0123456789ABCDEF" if digit not in TWO_BASES)
+    cut = chunks(samples.select(*key, "sequence"), PLANE_COLUMNS)
     sets = (
-        cut.groupBy("contig", "start")
-        .agg(
-            F.bit_or(allele_mask(F.col("bases"))).alias("_alleles"),
-            F.bit_or(packed_absent).alias("_absent"),
-            F.count("*").alias("_n"),
-        )
+        cut.groupBy(*key, "chunk")
+        .agg(F.bitmap_or_agg(plane(set_digits(F.col("bases"), "F"), "F")).alias("_plane"), F.count("*").alias("_n"))
         .where(F.col("_n") == n_samples)
-        .withColumn(
-            "_digits",
-            F.lpad(
-                F.hex(F.col("_alleles").bitwiseAND(F.bitwise_not("_absent"))), SET_COLUMNS, "0"
-            ),
-        )
-        .where(F.translate("_digits", one_base, "") != "")
+        .select(*key, "chunk", ascii_bytes(F.hex("_plane")).alias("_digits"))
     )
-    offsets = F.filter(
-        F.transform(
-            F.split("_digits", ""), lambda it, idx: F.when(it.isin(*TWO_BASES), idx)
+    two = [it.encode() for it in TWO_BASES]
+    places = F.filter(
+        F.sequence(F.lit(0), F.lit(PLANE_COLUMNS - 1)),
+        lambda at: F.substring(F.col("_digits"), at + 1, F.lit(1)).isin(*two),
+    )
+    lists = F.transform(
+        F.sequence(F.lit(0), F.floor((F.size("_places") - 1) / SITES_PER_ROW).cast("int")),
+        lambda k: F.transform(
+            F.slice("_places", k * SITES_PER_ROW + 1, F.lit(SITES_PER_ROW)),
+            lambda at: at + F.col("chunk") * PLANE_COLUMNS,
         ),
-        lambda idx: idx.isNotNull(),
     )
-    # Few columns vary; they are looked up twice. Keys have one row per sample, and no skew
-    sites = cut_lineage(sets.select("contig", "start", F.explode(offsets).alias("_offset")))
-
-    def base_at(rows: DataFrame, *columns: str) -> DataFrame:
-        return rows.join(sites, ["contig", "start"]).select(
-            "contig",
-            (F.col("start") + F.col("_offset") + 1).alias("pos"),
-            *columns,
-            F.substring(F.col("bases"), F.col("_offset") + 1, F.lit(1)).alias("base"),
-        )
+    sites = cut_lineage(
+        sets.withColumn("_places", places)
+        .where(F.size("_places") > 0)
+        .select(*key, F.explode(lists).alias("_sites"))
+    )
 
-    ordered = F.array_sort(F.collect_list(F.struct("idx", "base")))
-    genotypes = (
-        base_at(cut, "idx")
-        .groupBy("contig", "pos")
-        .agg(F.array_join(F.transform(ordered, lambda it: it["base"]), "").alias("genotypes"))
+    def bases_at(rows: DataFrame) -> DataFrame:
+        found = F.transform("_sites", lambda at: part_of("_bytes", at + 1, F.lit(1)))
+        # Keys have one row per sample and list, and no skew
+        return rows.join(sites, key).withColumn("_bases", F.array_join(found, "")).drop("_bytes")
+
+    group = [*key, "_sites"]
+    ordered = F.array_sort(F.collect_list(F.struct("idx", "_bases")))
+    genotypes = bases_at(plain(samples, "idx")).groupBy(*group).agg(ordered.alias("_samples"))
+    ref = bases_at(plain(reference)).withColumnRenamed("_bases", "_ref")
+
+    def genotype(k: Column) -> Column:
+        return F.array_join(F.transform("_samples", lambda it: F.substring(it["_bases"], k + 1, F.lit(1))), "")
+
+    rows = F.transform(
+        "_sites",
+        lambda at, k: F.struct(
+            (F.col("chunk_start") + at + 1).alias("pos"),
+            F.substring(F.col("_ref"), k + 1, F.lit(1)).alias("ref"),
+            genotype(k).alias("genotypes"),
+        ),
     )
-    ref = base_at(pieces(reference)).withColumnRenamed("base", "ref")
-    return genotypes.join(ref, ["contig", "pos"]).select("contig", "pos", "ref", "genotypes")
+    return genotypes.join(ref, group).select("contig", F.inline(rows))
 
 
 def autosome_filter(rows: DataFrame) -> DataFrame:

@@ -1,141 +1,249 @@
-"""Support of clades over many trees in Newick format."""
+"""Support of clades over many trees in Newick format.
+
+A tree is cut into its tokens by one expression, and everything else is table work on tokens. The depth of
+a token and the number of leaves before it are running sums over its tree. At one depth, a parenthesis and
+the one that closes it follow each other, so that a clade is the range of leaves between the two. Its key
+is the sum of 120-bit hashes of its leaves, a difference of running sums: the rows of a tree are as many
+as its nodes, however many leaves a clade has.
+
+Equal trees are counted before they are cut. Names of clades are only put together for clades that are
+reported by name, once each.
+"""
 
 from __future__ import annotations
 
-import json
-import re
-from collections.abc import Iterator
-from typing import NamedTuple
+import string
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_TOKENS = re.compile(r"\s*('(?:[^']|'')*'|[(),:;]|[^\s(),:;]+)\s*")
+_TOKEN = r"'[^']*+(?:''[^']*+)*+'|[(),:;]|[^\s(),:;]+"
+#: Bits of a leaf's hash in each of its parts; the sum over 2**23 leaves fits a long.
+_PART_BITS = 40
+_PARTS = ["_h1", "_h2", "_h3"]
+#: What identifies a clade: the number of its leaves, and the parts of the sum of their hashes.
+KEY = ["size", "h1", "h2", "h3"]
+
+
+def _problem(tokens: Column) -> Column:
+    """What is wrong with the tokens of a tree, or null."""
+
+    def at(i: Column) -> Column:
+        return F.coalesce(F.get(tokens, i), F.lit(""))
+
+    def is_word(token: Column) -> Column:
+        return (token != "") & ~token.isin("(", ")", ",", ":", ";")
+
+    def follows(i: Column) -> Column:
+        token, before = at(i), at(i - 1)
+        # A name may have a length after it, a length may not
+        named = is_word(before) & (at(i - 2) != ":")
+        begins = before.isin("", "(", ",")
+        return (
+            F.when(token == "(", begins)
+            .when(token == ":", begins | (before == ")") | named)
+            .when(token.isin(")", ",", ";"), (before == ")") | is_word(before))
+            .otherwise(begins | before.isin(")", ":"))
+        )
 
+    def step(state: Column, token: Column) -> Column:
+        depth = state["depth"] + F.when(token == "(", 1).when(token == ")", -1).otherwise(0)
+        closed = (depth < 0) | ((token == ",") & (depth < 1))
+        return F.struct(depth.alias("depth"), (state["broken"] | closed).alias("broken"))
+
+    start = F.struct(F.lit(0).alias("depth"), F.lit(False).alias("broken"))
+    nesting = F.aggregate(tokens, start, step, lambda state: state["broken"] | (state["depth"] != 0))
+    places = F.sequence(F.lit(0), F.size(tokens) - 1)
+    one_end = F.size(F.filter(tokens, lambda it: it == ";")) == 1
+    return (
+        F.when(F.size(tokens) == 0, "empty tree")
+        .when(F.element_at(tokens, -1) != ";", "missing semicolon")
+        .when(~one_end | nesting, "parentheses do not match")
+        .when(F.exists(places, lambda i: ~follows(i)), "malformed tree")
+    )
 
-class Node(NamedTuple):
-    name: str | None
-    length: str | None
-    children: list[Node]
 
+def _with_tokens(trees: DataFrame) -> DataFrame:
+    """``trees`` with the array ``tokens``; malformed trees fail, null ones are dropped."""
+    found = trees.where("newick IS NOT NULL").withColumn(
+        "tokens", F.regexp_extract_all("newick", F.lit(_TOKEN), F.lit(0))
+    )
+    message = F.concat(F.col("_problem"), F.lit(": "), F.substring("newick", 1, 100))
+    failure = F.raise_error(message).cast("array<string>")
+    return (
+        found.withColumn("_problem", _problem(F.col("tokens")))
+        .withColumn("tokens", F.when(F.col("_problem").isNotNull(), failure).otherwise(F.col("tokens")))
+        .drop("_problem")
+    )
 
-def parse_newick(text: str) -> Node:
-    """Tree of one Newick string; leaves need a name or a length."""
-    tokens = _TOKENS.findall(text)
-    if not tokens or tokens[-1] != ";":
-        raise ValueError(f"missing semicolon: {text}")
-    # Nodes that are still open, each as the list of its children
-    open_nodes: list[list[Node]] = [[]]
-    at, expects_node = 0, True
-    while at < len(tokens) - 1:
-        token = tokens[at]
-        if token == "(" and expects_node:
-            open_nodes.append([])
-            at += 1
-            continue
-        if token == "," and not expects_node and len(open_nodes) > 1:
-            at, expects_node = at + 1, True
-            continue
-        children: list[Node] = []
-        if token == ")" and not expects_node and len(open_nodes) > 1:
-            children, at = open_nodes.pop(), at + 1
-        elif not expects_node or token in "),":
-            raise ValueError(f"unexpected {token}: {text[:100]}")
-        name = length = None
-        if tokens[at] not in "(),:;":
-            name, at = tokens[at], at + 1
-        if tokens[at] == ":":
-            length, at = tokens[at + 1], at + 2
-        if not children and name is None and length is None:
-            raise ValueError("leaf without name and length")
-        open_nodes[-1].append(Node(name, length, children))
-        expects_node = False
-    if len(open_nodes) != 1 or len(open_nodes[0]) != 1 or at != len(tokens) - 1:
-        raise ValueError(f"malformed tree: {text[:100]}")
-    return open_nodes[0][0]
-
-
-def _walk(node: Node) -> Iterator[tuple[Node, bool]]:
-    """Nodes in order, each before (False) and after (True) its children."""
-    stack = [(node, False)]
-    while stack:
-        current, done = stack.pop()
-        yield current, done
-        if not done:
-            stack.append((current, True))
-            stack.extend((child, False) for child in reversed(current.children))
-
-
-def leaf_names(node: Node) -> list[str]:
-    """Names of the leaves below a node, in order."""
-    return [it.name or "" for it, done in _walk(node) if not done and not it.children]
-
-
-def _clades(node: Node) -> Iterator[list[str]]:
-    """Leaves below each node but the root; they are a slice of all leaves."""
-    leaves, starts = leaf_names(node), []
-    seen = 0
-    for current, done in _walk(node):
-        if not done:
-            starts.append(seen)
-            seen += not current.children
-            continue
-        start = starts.pop()
-        if current is not node:
-            yield leaves[start:seen]
 
+def _leaf_names(tokens: Column) -> Column:
+    """Names of the leaves in order; a leaf with a length only has the name ''."""
+    named = F.transform(
+        tokens,
+        lambda token, i: F.when(
+            _starts_node(F.get(tokens, i - 1)) & (token != "("),
+            F.when(token == ":", "").otherwise(token),
+        ),
+    )
+    return F.filter(named, lambda it: it.isNotNull())
 
-def clade_key(names: list[str]) -> str:
-    return ",".join(sorted(names))
+
+def _starts_node(before: Column) -> Column:
+    return before.isNull() | before.isin("(", ",")
 
 
 def tree_leaves(trees: DataFrame) -> DataFrame:
     """Leaves of every tree: ``(tree_id, leaves, duplicated)``; ``trees`` has (tree_id, newick)."""
+    names = _with_tokens(trees).select("tree_id", _leaf_names(F.col("tokens")).alias("_names"))
+    return names.select(
+        "tree_id",
+        F.array_join(F.array_sort("_names"), ",").alias("leaves"),
+        (F.size(F.array_distinct("_names")) != F.size("_names")).alias("duplicated"),
+    )
+
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            names = [leaf_names(parse_newick(text)) for text in batch["newick"]]
-            yield pd.DataFrame(
-                {
-                    "tree_id": batch["tree_id"].to_numpy(),
-                    "leaves": [clade_key(it) for it in names],
-                    "duplicated": [len(set(it)) != len(it) for it in names],
-                }
+def _cut(trees: DataFrame, key: str) -> DataFrame:
+    """Tokens: (key, at, token, before, depth, leaves before it, parts of the sum of their hashes).
+
+    ``depth`` is that of the parentheses' inside. The tokens of a tree came from one row, and are at most as
+    many as that has characters.
+    """
+    tokens = _with_tokens(trees).select(
+        key,
+        F.inline(
+            F.transform(
+                "tokens",
+                lambda token, i: F.struct(
+                    i.alias("at"), token.alias("token"), F.get(F.col("tokens"), i - 1).alias("before")
+                ),
             )
+        ),
+    )
+    is_leaf = _starts_node(F.col("before")) & (F.col("token") != "(")
+    digest = F.md5(F.when(F.col("token") == ":", "").otherwise(F.col("token")))
+    digits = _PART_BITS // 4
+    parts = [
+        F.when(is_leaf, F.conv(F.substring(digest, 1 + k * digits, digits), 16, 10).cast("long")).otherwise(0)
+        for k in range(len(_PARTS))
+    ]
+    order = Window.partitionBy(key).orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    change = F.when(F.col("token") == "(", 1).when(F.col("before") == ")", -1).otherwise(0)
+    return tokens.withColumns(
+        {
+            "is_leaf": is_leaf,
+            # A closing parenthesis still belongs to its inside
+            "depth": F.sum(change).over(order),
+            "leaves": F.sum(is_leaf.cast("long")).over(order),
+            **{name: F.sum(part).over(order) for name, part in zip(_PARTS, parts, strict=True)},
+        }
+    )
+
+
+def _branches(tokens: DataFrame, key: str) -> DataFrame:
+    """Nodes other than the root: (key, at, low, size, parts); their leaves begin with number ``low``.
 
-    return trees.select("tree_id", "newick").mapInPandas(
-        parse, "tree_id long, leaves string, duplicated boolean"
+    ``at`` is the place of a leaf, or of the parenthesis that closes an inner node.
+    """
+    inside = Window.partitionBy(key, "depth").orderBy("at")
+    names = ["leaves", *_PARTS]
+    # At one depth the parenthesis before a closing one is the one it closes
+    opened = tokens.where("token IN ('(', ')')").select(
+        key,
+        "at",
+        "depth",
+        "token",
+        F.lag("leaves").over(inside).alias("low"),
+        *((F.col(name) - F.lag(name).over(inside)).alias(name) for name in names),
+    )
+    inner = opened.where("token = ')' AND depth > 1").select(key, "at", "low", *names)
+
+    order = Window.partitionBy(key).orderBy("at").rowsBetween(-1, -1)
+    own = [F.col(name) - F.coalesce(F.sum(name).over(order), F.lit(0)) for name in names]
+    leaves = tokens.withColumns({f"_own_{name}": it for name, it in zip(names, own, strict=True)})
+    leaves = leaves.where("is_leaf AND depth > 0").select(
+        key,
+        "at",
+        (F.col("leaves") - 1).alias("low"),
+        *(F.col(f"_own_{name}").alias(name) for name in names),
     )
+    return inner.unionByName(leaves)
+
+
+def _keyed(rows: DataFrame, *columns: str | Column) -> DataFrame:
+    named = zip(["leaves", *_PARTS], KEY, strict=True)
+    return rows.select(*columns, *(F.col(old).alias(new) for old, new in named))
+
 
+def _distinct_trees(trees: DataFrame) -> DataFrame:
+    """(newick, tree, n): equal texts once, known by their hash, and how many there are."""
+    counts = trees.where("newick IS NOT NULL").groupBy("newick").agg(F.count("*").alias("n"))
+    return counts.withColumn("tree", F.md5("newick"))
 
-def tree_clades(trees: DataFrame) -> DataFrame:
-    """Clades of every tree as an unrooted one: ``(tree_id, clade)``.
 
-    Every branch separates two sets of leaves, and both are clades.
+def _sides(distinct: DataFrame) -> DataFrame:
+    """Both sides of every branch: (tree, low, high, inverted, key), each clade once per tree.
+
+    A clade holds the leaves from ``low`` on and before ``high``, or all others if ``inverted``.
     """
+    tokens = _cut(distinct, "tree")
+    branches = _branches(tokens, "tree")
+    names = ["leaves", *_PARTS]
+    totals = tokens.where("token = ';'").select("tree", *(F.col(name).alias(f"_all_{name}") for name in names))
+    both = branches.join(totals, "tree")
+    high = (F.col("low") + F.col("leaves")).alias("high")
+    straight = _keyed(both, "tree", "low", high, F.lit(False).alias("inverted"))
+    rest = both.select(
+        "tree", "low", high, *((F.col(f"_all_{name}") - F.col(name)).alias(name) for name in names)
+    )
+    inverted = _keyed(rest, "tree", "low", "high", F.lit(True).alias("inverted"))
+    return straight.unionByName(inverted).where("size > 0").dropDuplicates(["tree", *KEY])
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            ids, keys = [], []
-            for tree_id, text in zip(batch["tree_id"], batch["newick"], strict=True):
-                tree = parse_newick(text)
-                everything = set(leaf_names(tree))
-                clades = set()
-                for names in _clades(tree):
-                    clades.add(clade_key(names))
-                    clades.add(clade_key(list(everything.difference(names))))
-                clades.discard("")
-                keys.extend(clades)
-                ids.extend([tree_id] * len(clades))
-            yield pd.DataFrame({"tree_id": ids, "clade": keys})
 
-    return trees.select("tree_id", "newick").mapInPandas(parse, "tree_id long, clade string")
+def clade_keys(trees: DataFrame) -> DataFrame:
+    """Number of trees with each clade: ``(size, h1, h2, h3, support)``; linear in the leaves.
+
+    Trees count as unrooted ones: every branch separates two sets of leaves, and both are clades. A leaf that
+    a tree has several times counts as often.
+    """
+    distinct = _distinct_trees(trees)
+    sides = _sides(distinct.select("tree", "newick"))
+    # One row per branch and different tree, matched with one row per tree
+    return (
+        sides.join(distinct.select("tree", "n"), "tree").groupBy(*KEY).agg(F.sum("n").alias("support"))
+    )
 
 
 def clade_support(trees: DataFrame) -> DataFrame:
-    """Number of trees with each clade."""
-    return tree_clades(trees).groupBy("clade").agg(F.count("*").alias("support"))
+    """Number of trees with each clade, by name: ``(clade, support)``, leaves in order and with commas."""
+    distinct = _distinct_trees(trees)
+    sides = _sides(distinct.select("tree", "newick")).join(distinct.select("tree", "n"), "tree")
+    counts = sides.groupBy(*KEY).agg(F.sum("n").alias("support"), F.min("tree").alias("tree"))
+    # One tree lends its names to a clade
+    shown = sides.drop("n").join(counts, ["tree", *KEY])
+    leaves = _with_tokens(distinct).select("tree", _leaf_names(F.col("tokens")).alias("_names"))
+    low, size = F.col("low").cast("int"), (F.col("high") - F.col("low")).cast("int")
+    inside = F.slice("_names", low + 1, size)
+    outside = F.concat(
+        F.slice("_names", F.lit(1), low), F.slice("_names", low + size + 1, F.size("_names"))
+    )
+    names = F.when(F.col("inverted"), outside).otherwise(inside)
+    return shown.join(leaves, "tree").select(F.array_join(F.array_sort(names), ",").alias("clade"), "support")
+
+
+def _formatted(fmt: str, values: dict[str, Column]) -> Column:
+    """A format with named fields and specifications such as ``.1f``, as an expression."""
+    parts = []
+    for text, field, spec, _ in string.Formatter().parse(fmt):
+        parts.append(F.lit(text))
+        if field is None:
+            continue
+        value = values[field]
+        if spec.startswith(".") and spec.endswith("f"):
+            # Ties go to the even digit
+            value = F.bround(value.cast("double"), int(spec[1:-1]))
+        parts.append(F.format_string(f"%{spec}", value) if spec else value.cast("string"))
+    return F.concat(F.lit(""), *parts)
 
 
 def annotate_support(trees: DataFrame, bootstraps: DataFrame, fmt: str = "{Support}") -> DataFrame:
@@ -144,57 +252,33 @@ def annotate_support(trees: DataFrame, bootstraps: DataFrame, fmt: str = "{Suppo
     ``fmt`` may use ``{Support}``, ``{Percentage}`` and ``{Fraction}``. Leaves keep their names
     and the root has none. All trees must have the same leaves, each once.
     """
-    n_trees = bootstraps.agg(F.count("*")).scalar()
-    support = clade_support(bootstraps)
-    # One row per node of a tree, hence few per tree
-    found = (
-        tree_clades(trees)
-        .join(support, "clade", "left")
-        .groupBy("tree_id")
-        .agg(
-            F.to_json(
-                F.map_from_entries(
-                    F.collect_list(F.struct("clade", F.coalesce("support", F.lit(0))))
-                )
-            ).alias("counts")
-        )
+    total = bootstraps.agg(F.count("newick")).scalar()
+    tokens = _cut(trees.select("tree_id", "newick"), "tree_id")
+    inner = _keyed(_branches(tokens, "tree_id"), "tree_id", "at").where("size > 0")
+    support = clade_keys(bootstraps)
+    counted = tokens.where("token = ')'").select("tree_id", "at").join(inner, ["tree_id", "at"])
+    counted = counted.join(support, KEY, "left").select(
+        "tree_id", "at", F.coalesce("support", F.lit(0)).cast("long").alias("support")
     )
-    labelled = trees.select("tree_id", "newick").join(found, "tree_id", "left")
-
-    def write(tree: Node, counts: dict[str, int], total: int) -> str:
-        leaves, starts, texts = leaf_names(tree), [], []
-        seen = 0
-        for node, done in _walk(tree):
-            if not done:
-                starts.append((seen, len(texts)))
-                seen += not node.children
-                continue
-            start, first = starts.pop()
-            text = node.name or ""
-            if node.children:
-                text = f"({','.join(texts[first:])})"
-                if node is not tree:
-                    count = counts.get(clade_key(leaves[start:seen]), 0)
-                    text += fmt.format(
-                        Support=count,
-                        Percentage=100.0 * count / (total or 1),
-                        Fraction=count / (total or 1),
-                    )
-            texts[first:] = [text if node.length is None else f"{text}:{node.length}"]
-        return texts[0]
-
-    def annotate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            texts = [
-                write(parse_newick(text), json.loads(counts or "{}"), total) + ";"
-                for text, counts, total in zip(
-                    batch["newick"], batch["counts"], batch["total"], strict=True
-                )
-            ]
-            yield pd.DataFrame({"tree_id": batch["tree_id"].to_numpy(), "newick": texts})
-
-    return labelled.withColumn("total", n_trees).mapInPandas(
-        annotate, "tree_id long, newick string"
+    every = F.greatest(total, F.lit(1))
+    label = _formatted(
+        fmt,
+        {
+            "Support": F.col("support"),
+            "Percentage": F.col("support") * 100.0 / every,
+            "Fraction": F.col("support") / every,
+        },
+    )
+    labels = counted.select("tree_id", "at", label.alias("label"))
+    # Names of inner nodes make way for the labels
+    kept = tokens.where("coalesce(before, '') <> ')' OR token IN ('(', ')', ',', ':', ';')")
+    text = F.concat("token", F.coalesce("label", F.lit("")))
+    parts = F.array_sort(F.collect_list(F.struct("at", text.alias("text"))))
+    return (
+        kept.select("tree_id", "at", "token")
+        .join(labels, ["tree_id", "at"], "left")
+        .groupBy("tree_id")
+        .agg(F.array_join(F.transform(parts, lambda it: it["text"]), "").alias("newick"))
     )
 
 

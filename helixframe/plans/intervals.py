@@ -12,12 +12,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from helixframe.plans.skew import skew_join
+from helixframe.plans.skew import fits_broadcast, skew_join
 
 #: Width of the bins of a scan along positions.
 BIN_WIDTH = 1 << 14
-#: Smallest bin width of an interval join.
+#: Smallest bin width of an interval join; bins are 2**LEVEL_BITS times as wide with every level.
 MIN_WIDTH = 1 << 7
+LEVEL_BITS = 3
+#: Bits of the longest contig that the levels are made for; longer intervals touch several bins.
+CONTIG_BITS = 31
+#: Rows up to which a side of an interval join is placed at all levels there may be.
+SMALL_ROWS = 20_000
 
 
 def _bin_of(position: Column | str, width: int) -> Column:
@@ -35,10 +40,29 @@ def power_of_two(value: float) -> int:
     return 1 << max(0, math.ceil(value) - 1).bit_length()
 
 
-def fitting_width(intervals: DataFrame, start: str, end: str) -> int:
-    """Bin width of the order of the mean interval: exploding adds one or two rows per interval."""
-    mean = intervals.agg(F.avg(F.col(end) - F.col(start))).first()[0]
-    return power_of_two(max(MIN_WIDTH, mean or 1))
+def _level_bits(width: int) -> list[int]:
+    """Bits of the bin widths of all levels, from ``width`` on to more than a contig has."""
+    first = width.bit_length() - 1
+    return list(range(first, max(first, CONTIG_BITS) + LEVEL_BITS, LEVEL_BITS))
+
+
+def _level_of(length: Column, bits: list[int]) -> Column:
+    """The level with bins that are not shorter than the interval, or else the last one."""
+    return sum(((length > (1 << it)).cast("int") for it in bits[:-1]), F.lit(0))
+
+
+def _placed(rows: DataFrame, span: tuple[str, str], bits: list[int], top: int, own: str) -> DataFrame:
+    """Rows in the bins they touch at their ``own`` level and at all those above, up to ``top``.
+
+    A bin is at least as long as an interval that is placed in it, which so touches one or two.
+    """
+    start, end = F.col(span[0]), F.col(span[1])
+    rows = rows.where(start < end).withColumn(own, _level_of(end - start, bits))
+    level = F.explode(F.sequence(F.col(own), F.greatest(own, F.lit(top)))) if top else F.col(own)
+    rows = rows.withColumn("_level", level)
+    shift = (F.col("_level") * LEVEL_BITS + bits[0]).cast("int")
+    first, last = (F.call_function("shiftright", it.cast("long"), shift) for it in (start, end - 1))
+    return rows.withColumn("_bin", F.explode(F.sequence(first, last)))
 
 
 def overlap_join(
@@ -51,27 +75,40 @@ def overlap_join(
 ) -> DataFrame:
     """All pairs of overlapping half-open intervals of the same contig.
 
-    Both sides are exploded into the bins they touch and joined on (contig, bin); a pair is
-    emitted only in the bin of its first shared base, hence once. ``right`` should be the side
-    with fewer rows: it is broadcast if small, otherwise hot bins of ``left`` are salted. The
-    bins are fitted to ``right``, unless their width is given. The column names of both sides
-    must differ, except for ``contig``.
+    Bins come in levels of growing width, and an interval belongs to the first level whose bins are not
+    shorter than it is. A pair meets at the higher one of its two levels: either side is placed in the one or
+    two bins that it touches at its own level, and at those above that the other side has. So a row
+    makes a few rows, however long it is and however short the intervals it is compared with. A pair is
+    emitted in the bin of its first shared base, hence once.
+
+    ``right`` should be the side with fewer rows: it is broadcast if small, otherwise hot bins of ``left``
+    are salted. The narrowest bins are fitted to the mean interval of ``right``, unless ``width`` (a power of
+    two) is given. The column names of both sides must differ, except for ``contig``.
     """
     (l_start, l_end), (r_start, r_end) = left_span, right_span
-    if width is None:
-        width = fitting_width(right, r_start, r_end)
-    left = left.where(F.col(l_start) < F.col(l_end)).withColumn(
-        "_bin", F.explode(_bins(F.col(l_start), F.col(l_end), width))
-    )
-    right = right.where(F.col(r_start) < F.col(r_end)).withColumn(
-        "_bin", F.explode(_bins(F.col(r_start), F.col(r_end), width))
-    )
+    length = F.col(r_end) - F.col(r_start)
+    found = right.agg(F.avg(length).alias("mean"), F.max(length).alias("longest")).first()
+    bits = _level_bits(width or power_of_two(max(MIN_WIDTH, found["mean"] or 1)))
+
+    def highest(longest: int | None) -> int:
+        return sum((longest or 0) > (1 << it) for it in bits[:-1])
+
+    # A small side is cheaply placed at all levels; for a large one it is worth to ask what there is
+    small = fits_broadcast(right, SMALL_ROWS)
+    top = len(bits) - 1
+    if not small:
+        top = highest(left.agg(F.max(F.col(l_end) - F.col(l_start))).first()[0])
+    left = _placed(left, left_span, bits, highest(found["longest"]), "_left_level")
+    right = _placed(right, right_span, bits, top, "_right_level")
+    shift = (F.col("_level") * LEVEL_BITS + bits[0]).cast("int")
     condition = (
-        (F.col(l_start) < F.col(r_end))
+        (F.col("_level") == F.greatest("_left_level", "_right_level"))
+        & (F.col(l_start) < F.col(r_end))
         & (F.col(r_start) < F.col(l_end))
-        & (_bin_of(F.greatest(l_start, r_start), width) == F.col("_bin"))
+        & (F.call_function("shiftright", F.greatest(l_start, r_start).cast("long"), shift) == F.col("_bin"))
     )
-    return skew_join(left, right, [contig, "_bin"], "inner", condition).drop("_bin")
+    joined = skew_join(left, right, [contig, "_level", "_bin"], "inner", condition)
+    return joined.drop("_level", "_bin", "_left_level", "_right_level")
 
 
 def depth_runs(

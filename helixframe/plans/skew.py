@@ -3,19 +3,35 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: Rows up to which the small side of a join is broadcast; beyond it the join is salted.
+#: Rows and bytes up to which the small side of a join is broadcast; beyond it the join is salted.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 #: A key is hot if it holds at least 1/HOT_SHARE of the rows, so at most HOT_SHARE keys are hot.
 HOT_SHARE = 1000
 
 
+def _row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row has: its texts, and everything nested as the text it makes."""
+    sizes = [F.lit(16 * len(df.columns))]
+    for field in df.schema:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            sizes.append(F.coalesce(F.octet_length(column), F.lit(0)))
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            sizes.append(F.octet_length(F.to_json(F.struct(column))))
+    return reduce(lambda a, b: a + b, sizes).cast("long")
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     """Check the size of ``df``, reading no more than ``max_rows + 1`` rows of it."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    found = df.limit(max_rows + 1).agg(F.count("*").alias("n"), F.sum(_row_bytes(df)).alias("bytes")).first()
+    return found["n"] <= max_rows and (found["bytes"] or 0) <= BROADCAST_BYTES
 
 
 def hot_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helixframe.plans.skew import skew_join
+from helixframe.sources.lines import lines_of_splits
 
 
 def parse_bed(lines: DataFrame) -> DataFrame:
@@ -68,7 +69,7 @@ def valid_or_fail(regions: DataFrame) -> DataFrame:
 
 
 def read_bed(spark: SparkSession, path: str, sizes: DataFrame | None = None) -> DataFrame:
-    regions = parse_bed(spark.read.text(path))
+    regions = parse_bed(lines_of_splits(spark, path).select("value"))
     if sizes is not None:
         regions = check_contigs(regions, sizes)
     return valid_or_fail(regions)

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from helixframe.functions.cigar import format_cigar, parse_cigar
-from helixframe.sources.lines import numbered_lines
+from helixframe.sources.lines import FILE_LINES, lines_of_splits, read_lines
 
 
 def parse_alignments(lines: DataFrame) -> DataFrame:
@@ -99,10 +98,6 @@ def _merged(header: DataFrame, key: str, what: str) -> DataFrame:
     return rows.withColumn(key, kept).drop("_n")
 
 
-#: Lines of a file that have ids of their own.
-FILE_LINES = 1 << 40
-
-
 def read_alignments(
     spark: SparkSession, path: str | list[str]
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -112,23 +107,11 @@ def read_alignments(
     headers are merged: contigs in order of their first appearance, and read-groups. Files that
     disagree on the length of a contig or on a read-group are an error.
     """
-    lines = numbered_lines(spark, path)
-    # One row per file; the two lists of files differ in the slashes after the scheme
-    names = sorted({re.sub("^([a-z0-9]+):/+", r"\1:/", name) for name in spark.read.text(path).inputFiles()})
-    files = spark.createDataFrame(list(zip(names, range(len(names)), strict=True)), "_name string, _file long")
-    same_file = F.regexp_replace("file", "^([a-z0-9]+):/+", "$1:/") == F.col("_name")
-    numbered = lines.join(F.broadcast(files), same_file).select(
-        "file", (F.col("_file") * FILE_LINES + F.col("line")).alias("line"), "value"
-    )
-    # The header is read without numbering anything but its own lines
-    raw = spark.read.option("lineSep", "\n").text(path).where(F.col("value").startswith("@"))
-    header = raw.select(
-        F.col("_metadata.file_path").alias("file"),
-        F.monotonically_increasing_id().alias("_id"),
-        "value",
-    )
-    order = F.struct("_file", "_id")
-    header = header.join(F.broadcast(files), same_file).select(order.alias("line"), "value")
+    lines = read_lines(spark, path)
+    numbered = lines.select("file", (F.col("number") * FILE_LINES + F.col("line")).alias("line"), "value")
+    # The header needs no numbers of lines, only their order
+    header = lines_of_splits(spark, path).where(F.col("value").startswith("@"))
+    header = header.select(F.struct("number", "split", "row").alias("line"), "value")
     contigs = _merged(
         _header(header, "SQ").select(
             "line", F.col("h")["SN"].alias("contig"), F.col("h")["LN"].cast("long").alias("length")

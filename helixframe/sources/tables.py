@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from helixframe.functions.sequences import autosome_or_sex_name
 from helixframe.operators.admixture import TEST_SAMPLE
 from helixframe.plans.skew import skew_join
-from helixframe.sources.lines import numbered_lines
+from helixframe.sources.lines import FILE_LINES, numbered_lines, read_lines
 
 # What a sample may be called, and the columns that the tables must have
 SAMPLE_NAME = "^[A-Za-z0-9._-]+$"
@@ -23,16 +23,24 @@ SAMPLE_COLUMNS = ("ID", "Species", "Sex", "SampleID", "Publication")
 SIMULATION_COLUMNS = ("NReads", "K", "Sample1", "Sample2", "HasTS", "Percentile", "Value")
 
 
-def read_tsv(spark: SparkSession, path: str) -> DataFrame:
-    """Table with a header row; comments and blank lines are skipped, ragged rows fail."""
-    return (
-        spark.read.option("sep", "\t")
-        .option("header", True)
-        .option("comment", "#")
-        .option("mode", "FAILFAST")
-        .option("quote", "")
-        .csv(path)
+def read_tsv(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Table with a header row; comments and blank lines are skipped, ragged rows fail.
+
+    The first row of every file is its header, and all files must have the same one.
+    """
+    lines = numbered_lines(spark, path).where((F.trim("value") != "") & ~F.col("value").startswith("#"))
+    first = lines.groupBy("file").agg(F.min("line").alias("_first"))
+    # One row per file
+    headers = lines.join(first, "file").where("line = _first").select("value").distinct().limit(2).collect()
+    if len(headers) != 1:
+        raise ValueError("files have different headers" if headers else "table has no header")
+    names = headers[0]["value"].split("\t")
+    fields = F.split("value", "\t", -1)
+    ragged = F.raise_error(F.concat(F.lit("ragged row: "), F.substring("value", 1, 100))).cast("array<string>")
+    rows = lines.join(first, "file").where("line > _first").select(
+        F.when(F.size(fields) == len(names), fields).otherwise(ragged).alias("_fields")
     )
+    return rows.select(*(F.nullif(F.col("_fields")[k], F.lit("")).alias(name) for k, name in enumerate(names)))
 
 
 def require_columns(table: DataFrame, columns: tuple[str, ...]) -> DataFrame:
@@ -268,8 +276,7 @@ def read_admixture_q(spark: SparkSession, path: str, samples: list[str]) -> Data
     return parse_admixture_q(numbered_lines(spark, path), samples)
 
 
-def read_trees(spark: SparkSession, path: str) -> DataFrame:
-    """One tree per line: ``(tree_id, newick)``."""
-    return numbered_lines(spark, path).where(F.trim("value") != "").select(
-        F.col("line").alias("tree_id"), F.col("value").alias("newick")
-    )
+def read_trees(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """One tree per line: ``(tree_id, newick)``; ids are lines, counted on over several files."""
+    lines = read_lines(spark, path).where(F.trim("value") != "")
+    return lines.select((F.col("number") * FILE_LINES + F.col("line")).alias("tree_id"), F.col("value").alias("newick"))

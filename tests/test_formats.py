@@ -24,7 +24,7 @@ def small_splits(spark):
 def test_lines_are_numbered_across_splits(spark, small_splits, tmp_path):
     for name in ("a.txt", "b.txt"):
         (tmp_path / name).write_text("".join(f"{name} {i}\n" for i in range(700)))
-    numbered = lines.numbered_lines(spark, str(tmp_path))
+    numbered = lines.numbered_lines(spark, str(tmp_path), split_bytes=4000)
     assert numbered.select(F.spark_partition_id()).distinct().count() > 2
     rows = numbered.collect()
     assert len(rows) == 1400

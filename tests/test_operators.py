@@ -8,6 +8,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from helixframe.functions.cigar import parse_cigar
@@ -234,7 +235,55 @@ def test_pca_equals_numpy(spark):
     x = (dosages[keep] - 2 * p[keep, None]) / np.sqrt(p[keep] * (1 - p[keep]))[:, None]
     expected = np.linalg.eigvalsh(x.T @ x / keep.sum())[::-1][:3]
     assert np.allclose([r["eigenvalue"] for r in sorted(result)], expected)
-    assert pca.without_outliers(df, names) == names
+    assert {row["sample"] for row in pca.without_outliers(df, names).collect()} == set(names)
+
+
+@pytest.mark.parametrize(("groups", "tolerance"), [(1, 1e-4), (4, 1e-9)])
+def test_pca_of_more_samples_than_columns(spark, groups, tolerance):
+    """With and without structure; a sample without genotypes lies at 0, and one is far off."""
+    rng = np.random.default_rng(groups)
+    n, sites = 60, 400
+    frequency = rng.uniform(0.2, 0.8, (sites, groups))
+    dosages = rng.binomial(2, frequency[:, np.arange(n) % groups]).astype(float)
+    rows = [(i, f"s{j:02}", int(dosages[i, j])) for i in range(sites) for j in range(n)]
+    df = spark.createDataFrame([*rows, (1, "other", 1)], "snp long, sample string, dosage int")
+    names = spark.createDataFrame([(f"s{j:02}",) for j in range(n)] + [("none",)], "sample string")
+    found = pca.genotype_pca(df, names, 3, tolerance).toPandas()
+    p = dosages.mean(axis=1) / 2
+    keep = (p > 0) & (p < 1)
+    x = (dosages[keep] - 2 * p[keep, None]) / np.sqrt(p[keep] * (1 - p[keep]))[:, None]
+    values, vectors = np.linalg.eigh(x.T @ x / keep.sum())
+    for k in range(3):
+        own = found[found["component"] == k + 1].sort_values("sample")
+        assert np.allclose(own["eigenvalue"], values[-1 - k], rtol=tolerance)
+        coordinate = own[own["sample"] != "none"]["coordinate"].to_numpy()
+        assert coordinate[np.abs(coordinate).argmax()] > 0
+        assert np.allclose(np.abs(coordinate), np.abs(vectors[:, -1 - k]), atol=100 * tolerance)
+        assert own[own["sample"] == "none"]["coordinate"].abs().max() < 1e-12
+
+
+def test_pca_outliers_and_empty_tables(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, f"s{j}", int(rng.integers(0, 3))) for i in range(60) for j in range(40)]
+    rows += [(1000 + i, f"s{j}", 2 * (j == 7)) for i in range(300) for j in range(40)]
+    df = spark.createDataFrame(rows, "snp long, sample string, dosage int")
+    left = {row["sample"] for row in pca.without_outliers(df, None, 6.0, 2).collect()}
+    assert left == {f"s{j}" for j in range(40)} - {"s7"}
+    assert pca.genotype_pca(df.where("false")).count() == 0
+    constant = pca.genotype_pca(df.withColumn("dosage", F.lit(2)), None, 2).collect()
+    assert len(constant) == 80 and {row["eigenvalue"] for row in constant} == {0.0}
+
+
+def test_covariance_in_tiles(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    names = [f"s{j}" for j in range(7)]
+    rows = [(i, name, int(rng.integers(0, 3))) for i in range(50) for name in names]
+    df = spark.createDataFrame(rows, "snp long, sample string, dosage int").repartition(3)
+    whole = {(r["row"], r["col"]): r["value"] for r in pca.genotype_covariance(df, names).collect()}
+    monkeypatch.setattr(pca, "TILE", 3)
+    tiled = {(r["row"], r["col"]): r["value"] for r in pca.genotype_covariance(df, names).collect()}
+    assert len(whole) == 49 and whole.keys() == tiled.keys()
+    assert all(abs(whole[key] - tiled[key]) < 1e-12 for key in whole)
 
 
 def test_percentiles_of_missing_simulations(spark):
@@ -257,7 +306,84 @@ def test_trees(spark):
     assert [r["tree_id"] for r in tr.differing_leaves(other, trees).collect()] == [9]
 
 
-@pytest.mark.parametrize("text", ["(A,B)", "(A,B", "(A,);", "();", "(A B);"])
-def test_broken_trees(text):
-    with pytest.raises((ValueError, IndexError)):
-        tr.parse_newick(text)
+def trees_of(spark, *texts):
+    return spark.createDataFrame(list(enumerate(texts)), "tree_id long, newick string")
+
+
+@pytest.mark.parametrize(
+    "text", ["(A,B)", "(A,B", "(A,);", "();", "(A B);", "A,B;", "A),(B;", "(A:1:2);", "(A,B);;", "", "((A);"]
+)
+def test_broken_trees(spark, text):
+    with pytest.raises(PySparkException):
+        tr.tree_leaves(trees_of(spark, text)).collect()
+
+
+def test_odd_but_valid_trees(spark):
+    found = tr.tree_leaves(trees_of(spark, "A;", "('it''s (x)':1,B);", "(:1,:2)r:0;", " ( A , B ) ; ", None))
+    by_id = {r["tree_id"]: (r["leaves"], r["duplicated"]) for r in found.collect()}
+    assert by_id == {0: ("A", False), 1: ("'it''s (x)',B", False), 2: (",", True), 3: ("A,B", False)}
+
+
+def plain_sides(tree):
+    """Both sides of all branches of nested tuples."""
+    sides, everything = set(), None
+
+    def walk(node):
+        own = frozenset([node]) if isinstance(node, str) else frozenset().union(*map(walk, node))
+        sides.add(own)
+        return own
+
+    everything = walk(tree)
+    sides.discard(everything)
+    return {it for side in sides for it in (side, everything - side) if it}
+
+
+def random_tree(rng, names):
+    nodes = list(names)
+    while len(nodes) > 1:
+        rng.shuffle(nodes)
+        take = rng.randint(2, min(3, len(nodes)))
+        nodes = [tuple(nodes[:take]), *nodes[take:]]
+    return nodes[0]
+
+
+def newick_of(node, rng):
+    if isinstance(node, str):
+        return node + rng.choice(["", ":0.5"])
+    return "(" + rng.choice([",", " , "]).join(newick_of(it, rng) for it in node) + ")" + rng.choice(["", "x", "x:2", ":1"])
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_support_against_sets(spark, seed):
+    rng = random.Random(seed)
+    nested = [random_tree(rng, "ABCDEFGH"[: rng.randint(2, 8)]) for _ in range(25)]
+    df = trees_of(spark, *(newick_of(it, rng) + ";" for it in nested + nested[:5]))
+    expected: dict[str, int] = defaultdict(int)
+    for it in nested + nested[:5]:
+        for side in plain_sides(it):
+            expected[",".join(sorted(side))] += 1
+    named = tr.clade_support(df).collect()
+    assert {r["clade"]: r["support"] for r in named} == expected and len(named) == len(expected)
+    keys = tr.clade_keys(df).collect()
+    assert sorted(r["support"] for r in keys) == sorted(expected.values())
+
+
+def test_labels_of_inner_nodes(spark):
+    main = trees_of(spark, "((A,B)old:1,(C,('D x',E):0.5)y)root:3;")
+    boots = trees_of(spark, "((A,B),(C,('D x',E)));", "((A,C),(B,('D x',E)));", "((A,B),(C,('D x',E)));")
+    text = tr.annotate_support(main, boots, "{Support}/{Fraction:.2f}").first()["newick"]
+    assert text == "((A,B)2/0.67:1,(C,('D x',E)3/1.00:0.5)2/0.67):3;"
+
+
+def test_deep_and_wide_trees(spark):
+    """A tree of 5000 levels and one of 10000 leaves; what is made of them is linear."""
+    deep = "(" * 5000 + "L0" + "".join(f",L{k})" for k in range(1, 5001)) + ";"
+    wide = "(" + ",".join(f"(L{2 * k},L{2 * k + 1})" for k in range(5000)) + ");"
+    keys = tr.clade_keys(trees_of(spark, deep)).groupBy("size").count().collect()
+    sizes = {r["size"]: r["count"] for r in keys}
+    # Clades of k leaves for 2 <= k <= 5000 and their complements, and the leaves
+    assert sizes[1] == 5001 and sizes[2500] == 2 and sum(sizes.values()) == 2 * 9999
+    assert tr.clade_keys(trees_of(spark, wide)).where("size = 2").count() == 5000
+    assert tr.clade_keys(trees_of(spark, wide)).count() == 2 * 15000
+    labelled = tr.annotate_support(trees_of(spark, wide), trees_of(spark, wide, wide)).first()["newick"]
+    assert labelled == wide.replace("),", ")2,").replace("));", ")2);")

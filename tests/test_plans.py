@@ -40,6 +40,15 @@ def test_hot_keys_are_bounded_and_split(spark):
     assert 300 < hot[0]["_salts"] <= skew.HOT_SHARE
 
 
+def test_broadcast_is_bounded_in_bytes(spark, monkeypatch):
+    narrow = spark.range(1000)
+    wide = spark.range(100).select("id", F.repeat(F.lit("x"), 1000).alias("text"), F.array("id").alias("list"))
+    assert skew.fits_broadcast(narrow) and skew.fits_broadcast(wide) and not skew.fits_broadcast(narrow, 999)
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", 50_000)
+    assert skew.fits_broadcast(narrow) and not skew.fits_broadcast(wide)
+    assert skew.fits_broadcast(narrow.where("false"))
+
+
 def random_intervals(n, seed, longest):
     rng = random.Random(seed)
     rows = []
@@ -54,6 +63,7 @@ def random_intervals(n, seed, longest):
 def test_overlap_join(spark, monkeypatch, width, broadcast):
     if not broadcast:
         monkeypatch.setattr(skew, "fits_broadcast", lambda *_: False)
+        monkeypatch.setattr(iv, "fits_broadcast", lambda *_: False)
     left, right = random_intervals(200, 1, 60), random_intervals(80, 2, 90)
     a = spark.createDataFrame(left, "contig string, s long, e long, left_id long")
     b = spark.createDataFrame(right, "contig string, start long, end long, right_id long")
@@ -66,6 +76,32 @@ def test_overlap_join(spark, monkeypatch, width, broadcast):
     assert actual == expected
 
 
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_overlap_join_of_all_lengths(spark, monkeypatch, broadcast):
+    """Intervals of 1 to 10 million bases on either side; no row is placed in many bins."""
+    if not broadcast:
+        monkeypatch.setattr(skew, "fits_broadcast", lambda *_: False)
+        monkeypatch.setattr(iv, "fits_broadcast", lambda *_: False)
+    rng = random.Random(5)
+
+    def rows(n):
+        starts = [rng.randrange(10**7) for _ in range(n)]
+        return [("c1", it, it + int(10 ** rng.uniform(0, 7)), k) for k, it in enumerate(starts)]
+
+    left, right = rows(150), rows(120)
+    a = spark.createDataFrame(left, "contig string, s long, e long, left_id long")
+    b = spark.createDataFrame(right, "contig string, start long, end long, right_id long")
+    for one, other, names in ((a, b, "left right"), (a, b.where("end - start < 1000"), "left short")):
+        pairs = iv.overlap_join(one, other, ("s", "e"), ("start", "end"), width=128).collect()
+        kept = [y for y in right if names != "left short" or y[2] - y[1] < 1000]
+        expected = sorted((x[3], y[3]) for x in left for y in kept if x[1] < y[2] and y[1] < x[2])
+        assert sorted((row["left_id"], row["right_id"]) for row in pairs) == expected
+    skip = spark.createDataFrame([("c1", 77, 100_077)], "contig string, s long, e long")
+    bits = iv._level_bits(128)
+    assert iv._placed(skip, ("s", "e"), bits, 0, "own").count() <= 2
+    assert iv._placed(skip, ("s", "e"), bits, len(bits) - 1, "own").count() <= 12
+
+
 @pytest.mark.parametrize("width", [8, 1024])
 def test_depth_runs(spark, width):
     blocks = random_intervals(150, 3, 50)
