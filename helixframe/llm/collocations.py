@@ -21,7 +21,7 @@ and empty tables give no phrases; columns besides ``text`` and ``lang`` are neve
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +41,10 @@ LEAST = 30
 COVERED = 80
 TOP = 2000
 SCORE_SCALE = 2_000_000
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
+#: Texts that are taken out of a batch, and rows that are handed on, at once.
+SLICE_TEXTS = 256
+SLICE_ROWS = 1 << 14
 
 #: Bits of a filter per key, and in a block, as in Spark's bitmaps; at most 64 MB are broadcast.
 BITS_PER_KEY = 16
@@ -87,9 +90,15 @@ class Shard:
         hashes = mixed(span_hashes(prefix_hashes(data), self.starts, self.ends) + salts[self.documents])
         # Zero stands for no word in the keys of shorter phrases
         hashes[hashes == 0] = 1
-        self.hashes, self.first, self.ids, self.counts = np.unique(
-            hashes, return_index=True, return_inverse=True, return_counts=True
-        )
+        order = np.argsort(hashes)
+        ordered = hashes[order]
+        new = np.concatenate(([True], ordered[1:] != ordered[:-1]))[: len(ordered)]
+        runs = np.flatnonzero(new)
+        self.hashes, self.counts = ordered[runs], np.diff(runs, append=len(ordered))
+        #: One occurrence of each word
+        self.example = order[runs]
+        self.ids = np.empty(len(ordered), np.int64)
+        self.ids[order] = np.cumsum(new) - 1
 
     def symbols(self, frequent: np.ndarray) -> np.ndarray:
         """Word ids as a text with boundaries; ``frequent`` says of each id whether it is a word there."""
@@ -98,20 +107,38 @@ class Shard:
         return np.concatenate(([BOUNDARY], np.insert(ids, after + 1, BOUNDARY)))
 
 
+def only_in_phrases(symbols: np.ndarray, may_follow: Callable) -> np.ndarray:
+    """The text with words that are in no three words of wanted pairs made rare.
+
+    Neighbouring rare words become one: that a word stands there is all that is asked of them.
+    """
+    pair = (symbols[:-1] >= FIRST_WORD) & (symbols[1:] >= FIRST_WORD)
+    pair[pair] = may_follow(symbols[:-1][pair], symbols[1:][pair])
+    three = np.concatenate((pair[:-1] & pair[1:], [False, False, False]))[: len(symbols)]
+    kept = three.copy()
+    kept[1:] |= three[:-1]
+    kept[2:] |= three[:-2]
+    out = np.where(kept | (symbols == BOUNDARY), symbols, RARE)
+    again = np.concatenate(([False], (out[1:] == RARE) & (out[:-1] == RARE)))
+    return out[~again]
+
+
 def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[Shard]:
     """Shards of about ``SHARD_BYTES``; a longer text is a shard of its own."""
     texts: list[bytes] = []
     langs: list[str] = []
     size = 0
     for batch in batches:
-        column = batch.column("text").cast(pa.large_binary())
-        for text, lang in zip(column.to_pylist(), batch.column("lang").to_pylist(), strict=True):
-            texts.append(text)
-            langs.append(lang)
-            size += len(text)
-            if size >= SHARD_BYTES:
-                yield Shard(texts, langs)
-                texts, langs, size = [], [], 0
+        for at in range(0, batch.num_rows, SLICE_TEXTS):
+            some = batch.slice(at, SLICE_TEXTS)
+            column = some.column("text").cast(pa.large_binary()).to_pylist()
+            for text, lang in zip(column, some.column("lang").to_pylist(), strict=True):
+                texts.append(text)
+                langs.append(lang)
+                size += len(text)
+                if size >= SHARD_BYTES:
+                    yield Shard(texts, langs)
+                    texts, langs, size = [], [], 0
     if texts:
         yield Shard(texts, langs)
 
@@ -149,7 +176,7 @@ class Transform:
 
 
 def phrases(
-    symbols: np.ndarray, longest: int, may_follow
+    symbols: np.ndarray, longest: int, may_follow: Callable
 ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Phrases of 2, 3, .. words: their symbols, occurrences, and those extended to the left and right.
 
@@ -244,7 +271,7 @@ def count_words(docs: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard in shards(batches):
-            at = shard.first
+            at = shard.example
             words = [shard.data[i:j] for i, j in zip(shard.starts[at], shard.ends[at], strict=True)]
             langs = [shard.langs[k] for k in shard.documents[at]]
             yield pa.RecordBatch.from_arrays(
@@ -261,11 +288,17 @@ def count_words(docs: DataFrame) -> DataFrame:
     return counted.groupBy("w1", "lang", "word").agg(F.sum("f").alias("f"))
 
 
+def _slices(columns: Sequence[np.ndarray], names: Sequence[str]) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(columns[0]), SLICE_ROWS):
+        arrays = [pa.array(it[at : at + SLICE_ROWS]) for it in columns]
+        yield pa.RecordBatch.from_arrays(arrays, names=list(names))
+
+
 def count_phrases(
     docs: DataFrame, longest: int, words: Broadcast, pairs: Broadcast | None = None
 ) -> DataFrame:
     """Phrases: (w1, .., f, left, right), those of two words, or if pairs are known those of more."""
-    names = [*KEYS, "f", "left", "right"]
+    keys, numbers = KEYS[:longest], ["f", "left", "right"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard in shards(batches):
@@ -276,16 +309,19 @@ def count_phrases(
                     return np.ones(len(first), bool)
                 return pairs.value.holds(pair_keys(hashes[first - FIRST_WORD], hashes[second - FIRST_WORD]))
 
-            for found, *numbers in phrases(symbols, longest, may_follow):
+            if pairs is not None:
+                symbols = only_in_phrases(symbols, may_follow)
+            for found, *counted in phrases(symbols, longest, may_follow):
                 if found.shape[1] > 2 or pairs is None:
-                    keys = np.zeros((LONGEST, len(found)), np.uint64)
-                    keys[: found.shape[1]] = shard.hashes[found.T - FIRST_WORD]
-                    columns = [*keys.view(np.int64), *numbers]
-                    yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=names)
-
-    schema = T.StructType([T.StructField(name, T.LongType()) for name in names])
-    sums = [F.sum(name).alias(name) for name in names[LONGEST:]]
-    return _prepared(docs).mapInArrow(count, schema).groupBy(*KEYS).agg(*sums)
+                    hashes = np.zeros((longest, len(found)), np.uint64)
+                    hashes[: found.shape[1]] = shard.hashes[found.T - FIRST_WORD]
+                    yield from _slices([*hashes.view(np.int64), *counted], [*keys, *numbers])
+
+    schema = T.StructType([T.StructField(name, T.LongType()) for name in [*keys, *numbers]])
+    sums = [F.sum(name).alias(name) for name in numbers]
+    counted = _prepared(docs).mapInArrow(count, schema).groupBy(*keys).agg(*sums)
+    no_word = [F.lit(0).cast("long").alias(name) for name in KEYS[longest:]]
+    return counted.select(*keys, *no_word, *numbers)
 
 
 def frequent_phrases(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) -> tuple[DataFrame, DataFrame]:

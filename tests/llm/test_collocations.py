@@ -94,7 +94,7 @@ def test_index_counts_phrases_and_their_extensions(seed):
     rng = random.Random(seed)
     texts = [" ".join(rng.choices("abc", k=rng.randint(0, 40))) + rng.choice(["", ".", ", b a"]) for _ in range(6)]
     shard = module.Shard([it.encode() for it in texts], ["en"] * len(texts))
-    words = {h: shard.data[shard.starts[k] : shard.ends[k]].decode() for h, k in zip(range(9), shard.first)}
+    words = {h: shard.data[shard.starts[k] : shard.ends[k]].decode() for h, k in zip(range(9), shard.example)}
     symbols = shard.symbols(np.ones(len(shard.hashes), bool))
     found = {}
     for phrase, sizes, left, right in module.phrases(symbols, 4, lambda a, b: np.ones(len(a), bool)):
@@ -112,6 +112,26 @@ def test_index_counts_phrases_and_their_extensions(seed):
     assert found == {key: tuple(it) for key, it in expected.items()}
 
 
+@pytest.mark.parametrize("seed", range(5))
+def test_text_without_words_in_no_phrase(seed):
+    rng = np.random.default_rng(seed)
+    symbols = np.concatenate(([0], rng.integers(0, 9, 400), [0]))
+
+    def may_follow(first, second):
+        return (first * 7 + second * 3) % 5 < 2
+
+    def long_phrases(text):
+        found = {}
+        for phrase, *numbers in module.phrases(text, 4, may_follow):
+            if phrase.shape[1] > 2:
+                found |= dict(zip(map(tuple, phrase.tolist()), zip(*numbers, strict=True), strict=True))
+        return found
+
+    less = module.only_in_phrases(symbols, may_follow)
+    assert len(less) < len(symbols)
+    assert long_phrases(less) == long_phrases(symbols) != {}
+
+
 def test_odd_documents(spark, odd_docs, no_docs):
     # Repeated rows count twice, and a very long text is counted whole
     rows = [(row["text"], row["lang"]) for row in odd_docs.collect()]
