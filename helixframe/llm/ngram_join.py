@@ -1,15 +1,19 @@
-"""N-gram Jaccard join: MinHash banding finds candidates, exact sets decide.
+"""N-gram Jaccard join: a forest of MinHash tries finds candidates, exact sets decide.
 
 Texts are sets of shingles of five lower-cased words. Texts with equal sets are one node, however
-many copies there are. Each has ``TREES`` bands; nodes that share a whole band are candidates. The
-length of all bands is chosen once: the longest one up to ``DEPTH`` at which two texts at the
-threshold meet with the probability ``RECALL``. Nothing is shortened for what a node has met, as an
-LSH forest would.
+many copies there are. Each has a path of ``DEPTH`` steps in every one of ``TREES`` tries. Nodes meet in a trie
+by the prefix that they share, and prefixes are shortened until two texts at the threshold have met in some trie
+with the probability ``RECALL``:
 
-Candidates are gathered by connected components of the shared bands, components are cut
-into blocks, and every pair of blocks compares its sets exactly. What leaves a pair of blocks is one
-row per node: the number of its links, and the node it hangs together with; pairs are never written
-out. The classes are the components of the verified links.
+* A node's home is the longest prefix that it shares with any other node, in whichever trie: all ``DEPTH`` steps if
+  somebody is that close, one step less for a node that met nobody there, and so on. Nodes of a home are close
+  to each other; they are cut into blocks of about ``BLOCK``.
+* What is compared is found at the shortened length: two blocks whose nodes share such a prefix in any trie are
+  a pair, and compare all their sets exactly. A node is in one block, so that two nodes meet once, however
+  many prefixes they share, and a home that nobody else meets is compared with itself only.
+
+What leaves a pair of blocks is one row per node: the number of its links, and the node it hangs together with;
+pairs of nodes are never written out. The classes are the components of the verified links.
 
 Texts of one to four words have a single shingle, the whole text. Texts without words, null ones
 included, link to nothing. Rows equal in id and text are copies like any others. An empty table
@@ -24,7 +28,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType
+from pyspark.sql.types import ArrayType, IntegerType, LongType
 
 from helixframe.llm.common import (
     ROW_KEY,
@@ -43,8 +47,10 @@ WORDS = 5
 THRESHOLD = 0.8
 TREES, DEPTH = 40, 8
 RECALL = 0.99999
-#: Nodes in a block of a component.
+#: Nodes in a block of a home.
 BLOCK = 256
+#: Bits of a home's hash; the steps that it is short of come before them, so that the longest prefix is the least.
+HOME_BITS = 61
 SEED = 3
 
 _random = np.random.default_rng(SEED)
@@ -77,11 +83,14 @@ def shingles(text: str) -> np.ndarray:
     return np.unique(mixed(value + np.uint64(count)))
 
 
-def trie_labels(hashes: np.ndarray, length: int) -> np.ndarray:
-    """The prefix of this length in each trie, as one 64-bit label per trie."""
+def trie_paths(hashes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """The prefix of this length in each trie, as a 64-bit label, and the two steps after it.
+
+    The steps are 16 bits each; equal ones may be different, which only makes a home larger.
+    """
     short = (hashes >> np.uint64(32)).astype(np.uint32)
-    labels = np.full(TREES, 0, np.uint64)
-    for step in range(length):
+    labels, deeper = np.full(TREES, 0, np.uint64), np.zeros(TREES, np.uint32)
+    for step in range(DEPTH):
         least = np.full(TREES, np.iinfo(np.uint32).max, np.uint32)
         own = slice(step * TREES, (step + 1) * TREES)
         flips, factors = _FLIPS[own, None], _FACTORS[own, None]
@@ -90,8 +99,13 @@ def trie_labels(hashes: np.ndarray, length: int) -> np.ndarray:
             part *= factors
             part ^= part >> np.uint32(15)
             np.minimum(least, part.min(axis=1), out=least)
-        labels = mixed(labels * np.uint64(0x9E3779B97F4A7C15) + least.astype(np.uint64) + np.uint64(1))
-    return mixed(labels + np.arange(TREES, dtype=np.uint64))
+        if step < length:
+            labels = mixed(labels * np.uint64(0x9E3779B97F4A7C15) + least.astype(np.uint64) + np.uint64(1))
+        else:
+            # At most two steps, the first one in the upper half
+            spread = mixed(least.astype(np.uint64)) & np.uint64(0xFFFF)
+            deeper |= spread.astype(np.uint32) << np.uint32(16 * (step == length))
+    return mixed(labels + np.arange(TREES, dtype=np.uint64)), deeper
 
 
 def _set_hash(hashes: np.ndarray) -> np.uint64:
@@ -99,40 +113,80 @@ def _set_hash(hashes: np.ndarray) -> np.uint64:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """Per document its row key, node (the hash of its set) and trie labels."""
-    length = prefix_length()
+    """Per document its row key, node (the hash of its set), and its path in every trie."""
+    length = max(DEPTH - 2, prefix_length())
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            nodes, labels = [], []
+            nodes, labels, deeper = [], [], []
             for own, text in zip(batch["row_a"], batch.pop("text"), strict=True):
                 hashes = shingles(text)
                 if len(hashes):
                     nodes.append(int(_set_hash(hashes).astype(np.int64)))
-                    labels.append(trie_labels(hashes, length).astype(np.int64))
+                    label, deep = trie_paths(hashes, length)
+                    labels.append(label.astype(np.int64))
+                    deeper.append(deep.astype(np.int32))
                 else:
                     nodes.append(own)
                     labels.append(np.zeros(0, np.int64))
+                    deeper.append(np.zeros(0, np.int32))
             batch["node"] = nodes
             batch["labels"] = labels
+            batch["deeper"] = deeper
             yield batch
 
     rows = with_row_key(docs, "doc_id", "text")
     schema = rows.drop("text").schema.add("node", "long").add("labels", ArrayType(LongType()))
-    return rows.mapInPandas(sign, schema)
+    return rows.mapInPandas(sign, schema.add("deeper", ArrayType(IntegerType())))
 
 
-def candidate_components(nodes: DataFrame) -> DataFrame:
-    """(node, root) of the nodes (with labels) that share a prefix with another one."""
-    shared = nodes.select("node", F.explode("labels").alias("label"))
-    buckets = (
-        shared.groupBy("label")
-        .agg(F.min("node").alias("a"), F.max("node").alias("most"))
-        .where("a <> most")
-    )
+def shared_prefixes(nodes: DataFrame) -> DataFrame:
+    """(node, label, home): the prefixes that a node shares with others, and the longest one of each trie.
+
+    ``home`` is smaller the longer the prefix is that the node shares there.
+    """
+    pair = F.explode(F.arrays_zip("labels", "deeper")).alias("path")
+    paths = nodes.select("node", pair).select("node", F.col("path.labels").alias("label"), F.col("path.deeper").alias("deep"))
+    levels = [
+        ("n6", [F.col("label")]),
+        ("n7", [F.col("label"), F.shiftrightunsigned("deep", 16)]),
+        ("n8", [F.col("label"), F.col("deep")]),
+    ]
+    met = paths.groupBy("label").agg(F.count("*").alias("n6")).where("n6 > 1")
     # Materialised, so that Spark can split a hot label in the join
-    edges = shared.join(checkpointed(buckets), "label").select("a", F.col("node").alias("b"))
-    return components(edges.where("a <> b"))
+    shared = checkpointed(paths.join(checkpointed(met.select("label")), "label"))
+    home = F.lit(None).cast("long")
+    mask = F.lit((1 << HOME_BITS) - 1)
+    for missing, (name, prefix) in zip((2, 1, 0), levels, strict=True):
+        here = F.xxhash64(F.lit(name), *prefix).bitwiseAND(mask) + (missing << HOME_BITS)
+        if name == "n6":
+            home = here
+            continue
+        keyed = shared.select("label", "deep", F.xxhash64(F.lit(name), *prefix).alias("prefix"))
+        again = keyed.groupBy("prefix").agg(F.count("*").alias("n")).where("n > 1").select("prefix")
+        shared = shared.withColumn("prefix", F.xxhash64(F.lit(name), *prefix)).join(
+            checkpointed(again.withColumn(name, F.lit(True))), "prefix", "left"
+        )
+        home = F.when(F.col(name), here).otherwise(home)
+        shared = shared.drop("prefix")
+    return shared.select("node", "label", home.alias("home"))
+
+
+def blocks_of_nodes(shared: DataFrame) -> DataFrame:
+    """(node, block): nodes by their longest shared prefix, in parts of about ``BLOCK``."""
+    homes = checkpointed(shared.groupBy("node").agg(F.min("home").alias("home")))
+    sizes = checkpointed(homes.groupBy("home").agg(F.ceil(F.count("*") / BLOCK).alias("parts")))
+    part = F.pmod(F.xxhash64("node"), F.col("parts"))
+    return checkpointed(homes.join(sizes, "home").select("node", F.xxhash64("home", part).alias("block")))
+
+
+def block_pairs(shared: DataFrame, blocks: DataFrame) -> DataFrame:
+    """(low, high): every block with itself, and blocks with nodes that share a prefix."""
+    meeting = checkpointed(shared.select("label", "node").join(blocks, "node").select("label", "block").distinct())
+    # One row per block and prefix: nodes of a home share most of their prefixes, and are in few blocks
+    other = meeting.select("label", F.col("block").alias("high"))
+    pairs = meeting.withColumnRenamed("block", "low").join(other, "label").where("low <= high")
+    return checkpointed(pairs.select("low", "high").distinct())
 
 
 def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -179,10 +233,11 @@ def _compare(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"node": node, "links": links, "hangs": node[hangs]})
 
 
-def verified(docs: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
+def verified(docs: DataFrame, nodes: DataFrame, shared: DataFrame) -> DataFrame:
     """(node, links, hangs): verified links of the candidate nodes, one row per pair of blocks."""
-    sizes = roots.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    chosen = roots.join(sizes, "root").join(nodes.drop("labels"), "node")
+    blocks = blocks_of_nodes(shared)
+    pairs = block_pairs(shared, blocks)
+    chosen = blocks.join(nodes.select("node", "copies", *ROW_KEY), "node")
 
     def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -193,26 +248,20 @@ def verified(docs: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
     # Rows equal in id and text would give a node twice
     texts = texts.dropDuplicates(["node"])
     schema = texts.drop("text").schema.add("hashes", "binary")
-    block = F.pmod(F.xxhash64("node"), F.col("blocks"))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
-    paired = (
-        texts.mapInPandas(gather, schema)
-        .withColumn("block", block)
-        .select("*", other)
-        .withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
-    )
-    return paired.groupBy("root", "low", "high").applyInPandas(_compare, "node long, links long, hangs long")
+    sides = pairs.select("low", "high", F.explode(F.array_distinct(F.array("low", "high"))).alias("block"))
+    paired = texts.mapInPandas(gather, schema).join(checkpointed(sides), "block")
+    return paired.groupBy("low", "high").applyInPandas(_compare, "node long, links long, hangs long")
 
 
 def near_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Documents as (doc_id, row key, node), and nodes as (node, root, links, copies)."""
     rows = checkpointed(signatures(docs))
     nodes = rows.groupBy("node").agg(
-        F.count("*").alias("copies"), F.min(F.struct(*ROW_KEY, "labels")).alias("one")
+        F.count("*").alias("copies"), F.min(F.struct(*ROW_KEY, "labels", "deeper")).alias("one")
     )
     nodes = checkpointed(nodes.select("node", "copies", "one.*"))
-    roots = checkpointed(candidate_components(nodes))
-    found = checkpointed(verified(docs, nodes, roots))
+    shared = checkpointed(shared_prefixes(nodes))
+    found = checkpointed(verified(docs, nodes, shared))
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     classes = components(found.select(F.col("node").alias("a"), F.col("hangs").alias("b")))
     nodes = nodes.select("node", "copies").join(links, "node", "left").join(classes, "node", "left")
@@ -221,7 +270,7 @@ def near_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.coalesce("root", "node").alias("root"),
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
     )
-    return rows.drop("labels"), checkpointed(nodes)
+    return rows.drop("labels", "deeper"), checkpointed(nodes)
 
 
 def join_near(docs: DataFrame) -> DataFrame:
