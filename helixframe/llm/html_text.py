@@ -6,10 +6,11 @@ kept. All other blocks are kept unless they are boilerplate, and in pages with a
 outside of it and dropped.
 
 Boilerplate is what pages of a host share, however many the host has. The words of all blocks of a
-page are concatenated, and every string of ``LEAST_RUN`` words becomes a 64-bit hash with its host.
-Hashes are counted per task and added up by Spark, so that no task holds a host. Those that occur in
-two different pages or more return to the pages with undecided blocks: the words of such strings are
-covered. Covered words of undecided blocks are removed, unique runs are kept. Two different strings
+page are one stream. A task concatenates the streams of ``GROUP_PAGES`` pages and sorts their suffixes as deep
+as ``LEAST_RUN`` words, so that strings of so many words that repeat across pages are neighbours; how many
+distinct pages have each is added up by Spark under a 64-bit hash of host and string, as a host may have
+more pages than a task could hold. Strings of two different pages or more return to the pages with undecided
+blocks: the words of such strings are covered. Covered words of undecided blocks are removed, unique runs are kept. Two different strings
 with the same hash would count as one. Strings are counted only for hosts that have undecided blocks.
 
 Main text can stand on two pages, too, and is not removed for that:
@@ -90,6 +91,10 @@ MARKED = re.compile(
 )
 
 
+#: Marks that stand for the title of an article, where they stand inside of one.
+TITLE = re.compile(r"(?:^|[\s_-])(?:header|masthead)(?:$|[\s_-])", re.I)
+
+
 def _is_aside(name: str, rest: str, in_article: bool) -> bool:
     """Whether an element holds something else than main text."""
     if name in ASIDE and not (name == "header" and in_article):
@@ -99,8 +104,11 @@ def _is_aside(name: str, rest: str, in_article: bool) -> bool:
     for found in _ATTRIBUTE.finditer(rest):
         key = found[1].lower()
         value = found[2] or found[3] or found[4] or ""
-        if key in ("class", "id") and MARKED.search(value):
-            return True
+        if key in ("class", "id"):
+            if in_article:
+                value = TITLE.sub(" ", value)
+            if MARKED.search(value):
+                return True
         if key == "role" and value.lower() in ROLES:
             return True
     return False
@@ -175,37 +183,59 @@ def _words_from(starts: np.ndarray, size: int, least: int) -> np.ndarray:
     return np.cumsum(edges)[:size] > 0
 
 
-def covered_words(streams: list[np.ndarray], least: int = LEAST_RUN) -> list[np.ndarray]:
-    """Per page a flag for each word in a string of ``least`` words that another page has, too.
+def suffix_ranks(streams: list[np.ndarray], least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Suffix array of concatenated pages, as far as it matters: ``least`` words deep.
 
-    By a suffix array in one process: the plain version that the counted strings are tested against.
+    For every word the rank of the suffix that it starts, its page, and whether the page has so many
+    words from there on. Suffixes that share their first ``least`` words share their rank.
     """
-    sizes = np.array([len(it) for it in streams])
+    sizes = np.array([len(it) for it in streams], np.int64)
     words = np.concatenate([*streams, np.zeros(0, np.int64)])
     page = np.repeat(np.arange(len(streams)), sizes)
     size = len(words)
-    if not size:
-        return [np.zeros(0, bool) for _ in streams]
     rest = np.repeat(np.cumsum(sizes), sizes) - np.arange(size)
-    # Suffixes are ordered as far as they matter: by their first ``least`` words
     _, rank = np.unique(words, return_inverse=True)
     depth = 1
     while depth < least:
+        # Suffixes ordered by ``depth`` words are ordered by twice as many from the ranks of what follows
         step = min(depth, least - depth)
         following = np.full(size, -1, np.int64)
         inside = rest > step
         following[inside] = rank[np.flatnonzero(inside) + step]
         _, rank = np.unique(rank * (size + 1) + following + 1, return_inverse=True)
         depth += step
+    return rank, page, rest >= least
+
+
+def pages_of_ranks(rank: np.ndarray, page: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of one suffix of each rank, and the number of distinct pages that have it."""
     order = np.lexsort((page, rank))
-    whole = rest[order] >= least
-    same = (np.diff(rank[order]) == 0) & whole[1:] & whole[:-1]
-    other = same & (np.diff(page[order]) != 0)
-    # All suffixes of a rank are repeated if two neighbours are of different pages
-    shared = np.zeros(rank.max() + 1, bool)
-    shared[rank[order][1:][other]] = True
-    starts = np.flatnonzero(shared[rank] & (rest >= least))
-    return np.split(_words_from(starts, size, least), np.cumsum(sizes)[:-1])
+    rank, page = rank[order], page[order]
+    new_rank = np.concatenate(([True], rank[1:] != rank[:-1]))[: len(rank)]
+    new_page = new_rank | np.concatenate(([True], page[1:] != page[:-1]))[: len(rank)]
+    first = np.flatnonzero(new_rank)
+    return order[first], np.add.reduceat(new_page, first, dtype=np.int64) if len(first) else first
+
+
+def covered_words(streams: list[np.ndarray], least: int = LEAST_RUN) -> list[np.ndarray]:
+    """Per page a flag for each word in a string of ``least`` words that another page has, too."""
+    rank, page, whole = suffix_ranks(streams, least)
+    at = np.flatnonzero(whole)
+    places, pages = pages_of_ranks(rank[at], page[at])
+    shared = np.zeros(len(rank) + 1, bool)
+    shared[rank[at][places[pages > 1]]] = True
+    flags = _words_from(at[shared[rank[at]]], len(rank), least)
+    return np.split(flags, np.cumsum([len(it) for it in streams])[:-1])
+
+
+def word_hashes(blocks: list[str], host: int) -> np.ndarray:
+    """64-bit hashes of a host's words."""
+    data = byte_array(" ".join(blocks))
+    if not len(data):
+        return np.zeros(0, np.int64)
+    ends = np.append(np.flatnonzero(data == ord(" ")), len(data))
+    spans = span_hashes(prefix_hashes(data), np.append(0, ends[:-1] + 1), ends)
+    return mixed(spans ^ np.array([host], np.int64).view(np.uint64)).view(np.int64)
 
 
 def string_hashes(blocks: list[str], host: int, least: int = LEAST_RUN) -> np.ndarray:
@@ -263,12 +293,17 @@ def shared_strings(contents: DataFrame, group_pages: int = GROUP_PAGES) -> DataF
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in _parts(batches, group_pages):
-            own = []
+            streams, strings, outside = [], [], []
             for row in part.itertuples():
-                inside = _each_string(_word_kinds(row.blocks, row.kinds) == KEPT)
-                own.append(np.unique(string_hashes(row.blocks, row.host)[inside == 0]))
-            found, pages = np.unique(np.concatenate(own), return_counts=True)
-            yield pd.DataFrame({"string": found, "pages": pages})
+                streams.append(word_hashes(row.blocks, row.host))
+                strings.append(string_hashes(row.blocks, row.host))
+                outside.append(_each_string(_word_kinds(row.blocks, row.kinds) == KEPT) == 0)
+            rank, page, whole = suffix_ranks(streams, LEAST_RUN)
+            # One entry per string, in the order of the words that they start at
+            at = np.flatnonzero(whole)
+            wanted = np.concatenate(outside)
+            places, pages = pages_of_ranks(rank[at][wanted], page[at][wanted])
+            yield pd.DataFrame({"string": np.concatenate(strings)[wanted][places], "pages": pages})
 
     counted = contents.select("host", "blocks", "kinds").mapInPandas(count, "string long, pages long")
     return counted.groupBy("string").agg(F.sum("pages").alias("pages")).where("pages > 1")
