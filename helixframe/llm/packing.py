@@ -11,7 +11,8 @@ are enumerated depth first from large to small. A filling is dominated, and skip
 lengths can be replaced by a longer one that still fits. Branches whose waste cannot fall below
 that of the best filling so far are cut, and the best-fit filling is the first incumbent. If the
 result needs more sequences than the lower bound, other branches take the second best filling at
-one place each, and are cut as soon as their waste reaches that of the incumbent.
+one place each, over all places, and are cut as soon as their waste reaches that of the incumbent. The budget of
+the search is a parameter; ``lower_bound`` says how far a plan can be from the best one.
 
 A null text counts as empty: one token, id 0. Repeated rows are packed as often as they occur. An
 empty table gives an empty result.
@@ -34,9 +35,11 @@ from helixframe.llm.queries import query
 
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
-#: Branches looked at for one filling, and fillings replaced by their second best.
-FILLING_NODES = 500
-DISCREPANCIES = 3
+#: Branches looked at for one filling, and for a plan as a whole. Where the lower bound is met, and it is met by
+#: the first fillings on all given tables, neither matters; where it isn't, the search ends with the best plan
+#: so far once all places have been tried or the second number is spent. No piece depends on it.
+FILLING_NODES = 2_000
+SEARCH_NODES = 1_000_000
 #: Words whose ids a Python worker remembers.
 REMEMBERED = 500_000
 
@@ -131,7 +134,16 @@ def token_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPAC
     )
 
 
-def _best_fillings(counts: dict[int, int], sizes: list[int], first: int, room: int) -> list[tuple]:
+class Budget:
+    """Branches that may still be looked at."""
+
+    def __init__(self, nodes: int):
+        self.nodes = nodes
+
+
+def _best_fillings(
+    counts: dict[int, int], sizes: list[int], first: int, room: int, budget: Budget
+) -> list[tuple]:
     """The best undominated fillings of the room beside ``first``, as (waste, lengths)."""
     left = dict(counts)
     left[first] -= 1
@@ -147,7 +159,7 @@ def _best_fillings(counts: dict[int, int], sizes: list[int], first: int, room: i
 
     greedy = best_fit(room)
     found = [(room - sum(greedy), tuple(greedy))]
-    nodes = 0
+    nodes, most = 0, min(FILLING_NODES, budget.nodes)
 
     def dominated(chosen: list[int], waste: int) -> bool:
         for size in set(chosen):
@@ -165,7 +177,7 @@ def _best_fillings(counts: dict[int, int], sizes: list[int], first: int, room: i
             return True
         extended = False
         for index in range(position, len(sizes)):
-            if nodes > FILLING_NODES:
+            if nodes > most:
                 return False
             size = sizes[index]
             if size > space or left.get(size, 0) <= chosen.count(size):
@@ -184,6 +196,8 @@ def _best_fillings(counts: dict[int, int], sizes: list[int], first: int, room: i
 
     if found[0][0] > 0:
         search(0, room, [])
+    # Fitting best looks at the lengths, several of which cost as much as a branch
+    budget.nodes -= nodes + len(sizes) // 10 + 1
     return sorted(set(found), key=lambda it: (it[0], -max(it[1], default=0), it[1]))[:2]
 
 
@@ -194,19 +208,24 @@ def lower_bound(counts: dict[int, int], capacity: int) -> int:
 
 
 def complete_bins(
-    counts: dict[int, int], capacity: int, second_at: int = -1, most_waste: float = float("inf")
+    counts: dict[int, int],
+    capacity: int,
+    second_at: int = -1,
+    most_waste: float = float("inf"),
+    budget: Budget | None = None,
 ) -> list[tuple[tuple[int, ...], int]] | None:
     """Sequences as (lengths, how often), or None once their waste exceeds ``most_waste``.
 
     At place ``second_at`` the second best filling is taken instead of the best.
     """
+    budget = budget or Budget(SEARCH_NODES)
     counts = {size: count for size, count in counts.items() if count}
     sizes = sorted(counts, reverse=True)
     bins: list[tuple[tuple[int, ...], int]] = []
     waste = 0
     while sizes:
         first = sizes[0]
-        fillings = _best_fillings(counts, sizes, first, capacity - first)
+        fillings = _best_fillings(counts, sizes, first, capacity - first, budget)
         lost, filling = fillings[min(len(fillings) - 1, int(len(bins) == second_at))]
         lengths = (first, *filling)
         needed = {size: lengths.count(size) for size in set(lengths)}
@@ -246,8 +265,12 @@ def best_fit_decreasing(counts: dict[int, int], capacity: int) -> list[tuple[tup
     return [it for group in by_room.values() for it in group]
 
 
-def plan_sequences(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
-    """The best packing found of so many pieces per length."""
+def plan_sequences(
+    counts: dict[int, int], capacity: int = CAPACITY, nodes: int = SEARCH_NODES
+) -> list[tuple[tuple[int, ...], int]]:
+    """The best packing found of so many pieces per length, looking at so many branches."""
+    budget = Budget(nodes)
+    # The first plan is always made as a whole
     best = complete_bins(counts, capacity)
     bound = lower_bound(counts, capacity)
     number = sum(often for _, often in best)
@@ -255,12 +278,13 @@ def plan_sequences(counts: dict[int, int], capacity: int = CAPACITY) -> list[tup
     if sum(often for _, often in other) < number:
         best, number = other, sum(often for _, often in other)
     tokens = sum(size * count for size, count in counts.items())
-    for place in range(min(DISCREPANCIES, len(best))):
-        if number <= bound:
-            break
-        other = complete_bins(counts, capacity, place, (number - 1) * capacity - tokens)
+    place = 0
+    while number > bound and place < len(best) and budget.nodes > 0:
+        other = complete_bins(counts, capacity, place, (number - 1) * capacity - tokens, budget)
         if other is not None and sum(often for _, often in other) < number:
-            best, number = other, sum(often for _, often in other)
+            best, number, place = other, sum(often for _, often in other), 0
+            continue
+        place += 1
     return best
 
 
