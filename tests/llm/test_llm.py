@@ -15,6 +15,7 @@ import duckdb
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
@@ -471,11 +472,37 @@ def test_recall_of_the_forest():
     for _ in range(200):
         common = random_.integers(0, 1 << 63, 160, dtype=np.uint64)
         own = random_.integers(0, 1 << 63, (2, 20), dtype=np.uint64)
-        labels = [ngram_join.trie_labels(np.concatenate((common, it)), length) for it in own]
+        labels = [ngram_join.trie_paths(np.concatenate((common, it)), length)[0] for it in own]
         met += bool((labels[0] == labels[1]).any())
     assert met >= 199
 
 
+def test_homes_are_the_longest_shared_prefixes(spark):
+    """Nodes meet by all steps, or by fewer where nobody is that close; blocks meet by any shared prefix."""
+    paths = {
+        1: [(10, 0x00010001), (20, 0x00010001)],
+        2: [(10, 0x00010001), (21, 0x00010001)],
+        3: [(10, 0x00010002), (22, 0x00010001)],
+        4: [(11, 0x00010001), (20, 0x00020001)],
+        5: [(12, 0x00010001), (23, 0x00010001)],
+    }
+    nodes = spark.createDataFrame(
+        [(node, [it[0] for it in path], [it[1] for it in path]) for node, path in paths.items()],
+        "node long, labels array<long>, deeper array<int>",
+    )
+    shared = ngram_join.shared_prefixes(nodes)
+    homes = defaultdict(dict)
+    for row in rows(shared):
+        homes[row["node"]][row["label"]] = row["home"] >> ngram_join.HOME_BITS
+    # Steps that the longest shared prefix is short of
+    assert homes == {1: {10: 0, 20: 2}, 2: {10: 0}, 3: {10: 1}, 4: {20: 2}}
+    blocks = {row["node"]: row["block"] for row in rows(ngram_join.blocks_of_nodes(shared))}
+    assert blocks[1] == blocks[2] and len(set(blocks.values())) == 3
+    pairs = {(row["low"], row["high"]) for row in rows(ngram_join.block_pairs(shared, ngram_join.blocks_of_nodes(shared)))}
+    met = [(1, 1), (3, 3), (4, 4), (1, 3), (1, 4)]
+    assert pairs == {tuple(sorted((blocks[a], blocks[b]))) for a, b in met}
+
+
 def test_components(spark):
     random.seed(8)
     edges = [(k, k + 1) for k in range(200)] + [(1000, k) for k in range(1001, 1100)] + [(5000, 5001), (5001, 5000), (7, 7)]
@@ -527,6 +554,38 @@ def test_html_coverage_of_a_large_host(spark):
     assert found[0] == found[1] == {k: " ".join(f"own{k}x{n}" for n in range(9)) for k in range(60)}
 
 
+def test_html_titles_inside_of_articles():
+    page = """<header class="site-header">Site</header><article><div class="entry-header"><h1>Title</h1></div>
+        <p>Text</p><div id="share-header">Share</div><div class="comments">No</div></article>"""
+    blocks, kinds = html_text.page_blocks(page)
+    assert [it for it, kind in zip(blocks, kinds, strict=True) if kind == html_text.KEPT] == ["Title", "Text"]
+
+
+@pytest.mark.parametrize("group_pages", [3, 400])
+def test_html_strings_are_those_of_the_suffix_array(spark, group_pages):
+    """Counted over groups of pages, strings cover the words that one suffix array of a host covers."""
+    random.seed(12)
+    pages = [
+        (k, f"http://{'ab'[k % 2]}.net/{k}", "".join(f"<p>{' '.join(random.choices('xyz', k=random.randint(1, 25)))}</p>" for _ in range(2)))
+        for k in range(24)
+    ]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    parsed = html_text.parsed_pages(df).withColumn("host", F.xxhash64("host"))
+    found = {row["string"] for row in rows(html_text.shared_strings(parsed, group_pages))}
+    by_host = defaultdict(list)
+    for row in parsed.collect():
+        by_host[row["host"]].append(list(row["blocks"]))
+    covered = 0
+    for host, texts in by_host.items():
+        expected = html_text.covered_words([html_text.word_hashes(it, host) for it in texts])
+        for blocks, flags in zip(texts, expected, strict=True):
+            starts = np.flatnonzero(np.isin(html_text.string_hashes(blocks, host), list(found)))
+            own = html_text._words_from(starts, len(flags), html_text.LEAST_RUN)
+            assert (own == flags).all()
+            covered += own.sum()
+    assert covered > 0
+
+
 def test_html_main_text_on_several_pages(spark):
     """Copies, print views and quotes in plain blocks stay; what their pages share otherwise goes."""
 
