@@ -32,6 +32,8 @@ DAMPING = 0.85
 #: Mass still on its way when spreading ends, at most, and the steps between two looks at it.
 TOLERANCE = 1e-6
 STEPS = 6
+#: Edges to a task of a step; hosts are far fewer than pages, and steps many.
+PART_EDGES = 200_000
 BLOCK_RATIO = 1.0
 _LINK = r"""(?i)\bhref\s*=\s*["']?\s*(?:https?:)?//([^/?#"'<>\s]+)"""
 
@@ -105,12 +107,15 @@ def spread(links: DataFrame, seeds: DataFrame) -> DataFrame:
     # By an edge to itself a host keeps the rank that it has
     own = hosts.select("kind", "source", F.col("source").alias("target"), F.lit(0.0), F.lit(1.0))
     edges = checkpointed(edges.union(own))
+    parts = max(1, -(-edges.count() // PART_EDGES))
     edges = bounded_broadcast(edges.withColumnRenamed("source", "host"))
     sums = seeds.groupBy("kind").agg(F.sum("pages").alias("all"))
     mass = F.col("pages") / F.col("all")
     state = seeds.join(F.broadcast(sums), "kind").select(
         "kind", "host", mass.alias("mass"), mass.alias("rank")
     )
+    # Else every step would be dealt over as many tasks as a shuffle of the pages is
+    state = state.coalesce(parts)
     reached = 0
     while True:
         for _ in range(STEPS):
@@ -124,7 +129,7 @@ def spread(links: DataFrame, seeds: DataFrame) -> DataFrame:
             )
             state = received.select(
                 "kind", F.col("target").alias("host"), "mass", (F.col("rank") + F.col("mass")).alias("rank")
-            )
+            ).coalesce(parts)
         state = checkpointed(state)
         found = state.agg(F.sum("mass").alias("mass"), F.count("*").alias("hosts")).first()
         if found["hosts"] == reached and (found["mass"] or 0.0) < TOLERANCE:
