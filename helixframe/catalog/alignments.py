@@ -66,6 +66,24 @@ def _clamped(start: str, end: str) -> str:
     )
 
 
+# Reads of known groups only, so that the table has no rows for others
+_COVERAGE_KNOWN = (
+    v.with_views(
+        "reads",
+        "readgroups",
+        "contigs",
+        extra={
+            "grouped": _GROUPED + " AND g.sample IS NOT NULL",
+            "pairs": "SELECT DISTINCT sample, library FROM readgroups",
+            "sizes": "SELECT contig, length AS size FROM contigs",
+            "counts": f"""SELECT sample, library, contig, {_CLASS_COUNTS}
+                sum(m1 + m2) AS m, sum(ins) AS i, sum(del) AS d FROM grouped GROUP BY ALL""",
+            "dense": _DENSE,
+        },
+    )
+    + _ROLLUP
+)
+
 _COVERAGE_REGION = (
     v.with_views(
         "reads",
@@ -97,6 +115,13 @@ def coverage_contig(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("coverage_known_groups", _COVERAGE_KNOWN)
+def coverage_known_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = v.readgroups(spark, sf_dir)
+    known = v.alignments(spark, sf_dir).join(groups.select("rg"), "rg", "left_semi")
+    return cov.coverage_table(known, v.contigs(spark, sf_dir), groups)
+
+
 @query("coverage_region", _COVERAGE_REGION)
 def coverage_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cov.coverage_table(

@@ -67,7 +67,30 @@ def exclude_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pn.exclude_transitions(v.panel_sites(spark, sf_dir)).select("contig", "pos", "genotypes")
 
 
-@query("sample_panel_sites")
+# One site after another: its reads in order of their hash, and those that sites before it have used up
+_WALK = {
+    "choices": f"""SELECT contig, pos, read_id, base, md5(concat_ws('|', '5', read_id, pos)) AS rank,
+        alleles & ({_BIT}) <> 0 AS allowed FROM bases JOIN site_sets USING (contig, pos)""",
+    "site_lists": """SELECT contig, pos, row_number() OVER (PARTITION BY contig ORDER BY pos) AS k,
+        list({'read_id': read_id, 'base': base, 'allowed': allowed} ORDER BY rank, read_id) AS choices
+        FROM choices GROUP BY contig, pos""",
+    "walk": """SELECT contig, CAST(0 AS BIGINT) AS k, CAST([] AS BIGINT[]) AS used, CAST(NULL AS BIGINT) AS pos,
+            CAST(NULL AS BIGINT) AS read_id, CAST(NULL AS VARCHAR) AS base, false AS taken
+        FROM (SELECT DISTINCT contig FROM site_lists)
+        UNION ALL
+        SELECT contig, k, CASE WHEN pick.allowed THEN list_append(used, pick.read_id) ELSE used END, pos,
+            pick.read_id, pick.base, coalesce(pick.allowed, false)
+        FROM (SELECT s.contig, s.k, s.pos, w.used,
+                list_filter(s.choices, lambda it: NOT list_contains(w.used, it.read_id))[1] AS pick
+            FROM walk w JOIN site_lists s ON s.contig = w.contig AND s.k = w.k + 1)""",
+}
+
+
+@query(
+    "sample_panel_sites",
+    v.with_views("reads", "panel_sites", extra=_AT_SITES | _WALK).replace("WITH ", "WITH RECURSIVE ", 1)
+    + "SELECT contig, pos, read_id, base FROM walk WHERE taken",
+)
 def sample_panel_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pn.sample_panel_sites(_bases(spark, sf_dir), seed=5).select(
         "contig", "pos", "read_id", "base"
@@ -181,7 +204,7 @@ _HEADERS = {
             WHEN count(*) FILTER (contig = concat('chr', id)) = 1 THEN min(contig) FILTER (contig = concat('chr', id))
             END AS contig, count(*) AS candidates FROM headers JOIN panel ON length = size GROUP BY file, id""",
     "mito": """SELECT concat('chr', n_nationkey) AS contig, CAST(1000 + n_nationkey // 2 AS BIGINT) AS expected,
-        CAST(n_nationkey // 2 + n_nationkey % 2 - 12 AS BIGINT) AS padding FROM nation WHERE n_nationkey >= 24""",
+        CAST(n_nationkey // 2 AS BIGINT) AS padding FROM nation""",
     "hits": """SELECT o_custkey // 25 AS file, concat('chr', o_custkey % 25) AS contig, count(*) AS mapped
         FROM orders GROUP BY ALL""",
     "mito_matches": """SELECT h.file, contig, length, expected, padding, coalesce(mapped, 0) AS hits
@@ -210,16 +233,12 @@ def _panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _mito_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("n_nationkey")
-    sequences = (
-        v.table(spark, sf_dir, "nation")
-        .where(key >= 24)
-        .select(
-            F.concat(F.lit("chr"), key.cast("string")).alias("name"),
-            F.concat(
-                F.repeat(F.lit("A"), (1000 + F.floor(key / 2)).cast("int")),
-                F.repeat(F.lit("-"), 3),
-            ).alias("sequence"),
-        )
+    sequences = v.table(spark, sf_dir, "nation").select(
+        F.concat(F.lit("chr"), key.cast("string")).alias("name"),
+        F.concat(
+            F.repeat(F.lit("A"), (1000 + F.floor(key / 2)).cast("int")),
+            F.repeat(F.lit("-"), 3),
+        ).alias("sequence"),
     )
     hits = (
         v.table(spark, sf_dir, "orders")
@@ -973,3 +992,41 @@ def annotate_support(spark: SparkSession, sf_dir: str) -> DataFrame:
         "cast(n_nationkey as bigint) AS tree_id", f"{_newick('n_nationkey', 'n_regionkey')} AS newick"
     )
     return tr.annotate_support(main, trees(spark, sf_dir))
+
+
+@query("differing_leaves", "SELECT CAST(n_nationkey AS BIGINT) AS tree_id FROM nation WHERE n_nationkey % 3 <> 1")
+def differing_leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trees with a leaf of another name, or with one of them twice."""
+    leaf = "CASE n_nationkey % 3 WHEN 0 THEN 'X' WHEN 1 THEN 'L3' ELSE 'L2' END"
+    main = v.table(spark, sf_dir, "nation").selectExpr(
+        "cast(n_nationkey as bigint) AS tree_id", f"concat('((L0,L1),(L2,', {leaf}, '):0.5,L4:1);') AS newick"
+    )
+    return tr.differing_leaves(main, trees(spark, sf_dir))
+
+
+@query(
+    "branch_support",
+    v.with_views(extra=tree_views())
+    + """SELECT len(string_split(clade, ',')) AS size, support, count(*) AS n FROM support GROUP BY ALL""",
+)
+def branch_support(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clades known by their keys, as many as there are of each size and support."""
+    keys = tr.clade_keys(trees(spark, sf_dir))
+    return keys.groupBy("size", "support").agg(F.count("*").alias("n"))
+
+
+@query(
+    "conflicting_files",
+    """SELECT c_nationkey AS sample, count(*) FILTER (c_custkey % 40 IN (1, 3)) AS n_nuclear,
+        count(*) FILTER (c_custkey % 40 IN (2, 3)) AS n_mitochondrial FROM customer GROUP BY c_nationkey
+        HAVING n_nuclear > 1 OR n_mitochondrial > 1""",
+)
+def conflicting_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = F.element_at(
+        F.create_map(*(F.lit(it) for it in (1, "nuclear", 2, "mitochondrial", 3, "both"))),
+        (F.col("c_custkey") % 40).cast("int"),
+    )
+    files = v.table(spark, sf_dir, "customer").select(
+        F.col("c_nationkey").alias("sample"), F.col("c_custkey").alias("file"), F.coalesce(kind, F.lit("invalid")).alias("kind")
+    )
+    return pn.conflicting_files(files)

@@ -846,3 +846,21 @@ def symmetric_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(F.col("o_custkey").alias("custkey"))
     )
     return va.symmetric_difference(left, right, "custkey")
+
+
+_QUALITIES = """CASE o_custkey % 5 WHEN 0 THEN '!5;' WHEN 1 THEN 'hK;' WHEN 2 THEN
+    CASE WHEN o_orderkey % 2 = 0 THEN '#' ELSE 'Z' END WHEN 3 THEN ';AJ' ELSE '' END"""
+
+
+@query(
+    "validate_fastq",
+    f"""WITH seen AS (SELECT o_custkey % 50 AS file, {_QUALITIES} AS q FROM orders),
+        marks AS (SELECT file, bool_or(regexp_matches(q, '[!-:]')) AS low, bool_or(q <> '') AS any_,
+            bool_or(regexp_matches(q, '[K-h]')) AS high FROM seen GROUP BY file),
+        offsets AS (SELECT file, CASE WHEN low AND high THEN 'BOTH' WHEN low THEN '33' WHEN high THEN '64'
+            WHEN any_ THEN 'AMBIGUOUS' ELSE 'MISSING' END AS "offset" FROM marks)
+        SELECT file, "offset" FROM offsets WHERE "offset" NOT IN ('33', 'AMBIGUOUS')""",
+)
+def validate_fastq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = v.table(spark, sf_dir, "orders").selectExpr("o_custkey % 50 AS file", f"{_QUALITIES} AS qualities")
+    return va.validate_fastq(records)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from helixframe.functions.sequences import group_label
 from helixframe.plans.intervals import running_before
 from helixframe.plans.session import cut_lineage
 from helixframe.plans.skew import skew_join
@@ -151,7 +152,7 @@ def ancestral_groups(fractions: DataFrame, groups: DataFrame, keys: list[str]) -
     members = (
         skew_join(fractions.where(F.col("fraction") >= CUTOFF), groups, ["sample"])
         .groupBy(*keys, "component")
-        .agg(F.array_join(F.array_sort(F.collect_set("group")), " / ").alias("groups"))
+        .agg(group_label(F.collect_set("group")).alias("groups"))
     )
     return test.join(members, [*keys, "component"], "left").fillna({"groups": ""})
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from helixframe.functions import cigar as C
@@ -191,10 +191,5 @@ def drop_empty_na_group(table: DataFrame) -> DataFrame:
     """Drop the rows of reads without read-group, if nothing was counted in any of them."""
     counted = sum((F.col(it) for it in COUNTERS), F.lit(0))
     is_none = F.col("sample") == NO_GROUP
-    # Only the rows in question share a partition of the window
-    together = F.when(is_none, NO_GROUP).otherwise(F.concat_ws("\t", "sample", "library", "contig"))
-    return (
-        table.withColumn("_seen", F.max(counted).over(Window.partitionBy(together)))
-        .where(~is_none | (F.col("_seen") > 0))
-        .drop("_seen")
-    )
+    seen = table.where(is_none).agg(F.max(counted)).scalar()
+    return table.where(~is_none | (seen > 0))

@@ -9,12 +9,13 @@ to the sequences, which are rewritten as a whole: they are neither cut into rows
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from helixframe.functions.binding import bound
 from helixframe.functions.sequences import (
     IUPAC,
     MASK_CODES,
@@ -82,20 +83,23 @@ def ascii_bytes(text: Column) -> Column:
     return F.encode(text, "US-ASCII")
 
 
-def part_of(text: str, start: Column, size: Column) -> Column:
-    """Part of the bytes in a column as text again."""
-    return F.substring(F.col(text), start, size).cast("string")
+def part_of(data: Column, start: Column, size: Column) -> Column:
+    """Part of some bytes as text again."""
+    return F.substring(data, start, size).cast("string")
 
 
-def _run_edges(digits: str) -> Column:
-    """Where runs of non-zero digits begin and end, in turn, given the column with their bytes."""
-    size = F.length(digits)
+def _run_edges(digits: Column) -> Column:
+    """Where runs of non-zero digits begin and end, in turn."""
 
-    def is_set(at: Column) -> Column:
-        inside = (at >= 0) & (at < size)
-        return inside & (F.substring(F.col(digits), at + 1, F.lit(1)) != F.lit(b"0"))
+    def edges(data: Column) -> Column:
+        size = F.octet_length(data)
 
-    return F.filter(F.sequence(F.lit(0), size), lambda at: is_set(at) != is_set(at - 1))
+        def is_set(at: Column) -> Column:
+            return (at >= 0) & (at < size) & (F.substring(data, at + 1, F.lit(1)) != F.lit(b"0"))
+
+        return F.filter(F.sequence(F.lit(0), size), lambda at: is_set(at) != is_set(at - 1))
+
+    return bound(ascii_bytes(digits), edges)
 
 
 def msa_reduce(sequences: DataFrame) -> DataFrame:
@@ -107,31 +111,30 @@ def msa_reduce(sequences: DataFrame) -> DataFrame:
     # Edges are only wanted where sequences differ in the columns they lack
     masks = (
         masks.where(F.translate("planes", "0", "") != "")
-        .withColumn("_digits", ascii_bytes(F.col("planes")))
-        .withColumn("_edges", F.when(F.col("n") > 1, _run_edges("_digits")))
-        .drop("_digits", "n")
+        .withColumn("_edges", F.when(F.col("n") > 1, _run_edges(F.col("planes"))))
+        .drop("n")
     )
     own = called_digits(F.col("sequence"))
     all_lack = own == F.substring("planes", 1, F.length("sequence"))
-    runs = F.transform(
-        F.sequence(F.lit(0), F.floor(F.size("_edges") / 2).cast("int") - 1),
-        lambda k: F.struct(
-            F.get(F.col("_edges"), 2 * k).alias("at"),
-            (F.get(F.col("_edges"), 2 * k + 1) - F.get(F.col("_edges"), 2 * k)).alias("size"),
-        ),
-    )
     is_ascii = F.octet_length("sequence") == F.length("sequence")
-    by_bytes = F.transform(runs, lambda it: part_of("_bytes", it["at"] + 1, it["size"]))
-    by_characters = F.transform(runs, lambda it: F.substring(F.col("sequence"), it["at"] + 1, it["size"]))
-    reduced = (
-        F.when(all_lack, F.translate("sequence", "Nn-", ""))
-        .when(is_ascii, F.array_join(by_bytes, ""))
-        .otherwise(F.array_join(by_characters, ""))
+
+    def kept(edges: Column, part: Callable[[Column, Column], Column]) -> Column:
+        pairs = F.sequence(F.lit(0), F.floor(F.size(edges) / 2).cast("int") - 1)
+        at, end = (lambda k: F.get(edges, 2 * k)), (lambda k: F.get(edges, 2 * k + 1))
+        return F.array_join(F.transform(pairs, lambda k: part(at(k) + 1, end(k) - at(k))), "")
+
+    def by_runs(edges: Column) -> Column:
+        data, text = ascii_bytes(F.col("sequence")), F.col("sequence")
+        by_bytes = bound(data, lambda it: kept(edges, lambda start, size: part_of(it, start, size)))
+        return F.when(is_ascii, by_bytes).otherwise(
+            kept(edges, lambda start, size: F.substring(text, start, size))
+        )
+
+    reduced = F.when(all_lack, F.translate("sequence", "Nn-", "")).otherwise(
+        bound(F.col("_edges"), by_runs)
     )
     joined = skew_join(sequences.select("msa", "name", "meta", "sequence"), masks, ["msa"], salt_by=["name"])
-    return joined.withColumn("_bytes", F.when(is_ascii, ascii_bytes(F.col("sequence")))).select(
-        "msa", "name", "meta", reduced.alias("sequence")
-    )
+    return joined.select("msa", "name", "meta", reduced.alias("sequence"))
 
 
 def msa_filter_singletons(
@@ -147,9 +150,6 @@ def msa_filter_singletons(
     allowed = planes_text(references, ["msa"], set_digits(F.col("bases"))).drop("n")
     rows = sequences.select("msa", "name", "meta", "sequence", is_target.alias("_target"))
     joined = skew_join(rows, allowed, ["msa"], "left", salt_by=["name"])
-    own = F.when(F.col("_target"), ascii_bytes(set_digits(F.col("sequence"))))
-    joined = joined.withColumns({"_allowed": ascii_bytes(F.col("planes")), "_own": own})
-
     def number(digits: Column) -> Column:
         return F.conv(digits, 16, 10).cast("long")
 
@@ -157,10 +157,10 @@ def msa_filter_singletons(
         skipped = F.upper(base).isin("N", "-", "")
         return F.when(skipped | (F.upper(base) == code), base).otherwise(F.lower(code))
 
-    def piece(bases: Column, k: Column) -> Column:
+    def piece(bases: Column, k: Column, own: Column, allowed: Column) -> Column:
         at, size = k * NUMBER_DIGITS + 1, F.length(bases)
-        mine = part_of("_own", at, size)
-        common = number(mine).bitwiseAND(number(part_of("_allowed", at, size)))
+        mine = part_of(own, at, size)
+        common = number(mine).bitwiseAND(number(part_of(allowed, at, size)))
         digits = F.lpad(F.conv(common.cast("string"), 10, 16), size, F.lit("0"))
         # The digit F stands for a column without restriction, which only N would have
         codes = F.split(F.translate(digits, MASK_DIGITS + "0", MASK_CODES + "N"), "")
@@ -169,7 +169,14 @@ def msa_filter_singletons(
         lacks = F.regexp_replace(F.upper(bases), f"[{SET_CODES}N-]", "") != ""
         return F.when((common == number(mine)) & ~lacks, bases).otherwise(changed)
 
-    changed = F.array_join(F.transform(fragments(F.col("sequence"), NUMBER_DIGITS), piece), "")
+    pieces = fragments(F.col("sequence"), NUMBER_DIGITS)
+    changed = bound(
+        ascii_bytes(set_digits(F.col("sequence"))),
+        lambda own: bound(
+            ascii_bytes(F.col("planes")),
+            lambda allowed: F.array_join(F.transform(pieces, lambda it, k: piece(it, k, own, allowed)), ""),
+        ),
+    )
     return joined.select(
         "msa",
         "name",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from helixframe.functions import cigar as C
 from helixframe.functions import hashing
+from helixframe.functions.binding import bound
 from helixframe.functions.sequences import (
     autosome_or_sex_name,
     is_autosome,
@@ -208,28 +209,31 @@ def biallelic_sites(samples: DataFrame, reference: DataFrame, n_samples: int) ->
         cut.groupBy(*key, "chunk")
         .agg(F.bitmap_or_agg(plane(set_digits(F.col("bases"), "F"), "F")).alias("_plane"), F.count("*").alias("_n"))
         .where(F.col("_n") == n_samples)
-        .select(*key, "chunk", ascii_bytes(F.hex("_plane")).alias("_digits"))
     )
     two = [it.encode() for it in TWO_BASES]
-    places = F.filter(
-        F.sequence(F.lit(0), F.lit(PLANE_COLUMNS - 1)),
-        lambda at: F.substring(F.col("_digits"), at + 1, F.lit(1)).isin(*two),
-    )
-    lists = F.transform(
-        F.sequence(F.lit(0), F.floor((F.size("_places") - 1) / SITES_PER_ROW).cast("int")),
-        lambda k: F.transform(
-            F.slice("_places", k * SITES_PER_ROW + 1, F.lit(SITES_PER_ROW)),
-            lambda at: at + F.col("chunk") * PLANE_COLUMNS,
+    places = bound(
+        ascii_bytes(F.hex("_plane")),
+        lambda digits: F.filter(
+            F.sequence(F.lit(0), F.lit(PLANE_COLUMNS - 1)),
+            lambda at: F.substring(digits, at + 1, F.lit(1)).isin(*two),
         ),
     )
-    sites = cut_lineage(
-        sets.withColumn("_places", places)
-        .where(F.size("_places") > 0)
-        .select(*key, F.explode(lists).alias("_sites"))
-    )
+
+    def lists(found: Column) -> Column:
+        parts = F.sequence(F.lit(0), F.floor((F.size(found) - 1) / SITES_PER_ROW).cast("int"))
+        in_chunk = F.transform(
+            parts,
+            lambda k: F.transform(
+                F.slice(found, k * SITES_PER_ROW + 1, F.lit(SITES_PER_ROW)),
+                lambda at: at + F.col("chunk") * PLANE_COLUMNS,
+            ),
+        )
+        return F.when(F.size(found) > 0, in_chunk)
+
+    sites = cut_lineage(sets.select(*key, F.explode(bound(places, lists)).alias("_sites")))
 
     def bases_at(rows: DataFrame) -> DataFrame:
-        found = F.transform("_sites", lambda at: part_of("_bytes", at + 1, F.lit(1)))
+        found = F.transform("_sites", lambda at: part_of(F.col("_bytes"), at + 1, F.lit(1)))
         # Keys have one row per sample and list, and no skew
         return rows.join(sites, key).withColumn("_bases", F.array_join(found, "")).drop("_bytes")
 

@@ -17,6 +17,8 @@ import string
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from helixframe.functions.binding import bound
+
 _TOKEN = r"'[^']*+(?:''[^']*+)*+'|[(),:;]|[^\s(),:;]+"
 #: Bits of a leaf's hash in each of its parts; the sum over 2**23 leaves fits a long.
 _PART_BITS = 40
@@ -63,18 +65,19 @@ def _problem(tokens: Column) -> Column:
     )
 
 
-def _with_tokens(trees: DataFrame) -> DataFrame:
-    """``trees`` with the array ``tokens``; malformed trees fail, null ones are dropped."""
-    found = trees.where("newick IS NOT NULL").withColumn(
-        "tokens", F.regexp_extract_all("newick", F.lit(_TOKEN), F.lit(0))
-    )
-    message = F.concat(F.col("_problem"), F.lit(": "), F.substring("newick", 1, 100))
-    failure = F.raise_error(message).cast("array<string>")
-    return (
-        found.withColumn("_problem", _problem(F.col("tokens")))
-        .withColumn("tokens", F.when(F.col("_problem").isNotNull(), failure).otherwise(F.col("tokens")))
-        .drop("_problem")
-    )
+def _tokens() -> Column:
+    """The tokens of ``newick``; malformed trees fail."""
+    message = F.concat(F.lit(": "), F.substring("newick", 1, 100))
+
+    def checked(tokens: Column) -> Column:
+        return bound(
+            _problem(tokens),
+            lambda problem: F.when(
+                problem.isNotNull(), F.raise_error(F.concat(problem, message)).cast("array<string>")
+            ).otherwise(tokens),
+        )
+
+    return bound(F.regexp_extract_all("newick", F.lit(_TOKEN), F.lit(0)), checked)
 
 
 def _leaf_names(tokens: Column) -> Column:
@@ -95,12 +98,15 @@ def _starts_node(before: Column) -> Column:
 
 def tree_leaves(trees: DataFrame) -> DataFrame:
     """Leaves of every tree: ``(tree_id, leaves, duplicated)``; ``trees`` has (tree_id, newick)."""
-    names = _with_tokens(trees).select("tree_id", _leaf_names(F.col("tokens")).alias("_names"))
-    return names.select(
-        "tree_id",
-        F.array_join(F.array_sort("_names"), ",").alias("leaves"),
-        (F.size(F.array_distinct("_names")) != F.size("_names")).alias("duplicated"),
+    names = bound(_tokens(), _leaf_names)
+    found = bound(
+        names,
+        lambda it: F.struct(
+            F.array_join(F.array_sort(it), ",").alias("leaves"),
+            (F.size(F.array_distinct(it)) != F.size(it)).alias("duplicated"),
+        ),
     )
+    return trees.where("newick IS NOT NULL").select("tree_id", F.inline(F.array(found)))
 
 
 def _cut(trees: DataFrame, key: str) -> DataFrame:
@@ -109,17 +115,16 @@ def _cut(trees: DataFrame, key: str) -> DataFrame:
     ``depth`` is that of the parentheses' inside. The tokens of a tree came from one row, and are at most as
     many as that has characters.
     """
-    tokens = _with_tokens(trees).select(
-        key,
-        F.inline(
-            F.transform(
-                "tokens",
-                lambda token, i: F.struct(
-                    i.alias("at"), token.alias("token"), F.get(F.col("tokens"), i - 1).alias("before")
-                ),
-            )
-        ),
-    )
+    def rows(tokens: Column) -> Column:
+        return F.transform(
+            tokens,
+            lambda token, i: F.struct(
+                i.alias("at"), token.alias("token"), F.get(tokens, i - 1).alias("before")
+            ),
+        )
+
+    known = trees.where("newick IS NOT NULL")
+    tokens = known.select(key, F.inline(bound(_tokens(), rows)))
     is_leaf = _starts_node(F.col("before")) & (F.col("token") != "(")
     digest = F.md5(F.when(F.col("token") == ":", "").otherwise(F.col("token")))
     digits = _PART_BITS // 4
@@ -221,7 +226,7 @@ def clade_support(trees: DataFrame) -> DataFrame:
     counts = sides.groupBy(*KEY).agg(F.sum("n").alias("support"), F.min("tree").alias("tree"))
     # One tree lends its names to a clade
     shown = sides.drop("n").join(counts, ["tree", *KEY])
-    leaves = _with_tokens(distinct).select("tree", _leaf_names(F.col("tokens")).alias("_names"))
+    leaves = distinct.select("tree", bound(_tokens(), _leaf_names).alias("_names"))
     low, size = F.col("low").cast("int"), (F.col("high") - F.col("low")).cast("int")
     inside = F.slice("_names", low + 1, size)
     outside = F.concat(
