@@ -49,20 +49,41 @@ BLOCK_BYTES = 1 << 19
 CROWD = 4000
 
 
-#: Bits of a place in a text of at most 256 MB; the upper bits of a hash go before them.
-PLACE_BITS = np.uint64(28)
+#: Bits of a place in the part of a text that is looked at once; the upper bits of a hash go before them.
+PLACE_BITS = 28
+#: Regions to a task, where their strings are counted or an index is built of them.
+TASK_REGIONS = 2000
+#: Most tasks that blocks are dealt to.
+MAX_TASKS = 20_000
+#: Regions whose strings make one frame.
+STRING_REGIONS = 64
 
 
-def anchors(hashes: np.ndarray, width: int) -> np.ndarray:
-    """Places of the leftmost smallest hash of every window of so many hashes."""
+def _least_places(hashes: np.ndarray, width: int) -> np.ndarray:
     places = np.arange(len(hashes), dtype=np.uint64)
-    least = (hashes >> PLACE_BITS << PLACE_BITS) | places
+    bits = np.uint64(PLACE_BITS)
+    least = (hashes >> bits << bits) | places
     reach = 1
     while reach < width:
         step = min(reach, width - reach)
         least = np.minimum(least[:-step], least[step:])
         reach += step
-    at = (least & ((np.uint64(1) << PLACE_BITS) - np.uint64(1))).astype(np.int64)
+    return (least & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+
+
+def anchors(hashes: np.ndarray, width: int) -> np.ndarray:
+    """Places of the leftmost smallest hash of every window of so many hashes.
+
+    Windows of a long text are looked at in parts, whose places fit their bits; hashes are compared alike
+    in texts of any length.
+    """
+    windows = (1 << PLACE_BITS) - width
+    at = np.concatenate(
+        [
+            _least_places(hashes[start : start + windows + width - 1], width) + start
+            for start in range(0, len(hashes) - width + 1, windows)
+        ]
+    )
     return at[np.concatenate(([True], at[1:] != at[:-1]))]
 
 
@@ -220,6 +241,15 @@ def _cores(data: np.ndarray, place: int, length: int) -> list[int]:
     return found
 
 
+def _strings(part: bytes, low: int, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of the strings of a region."""
+    data = np.frombuffer(part, np.uint8)
+    starts = np.arange(len(data) - length + 1)
+    if not len(starts):
+        return starts, starts
+    return starts + low, span_hashes(prefix_hashes(data), starts, starts + length).view(np.int64)
+
+
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """Spans of repeated strings: (row key, start, end); they may overlap."""
     table = anchor_table(docs, length)
@@ -246,6 +276,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     different = checkpointed(different.join(crowds, "anchor"))
     total = different.agg(F.sum(F.col("high") - F.col("low")).alias("bytes")).first()["bytes"] or 0
     blocks = max(1, -(-total // BLOCK_BYTES))
+    anchor_blocks = blocks
     block = F.when(F.col("regions") <= CROWD, F.pmod(F.xxhash64("anchor"), F.lit(blocks)))
     listed = different.groupBy(*ROW_KEY).agg(
         F.collect_list(F.struct(block.alias("block"), "low", "high", "place")).alias("regions")
@@ -279,9 +310,12 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         )
     )
 
-    def indexed(rows: DataFrame) -> DataFrame:
+    def indexed(rows: DataFrame, count: int) -> DataFrame:
+        # By number: the work of a block is in its index and not in its bytes, which few tasks would take
+        tasks = min(MAX_TASKS, max(1, count))
         return (
             rows.select("block", *ROW_KEY, "low", "part")
+            .repartition(tasks, "block")
             .groupBy("block")
             .applyInPandas(
                 lambda block: index_block(block, length),
@@ -294,8 +328,11 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         F.count("*").alias("n"), F.sum(F.octet_length("part")).alias("bytes")
     )
     cores = checkpointed(cores.where("n > 1"))
-    total = cores.where(F.col("n") <= CROWD).agg(F.sum("bytes").alias("bytes")).first()["bytes"] or 0
-    blocks = max(1, -(-total // BLOCK_BYTES))
+    sums = cores.agg(
+        F.sum(F.when(F.col("n") <= CROWD, F.col("bytes"))).alias("bytes"),
+        F.sum(F.when(F.col("n") > CROWD, F.col("n"))).alias("regions"),
+    ).first()
+    blocks = max(1, -(-(sums["bytes"] or 0) // BLOCK_BYTES))
     met = crowded.drop("block", "cores").join(cores.select("core", "n"), "core")
     by_core = met.where(F.col("n") <= CROWD).withColumn(
         "block", F.pmod(F.xxhash64("core"), F.lit(blocks))
@@ -303,24 +340,27 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     def strings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for row_a, row_b, low, part in batch[[*ROW_KEY, "low", "part"]].itertuples(index=False):
-                data = np.frombuffer(part, np.uint8)
-                starts = np.arange(len(data) - length + 1)
-                if len(starts):
-                    hashes = span_hashes(prefix_hashes(data), starts, starts + length)
-                    yield pd.DataFrame(
-                        {"row_a": row_a, "row_b": row_b, "start": starts + low, "string": hashes.view(np.int64)}
-                    )
-
-    many = met.where(F.col("n") > CROWD).mapInPandas(
-        strings, "row_a long, row_b long, start long, string long"
+            for at in range(0, len(batch), STRING_REGIONS):
+                some = batch.iloc[at : at + STRING_REGIONS]
+                found = [_strings(part, low, length) for part, low in zip(some["part"], some["low"], strict=True)]
+                times = [len(starts) for starts, _ in found]
+                rows = {name: np.repeat(some[name].to_numpy(), times) for name in ROW_KEY}
+                start, string = (np.concatenate(it) for it in zip(*found, strict=True))
+                yield pd.DataFrame(rows | {"start": start, "string": string})
+
+    tasks = min(MAX_TASKS, max(1, (sums["regions"] or 0) // TASK_REGIONS))
+    many = (
+        met.where(F.col("n") > CROWD)
+        .select(*ROW_KEY, "low", "part")
+        .repartition(tasks, *ROW_KEY, "low")
+        .mapInPandas(strings, "row_a long, row_b long, start long, string long")
     )
     many = many.distinct()
     again = checkpointed(many.groupBy("string").agg(F.count("*").alias("n")).where("n > 1"))
     counted = many.join(again, "string").select(
         *ROW_KEY, "start", (F.col("start") + length).alias("end")
     )
-    both = indexed(pieces.where("block IS NOT NULL")).unionByName(indexed(by_core))
+    both = indexed(pieces.where("block IS NOT NULL"), anchor_blocks).unionByName(indexed(by_core, blocks))
     return whole.unionByName(both).unionByName(counted)
 
 
