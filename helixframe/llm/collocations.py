@@ -9,8 +9,8 @@ and from the number of smaller words in the interval, so that both intervals sta
 occurrences can be extended to the left or right within their piece is read from the boundaries in
 the intervals. Counts and extensions are summed across shards by Spark.
 
-No phrase is frequent unless its words and pairs are. So words are counted first, then pairs of frequent
-words, then longer phrases of frequent pairs. What is frequent is handed to the tasks as a Bloom filter of at
+No phrase is frequent unless its parts are. So words are counted first, then phrases of two, three and four words
+whose parts of one word less are frequent. What is frequent is handed to the tasks as a Bloom filter of at
 most ``MAX_BLOCKS`` blocks: one that is too full lets more phrases through to the count, and changes no result.
 
 A word is known by a 64-bit hash of its language and bytes; two words of one hash would count as one.
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ from pyspark.sql.window import Window
 
 from helixframe.llm.common import checkpointed, filled, mixed, prefix_hashes, read, span_hashes
 from helixframe.llm.queries import query
-from helixframe.plans.skew import skew_join
+from helixframe.plans.skew import BROADCAST_ROWS, skew_join
 
 LONGEST = 4
 LEAST = 30
@@ -41,7 +42,7 @@ LEAST = 30
 COVERED = 80
 TOP = 2000
 SCORE_SCALE = 2_000_000
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
 #: Texts that are taken out of a batch, and rows that are handed on, at once.
 SLICE_TEXTS = 256
 SLICE_ROWS = 1 << 14
@@ -52,6 +53,8 @@ BLOCK_BITS = 32_768
 MAX_BLOCKS = 1 << 14
 #: Parts that a language is ranked in before its best are ranked together.
 RANK_PARTS = 64
+#: Rows up to which the counts of single words are broadcast, of 40 bytes each.
+WORD_ROWS = 1_000_000
 
 #: Symbols of a shard's text that stand for no word: the end of a piece, and any rare word.
 BOUNDARY, RARE, FIRST_WORD = 0, 1, 2
@@ -107,18 +110,22 @@ class Shard:
         return np.concatenate(([BOUNDARY], np.insert(ids, after + 1, BOUNDARY)))
 
 
-def only_in_phrases(symbols: np.ndarray, may_follow: Callable) -> np.ndarray:
-    """The text with words that are in no three words of wanted pairs made rare.
+def only_in_phrases(symbols: np.ndarray, size: int, may_be: Callable) -> np.ndarray:
+    """The text with words that are in no phrase of so many words made rare.
 
-    Neighbouring rare words become one: that a word stands there is all that is asked of them.
+    Both parts of a phrase with one word less must be wanted: ``may_be`` says so of rows of symbols. Neighbouring
+    rare words become one: that a word stands there is all that is asked of them.
     """
-    pair = (symbols[:-1] >= FIRST_WORD) & (symbols[1:] >= FIRST_WORD)
-    pair[pair] = may_follow(symbols[:-1][pair], symbols[1:][pair])
-    three = np.concatenate((pair[:-1] & pair[1:], [False, False, False]))[: len(symbols)]
-    kept = three.copy()
-    kept[1:] |= three[:-1]
-    kept[2:] |= three[:-2]
-    out = np.where(kept | (symbols == BOUNDARY), symbols, RARE)
+    count = len(symbols)
+    word = symbols >= FIRST_WORD
+    starts = np.flatnonzero(np.convolve(word, np.ones(size - 1, np.int64), "valid") == size - 1)
+    part = np.zeros(count + 1, bool)
+    part[starts] = may_be(symbols[starts[:, None] + np.arange(size - 1)])
+    first = np.flatnonzero(part[:-1] & part[1:])
+    edges = np.zeros(count + size + 1, np.int64)
+    edges[first] += 1
+    edges[first + size] -= 1
+    out = np.where((np.cumsum(edges)[:count] > 0) | (symbols == BOUNDARY), symbols, RARE)
     again = np.concatenate(([False], (out[1:] == RARE) & (out[:-1] == RARE)))
     return out[~again]
 
@@ -176,11 +183,11 @@ class Transform:
 
 
 def phrases(
-    symbols: np.ndarray, longest: int, may_follow: Callable
+    symbols: np.ndarray, longest: int, may_be: Callable, size: int
 ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Phrases of 2, 3, .. words: their symbols, occurrences, and those extended to the left and right.
 
-    ``may_follow`` says of pairs of symbols whether phrases that hold them are wanted.
+    ``may_be`` says of rows of ``size`` symbols whether phrases that hold them are wanted.
     """
     ahead, back = Transform(symbols, longest), Transform(symbols[::-1], longest)
     counts = np.bincount(symbols)
@@ -197,7 +204,9 @@ def phrases(
         parent, symbol = np.divmod(split[runs], span)
         part = np.diff(runs, append=len(split))
         wanted = symbol >= FIRST_WORD
-        wanted[wanted] = may_follow(words[parent[wanted], -1], symbol[wanted])
+        if words.shape[1] + 1 >= size > 1:
+            last = words[parent[wanted], words.shape[1] + 1 - size :]
+            wanted[wanted] = may_be(np.concatenate((last, symbol[wanted][:, None]), axis=1))
         parent, symbol, part, runs = parent[wanted], symbol[wanted], part[wanted], runs[wanted]
         low = low[parent] + runs - total[parent]
         low_back = back.step(symbol, low_back[parent])
@@ -230,19 +239,23 @@ class Filter:
         return found
 
 
-def pair_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    return mixed(first) + second
+def phrase_keys(hashes: Sequence[np.ndarray]) -> np.ndarray:
+    """64-bit keys of phrases, given the hashes of their words by place."""
+    key = hashes[0]
+    for following in hashes[1:]:
+        key = mixed(key) + following
+    return key
 
 
 def frequent_filter(rows: DataFrame, keys: Sequence[str]) -> Broadcast:
-    """The filter of the words or pairs of words in ``rows``, for all tasks."""
+    """The filter of the words or phrases in ``rows``, for all tasks."""
     blocks = min(MAX_BLOCKS, max(1, -(-rows.count() * BITS_PER_KEY // BLOCK_BITS)))
     empty = Filter(blocks)
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words = [batch.column(k).to_numpy().view(np.uint64) for k in range(len(keys))]
-            block, *bits = empty.places(pair_keys(*words) if len(words) > 1 else words[0])
+            block, *bits = empty.places(phrase_keys(words))
             arrays = [np.tile(block, 2).view(np.int64), np.concatenate(bits).view(np.int64)]
             yield pa.RecordBatch.from_arrays(list(map(pa.array, arrays)), names=["block", "bit"])
 
@@ -294,115 +307,120 @@ def _slices(columns: Sequence[np.ndarray], names: Sequence[str]) -> Iterator[pa.
         yield pa.RecordBatch.from_arrays(arrays, names=list(names))
 
 
-def count_phrases(
-    docs: DataFrame, longest: int, words: Broadcast, pairs: Broadcast | None = None
-) -> DataFrame:
-    """Phrases: (w1, .., f, left, right), those of two words, or if pairs are known those of more."""
-    keys, numbers = KEYS[:longest], ["f", "left", "right"]
+def count_phrases(docs: DataFrame, size: int, words: Broadcast, parts: Broadcast | None = None) -> DataFrame:
+    """Phrases of so many words: (w1, .., f, left, right).
+
+    ``words`` are the frequent words, and ``parts`` the frequent phrases of one word less.
+    """
+    keys, numbers = KEYS[:size], ["f", "left", "right"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard in shards(batches):
             symbols = shard.symbols(words.value.holds(shard.hashes))
 
-            def may_follow(first: np.ndarray, second: np.ndarray, hashes=shard.hashes) -> np.ndarray:
-                if pairs is None:
-                    return np.ones(len(first), bool)
-                return pairs.value.holds(pair_keys(hashes[first - FIRST_WORD], hashes[second - FIRST_WORD]))
-
-            if pairs is not None:
-                symbols = only_in_phrases(symbols, may_follow)
-            for found, *counted in phrases(symbols, longest, may_follow):
-                if found.shape[1] > 2 or pairs is None:
-                    hashes = np.zeros((longest, len(found)), np.uint64)
-                    hashes[: found.shape[1]] = shard.hashes[found.T - FIRST_WORD]
+            def may_be(rows: np.ndarray, hashes=shard.hashes) -> np.ndarray:
+                return parts.value.holds(phrase_keys([hashes[it - FIRST_WORD] for it in rows.T]))
+
+            if parts is not None:
+                symbols = only_in_phrases(symbols, size, may_be)
+            for found, *counted in phrases(symbols, size, may_be, size - 1):
+                if found.shape[1] == size:
+                    hashes = shard.hashes[found.T - FIRST_WORD]
                     yield from _slices([*hashes.view(np.int64), *counted], [*keys, *numbers])
 
     schema = T.StructType([T.StructField(name, T.LongType()) for name in [*keys, *numbers]])
     sums = [F.sum(name).alias(name) for name in numbers]
     counted = _prepared(docs).mapInArrow(count, schema).groupBy(*keys).agg(*sums)
-    no_word = [F.lit(0).cast("long").alias(name) for name in KEYS[longest:]]
+    no_word = [F.lit(0).cast("long").alias(name) for name in KEYS[size:]]
     return counted.select(*keys, *no_word, *numbers)
 
 
-def frequent_phrases(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
-    """All words with their counts, and the phrases of two words or more that occur so often."""
+def frequent_phrases(
+    docs: DataFrame, longest: int = LONGEST, least: int = LEAST
+) -> tuple[DataFrame, dict[int, DataFrame]]:
+    """All words with their counts, and by their size the phrases that occur so often."""
     words = checkpointed(count_words(docs))
     known = frequent_filter(words.where(F.col("f") >= least), ["w1"])
-    found = checkpointed(count_phrases(docs, 2, known).where(F.col("f") >= least))
-    if longest > 2:
-        pairs = frequent_filter(found, ["w1", "w2"])
-        longer = count_phrases(docs, longest, known, pairs).where(F.col("f") >= least)
-        found = found.unionByName(checkpointed(longer))
+    found: dict[int, DataFrame] = {}
+    parts = None
+    for size in range(2, longest + 1):
+        found[size] = checkpointed(count_phrases(docs, size, known, parts).where(F.col("f") >= least))
+        if size < longest:
+            parts = frequent_filter(found[size], KEYS[:size])
     return words, found
 
 
 # Scores
 
 
-def _length() -> Column:
-    return sum((F.when(F.col(name) != 0, 1).otherwise(0) for name in KEYS), F.lit(0))
-
-
-def _part(begin: int, end: int, names: Sequence[str] = KEYS) -> list[Column]:
-    """Key of the words ``begin`` to ``end`` of a phrase."""
+def _key(begin: int, end: int) -> list[Column]:
+    """The words ``begin`` to ``end`` of a phrase as the key of a phrase."""
     kept = [F.col(KEYS[k]) for k in range(begin, end)]
     kept += [F.lit(0).cast("long")] * (LONGEST - len(kept))
-    return [it.alias(name) for it, name in zip(kept, names, strict=True)]
+    return [it.alias(name) for it, name in zip(kept, KEYS, strict=True)]
 
 
-def _by_length(choices) -> Column:
-    """An array chosen by the length of the phrase."""
-    out = F.when(_length() == 2, F.array(*choices(2)))
-    for size in range(3, LONGEST + 1):
-        out = out.when(_length() == size, F.array(*choices(size)))
-    return out
+def _with_counts(rows: DataFrame, part: str, begin: int, end: int, counts: DataFrame) -> DataFrame:
+    """Add the count of the words ``begin`` to ``end`` of a phrase; one word may begin a third of all."""
+    own = [f"_{k}" for k in range(end - begin)]
+    rows = rows.withColumns(dict(zip(own, (F.col(KEYS[k]) for k in range(begin, end)), strict=True)))
+    names = [*(F.col(KEYS[k]).alias(own[k]) for k in range(end - begin)), F.col("f").alias(part)]
+    most = WORD_ROWS if end - begin == 1 else BROADCAST_ROWS
+    return skew_join(rows, counts.select(*names), own, salt_by=KEYS, max_rows=most).drop(*own)
 
 
-def scored_phrases(phrases: DataFrame, words: DataFrame) -> DataFrame:
-    """Phrases with their lowest-scoring cut: (w1, .., a, l, r, score)."""
-    zero = [F.lit(0).cast("long").alias(name) for name in KEYS[1:]]
-    counts = words.select("w1", *zero, "f").unionByName(phrases.select(*KEYS, "f"))
-    cuts = _by_length(
-        lambda size: [
-            F.struct(
-                F.lit(k).alias("k"),
-                F.struct(*_part(0, k)).alias("head"),
-                F.struct(*_part(k, size)).alias("rest"),
-            )
-            for k in range(1, size)
-        ]
-    )
-    out = phrases.select(F.struct(*KEYS).alias("phrase"), F.col("f").alias("a"), F.explode(cuts).alias("cut"))
-    out = out.select("phrase", "a", "cut.*")
-    # One word may begin or end a third of all phrases
-    for side, name in (("head", "l"), ("rest", "r")):
-        parts = counts.select(F.struct(*KEYS).alias(side), F.col("f").alias(name))
-        out = skew_join(out, parts, [side], salt_by=["phrase", "k"])
-    score = F.expr(f"CAST(CAST(a AS DECIMAL(20,0)) * {SCORE_SCALE} DIV (CAST(l AS DECIMAL(20,0)) + r) AS BIGINT)")
-    out = out.withColumn("score", score)
-    lowest = out.groupBy("phrase", "a").agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))
-    return lowest.select("phrase.*", "a", "cut.l", "cut.r", "cut.score")
-
-
-def uncovered(phrases: DataFrame, scored: DataFrame, covered: int = COVERED) -> DataFrame:
+def scored_phrases(
+    phrases: dict[int, DataFrame], words: DataFrame, chosen: dict[int, DataFrame] | None = None
+) -> DataFrame:
+    """Phrases, or the ``chosen`` ones, with their lowest-scoring cut: (w1, .., a, l, r, score).
+
+    A part is looked up among the phrases of its size; single words, by far the most parts, are a small table.
+    """
+    counts = {1: words.select("w1", "f")} | phrases
+    out = []
+    for size, rows in (chosen or phrases).items():
+        rows = rows.select(*KEYS, F.col("f").alias("a"))
+        for k in range(1, size):
+            rows = _with_counts(rows, f"_l{k}", 0, k, counts[k])
+            rows = _with_counts(rows, f"_r{k}", k, size, counts[size - k])
+        cuts = []
+        for k in range(1, size):
+            score = f"CAST(a AS DECIMAL(20,0)) * {SCORE_SCALE} DIV (CAST(_l{k} AS DECIMAL(20,0)) + _r{k})"
+            named = {"score": F.expr(f"CAST({score} AS BIGINT)"), "k": F.lit(k), "l": F.col(f"_l{k}"), "r": F.col(f"_r{k}")}
+            cuts.append(F.struct(*(it.alias(name) for name, it in named.items())))
+        lowest = cuts[0] if len(cuts) == 1 else F.least(*cuts)
+        out.append(rows.select(*KEYS, "a", lowest.alias("cut")).select(*KEYS, "a", "cut.l", "cut.r", "cut.score"))
+    return reduce(DataFrame.unionByName, out)
+
+
+def uncovered(phrases: dict[int, DataFrame], covered: int = COVERED) -> dict[int, DataFrame]:
     """Without the phrases that lie in a longer one of nearly as many occurrences."""
-    inner = _by_length(
-        lambda size: [
-            F.struct(*_part(begin, begin + width))
-            for width in range(2, size)
-            for begin in range(size - width + 1)
+    lost = F.expr(f"CAST(most AS DECIMAL(20,0)) * 100 >= CAST(f AS DECIMAL(20,0)) * {covered}")
+    out = {}
+    for size, rows in phrases.items():
+        longer = [
+            it.select(F.explode(F.array(*(F.struct(*_key(at, at + size)) for at in range(more - size + 1)))).alias("part"), "f")
+            for more, it in phrases.items()
+            if more > size
         ]
-        or [F.lit(None).cast("struct<" + ",".join(f"{name}:bigint" for name in KEYS) + ">")]
-    )
-    most = (
-        phrases.where(_length() > 2)
-        .select(F.explode(inner).alias("part"), "f")
-        .groupBy("part")
-        .agg(F.max("f").alias("most"))
-        .select("part.*", "most")
-    )
-    lost = F.expr(f"CAST(most AS DECIMAL(20,0)) * 100 >= CAST(a AS DECIMAL(20,0)) * {covered}")
-    return scored.join(most, KEYS, "left").where(~F.coalesce(lost, F.lit(False))).drop("most")
+        if longer:
+            most = reduce(DataFrame.unionByName, longer).groupBy("part").agg(F.max("f").alias("most"))
+            rows = rows.join(most.select("part.*", "most"), KEYS, "left")
+            rows = rows.where(~F.coalesce(lost, F.lit(False))).drop("most")
+        out[size] = rows
+    return out
+
+
+def _best(rows: DataFrame, top: int, order: Sequence[Column], ranking: Callable[[], Column], part: Column) -> DataFrame:
+    """Rows of a language that rank among its first ones, with their ``rank``.
+
+    Ranked in parts first: at most RANK_PARTS times as many rows as are wanted are ranked together.
+    """
+    in_part = Window.partitionBy("lang", "_part").orderBy(*order)
+    rows = rows.withColumn("_part", part).withColumn("rank", ranking().over(in_part))
+    rows = rows.where(F.col("rank") <= top).drop("_part")
+    whole = Window.partitionBy("lang").orderBy(*order)
+    return rows.withColumn("rank", ranking().over(whole)).where(F.col("rank") <= top)
 
 
 def mine_collocations(
@@ -414,31 +432,28 @@ def mine_collocations(
 ) -> DataFrame:
     """The best phrases of every language, with their counts and those of their extensions."""
     words, found = frequent_phrases(docs, longest, least)
-    frequent = words.where(F.col("f") >= least)
-    kept = checkpointed(uncovered(found, scored_phrases(found, frequent), covered))
-
-    spelled = kept.select(F.struct(*KEYS).alias("phrase"), F.posexplode(F.array(*KEYS)).alias("at", "w1"))
-    spelled = skew_join(
-        spelled.where("w1 <> 0"), frequent.select("w1", "lang", "word"), ["w1"], salt_by=["phrase", "at"]
-    )
-    spelled = spelled.groupBy("phrase", "lang").agg(
-        F.array_join(F.sort_array(F.collect_list(F.struct("at", "word"))).word, " ").alias("text")
-    )
-    spelled = spelled.select("phrase.*", "lang", F.col("text").alias("phrase"))
-    ranked = kept.join(spelled, KEYS).join(found.select(*KEYS, "left", "right"), KEYS)
+    frequent = checkpointed(words.where(F.col("f") >= least))
+    kept = {size: checkpointed(rows.select(*KEYS, "f")) for size, rows in uncovered(found, covered).items()}
+    scored = scored_phrases(found, frequent, kept)
+
+    # Phrases are only spelled out if their numbers, ties included, rank them among the first ones
+    scored = skew_join(scored, frequent.select("w1", "lang"), ["w1"], salt_by=KEYS)
+    numbers = [F.desc("score"), F.desc("a")]
+    part = F.pmod(F.xxhash64(*KEYS), F.lit(RANK_PARTS))
+    best = checkpointed(_best(scored, top, numbers, F.rank, part).drop("rank"))
+    spelled = best.select("lang", F.struct(*KEYS).alias("key"), F.posexplode(F.array(*KEYS)).alias("at", "w1"))
+    spelled = skew_join(spelled.where("w1 <> 0"), frequent.select("w1", "word"), ["w1"], salt_by=["key", "at"])
+    text = F.array_join(F.sort_array(F.collect_list(F.struct("at", "word"))).word, " ")
+    spelled = spelled.groupBy("key").agg(text.alias("phrase")).select("key.*", "phrase")
+    extensions = reduce(DataFrame.unionByName, found.values()).select(*KEYS, "left", "right")
+    named = best.join(spelled, KEYS).join(extensions, KEYS)
 
-    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
     part = F.pmod(F.xxhash64("phrase"), F.lit(RANK_PARTS))
-    best = ranked.withColumn("part", part).withColumn(
-        "rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))
-    )
-    # At most RANK_PARTS times as many rows as are wanted of a language
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
-    best = best.where(F.col("rank") <= top).withColumn("rank", rank).where(F.col("rank") <= top)
+    ranked = _best(named, top, [*numbers, F.asc("phrase")], F.row_number, part)
     totals = checkpointed(words.groupBy("lang").agg(F.sum("f").alias("n")))
-    best = skew_join(best, totals, ["lang"])
+    ranked = skew_join(ranked, totals, ["lang"])
     shape = ["lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score"]
-    return best.select(*shape, "left", "right")
+    return ranked.select(*shape, "left", "right")
 
 
 _SPACE = " \\t"

@@ -97,7 +97,7 @@ def test_index_counts_phrases_and_their_extensions(seed):
     words = {h: shard.data[shard.starts[k] : shard.ends[k]].decode() for h, k in zip(range(9), shard.example)}
     symbols = shard.symbols(np.ones(len(shard.hashes), bool))
     found = {}
-    for phrase, sizes, left, right in module.phrases(symbols, 4, lambda a, b: np.ones(len(a), bool)):
+    for phrase, sizes, left, right in module.phrases(symbols, 4, None, 1):
         for row, *numbers in zip(phrase.tolist(), sizes, left, right, strict=True):
             found[tuple(words[it - module.FIRST_WORD] for it in row)] = tuple(map(int, numbers))
     expected: dict[tuple, list[int]] = {}
@@ -112,24 +112,27 @@ def test_index_counts_phrases_and_their_extensions(seed):
     assert found == {key: tuple(it) for key, it in expected.items()}
 
 
-@pytest.mark.parametrize("seed", range(5))
-def test_text_without_words_in_no_phrase(seed):
+@pytest.mark.parametrize("size", [3, 4])
+@pytest.mark.parametrize("seed", range(4))
+def test_text_without_words_in_no_phrase(seed, size):
     rng = np.random.default_rng(seed)
-    symbols = np.concatenate(([0], rng.integers(0, 9, 400), [0]))
+    symbols = np.concatenate(([0], rng.integers(0, 9, 600), [0]))
 
-    def may_follow(first, second):
-        return (first * 7 + second * 3) % 5 < 2
+    def may_be(rows):
+        return (rows @ np.array([7, 3, 5])[: size - 1]) % 5 < 2
 
     def long_phrases(text):
         found = {}
-        for phrase, *numbers in module.phrases(text, 4, may_follow):
-            if phrase.shape[1] > 2:
+        for phrase, *numbers in module.phrases(text, size, may_be, size - 1):
+            if phrase.shape[1] == size:
                 found |= dict(zip(map(tuple, phrase.tolist()), zip(*numbers, strict=True), strict=True))
         return found
 
-    less = module.only_in_phrases(symbols, may_follow)
+    less = module.only_in_phrases(symbols, size, may_be)
     assert len(less) < len(symbols)
     assert long_phrases(less) == long_phrases(symbols) != {}
+    for phrase in long_phrases(symbols):
+        assert may_be(np.array([phrase[:-1], phrase[1:]])).all()
 
 
 def test_odd_documents(spark, odd_docs, no_docs):
@@ -143,7 +146,7 @@ def test_odd_documents(spark, odd_docs, no_docs):
 
 def test_scores_are_exact_beyond_64_bits(spark):
     big = 9 * 10**17
-    phrases = spark.createDataFrame([(1, 2, 0, 0, big)], "w1 long, w2 long, w3 long, w4 long, f long")
+    phrases = {2: spark.createDataFrame([(1, 2, 0, 0, big)], "w1 long, w2 long, w3 long, w4 long, f long")}
     words = spark.createDataFrame([(1, big + 1), (2, big + 3)], "w1 long, f long")
     row = module.scored_phrases(phrases, words).first()
     assert (row["l"], row["r"]) == (big + 1, big + 3)
