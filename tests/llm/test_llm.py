@@ -464,7 +464,7 @@ def test_ngram_join_odd_rows(odd_docs, no_docs):
     assert ngram_join.drop_near_copies(no_docs).count() == 0
 
 
-def test_recall_of_the_forest():
+def test_recall_of_the_bands():
     length = ngram_join.prefix_length()
     assert 1 - (1 - 0.8**length) ** ngram_join.TREES >= ngram_join.RECALL
     met = 0
@@ -472,37 +472,11 @@ def test_recall_of_the_forest():
     for _ in range(200):
         common = random_.integers(0, 1 << 63, 160, dtype=np.uint64)
         own = random_.integers(0, 1 << 63, (2, 20), dtype=np.uint64)
-        labels = [ngram_join.trie_paths(np.concatenate((common, it)), length)[0] for it in own]
+        labels = [ngram_join.trie_labels(np.concatenate((common, it)), length) for it in own]
         met += bool((labels[0] == labels[1]).any())
     assert met >= 199
 
 
-def test_homes_are_the_longest_shared_prefixes(spark):
-    """Nodes meet by all steps, or by fewer where nobody is that close; blocks meet by any shared prefix."""
-    paths = {
-        1: [(10, 0x00010001), (20, 0x00010001)],
-        2: [(10, 0x00010001), (21, 0x00010001)],
-        3: [(10, 0x00010002), (22, 0x00010001)],
-        4: [(11, 0x00010001), (20, 0x00020001)],
-        5: [(12, 0x00010001), (23, 0x00010001)],
-    }
-    nodes = spark.createDataFrame(
-        [(node, [it[0] for it in path], [it[1] for it in path]) for node, path in paths.items()],
-        "node long, labels array<long>, deeper array<int>",
-    )
-    shared = ngram_join.shared_prefixes(nodes)
-    homes = defaultdict(dict)
-    for row in rows(shared):
-        homes[row["node"]][row["label"]] = row["home"] >> ngram_join.HOME_BITS
-    # Steps that the longest shared prefix is short of
-    assert homes == {1: {10: 0, 20: 2}, 2: {10: 0}, 3: {10: 1}, 4: {20: 2}}
-    blocks = {row["node"]: row["block"] for row in rows(ngram_join.blocks_of_nodes(shared))}
-    assert blocks[1] == blocks[2] and len(set(blocks.values())) == 3
-    pairs = {(row["low"], row["high"]) for row in rows(ngram_join.block_pairs(shared, ngram_join.blocks_of_nodes(shared)))}
-    met = [(1, 1), (3, 3), (4, 4), (1, 3), (1, 4)]
-    assert pairs == {tuple(sorted((blocks[a], blocks[b]))) for a, b in met}
-
-
 def test_components(spark):
     random.seed(8)
     edges = [(k, k + 1) for k in range(200)] + [(1000, k) for k in range(1001, 1100)] + [(5000, 5001), (5001, 5000), (7, 7)]
