@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from helixframe.plans.skew import fits_broadcast, skew_join
+from helixframe.plans.skew import BROADCAST_ROWS, fits_broadcast, skew_join
 
 #: Width of the bins of a scan along positions.
 BIN_WIDTH = 1 << 14
@@ -107,7 +107,9 @@ def overlap_join(
         & (F.col(r_start) < F.col(l_end))
         & (F.call_function("shiftright", F.greatest(l_start, r_start).cast("long"), shift) == F.col("_bin"))
     )
-    joined = skew_join(left, right, [contig, "_level", "_bin"], "inner", condition)
+    # A small side has one or two rows at every level
+    most = 2 * len(bits) * SMALL_ROWS if small else BROADCAST_ROWS
+    joined = skew_join(left, right, [contig, "_level", "_bin"], "inner", condition, max_rows=most)
     return joined.drop("_level", "_bin", "_left_level", "_right_level")
 
 
