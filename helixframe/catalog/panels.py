@@ -622,7 +622,7 @@ def _eigen_sql(samples: str, components: int) -> str:
 
 def _eigen_rows(genotypes: DataFrame, samples: DataFrame, components: int) -> DataFrame:
     """Whether G v = lambda v holds for each sample, G v being summed from the genotypes alone."""
-    found = pca.genotype_pca(genotypes, samples, components)
+    found = pca.genotype_pca(genotypes, samples, components, 2e-8)
     z = pca.normalised_genotypes(genotypes, samples)
     per_site = z.join(found, "sample").groupBy("snp", "component").agg(
         F.sum(F.col("z") * F.col("coordinate")).alias("w")
