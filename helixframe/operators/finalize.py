@@ -137,7 +137,7 @@ def pair_mates(rows: DataFrame) -> DataFrame:
     since their number decides how they are joined.
     """
     names = cut_lineage(orphan_names(rows)).withColumn("_orphan_name", F.lit(True))
-    return skew_join(rows, names, ["qname"], "left").withColumn(
+    return skew_join(rows, names, ["qname"], "left", salt_by=["read_id"]).withColumn(
         "_orphan_name", F.coalesce("_orphan_name", F.lit(False))
     )
 

@@ -43,6 +43,19 @@ def hot_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def _salt_columns(big: DataFrame) -> list[Column]:
+    """All that tells rows apart; maps have no hash, and count as their entries."""
+    columns = []
+    for field in big.schema:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, T.MapType):
+            column = F.map_entries(column)
+        elif "map<" in field.dataType.simpleString():
+            column = F.to_json(F.struct(column))
+        columns.append(column)
+    return columns
+
+
 def skew_join(
     big: DataFrame,
     small: DataFrame,
@@ -63,7 +76,7 @@ def skew_join(
         return _join(big, F.broadcast(small), keys, how, condition)
 
     hot = hot_keys(big, keys)
-    hashed = F.xxhash64(*(salt_by or big.columns))
+    hashed = F.xxhash64(*(salt_by or _salt_columns(big)))
     # Rows with a null key match nothing, and are spread over all salts
     no_key = F.greatest(*(F.col(key).isNull() for key in keys), F.lit(False))
     salts = F.when(no_key, F.lit(HOT_SHARE)).otherwise(F.coalesce("_salts", F.lit(1)))

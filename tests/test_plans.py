@@ -31,6 +31,21 @@ def test_salted_join_equals_plain_join(spark, salted, how):
     assert sorted(map(str, joined.select(*big.join(small, "key", how).columns).collect())) == expected
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_salted_join_of_rows_with_maps(spark, salted, how):
+    big = spark.range(3000).select(
+        "id",
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), "id")).alias("key"),
+        F.create_map(F.lit("XP"), F.struct(F.lit("i").alias("type"), F.col("id").alias("value"))).alias("tags"),
+        F.struct(F.create_map(F.lit("a"), "id").alias("inner")).alias("nested"),
+    )
+    small = spark.createDataFrame([("hot", 1), ("k1", 2), ("k1", 3)], "key string, value long")
+    joined = skew.skew_join(big, small, ["key"], how)
+    names = big.join(small, "key", how).columns
+    expected = sorted(map(str, big.join(small, "key", how).collect()))
+    assert sorted(map(str, joined.select(*names).collect())) == expected
+
+
 def test_hot_keys_are_bounded_and_split(spark):
     rows = spark.range(30_000).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), "id")).alias("key")
