@@ -14,7 +14,9 @@ from helixframe.operators.alignments import (
     read_groups_table,
     with_ends,
 )
-from helixframe.plans.intervals import overlap_join
+from helixframe.plans.intervals import BIN_WIDTH, overlap_join, running_sums
+from helixframe.plans.session import cut_lineage
+from helixframe.plans.skew import skew_join
 
 #: Label of the single row used when there are many contigs.
 GENOME = "<Genome>"
@@ -111,35 +113,104 @@ def _region_counts(reads: DataFrame, regions: DataFrame) -> DataFrame:
     """Counts per (region name, rg).
 
     Reads are cut into the pieces that matter: the aligned span, of which there is one per read,
-    and the rare insertions, deletions and skipped stretches. Pairs of piece and region are
-    reduced to a count and a length per kind, and aligned bases are what is left of the span.
+    and the rare insertions, deletions and skipped stretches. No pairs of piece and region are made: of
+    the pieces that meet a region are those that start before its end, less those that end at or before
+    its start, and the bases inside are those below its end, less those below its start. So the sums
+    along a contig are looked up at the edges of regions, which are counted by name before.
     """
-    spans = regions.select(
-        "contig", "name", F.col("start").alias("_start"), F.col("end").alias("_end")
+    kind, sign = F.col("kind"), F.col("edge.sign")
+    pieces = (
+        with_ends(reads)
+        .select(
+            "contig",
+            "rg",
+            F.col("ref_end").alias("_read_end"),
+            F.inline(C.pieces(F.col("pos"), F.col("cigar"), read_class())),
+        )
+        .where("piece_start < piece_end")
+    )
+    # An insertion may reach past the end of its read
+    past = F.when(
+        F.col("piece_end") > F.col("_read_end"),
+        _edge(F.col("_read_end"), 1, F.col("piece_end")),
+    )
+    edges = F.array(_edge(F.col("piece_start"), 1), _edge(F.col("piece_end"), -1), past)
+    span = kind.isin(*COUNTERS[:4])
+    sums = {
+        **{f"opened_{it}": (kind == it) & (sign == 1) for it in COUNTERS[:4]},
+        **{f"closed_{it}": (kind == it) & (sign == -1) for it in COUNTERS[:4]},
+    }
+    steps = {
+        "m": F.when(span, sign).when(kind.isin("d", "n"), -sign).otherwise(0),
+        "i": F.when(kind == "i", sign).otherwise(0),
+        "d": F.when(kind == "d", sign).otherwise(0),
+    }
+    events = cut_lineage(
+        pieces.select("contig", "rg", "kind", F.explode(edges).alias("edge"))
+        .where("edge IS NOT NULL")
+        .groupBy("contig", "rg", F.col("edge.at").alias("at"), F.col("edge.past").alias("past"))
+        .agg(
+            *(F.count_if(test).alias(name) for name, test in sums.items()),
+            *(F.sum(step).cast("long").alias(f"step_{name}") for name, step in steps.items()),
+        )
+    )
+    counted = [*sums, *(f"step_{name}" for name in steps)]
+    places = events.where("past IS NULL").drop("past")
+    spans = regions.where(F.col("start") < F.col("end")).select(
+        "contig", "name", F.col("start").cast("long").alias("_start"), F.col("end").cast("long").alias("_end")
     )
-    pieces = with_ends(reads).select(
-        "contig",
-        "rg",
-        F.col("ref_end").alias("_read_end"),
-        F.inline(C.pieces(F.col("pos"), F.col("cigar"), read_class())),
+    opens, closes = (F.struct(F.col(at).alias("at"), F.lit(it).alias("sign")) for at, it in (("_start", -1), ("_end", 1)))
+    bounds = (
+        spans.select("contig", "name", F.explode(F.array(opens, closes)).alias("edge"))
+        .groupBy("contig", "name", F.col("edge.at").alias("at"))
+        .agg(F.count_if(sign == -1).alias("_opens"), F.count_if(sign == 1).alias("_closes"))
     )
-    inside = F.least("piece_end", "_end") - F.greatest("piece_start", "_start")
-    sums = (
-        overlap_join(pieces, spans, ("piece_start", "piece_end"), ("_start", "_end"))
-        .where(F.col("_start") < F.col("_read_end"))
-        .groupBy(F.col("name").alias("contig"), "rg", "kind")
-        .agg(F.count("*").alias("_n"), F.sum(inside).alias("_bases"))
+    groups = places.select("contig", "rg").distinct()
+    asked = skew_join(bounds.select("contig", "at").distinct(), groups, ["contig"], salt_by=["at"])
+    asked = asked.select("contig", "rg", "at", *(F.lit(0).cast("long").alias(it) for it in counted), F.lit(True).alias("_asked"))
+    rows = (
+        places.withColumn("_asked", F.lit(False))
+        .unionByName(asked)
+        .groupBy("contig", "rg", "at")
+        .agg(*(F.sum(it).alias(it) for it in counted), F.bool_or("_asked").alias("_asked"))
+        .withColumns({f"moment_{it}": F.col("at") * F.col(f"step_{it}") for it in steps})
     )
+    running = running_sums(rows, ["contig", "rg"], "at", [*counted, *(f"moment_{it}" for it in steps)], BIN_WIDTH)
+    found = skew_join(running.where("_asked"), bounds, ["contig", "at"], salt_by=["rg"])
+
+    def met(name: str) -> Column:
+        before = F.col(f"_sum_opened_{name}") - F.col(f"opened_{name}")
+        return F.sum(F.col("_closes") * before - F.col("_opens") * F.col(f"_sum_closed_{name}")).alias(name)
+
+    def bases(name: str) -> Column:
+        below = F.col("at") * F.col(f"_sum_step_{name}") - F.col(f"_sum_moment_{name}")
+        return F.sum((F.col("_closes") - F.col("_opens")) * below).alias(name)
+
+    counts = found.groupBy(F.col("name").alias("contig"), "rg").agg(
+        *map(met, COUNTERS[:4]), *map(bases, COUNTERS[4:])
+    )
+    late = events.where("past IS NOT NULL").select("contig", "rg", "at", "past", "step_i")
+    if not late.isEmpty():
+        counts = _without_late(counts, late, spans)
+    return counts.where(" OR ".join(f"{it} <> 0" for it in COUNTERS))
+
+
+def _edge(at: Column, sign: int, past: Column | None = None) -> Column:
+    past = F.lit(None).cast("long") if past is None else past
+    return F.struct(at.alias("at"), F.lit(sign).alias("sign"), past.alias("past"))
 
-    def total(column: str, *kinds: str) -> Column:
-        return F.coalesce(F.sum(F.when(F.col("kind").isin(*kinds), F.col(column))), F.lit(0))
 
-    return sums.groupBy("contig", "rg").agg(
-        *(total("_n", kind).alias(kind) for kind in COUNTERS[:4]),
-        (total("_bases", *COUNTERS[:4]) - total("_bases", "d", "n")).alias("m"),
-        total("_bases", "i").alias("i"),
-        total("_bases", "d").alias("d"),
+def _without_late(counts: DataFrame, late: DataFrame, spans: DataFrame) -> DataFrame:
+    """Take inserted bases off regions that start at or after the end of the read, which they reach past."""
+    spans = spans.groupBy("contig", "name", "_start", "_end").agg(F.count("*").alias("_times"))
+    inside = (F.least("past", "_end") - F.col("_start")) * F.col("step_i") * F.col("_times")
+    taken = (
+        overlap_join(late, spans, ("at", "past"), ("_start", "_end"))
+        .where(F.col("_start") >= F.col("at"))
+        .groupBy(F.col("name").alias("contig"), "rg")
+        .agg(*((-F.sum(inside) if it == "i" else F.lit(0).cast("long")).alias(it) for it in COUNTERS))
     )
+    return counts.unionByName(taken).groupBy("contig", "rg").agg(*(F.sum(it).alias(it) for it in COUNTERS))
 
 
 def coverage_table(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 from collections import defaultdict
 
 import numpy as np
@@ -70,6 +71,52 @@ def test_coverage_of_regions_counts_bases_inside(spark, header):
     assert (row["size"], row["hits"], row["collapsed"], row["m"], row["d"]) == (12, 1, 1, 5, 2)
 
 
+def test_counts_of_regions_equal_those_of_pairs(spark, monkeypatch):
+    monkeypatch.setattr(cov, "BIN_WIDTH", 16)
+    rng = random.Random(5)
+    texts = ("10M", "5M3I", "2I4M", "3M2D4M", "4I", "6M4I", "1M9I1M", "2S3M20N3M", "3M1I4M1D2M")
+    rows = [
+        {"pos": rng.randrange(90), "text": rng.choice(texts), "rg": rng.choice(["g", "h", None]), "contig": rng.choice(["chr1", "chr2"]),
+         "qname": rng.choice(["M_1", "a"]), "flag": rng.choice([0, 65, 129])}
+        for _ in range(150)
+    ]
+    spans = []
+    for _ in range(80):
+        start = rng.randrange(110)
+        name = rng.choice(["x", "y", "z", None])
+        spans.append((rng.choice(["chr1", "chr2", "chr3"]), start, start + rng.randrange(25), name))
+    regions = spark.createDataFrame(spans, "contig string, start long, end long, name string")
+    expected = defaultdict(lambda: [0] * 7)
+    for row in rows:
+        group = "collapsed" if row["qname"] == "M_1" else {0: "se", 65: "pe_1", 129: "pe_2"}[row["flag"]]
+        operations = [(int(num), op) for num, op in re.findall(r"(\d+)([A-Z])", row["text"])]
+        end = row["pos"] + sum(num for num, op in operations if op in "MDN")
+        for contig, first, last, name in spans:
+            if contig != row["contig"] or first >= last or first >= end:
+                continue
+            at, found = row["pos"], expected[name, row["rg"]]
+            found[cov.COUNTERS.index(group)] += row["pos"] < last and row["pos"] < end
+            for num, op in operations:
+                if op in "MID":
+                    found["MID".index(op) + 4] += max(0, min(at + num, last) - max(at, first))
+                at += num * (op in "MDN")
+    counts = cov.coverage_counts(reads(spark, *rows), regions).collect()
+    found = {(row["contig"], row["rg"]): [row[it] for it in cov.COUNTERS] for row in counts}
+    assert found == {key: value for key, value in expected.items() if any(value)}
+    assert len(found) == len(counts)
+
+
+def test_regions_of_a_name_that_overlap_make_no_pairs(spark, header):
+    contigs, groups = header
+    regions = spark.createDataFrame(
+        [("chr1", 2, 9, "x")] * 3 + [("chr1", 5, 20, "x"), ("chr1", 0, 4, None)],
+        "contig string, start long, end long, name string",
+    )
+    rows = dp.depth_histogram(reads(spark, {"rg": "g"}, {"rg": "g", "pos": 5}), groups, contigs, regions, width=4).collect()
+    counts = {(row["contig"], row["depth"]): row["n_sites"] for row in rows if row["sample"] == row["library"] == "*"}
+    assert counts["x", 1] == 3 * 3 + 5 and counts["x", 2] == 4 * 3 + 5 and counts[None, 1] == 4
+
+
 def test_depths(spark, header):
     contigs, groups = header
     data = reads(spark, {"rg": "g"}, {"rg": "g", "pos": 5}, {"rg": "g", "pos": 5, "contig": "chr2"})
