@@ -51,8 +51,13 @@ def depth_histogram(
     """
     runs = site_depths(alignments, readgroups, ignore_readgroups, width)
     if regions is not None:
-        spans = regions.select(
-            "contig", "name", F.col("start").alias("_start"), F.col("end").alias("_end")
+        # Runs of the number of regions of a name at a site: pairs grow with the runs, not with overlapping regions
+        spans = depth_runs(regions, [["name"]], span=("start", "end"), width=width).select(
+            "contig",
+            "name",
+            F.col("run_start").alias("_start"),
+            F.col("run_end").alias("_end"),
+            F.col("depth").alias("_times"),
         )
         runs = (
             overlap_join(runs, spans, ("run_start", "run_end"), ("_start", "_end"))
@@ -60,8 +65,10 @@ def depth_histogram(
             .withColumn("run_end", F.least("run_end", "_end"))
             .withColumn("contig", F.col("name"))
         )
+    else:
+        runs = runs.withColumn("_times", F.lit(1))
     counts = runs.groupBy(*KEYS, "depth").agg(
-        F.sum(F.col("run_end") - F.col("run_start")).alias("n_sites")
+        F.sum((F.col("run_end") - F.col("run_start")) * F.col("_times")).alias("n_sites")
     )
     if regions is None:
         labels = collapse_contigs(contigs, max_contigs).select("contig", "label")
