@@ -129,6 +129,26 @@ def test_depths(spark, header):
     assert (row["MD_001"], row["MD_002"], row["MD_003"], row["max_depth"]) == ("0.1500", "0.0500", "0.0000", "NA")
 
 
+def test_orphans_whose_names_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(skew, "fits_broadcast", lambda *_: False)
+    data = reads(
+        spark,
+        {"qname": "a", "flag": 67, "tags": {"XP": ("i", "1")}}, {"qname": "a", "flag": 131, "mapq": 1},
+        {"qname": "b", "flag": 67}, {"qname": "b", "flag": 131}, {"qname": None, "flag": 67},
+    )
+    found = fz.evaluate_alignments(data, fz.FilterOptions(min_mapping_quality=10)).collect()
+    assert {row["read_id"] for row in found if row["orphan_reads"]} == {0}
+    assert len(found) == 5
+
+
+def test_reads_in_regions_that_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(skew, "fits_broadcast", lambda *_: False)
+    data = reads(spark, {"tags": {"XP": ("i", "1")}}, {"pos": 30})
+    regions = spark.createDataFrame([("chr1", 5, 35, 1), ("chr1", 9, 10, 2)], "contig string, start long, end long, region_id long")
+    hits = iv.reads_in_regions(data, regions).select("read_id", "region_id").collect()
+    assert sorted(map(tuple, hits)) == [(0, 1), (0, 2), (1, 1)]
+
+
 def test_best_copy_by_cigar_count_then_quality(spark):
     data = reads(
         spark,
