@@ -8,13 +8,18 @@ from pyspark.sql import functions as F
 from helixframe.functions.flags import UNMAPPED
 from helixframe.functions.sequences import uncalled_bases
 from helixframe.plans.intervals import running_before
-from helixframe.plans.skew import skew_join
+from helixframe.plans.session import cut_lineage
+from helixframe.plans.skew import fits_broadcast
 from helixframe.sources.lines import numbered_lines
 
 #: Lines of a record that are joined into one row.
 CHUNK_LINES = 1 << 14
 #: Bits of a read's id below the number of its file.
 FILE_SHIFT = 40
+#: Files, one narrow row each, that are broadcast if their bytes allow it; combined lines are shuffled then.
+BROADCAST_FILES = 2_000_000
+#: FASTQ records of a file that go to a task together where files are too many for that.
+BLOCK_RECORDS = 1 << 14
 
 
 def _fail(message: str) -> Column:
@@ -138,25 +143,43 @@ def format_fasta(sequences: DataFrame, width: int = 60) -> DataFrame:
     return joined.select(F.concat(header, wrapped).alias("value")).where("value <> ''")
 
 
-def parse_fastq(lines: DataFrame) -> DataFrame:
+def _with_files(rows: DataFrame, files: DataFrame, record: Column, how: str, max_rows: int) -> DataFrame:
+    """Join what is known of each file; ``files`` is read more than once.
+
+    Where there are too many files to broadcast, rows meet it by file and block of records, so that a
+    long file is not one task; ``_block`` is added then, and rows of a record stay together.
+    """
+    if fits_broadcast(files, max_rows):
+        return rows.join(F.broadcast(files), ["file"], how)
+    block = F.coalesce(F.floor(record / BLOCK_RECORDS), F.lit(-1))
+    dealt = rows.withColumn("_block", block)
+    blocks = dealt.select("file", "_block").distinct().join(files, ["file"])
+    # Hashed, as the rows need no order
+    return dealt.join(blocks.hint("shuffle_hash"), ["file", "_block"], how)
+
+
+def parse_fastq(lines: DataFrame, max_rows: int = BROADCAST_FILES) -> DataFrame:
     """Records of four lines: ``(file, record, name, meta, sequence, qualities)``.
 
-    An empty line in place of a header ends the file. Incomplete and malformed records fail.
+    An empty line in place of a header ends the file. Incomplete and malformed records fail. Lines are
+    shuffled once, also where more than ``max_rows`` files end so.
     """
-    position = F.col("line") % 4
-    stop = (
+    position, record = F.col("line") % 4, F.floor(F.col("line") / 4)
+    stop = cut_lineage(
         lines.where((position == 0) & (F.trim("value") == ""))
         .groupBy("file")
         .agg(F.min("line").alias("_stop"))
     )
-    kept = skew_join(lines, stop, ["file"], "left").where(
+    kept = _with_files(lines, stop, record, "left", max_rows).where(
         F.col("_stop").isNull() | (F.col("line") < F.col("_stop"))
     )
+    # By these the rows are dealt already
+    dealt = [name for name in ("file", "_block") if name in kept.columns]
 
     def part(index: int) -> Column:
         return F.max(F.when(position == index, F.rtrim("value")))
 
-    records = kept.groupBy("file", F.floor(F.col("line") / 4).alias("record")).agg(
+    records = kept.groupBy(*dealt, record.alias("record")).agg(
         part(0).alias("_header"),
         part(1).alias("sequence"),
         part(2).alias("_separator"),
@@ -195,20 +218,33 @@ def format_fastq(records: DataFrame) -> DataFrame:
     )
 
 
-def unmapped_records(records: DataFrame, rg: str, offset: int = 33) -> DataFrame:
+def _file_numbers(records: DataFrame) -> DataFrame:
+    """(file, _file): the number of each file in the order of their names, counted range by range."""
+    ordered = records.select("file").distinct().orderBy("file")
+    ranges = cut_lineage(ordered.withColumn("_range", F.spark_partition_id()))
+    sizes = ranges.groupBy("_range").agg(F.count("*").alias("_n"))
+    # One row per range
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy("file")) - 1
+    number = (F.col("_start") + inside).cast("long").alias("_file")
+    return ranges.join(F.broadcast(starts), "_range").select("file", number)
+
+
+def unmapped_records(
+    records: DataFrame, rg: str, offset: int = 33, max_rows: int = BROADCAST_FILES
+) -> DataFrame:
     """FASTQ records as alignments without a position, in the given read-group.
 
     ``read_id`` is the number of the file, in the order of their names, and that of the record.
     """
-    # One row per file
-    number = F.row_number().over(Window.orderBy("file")) - 1
-    files = records.select("file").distinct().select("file", number.cast("long").alias("_file"))
+    files = cut_lineage(_file_numbers(records))
     codes = F.transform(
         F.filter(F.split("qualities", ""), lambda it: it != ""), lambda it: F.ascii(it) - offset
     )
     nothing, no_pos = F.lit(None), F.lit(-1).cast("long")
     tag = F.struct(F.lit("Z").alias("type"), F.lit(rg).alias("value"))
-    return skew_join(records, files, ["file"]).select(
+    return _with_files(records, files, F.col("record"), "inner", max_rows).select(
         (F.shiftleft("_file", FILE_SHIFT) + F.col("record")).alias("read_id"),
         F.col("name").alias("qname"),
         F.lit(UNMAPPED).alias("flag"),

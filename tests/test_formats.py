@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -217,3 +219,28 @@ def test_panel_tables(spark):
         tables.parse_panel_contigs(samples)
     with pytest.raises(ValueError, match="Group"):
         tables.parse_panel_groups(samples.withColumnRenamed("Group(2)", "Group(9)"))
+
+
+def test_fastq_files_that_end_early_shuffle_lines_once(spark):
+    texts = ["@a x", "ACG", "+", "!!!", "", "A", "+", "#", "@c", "G", "+", "%"]
+    rows = [(f"f{k}", line, "@b" if k % 2 and line == 4 else text) for k in range(6) for line, text in enumerate(texts)]
+    lines = spark.createDataFrame(rows, "file string, line long, value string")
+    many = fasta.parse_fastq(lines, max_rows=0)
+    expected = [(f"f{k}", n, name) for k in range(6) for n, name in enumerate("abc" if k % 2 else "a")]
+    assert sorted((r["file"], r["record"], r["name"]) for r in many.collect()) == expected
+    assert sorted(many.collect()) == sorted(fasta.parse_fastq(lines).collect())
+    # Where lines meet the ends of their files, records are made without another exchange
+    plan = fasta.parse_fastq(lines, max_rows=0)._jdf.queryExecution().executedPlan().toString()
+    keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    assert keys and not any("record" in key for key in keys)
+
+
+def test_files_numbered_range_by_range(spark):
+    rows = [(f"f{k:03}", line, text) for k in range(300) for line, text in enumerate(["@a", "AC", "+", "!J"])]
+    lines = spark.createDataFrame(rows, "file string, line long, value string").repartition(5)
+    records = fasta.parse_fastq(lines)
+    for max_rows in (0, 1000):
+        reads = fasta.unmapped_records(records, "g", max_rows=max_rows)
+        assert sorted(r["read_id"] for r in reads.collect()) == [k << fasta.FILE_SHIFT for k in range(300)]
+    plan = reads._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "row_number" not in plan
