@@ -329,6 +329,25 @@ def test_pca_of_more_samples_than_columns(spark, groups, tolerance):
         assert own[own["sample"] == "none"]["coordinate"].abs().max() < 1e-12
 
 
+def test_pca_shuffles_no_genotypes_to_multiply(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [(i, f"s{j}", int(rng.integers(0, 3))) for i in range(50) for j in range(30)]
+    df = spark.createDataFrame(rows, "snp long, sample string, dosage int")
+    plans, cut = [], pca.cut_lineage
+    monkeypatch.setattr(pca, "cut_lineage", lambda it: plans.append(it) or cut(it))
+    by_broadcast = pca.genotype_pca(df, None, 2, 1e-2).toPandas().sort_values(["component", "sample"])
+    products = [it for it in plans if "_q0" in it.columns and "_y0" in it.columns]
+    assert products
+    for it in products:
+        # What lies above the kept genotypes: one shuffle, of what each part sends per sample
+        text = it._jdf.queryExecution().sparkPlan().toString()
+        planned = it._jdf.queryExecution().executedPlan().toString()
+        assert "InMemoryTableScan" in text and "hashpartitioning(snp" not in planned.split("InMemoryRelation")[0]
+    monkeypatch.setattr(pca, "BROADCAST_BYTES", 0)
+    by_shuffle = pca.genotype_pca(df, None, 2, 1e-2).toPandas().sort_values(["component", "sample"])
+    assert np.allclose(by_broadcast["coordinate"], by_shuffle["coordinate"], atol=1e-6), "the way of joining changes no value"
+
+
 def test_pca_outliers_and_empty_tables(spark):
     rng = np.random.default_rng(9)
     rows = [(i, f"s{j}", int(rng.integers(0, 3))) for i in range(60) for j in range(40)]
