@@ -33,6 +33,10 @@ from helixframe.plans.skew import skew_join
 
 #: Sites of a chunk whose bases travel together; that many texts of one letter per sample meet in a row.
 SITES_PER_ROW = 256
+#: Reads of a site that sampling starts with where it has more than four times as many.
+FIRST_READS = 256
+#: One in so many reads is counted to tell how many a site has.
+COUNTED = 64
 
 
 def reads_at_sites(
@@ -98,6 +102,50 @@ def sample_panel_sites(bases: DataFrame, seed: int = 0) -> DataFrame:
     the site is kept, and its read used up, only if the panel has the base. The random choice is
     the read with the smallest hash of (seed, read, site).
 
+    A site chooses among its first reads by hash unless sites before it used up all of those. So the walk
+    starts with about ``FIRST_READS`` of them where a site has many more, and only these are materialised; how
+    many a site has is estimated from one in ``COUNTED`` reads. The choices are exact as long as no shortened
+    site runs out of reads; if one does, the walk is repeated with eight times as many.
+    """
+    site = ["contig", "pos"]
+    counted = bases.where(F.pmod(F.xxhash64("read_id"), F.lit(COUNTED)) == 0)
+    depths = cut_lineage(counted.groupBy(*site).agg((F.count("*") * COUNTED).alias("_depth")))
+    wanted = FIRST_READS
+    while True:
+        # Hashes are hexadecimal digits, so that a share of them is all that is less than some digits
+        share = F.hex((F.lit(float(1 << 32)) * wanted / F.col("_depth")).cast("long"))
+        upto = cut_lineage(
+            depths.where(F.col("_depth") > 4 * wanted).select(*site, F.lower(F.lpad(share, 8, "0")).alias("_upto"))
+        )
+        settled = _walk_sites(_first_reads(bases, upto, seed))
+        if settled is None:
+            done = upto.limit(0)
+        else:
+            done = settled.select(*site)
+        if upto.join(done, site, "left_anti").isEmpty():
+            break
+        wanted *= 8
+    if settled is None:
+        return bases.select(*site, "read_id", "base")
+    return settled.where("choice.allowed").select(*site, "choice.read_id", "choice.base")
+
+
+def _first_reads(bases: DataFrame, upto: DataFrame, seed: int) -> DataFrame:
+    """Every site's choices ``(contig, pos, read_id, choice)``, of the sites in ``upto`` those with hashes below it."""
+    site = ["contig", "pos"]
+    rank = hashing.digest(seed, F.col("read_id"), F.col("pos"))
+    if not upto.isEmpty():
+        bases = skew_join(bases, upto, site, "left", salt_by=["read_id"]).where(
+            F.col("_upto").isNull() | (rank < F.col("_upto"))
+        )
+    allowed = F.col("alleles").contains(F.col("base"))
+    choice = F.struct(rank.alias("rank"), "read_id", "base", allowed.alias("allowed"))
+    return bases.select(*site, "read_id", choice.alias("choice"))
+
+
+def _walk_sites(reads: DataFrame) -> DataFrame | None:
+    """What every site chooses, ``(contig, pos, choice)``, also where the panel lacks the base; None without reads.
+
     A site depends on earlier ones only through shared reads, and this is resolved in rounds over
     all sites at once. A read is safe at a site if no earlier open site could use it. What a site
     chooses is its first safe read or one before it, so the reads after that are dropped, which
@@ -105,20 +153,8 @@ def sample_panel_sites(bases: DataFrame, seed: int = 0) -> DataFrame:
     all other sites. The first open site of a contig is settled in every round, and commonly all
     that share no reads with open ones. Rounds shrink quickly and are cut by checkpoints.
     """
-    allowed = F.col("alleles").contains(F.col("base"))
     site = ["contig", "pos"]
-    open_reads = cut_lineage(
-        bases.select(
-            *site,
-            "read_id",
-            F.struct(
-                hashing.digest(seed, F.col("read_id"), F.col("pos")).alias("rank"),
-                "read_id",
-                "base",
-                allowed.alias("allowed"),
-            ).alias("choice"),
-        )
-    )
+    open_reads = cut_lineage(reads)
     settled: list[DataFrame] = []
     while not open_reads.isEmpty():
         first_use = (
@@ -137,20 +173,18 @@ def sample_panel_sites(bases: DataFrame, seed: int = 0) -> DataFrame:
         )
         done = cut_lineage(
             pruned.groupBy(*site)
-            .agg(F.count("*").alias("_n"), F.min("choice").alias("choice"), F.max("_limit").alias("_limit"))
-            .where((F.col("_n") == 1) & F.col("_limit").isNotNull())
+            .agg(F.min("choice").alias("choice"), F.max("_limit").alias("_limit"))
+            .where(F.col("choice") == F.col("_limit"))
             .select(*site, "choice")
         )
         used = done.where("choice.allowed").select("choice.read_id")
-        settled.append(done.where("choice.allowed"))
+        settled.append(done)
         open_reads = cut_lineage(
             pruned.drop("_limit")
             .join(done.select(*site), site, "left_anti")
             .join(used, "read_id", "left_anti")
         )
-    if not settled:
-        return bases.select(*site, "read_id", "base")
-    return reduce(DataFrame.unionByName, settled).select(*site, "choice.read_id", "choice.base")
+    return reduce(DataFrame.unionByName, settled) if settled else None
 
 
 def site_statistics(

@@ -290,6 +290,32 @@ def test_sampling_equals_sequential_walk(spark, monkeypatch, depth, broadcast):
     assert {tuple(row) for row in sampled} == brute_force_sampling(bases, sites, 4)
 
 
+@pytest.mark.parametrize("first_reads", [1, 3])
+def test_sampling_materialises_the_first_reads_of_a_site(spark, monkeypatch, first_reads):
+    """Sites that run out of them are walked again with more; rows that come twice count once."""
+    rng = random.Random(first_reads)
+    sites = {("c1", p): rng.choice(["A", "C", "AC"]) for p in range(0, 60, 10)}
+    bases = []
+    for read_id in range(200):
+        start = rng.randrange(60)
+        bases += [("c1", p, read_id, rng.choice("AC")) for _, p in sites if start <= p < start + 45]
+    # Few reads that all sites share are used up
+    bases += [("c2", p, read_id, "A") for p in range(5) for read_id in range(900, 906)]
+    sites |= {("c2", p): "A" for p in range(5)}
+    monkeypatch.setattr(pn, "FIRST_READS", first_reads)
+    monkeypatch.setattr(pn, "COUNTED", 1)
+    held = []
+    monkeypatch.setattr(pn, "cut_lineage", lambda df: held.append((df.columns, df.count())) or df.localCheckpoint())
+    df = spark.createDataFrame(
+        [(*row, sites[row[0], row[1]]) for row in [*bases, *bases[::7]]],
+        "contig string, pos long, read_id long, base string, alleles string",
+    )
+    sampled = pn.sample_panel_sites(df, seed=4).select("contig", "pos", "read_id", "base").collect()
+    assert {tuple(row) for row in sampled} == brute_force_sampling(bases, sites, 4)
+    walked = [n for columns, n in held if "choice" in columns and "read_id" in columns]
+    assert walked[0] < len(bases) / 2
+
+
 def test_pca_equals_numpy(spark):
     rng = np.random.default_rng(2)
     dosages = rng.integers(0, 3, size=(200, 6)).astype(float)
