@@ -20,14 +20,12 @@ CIGAR_TYPE = "array<struct<op:int,len:int>>"
 
 def parse_cigar(text: Column) -> Column:
     """CIGAR text to an array of operations; ``*`` and null become null."""
-    lengths = F.regexp_extract_all(text, F.lit(r"(\d+)([MIDNSHP=X])"), F.lit(1))
-    ops = F.regexp_extract_all(text, F.lit(r"(\d+)([MIDNSHP=X])"), F.lit(2))
-    parsed = F.zip_with(
-        ops,
-        lengths,
-        lambda op, num: F.struct(
-            (F.instr(F.lit(OPERATIONS), op) - 1).cast("int").alias("op"),
-            num.cast("int").alias("len"),
+    parts = F.regexp_extract_all(text, F.lit(r"\d+[MIDNSHP=X]"), F.lit(0))
+    parsed = F.transform(
+        parts,
+        lambda it: F.struct(
+            (F.instr(F.lit(OPERATIONS), F.right(it, F.lit(1))) - 1).cast("int").alias("op"),
+            F.substring(it, F.lit(1), F.length(it) - 1).cast("int").alias("len"),
         ),
     )
     return F.when(text != "*", parsed)
@@ -44,13 +42,15 @@ def format_cigar(cigar: Column) -> Column:
     return F.coalesce(F.array_join(parts, ""), F.lit("*"))
 
 
+def _length_if(it: Column, ops: tuple[int, ...]) -> Column:
+    """The length of an operation if it is one of the given ones, else 0: a look at one bit."""
+    bits = F.lit(sum(1 << op for op in ops))
+    return it["len"] * F.call_function("shiftright", bits, it["op"]).bitwiseAND(1)
+
+
 def total_length(cigar: Column, ops: tuple[int, ...]) -> Column:
     """Sum of the lengths of the given operations."""
-    return F.aggregate(
-        cigar,
-        F.lit(0),
-        lambda acc, it: acc + F.when(it["op"].isin(*ops), it["len"]).otherwise(0),
-    )
+    return F.aggregate(cigar, F.lit(0), lambda acc, it: acc + _length_if(it, ops))
 
 
 def reference_length(cigar: Column) -> Column:
@@ -65,8 +65,8 @@ def mapped_bases(cigar: Column) -> Column:
     return total_length(cigar, ALIGNED)
 
 
-def clipped_front(cigar: Column, ops: tuple[int, ...] = CLIPPED) -> Column:
-    """Number of clipped bases (soft and hard by default) before the first other operation."""
+def _clipped(cigar: Column, first: Column, second: Column, ops: tuple[int, ...]) -> Column:
+    """Clipped bases before the first other operation; most CIGARs have at most one operation there."""
     start = F.struct(F.lit(0).alias("total"), F.lit(True).alias("open"))
 
     def step(acc: Column, it: Column) -> Column:
@@ -78,12 +78,22 @@ def clipped_front(cigar: Column, ops: tuple[int, ...] = CLIPPED) -> Column:
             still_open.alias("open"),
         )
 
-    return F.aggregate(cigar, start, step, lambda acc: acc["total"])
+    return (
+        F.when(~first["op"].isin(*CLIPPED), 0)
+        .when(~second["op"].isin(*CLIPPED), _length_if(first, ops))
+        .otherwise(F.aggregate(cigar, start, step, lambda acc: acc["total"]))
+    )
+
+
+def clipped_front(cigar: Column, ops: tuple[int, ...] = CLIPPED) -> Column:
+    """Number of clipped bases (soft and hard by default) before the first other operation."""
+    return _clipped(cigar, F.get(cigar, F.lit(0)), F.get(cigar, F.lit(1)), ops)
 
 
 def clipped_back(cigar: Column, ops: tuple[int, ...] = CLIPPED) -> Column:
     """Number of clipped bases after the last other operation."""
-    return clipped_front(F.reverse(cigar), ops)
+    size = F.size(cigar)
+    return _clipped(F.reverse(cigar), F.get(cigar, size - 1), F.get(cigar, size - 2), ops)
 
 
 def aligned_blocks(pos: Column, cigar: Column) -> Column:
@@ -106,10 +116,8 @@ def aligned_blocks(pos: Column, cigar: Column) -> Column:
             acc["q"].alias("query_start"),
         )
         return F.struct(
-            (acc["r"] + F.when(it["op"].isin(*CONSUMES_REFERENCE), num).otherwise(0))
-            .cast("long")
-            .alias("r"),
-            (acc["q"] + F.when(it["op"].isin(*CONSUMES_QUERY), num).otherwise(0)).alias("q"),
+            (acc["r"] + _length_if(it, CONSUMES_REFERENCE)).cast("long").alias("r"),
+            (acc["q"] + _length_if(it, CONSUMES_QUERY)).alias("q"),
             F.when(it["op"].isin(*ALIGNED), F.concat(acc["blocks"], F.array(block)))
             .otherwise(acc["blocks"])
             .alias("blocks"),

@@ -33,6 +33,22 @@ def test_lengths(spark):
     assert value(spark, C.unclipped_start(F.lit(100), ops)) == 95
 
 
+def test_one_search_per_cigar():
+    assert str(C.parse_cigar(F.col("text"))).count("regexp_extract_all") == 1
+
+
+@pytest.mark.parametrize(
+    ("text", "front", "back", "soft"),
+    [("*", None, None, None), ("", 0, 0, 0), ("5S", 5, 5, 5), ("10M", 0, 0, 0), ("5S10M", 5, 0, 5),
+     ("5H3S10M2S", 8, 2, 3), ("3S5H10M2S4H", 8, 6, 3), ("5S2H1S", 8, 8, 6), ("5H10M", 5, 0, 0)],
+)
+def test_clips_at_the_ends(spark, text, front, back, soft):
+    df = spark.createDataFrame([(text,)], "text string").select(C.parse_cigar(F.col("text")).alias("it"))
+    ops = F.col("it")
+    found = df.select(C.clipped_front(ops), C.clipped_back(ops), C.clipped_front(ops, (4,))).first()
+    assert tuple(found) == (front, back, soft)
+
+
 def test_blocks(spark):
     blocks = value(spark, C.aligned_blocks(F.lit(100), cigar("2H3S10M2I5M3D4M1S")))
     assert [tuple(it) for it in blocks] == [(100, 110, 3), (110, 115, 15), (118, 122, 20)]
