@@ -15,8 +15,8 @@ WIDTH = 1024
 BROADCAST_CHUNKS = 1 << 15
 # Fixed value: aligned bases and deletions are what an MD tag describes
 _DESCRIBED = (*C.ALIGNED, *C.DELETION)
-#: A mismatch, or the bases of a deletion, in the text made by ``_compared``.
-_EDIT = r"\^[A-Z]+!|[A-Z]"
+# Fixed value: what ends a mismatch, or the bases of a deletion, in the text made by ``_compared``
+_END = "\n"
 
 
 def _described_spans(pos: Column, cigar: Column) -> Column:
@@ -80,7 +80,10 @@ def reference_bases(alignments: DataFrame, reference: DataFrame, width: int = WI
 
 
 def _compared(cigar: Column, query: Column, bases: Column) -> Column:
-    """``=`` per match, the reference base per mismatch, and ``^bases!`` per deletion."""
+    """``=`` per match, the reference base per mismatch, and ``^bases`` per deletion; the latter two end in ``_END``.
+
+    ``query`` holds bases that match nothing as something else than bases.
+    """
 
     def step(acc: Column, it: Column) -> Column:
         op, num = it["op"], it["len"]
@@ -88,10 +91,10 @@ def _compared(cigar: Column, query: Column, bases: Column) -> Column:
         pairs = F.zip_with(
             F.slice(query, acc["q"] + 1, num),
             theirs,
-            lambda a, b: F.when((a == "=") | ((a == b) & (a != "N")), "=").otherwise(b),
+            lambda a, b: F.when((a == b) | (a == "="), "=").otherwise(F.concat(b, F.lit(_END))),
         )
         text = F.when(op.isin(*C.ALIGNED), F.array_join(pairs, "")).when(
-            op.isin(*C.DELETION), F.concat(F.lit("^"), F.array_join(theirs, ""), F.lit("!"))
+            op.isin(*C.DELETION) & (num > 0), F.concat(F.lit("^"), F.array_join(theirs, ""), F.lit(_END))
         )
         return F.struct(
             (acc["q"] + F.when(op.isin(*C.CONSUMES_QUERY), num).otherwise(0)).alias("q"),
@@ -114,23 +117,21 @@ def set_mismatch_tags(alignments: DataFrame, reference: DataFrame, width: int =
     joined = alignments.join(reference_bases(alignments, reference, width), "read_id", "left")
     whole = F.length("bases") == C.total_length(cigar, _DESCRIBED)
     known = whole & (F.length("seq") == C.query_length(cigar))
+    query = F.translate(F.upper("seq"), "N", "\x01")
     compared = joined.withColumns(
-        {"_query": F.split(F.upper("seq"), ""), "_bases": F.split("bases", "")}
+        {"_query": F.split(query, ""), "_bases": F.split("bases", "")}
     ).withColumn("_text", F.when(known, _compared(cigar, F.col("_query"), F.col("_bases"))))
 
-    # The runs of matches are what stands between the edits, hence one more than there are edits
-    runs, edits = F.split("_text", _EDIT), F.regexp_extract_all("_text", F.lit(_EDIT), F.lit(0))
-    md = F.array_join(
-        F.zip_with(
-            runs,
-            edits,
-            lambda run, edit: F.concat(
-                F.length(run).cast("string"), F.coalesce(F.rtrim(edit, F.lit("!")), F.lit(""))
-            ),
-        ),
-        "",
-    )
-    changed = F.length(F.regexp_replace("_text", r"\^[A-Z]+!|=", ""))
+    # Every part but the last is a run of matches, which may be empty, and the edit after it
+    parts = F.split("_text", _END)
+
+    def counted(part: Column) -> Column:
+        edit = F.ltrim(part, F.lit("="))
+        return F.concat((F.length(part) - F.length(edit)).cast("string"), edit)
+
+    md = F.array_join(F.transform(parts, counted), "")
+    deletions = F.size(F.filter(cigar, lambda it: it["op"].isin(*C.DELETION) & (it["len"] > 0)))
+    changed = F.size(parts) - 1 - deletions
     nm = changed + C.total_length(cigar, (*C.INSERTION, *C.DELETION))
 
     def tag(name: str, kind: str, value: Column) -> Column:

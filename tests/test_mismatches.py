@@ -79,3 +79,11 @@ def test_tags(spark, width):
     assert all("XX" in row["tags"] for row in tagged.where("read_id < 500").collect())
     assert tagged.columns == records.columns
     assert set_mismatch_tags(records.limit(0), reference).count() == 0
+
+
+def test_deletion_of_nothing(spark):
+    rows = [(1, 0, "a", 0, "3M0D3M", "ACGTAC", {})]
+    records = spark.createDataFrame(rows, SCHEMA).withColumn("cigar", C.parse_cigar(F.col("cigar_text")))
+    reference = spark.createDataFrame([("a", 0, "ACGTAC")], "contig string, start long, sequence string")
+    tags = set_mismatch_tags(records, reference).first()["tags"]
+    assert (tags["NM"]["value"], tags["MD"]["value"]) == ("0", "6")
