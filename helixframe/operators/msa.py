@@ -23,6 +23,7 @@ from helixframe.functions.sequences import (
     fragments,
     split_positions,
 )
+from helixframe.plans.session import cut_lineage
 from helixframe.plans.skew import skew_join
 
 #: Columns of a plane: four bits each in a bitmap of 4096 bytes, which is what Spark combines.
@@ -114,6 +115,7 @@ def msa_reduce(sequences: DataFrame) -> DataFrame:
         .withColumn("_edges", F.when(F.col("n") > 1, _run_edges(F.col("planes"))))
         .drop("n")
     )
+    masks = cut_lineage(masks)
     own = called_digits(F.col("sequence"))
     all_lack = own == F.substring("planes", 1, F.length("sequence"))
     is_ascii = F.octet_length("sequence") == F.length("sequence")
@@ -147,7 +149,8 @@ def msa_filter_singletons(
     alignments without references, and all other sequences, are unchanged.
     """
     references = chunks(sequences.where(is_reference).select("msa", "sequence"), PLANE_COLUMNS)
-    allowed = planes_text(references, ["msa"], set_digits(F.col("bases"))).drop("n")
+    # Materialised, since their number decides how they are joined: otherwise the references are read for each question
+    allowed = cut_lineage(planes_text(references, ["msa"], set_digits(F.col("bases"))).drop("n"))
     rows = sequences.select("msa", "name", "meta", "sequence", is_target.alias("_target"))
     joined = skew_join(rows, allowed, ["msa"], "left", salt_by=["name"])
     def number(digits: Column) -> Column:
@@ -157,7 +160,7 @@ def msa_filter_singletons(
         skipped = F.upper(base).isin("N", "-", "")
         return F.when(skipped | (F.upper(base) == code), base).otherwise(F.lower(code))
 
-    def piece(bases: Column, k: Column, own: Column, allowed: Column) -> Column:
+    def piece(bases: Column, k: Column, own: Column, allowed: Column, only_codes: Column) -> Column:
         at, size = k * NUMBER_DIGITS + 1, F.length(bases)
         mine = part_of(own, at, size)
         common = number(mine).bitwiseAND(number(part_of(allowed, at, size)))
@@ -166,15 +169,19 @@ def msa_filter_singletons(
         codes = F.split(F.translate(digits, MASK_DIGITS + "0", MASK_CODES + "N"), "")
         changed = F.array_join(F.zip_with(F.split(bases, ""), codes, restricted), "")
         # Sets that lie within the references' need no look at single columns
-        lacks = F.regexp_replace(F.upper(bases), f"[{SET_CODES}N-]", "") != ""
-        return F.when((common == number(mine)) & ~lacks, bases).otherwise(changed)
+        return F.when((common == number(mine)) & only_codes, bases).otherwise(changed)
 
     pieces = fragments(F.col("sequence"), NUMBER_DIGITS)
+    # Asked once per sequence, as a search costs much more than the few numbers of a piece
+    only_codes = ~F.upper("sequence").rlike(f"[^{SET_CODES}N-]")
     changed = bound(
         ascii_bytes(set_digits(F.col("sequence"))),
         lambda own: bound(
             ascii_bytes(F.col("planes")),
-            lambda allowed: F.array_join(F.transform(pieces, lambda it, k: piece(it, k, own, allowed)), ""),
+            lambda allowed: bound(
+                only_codes,
+                lambda clean: F.array_join(F.transform(pieces, lambda it, k: piece(it, k, own, allowed, clean)), ""),
+            ),
         ),
     )
     return joined.select(

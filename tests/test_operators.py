@@ -245,6 +245,13 @@ def test_filter_singletons(spark, reference, expected):
     assert {r["name"]: r["sequence"] for r in out.collect()}["s0"] == expected
 
 
+def test_planes_are_materialised(spark):
+    """Their number decides how they are joined, which must not read all sequences again."""
+    df = alignment(spark, "TGRNAYWC-A", "TARCGMKTAG", "GGA-ASVCTA")
+    for out in (msa.msa_reduce(df), msa.msa_filter_singletons(df, F.col("name") == "s0", F.col("name") != "s0")):
+        assert "bitmap_or_agg" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_msa_selection(spark):
     df = alignment(spark, "A", "C")
     names = spark.createDataFrame([("s1",)], "name string")
