@@ -34,7 +34,7 @@ from pyspark.sql.window import Window
 
 from helixframe.llm.common import checkpointed, filled, mixed, prefix_hashes, read, span_hashes
 from helixframe.llm.queries import query
-from helixframe.plans.skew import BROADCAST_ROWS, skew_join
+from helixframe.plans.skew import BROADCAST_ROWS, fits_broadcast, skew_join
 
 LONGEST = 4
 LEAST = 30
@@ -345,8 +345,11 @@ def frequent_phrases(
     parts = None
     for size in range(2, longest + 1):
         found[size] = checkpointed(count_phrases(docs, size, known, parts).where(F.col("f") >= least))
-        if size < longest:
-            parts = frequent_filter(found[size], KEYS[:size])
+        # Counts are written, and what they were found with is asked for no more
+        if parts is not None:
+            parts.destroy()
+        parts = frequent_filter(found[size], KEYS[:size]) if size < longest else None
+    known.destroy()
     return words, found
 
 
@@ -360,13 +363,21 @@ def _key(begin: int, end: int) -> list[Column]:
     return [it.alias(name) for it, name in zip(kept, KEYS, strict=True)]
 
 
-def _with_counts(rows: DataFrame, part: str, begin: int, end: int, counts: DataFrame) -> DataFrame:
-    """Add the count of the words ``begin`` to ``end`` of a phrase; one word may begin a third of all."""
+def _with_counts(
+    rows: DataFrame, part: str, begin: int, end: int, counts: DataFrame, small: bool
+) -> DataFrame:
+    """Add the count of the words ``begin`` to ``end`` of a phrase; one word may begin a third of all.
+
+    A salted join has its rows in the plan several times over. So what it finds is written out, or else a chain
+    of them makes a plan that grows with a power of its length.
+    """
     own = [f"_{k}" for k in range(end - begin)]
     rows = rows.withColumns(dict(zip(own, (F.col(KEYS[k]) for k in range(begin, end)), strict=True)))
     names = [*(F.col(KEYS[k]).alias(own[k]) for k in range(end - begin)), F.col("f").alias(part)]
-    most = WORD_ROWS if end - begin == 1 else BROADCAST_ROWS
-    return skew_join(rows, counts.select(*names), own, salt_by=KEYS, max_rows=most).drop(*own)
+    counts = counts.select(*names)
+    if small:
+        return rows.join(F.broadcast(counts), own).drop(*own)
+    return checkpointed(skew_join(rows, counts, own, salt_by=KEYS, max_rows=-1).drop(*own))
 
 
 def scored_phrases(
@@ -376,13 +387,20 @@ def scored_phrases(
 
     A part is looked up among the phrases of its size; single words, by far the most parts, are a small table.
     """
+    chosen = chosen or phrases
     counts = {1: words.select("w1", "f")} | phrases
+    # The table of a size is looked at once, not once per join
+    small = {
+        size: fits_broadcast(counts[size].select(*KEYS[:size], "f"), WORD_ROWS if size == 1 else BROADCAST_ROWS)
+        for size in range(1, max(chosen))
+    }
     out = []
-    for size, rows in (chosen or phrases).items():
+    for size, rows in chosen.items():
         rows = rows.select(*KEYS, F.col("f").alias("a"))
-        for k in range(1, size):
-            rows = _with_counts(rows, f"_l{k}", 0, k, counts[k])
-            rows = _with_counts(rows, f"_r{k}", k, size, counts[size - k])
+        parts = [it for k in range(1, size) for it in ((f"_l{k}", 0, k), (f"_r{k}", k, size))]
+        # Those that are written out come first, before the others are in the plan
+        for part, begin, end in sorted(parts, key=lambda it: small[it[2] - it[1]]):
+            rows = _with_counts(rows, part, begin, end, counts[end - begin], small[end - begin])
         cuts = []
         for k in range(1, size):
             score = f"CAST(a AS DECIMAL(20,0)) * {SCORE_SCALE} DIV (CAST(_l{k} AS DECIMAL(20,0)) + _r{k})"
@@ -434,7 +452,7 @@ def mine_collocations(
     words, found = frequent_phrases(docs, longest, least)
     frequent = checkpointed(words.where(F.col("f") >= least))
     kept = {size: checkpointed(rows.select(*KEYS, "f")) for size, rows in uncovered(found, covered).items()}
-    scored = scored_phrases(found, frequent, kept)
+    scored = checkpointed(scored_phrases(found, frequent, kept))
 
     # Phrases are only spelled out if their numbers, ties included, rank them among the first ones
     scored = skew_join(scored, frequent.select("w1", "lang"), ["w1"], salt_by=KEYS)

@@ -151,3 +151,21 @@ def test_scores_are_exact_beyond_64_bits(spark):
     row = module.scored_phrases(phrases, words).first()
     assert (row["l"], row["r"]) == (big + 1, big + 3)
     assert row["score"] == 2_000_000 * big // (2 * big + 4)
+
+
+def test_parts_that_are_too_many_to_broadcast(spark, monkeypatch):
+    schema = "w1 long, w2 long, w3 long, w4 long, f long"
+    phrases = {
+        2: spark.createDataFrame([(1, 2, 0, 0, 60), (2, 3, 0, 0, 50), (3, 4, 0, 0, 55)], schema),
+        3: spark.createDataFrame([(1, 2, 3, 0, 45), (2, 3, 4, 0, 40)], schema),
+        4: spark.createDataFrame([(1, 2, 3, 4, 35)], schema),
+    }
+    words = spark.createDataFrame([(k, 100 + k) for k in range(1, 5)], "w1 long, f long")
+    expected = sorted(tuple(it) for it in module.scored_phrases(phrases, words).collect())
+    monkeypatch.setattr(module, "BROADCAST_ROWS", -1)
+    monkeypatch.setattr(module, "WORD_ROWS", -1)
+    scored = module.scored_phrases(phrases, words)
+    # A salted join holds its rows several times; six of them in a chain are not one plan
+    assert scored._jdf.queryExecution().optimizedPlan().toString().count("Join") == 0
+    assert sorted(tuple(it) for it in scored.collect()) == expected
+    assert len(expected) == 6
