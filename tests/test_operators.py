@@ -506,3 +506,21 @@ def test_deep_and_wide_trees(spark):
     assert tr.clade_keys(trees_of(spark, wide)).count() == 2 * 15000
     labelled = tr.annotate_support(trees_of(spark, wide), trees_of(spark, wide, wide)).first()["newick"]
     assert labelled == wide.replace("),", ")2,").replace("));", ")2);")
+
+
+def test_duplicate_report_that_is_not_broadcast(spark, monkeypatch):
+    rows = [{"qname": f"q{k % 40 if k % 3 else 0}", "quals": None if k % 3 == 0 else [k % 40] * 10} for k in range(160)]
+    rows += [{"qname": "once"}, {"qname": "q0", "seq": ""}, {"qname": "q0", "flag": 4}]
+    data = reads(spark, *rows)
+    known = spark.createDataFrame([], "rg string, sample string, library string, platform_unit string")
+    groups = du.duplicate_read_groups(data)
+    expected = sorted(map(str, du.duplicate_report(data, known, groups).collect()))
+    assert len(expected) == 160
+    monkeypatch.setattr(du, "fits_broadcast", lambda *_: False)
+    for share in (3, 1000):
+        monkeypatch.setattr(du, "HOT_SHARE", share)
+        report = du.duplicate_report(data, known, groups)
+        assert sorted(map(str, report.collect())) == expected
+    # The sizes of keys come from the groups: records are not counted
+    counted = [it for it in report._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Aggregate [" in it]
+    assert not any("count(" in it for it in counted)
