@@ -524,3 +524,23 @@ def test_duplicate_report_that_is_not_broadcast(spark, monkeypatch):
     # The sizes of keys come from the groups: records are not counted
     counted = [it for it in report._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Aggregate [" in it]
     assert not any("count(" in it for it in counted)
+
+
+def test_pca_of_many_products_plans_one_of_them(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    rows = [(i, f"s{j}", int(rng.integers(0, 3))) for i in range(300) for j in range(40) if (i * 7 + j) % 5]
+    df = spark.createDataFrame(rows, "snp long, sample string, dosage int")
+    planned, times = [], pca._Gram.times
+    monkeypatch.setattr(pca._Gram, "times", lambda *given: planned.append(given) or times(*given))
+    # Blocks end within batches, and a product comes in several pieces
+    monkeypatch.setattr(pca, "BLOCK_VALUES", 100)
+    monkeypatch.setattr(pca, "BLOCK_SAMPLES", 16)
+    in_memory = pca.genotype_pca(df, None, 2, 1e-9).toPandas().sort_values(["component", "sample"])
+    assert len(planned) == 1
+    dosage = np.full((300, 40), np.nan)
+    for i, name, it in rows:
+        dosage[i, int(name[1:])] = it
+    mean = np.nanmean(dosage, axis=1, keepdims=True)
+    x = np.nan_to_num((dosage - mean) / np.sqrt(mean / 2 * (1 - mean / 2)))
+    expected = np.linalg.eigvalsh(x.T @ x / 300)[::-1][:2]
+    assert np.allclose(in_memory["eigenvalue"].drop_duplicates(), expected, rtol=1e-9)
